@@ -56,27 +56,29 @@ def first_element(html: Column, tag: str, attributes: Mapping[str, str] | None =
     first match, the depth goes up and down and the element ends where it returns to zero
     (or with the page, when it is never closed).
     """
-    pieces = F.split(html, rf"(?i)(?=<{tag}\b|</{tag}\b)")
-    matches = lambda piece: piece.rlike("^" + start_tag_pattern(tag, attributes))
-    opens = lambda piece: piece.rlike(rf"(?i)^<{tag}\b")
-    closes = lambda piece: piece.rlike(rf"(?i)^</{tag}\b")
-
+    cut = F.split(html, rf"(?i)(?=<{tag}\b|</{tag}\b)")
+    pieces = F.transform(
+        cut,
+        lambda piece: F.struct(
+            piece.alias("text"),
+            piece.rlike("^" + start_tag_pattern(tag, attributes)).alias("wanted"),
+            piece.rlike(rf"(?i)^<{tag}\b").alias("opens"),
+            F.nullif(F.regexp_extract(piece, rf"(?i)^</{tag}\b[^>]*>", 0), F.lit("")).alias("closing"),
+        ),
+    )
     start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("body"), F.lit(False).alias("done"))
 
     def step(at: Column, piece: Column) -> Column:
-        begun = at["depth"] > 0
-        enters = ~begun & ~at["done"] & matches(piece)
-        deeper = begun & opens(piece)
-        up = begun & closes(piece)
-        last = up & (at["depth"] == 1)
-        depth = at["depth"] + F.when(enters | deeper, 1).when(up, -1).otherwise(0)
-        closing = F.regexp_extract(piece, rf"(?i)^</{tag}\b[^>]*>", 0)
-        body = (
-            F.when(last, F.concat(at["body"], closing))
-            .when(begun | enters, F.concat(at["body"], piece))
-            .otherwise(at["body"])
+        begun, closes = at["depth"] > 0, piece["closing"].isNotNull()
+        enters = ~begun & ~at["done"] & piece["wanted"]
+        last = (at["depth"] == 1) & closes
+        depth = at["depth"] + F.when(enters | (begun & piece["opens"]), 1).when(begun & closes, -1).otherwise(0)
+        kept = F.when(last, piece["closing"]).when(begun | enters, piece["text"]).otherwise(F.lit(""))
+        return F.struct(
+            depth.cast("int").alias("depth"),
+            F.concat(at["body"], kept).alias("body"),
+            (at["done"] | last).alias("done"),
         )
-        return F.struct(depth.cast("int").alias("depth"), body.alias("body"), (at["done"] | last).alias("done"))
 
     found = F.aggregate(pieces, start, step, lambda at: at["body"])
     # Most pages either have the start tag or do not: skip the walk for those that do not.
@@ -97,13 +99,19 @@ def cell_bodies(html: Column, tag: str = "td", attributes: Mapping[str, str] | N
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
-def cell_text(body: Column) -> Column:
-    """The text of a cell: no tags, entities decoded, spaces trimmed, thousands commas removed.
+def cell_texts(bodies: Column) -> Column:
+    """The texts of cells: no tags, entities decoded, spaces trimmed, thousands commas removed.
 
     Only spaces are trimmed: a no-break space or a line end stays.
     """
-    bare = F.regexp_replace(body, _TAG, "")
-    return F.replace(F.trim(decode_entities(bare)), F.lit(","), F.lit(""))
+    texts = F.transform(plain_texts(bodies), F.trim)
+    return F.transform(texts, lambda t: F.replace(t, F.lit(","), F.lit("")))
+
+
+def plain_texts(bodies: Column) -> Column:
+    """The texts of cells as they stand: no tags, entities decoded."""
+    bare = F.transform(bodies, lambda b: F.regexp_replace(b, _TAG, ""))
+    return F.transform(bare, decode_entities)
 
 
 def decode_entities(text: Column) -> Column:

@@ -6,19 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # What counts as a number. Spark alone would also take type suffixes such as "1.0d" and "1f".
-NUMBER_PATTERN = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)$"
+NUMBER_PATTERN = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
+WHOLE_PATTERN = r"^\s*[+-]?\d+(\.0*)?\s*$"
 
 
 def number(text: Column) -> Column:
     """``text`` as a double; NULL where it is not a number (also for NaN)."""
-    bare = F.btrim(text, F.lit(" \t\r\n\f"))
-    return F.when(bare.rlike(NUMBER_PATTERN), bare.try_cast("double"))
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
 def whole_number(text: Column) -> Column:
     """``text`` such as ``2010.0`` or ``7`` as an int; NULL where it is not a whole number."""
-    value = number(text)
-    return F.when(value == F.floor(value), value.try_cast("int"))
+    return F.when(text.rlike(WHOLE_PATTERN), text.try_cast("double").try_cast("int"))
 
 
 def present(value: Column) -> Column:

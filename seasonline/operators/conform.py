@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,11 +13,16 @@ from seasonline.layouts import LAYOUTS, Layout, all_fields
 LayoutMap = Mapping[tuple[str, str], Layout]
 
 
-def _typed(text: Column, layout: Layout, field: str) -> Column:
-    kind = layout.type_of(field)
-    if kind == "string":
+def _typed(text: Column, field_type: str) -> Column:
+    if field_type == "string":
         return F.regexp_replace(text, r"\s+$", "")
-    return whole_number(text) if kind == "int" else number(text)
+    return whole_number(text) if field_type == "int" else number(text)
+
+
+def _by_layout(layouts: LayoutMap, position: str, kind: str, value: Callable[[Layout], Column]) -> Column:
+    """A value looked up by the row's position and kind; NULL for an unknown pair."""
+    pairs = [x for (p, k), layout in layouts.items() for x in (F.lit(f"{p}/{k}"), value(layout))]
+    return F.try_element_at(F.create_map(*pairs), F.concat_ws("/", position, kind))
 
 
 def conform(
@@ -35,31 +40,30 @@ def conform(
     of any other width are malformed: their fields are NULL and ``width_ok`` is false. The
     result is one table for all layouts: every kept field, NULL where a layout lacks it.
     """
-    width = F.size(record)
-    picks: dict[str, Column] = {}
-    width_ok: Column = F.lit(False)
-    for (pos, knd), layout in layouts.items():
-        here = (F.col(position) == pos) & (F.col(kind) == knd)
-        at = layout.fields.index(layout.season) if layout.season in layout.fields else None
-        full, short = width == layout.width, (width == layout.width - 1) & F.lit(at is not None)
-        width_ok = F.when(here, full | short).otherwise(width_ok)
-        for i, f in enumerate(layout.fields):
-            if f in layout.dropped:
-                continue
-            cell = F.get(F.col(record), F.lit(i))
-            if at is None or i < at:
-                text = F.when(full | short, cell)
-            elif i == at:
-                text = F.when(full, cell).when(short, F.col(season_hint).cast("string"))
-            else:
-                text = F.when(full, cell).when(short, F.get(F.col(record), F.lit(i - 1)))
-            value = _typed(text, layout, f)
-            picks[f] = F.when(here, value).otherwise(picks[f]) if f in picks else F.when(here, value)
-    passed = [c for c in records.columns if c not in (record, season_hint)]
-    return records.select(
-        *[F.col(f"`{c}`") for c in passed],
-        *[picks[f].cast(t).alias(f) for f, t in all_fields(dict(layouts)).items()],
-        F.coalesce(width_ok, F.lit(False)).alias("width_ok"),
+    fields = all_fields(dict(layouts))
+    passed = [F.col(f"`{c}`") for c in records.columns if c not in (record, season_hint)]
+
+    def places(layout: Layout) -> Column:
+        return F.array(*[F.lit(layout.fields.index(f) if f in layout.kept else None).cast("int") for f in fields])
+
+    def season_place(layout: Layout) -> Column:
+        return F.lit(layout.fields.index(layout.season) + 1 if layout.season in layout.fields else None).cast("int")
+
+    width = _by_layout(layouts, position, kind, lambda layout: F.lit(layout.width))
+    at = _by_layout(layouts, position, kind, season_place)
+    hint, given = F.col(season_hint).cast("string"), F.col(record)
+    whole = F.when(F.size(given) == F.col("_width"), given).when(
+        (F.size(given) == F.col("_width") - 1) & F.col("_season").isNotNull(),
+        F.array_insert(given, F.coalesce(F.col("_season"), F.lit(1)), hint),
+    )
+    aligned = (
+        records.select(*passed, record, season_hint, width.alias("_width"), at.alias("_season"))
+        .select(*passed, whole.alias("_cells"), _by_layout(layouts, position, kind, places).alias("_places"))
+    )
+    cells = [F.get(F.col("_cells"), F.get(F.col("_places"), F.lit(i))) for i in range(len(fields))]
+    return (
+        aligned.select(*passed, F.col("_cells").isNotNull().alias("width_ok"), *[c.alias(f) for c, f in zip(cells, fields)])
+        .select(*passed, *[_typed(F.col(f"`{f}`"), t).alias(f) for f, t in fields.items()], "width_ok")
     )
 
 

@@ -38,7 +38,7 @@ def with_cells(
     for k, name in cell_class.items():
         found = H.cell_bodies(F.col(html), "td", {"class": name})
         bodies = F.when(F.col(kind) == k, found) if bodies is None else bodies.when(F.col(kind) == k, found)
-    return pages.withColumn(into, F.transform(bodies, H.cell_text))
+    return pages.withColumn(into, H.cell_texts(bodies))
 
 
 def joined_cells(cells: Column) -> Column:
@@ -71,8 +71,7 @@ def clean_name(name: Column) -> Column:
 
 def number_or_text(cell: Column) -> Column:
     """A cell as it is written out: numbers in float notation, everything else as it is."""
-    value = number(cell)
-    return F.when(value.isNotNull(), value.cast("string")).otherwise(cell)
+    return F.coalesce(number(cell).cast("string"), cell)
 
 
 def records_from_pages(
@@ -127,19 +126,20 @@ def table_grid(
     rows = pages.select(
         *keys, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(row), F.lit(1))).alias("row_no", "_row")
     )
-    start = r"(?is)^<t[dh]\b[^>]*>"
+    tags = F.regexp_extract_all(F.col("_row"), F.lit(cell), F.lit(1))
+    span = r"(?is)^<t[dh]\b[^>]*\scolspan\s*=\s*[\"']?([0-9]+)"
 
-    def spread(body: Column) -> Column:
-        span = F.regexp_extract(F.regexp_extract(body, start, 0), r"(?i)\scolspan\s*=\s*[\"']?([0-9]+)", 1)
-        one = F.struct(
-            body.rlike("(?i)^<th").alias("is_header"),
-            F.btrim(H.decode_entities(F.regexp_replace(body, H._TAG, "")), F.lit(" \t\r\n")).alias("text"),
-        )
-        return F.array_repeat(one, F.greatest(F.coalesce(span.try_cast("int"), F.lit(1)), F.lit(1)))
+    def spread(tag: Column, text: Column) -> Column:
+        width = F.regexp_extract(tag, span, 1).try_cast("int")
+        one = F.struct(tag.rlike("(?i)^<th").alias("is_header"), text.alias("text"))
+        return F.array_repeat(one, F.greatest(F.coalesce(width, F.lit(1)), F.lit(1)))
 
-    cells = F.flatten(F.transform(F.regexp_extract_all(F.col("_row"), F.lit(cell), F.lit(1)), spread))
-    return rows.select(*keys, "row_no", F.posexplode(cells).alias("col_no", "_cell")).select(
-        *keys, "row_no", "col_no", "_cell.is_header", "_cell.text"
+    spread_cells = F.flatten(F.zip_with("_tags", "_texts", spread))
+    return (
+        rows.select(*keys, "row_no", tags.alias("_tags"))
+        .select(*keys, "row_no", "_tags", F.transform(H.plain_texts(F.col("_tags")), lambda t: F.btrim(t, F.lit(" \t\r\n"))).alias("_texts"))
+        .select(*keys, "row_no", F.posexplode(spread_cells).alias("col_no", "_cell"))
+        .select(*keys, "row_no", "col_no", "_cell.is_header", "_cell.text")
     )
 
 

@@ -239,12 +239,14 @@ def score_relu_runs(
         + [T.StructField("run", T.IntegerType()), T.StructField(name, T.DoubleType())]
     )
 
-    def predicted(group: pd.DataFrame, fitted: Sequence[tuple[int, np.ndarray]]) -> Iterator[pd.DataFrame]:
+    def predicted(group: pd.DataFrame, fitted: Sequence[tuple[int, np.ndarray]]) -> pd.DataFrame:
         x = np.stack(group["_x"].to_list()).astype(float)
-        base = group[[*by, *keep]]
-        for run, weights in fitted:
-            layer = hidden_layer(run, len(features), units)
-            yield base.assign(run=run, **{name: _activations(x, layer) @ np.asarray(weights)})
+        scores = np.empty((len(x), len(fitted)))
+        for i, (run, weights) in enumerate(fitted):
+            scores[:, i] = _activations(x, hidden_layer(run, len(features), units)) @ np.asarray(weights)
+        repeated = group[[*by, *keep]].loc[group.index.repeat(len(fitted))]
+        run_numbers = np.tile(np.array([run for run, _ in fitted], dtype="int32"), len(x))
+        return repeated.assign(run=run_numbers, **{name: scores.ravel()})
 
     models = checkpointed(models.select(*by, "run", "weights"))
     if models.count() * (units + 1) * 8 <= bytes_limit:
@@ -254,8 +256,11 @@ def score_relu_runs(
 
         def score_held(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                for key, group in _by_group(pdf, by):
-                    yield from predicted(group, by_key.get(key, []))
+                scored = [
+                    predicted(group, by_key[key]) for key, group in _by_group(pdf, by) if key in by_key
+                ]
+                if scored:
+                    yield pd.concat(scored)
 
         return rows.mapInPandas(score_held, out)
 
@@ -265,8 +270,7 @@ def score_relu_runs(
     def score_joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for _, group in _by_group(pdf, by):
-                fitted = [(m["run"], m["weights"]) for m in group["_models"].iloc[0]]
-                yield from predicted(group, fitted)
+                yield predicted(group, [(m["run"], m["weights"]) for m in group["_models"].iloc[0]])
 
     return joined.mapInPandas(score_joined, out)
 

@@ -192,11 +192,11 @@ SELECT page_id, CAST(cell_no AS INTEGER) AS cell_no, replace(trim(replace(body,
 SELECT page_id, block,
        replace(trim(replace(regexp_replace(block, '<[^>]*>', '', 'g'), '&amp;', '&')), ',', '') AS text FROM b""",
     "page_quality": f"""SELECT {_KIND} AS kind, count(*) AS n_pages,
-       count(*) FILTER (WHERE html NOT LIKE '%<b>%' OR len(regexp_extract_all(html, '<a [^>]*>')) <= 1) AS n_empty,
-       count(*) FILTER (WHERE html NOT LIKE '%<b>%') AS n_missing,
-       CAST(coalesce(sum(CASE WHEN html LIKE '%<b>%' THEN len(regexp_extract_all(html, '<a [^>]*>')) ELSE 0 END), 0) AS BIGINT) AS n_cells
+       count(*) FILTER (WHERE html NOT LIKE '%<html lang="en">%' OR len(regexp_extract_all(html, '<a [^>]*>')) <= 1) AS n_empty,
+       count(*) FILTER (WHERE html NOT LIKE '%<html lang="en">%') AS n_missing,
+       CAST(coalesce(sum(CASE WHEN html LIKE '%<html lang="en">%' THEN len(regexp_extract_all(html, '<a [^>]*>')) ELSE 0 END), 0) AS BIGINT) AS n_cells
 FROM pages GROUP BY 1""",
-    "page_quarantine": "SELECT page_id, url FROM pages WHERE html NOT LIKE '%<b>%'",
+    "page_quarantine": """SELECT page_id, url FROM pages WHERE html NOT LIKE '%<html lang="en">%'""",
     "records_from_cells": f"""WITH {_LINE},
 {_SIDES}
 SELECT kind, {_NAME} AS name, pos AS team, yr, CASE WHEN kind = 'projected' THEN CAST(gp AS INTEGER) END AS bye,

@@ -286,30 +286,33 @@ def page_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text of every link on every page."""
     pages = read_pages(spark, f"{sf_dir}/pages.parquet")
     bodies = H.cell_bodies(H.visible(F.col("html")), "a")
-    return pages.select("page_id", F.posexplode(F.transform(bodies, H.cell_text)).alias("cell_no", "text"))
+    return pages.select("page_id", F.posexplode(H.cell_texts(bodies)).alias("cell_no", "text"))
 
 
 def page_element(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first block of a class on every page, and its text."""
     pages = select_table(read_pages(spark, f"{sf_dir}/pages.parquet"), tag="div", attributes={"class": "ad"}, into="block")
-    return pages.select("page_id", "block", H.cell_text(F.col("block")).alias("text"))
+    return pages.select("page_id", "block", H.cell_texts(F.array("block"))[0].alias("text"))
+
+
+def _english(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with their element that is marked as English; the others have none."""
+    return select_table(read_pages(spark, f"{sf_dir}/pages.parquet"), tag="html", attributes={"lang": "en"})
 
 
 def page_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per kind of page: how many lack the wanted element, and how many links the others hold."""
-    pages = select_table(read_pages(spark, f"{sf_dir}/pages.parquet"), tag="b", attributes={}, into="table_html")
-    pages = pages.select(
+    pages = _english(spark, sf_dir).select(
         kind_of(F.col("url"), {f"/{lang}/": lang for lang in ("en", "fr", "de", "es")}).alias("kind"),
         "table_html",
-        H.cell_bodies(F.col("html"), "a").alias("cells"),
+        H.cell_bodies(F.col("table_html"), "a").alias("cells"),
     )
     return page_quality(pages, ["kind"])
 
 
 def page_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages without the wanted element."""
-    pages = select_table(read_pages(spark, f"{sf_dir}/pages.parquet"), tag="b", attributes={}, into="table_html")
-    return missing_table(pages).select("page_id", "url")
+    return missing_table(_english(spark, sf_dir)).select("page_id", "url")
 
 
 def records_from_cells(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,6 +28,7 @@ from seasonline.operators.regression import (
 )
 from seasonline.operators.robust import iqr_fence, keep_within
 from seasonline.operators.scaling import apply_scaler, fit_scaler
+from seasonline.session import staged
 
 FORECAST_POINTS = "Proj FPts"
 OUTCOME_POINTS = "Act FPts"
@@ -72,7 +73,7 @@ def training_frame(
     lines: DataFrame, position: str, *, loose_names: bool = False, fence: str = "width", **season
 ) -> DataFrame:
     """The rows a position's model is fitted on: matched, rescaled, without outliers."""
-    errors = full_season_errors(matched_lines(lines, position, loose_names=loose_names), **season)
+    errors = staged(full_season_errors(matched_lines(lines, position, loose_names=loose_names), **season), "errors")
     return keep_within(errors, "abs_error", iqr_fence(errors, "abs_error", kind=fence)).drop("abs_error")
 
 
@@ -88,7 +89,7 @@ def score_position(
 ) -> DataFrame:
     """Scores of one position for every run. Forecast points are a feature, outcomes never."""
     features = ["GP", *stat_list(position, with_points=False), FORECAST_POINTS]
-    train = training_frame(lines, position, **cleaning)
+    train = staged(training_frame(lines, position, **cleaning), "train")
     layout = LAYOUTS[position, PROJECTED]
     coming = scoring.where((F.col("pos") == position) & (F.col("kind") == PROJECTED))
     coming = coming.select("GP", *[F.col(f"`{f}`") for f in layout.kept]).withColumnRenamed("FPts", FORECAST_POINTS)
@@ -110,5 +111,10 @@ def score_position(
 def train_and_score(
     lines: DataFrame, scoring: DataFrame, positions: Sequence[str] = POSITIONS, **options
 ) -> DataFrame:
-    """Scores of all positions and runs. ``scoring`` comes with GP set to a full season."""
+    """Scores of all positions and runs. ``scoring`` comes with GP set to a full season.
+
+    The typed history is staged once. Positions differ in their features, so each has its own
+    fit; all runs of a position share one.
+    """
+    lines, scoring = staged(lines, "lines"), staged(scoring, "scoring")
     return reduce(DataFrame.unionByName, [score_position(lines, scoring, p, **options) for p in positions])

@@ -1,0 +1,77 @@
+from conftest import rows
+from pyspark.sql import functions as F
+
+from seasonline.operators.reconcile import (
+    absolute_error,
+    duplicate_keys,
+    enough_exposure,
+    forecast_with_outcome,
+    in_seasons,
+    plain_name,
+    rescaled,
+    with_full_exposure,
+)
+
+FORECAST = "Name string, Team string, Yr int, Bye int, Rec double, FPts double"
+OUTCOME = "Name string, Team string, Yr int, GP int, Rec double, FPts double"
+
+
+def join(spark, **options):
+    forecast = spark.createDataFrame(
+        [("Al", "X", 2011, 5, 50.0, 100.0), ("Al", "Y", 2011, 6, 20.0, 40.0), ("Bo Jr.", "X", 2011, 5, 9.0, 9.0), ("Cy", "Z", 2012, 1, 1.0, 1.0)],
+        FORECAST,
+    )
+    outcome = spark.createDataFrame(
+        [("Al", "X", 2011, 16, 51.0, 110.0), ("Al", "Y", 2011, 14, 21.0, 44.0), ("Bo Jr", "X", 2011, 13, 8.0, 8.0), ("Cy", "Z", 2011, 2, 1.0, 2.0)],
+        OUTCOME,
+    )
+    return forecast_with_outcome(
+        forecast, outcome, ["Name", "Yr"], identifiers=["Name", "Team", "Yr"], stats=["Rec", "FPts"],
+        target="FPts", target_name="Act FPts", **options,
+    )
+
+
+def test_duplicates_pair_and_columns_are_in_order(spark):
+    joined = join(spark)
+    assert joined.columns == ["Name", "Team", "Yr", "GP", "Rec", "FPts", "Act FPts"]
+    assert rows(joined) == [
+        ("Al", "X", 2011, 14, 50.0, 100.0, 44.0),
+        ("Al", "X", 2011, 16, 50.0, 100.0, 110.0),
+        ("Al", "Y", 2011, 14, 20.0, 40.0, 44.0),
+        ("Al", "Y", 2011, 16, 20.0, 40.0, 110.0),
+    ]
+
+
+def test_loose_names_keep_the_forecast_spelling(spark):
+    joined = join(spark, loose_name="Name")
+    assert joined.columns == ["Name", "Team", "Yr", "GP", "Rec", "FPts", "Act FPts"]
+    assert joined.count() == 5
+    assert joined.where("Name = 'Bo Jr.'").first()["GP"] == 13
+
+
+def test_exposure_and_rescale(spark):
+    df = spark.createDataFrame([(13, 130.0), (14, 140.0), (16, 10.0), (0, 1.0), (None, 1.0)], "GP int, act double")
+    assert rows(enough_exposure(df)) == [(14, 140.0), (16, 10.0)]
+    got = df.select(rescaled(F.col("act"), F.col("GP"))).collect()
+    assert [r[0] for r in got] == [16 / 13 * 130.0, 16 / 14 * 140.0, 10.0, None, None]
+
+
+def test_season_length_may_be_a_column(spark):
+    df = spark.createDataFrame([(17, 17, 34.0), (8, 16, 10.0)], "GP int, games int, act double")
+    assert [r[0] for r in df.select(rescaled(F.col("act"), F.col("GP"), F.col("games"))).collect()] == [34.0, 20.0]
+
+
+def test_season_range_includes_both_ends(spark):
+    df = spark.createDataFrame([(y,) for y in range(2008, 2014)] + [(None,)], "Yr int")
+    assert rows(in_seasons(df, "Yr", 2010, 2012)) == [(2010,), (2011,), (2012,)]
+
+
+def test_small_helpers(spark):
+    df = spark.createDataFrame([("A.J. Bo Jr.", 3.0, 5.0)], "n string, a double, p double")
+    assert tuple(df.select(plain_name(F.col("n")), absolute_error(F.col("a"), F.col("p"))).first()) == ("AJ Bo Jr", 2.0)
+    assert with_full_exposure(df).first()["GP"] == 16
+
+
+def test_duplicate_keys(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 1)], "name string, yr int")
+    assert rows(duplicate_keys(df, ["name", "yr"])) == [("a", 1, 2)]

@@ -1,0 +1,101 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from seasonline.operators.regression import (
+    fit_relu_runs,
+    fit_ridge,
+    hidden_layer,
+    ols_by_group,
+    score_relu_runs,
+    score_ridge,
+    score_summary,
+)
+
+
+@pytest.fixture(scope="module")
+def data():
+    rng = np.random.default_rng(1)
+    # One group holds most of the rows.
+    sizes = {"hot": 900, "cold": 60, "tiny": 12}
+    out = {}
+    for g, n in sizes.items():
+        x = rng.normal(size=(n, 2))
+        out[g] = (x, 3 + x[:, 0] - 2 * np.maximum(x[:, 1], 0) + rng.normal(size=n) * 0.1)
+    return out
+
+
+@pytest.fixture(scope="module")
+def frame(spark, data):
+    rows = [(g, i, float(a), float(b), float(y)) for g, (x, t) in data.items() for i, ((a, b), y) in enumerate(zip(x, t))]
+    return spark.createDataFrame(rows, "g string, i int, a double, b double, y double").repartition(7)
+
+
+def test_ols(frame, data):
+    got = {r["g"]: r for r in ols_by_group(frame, "a", "y", ["g"]).collect()}
+    for g, (x, y) in data.items():
+        slope, intercept = np.polyfit(x[:, 0], y, 1)
+        assert (got[g]["n"], got[g]["slope"], got[g]["intercept"]) == pytest.approx((len(y), slope, intercept))
+
+
+def test_ridge_against_a_direct_solve(frame, data):
+    models = fit_ridge(frame, ["a", "b"], "y", ["g"], penalty=2.0)
+    got = {r["g"]: r for r in models.collect()}
+    for g, (x, y) in data.items():
+        xc, yc = x - x.mean(axis=0), y - y.mean()
+        w = np.linalg.solve(xc.T @ xc + 2.0 * np.eye(2), xc.T @ yc)
+        assert got[g]["coefficients"] == pytest.approx(list(w))
+        assert got[g]["intercept"] == pytest.approx(y.mean() - x.mean(axis=0) @ w)
+    scored = score_ridge(frame, models, ["a", "b"], ["g"]).where("g = 'tiny'").orderBy("i").collect()
+    x, _ = data["tiny"]
+    m = got["tiny"]
+    assert [r["prediction"] for r in scored] == pytest.approx(list(m["intercept"] + x @ np.array(m["coefficients"])))
+
+
+def test_ridge_skips_incomplete_rows_and_unknown_groups(spark):
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 2.0, 4.0), ("a", None, 9.0), ("a", 5.0, None)], "g string, x double, y double")
+    models = fit_ridge(df, ["x"], "y", ["g"], penalty=0.0)
+    assert tuple(models.select("n").first()) == (2,)
+    other = spark.createDataFrame([("a", 3.0), ("z", 1.0)], "g string, x double")
+    got = {r["g"]: r["prediction"] for r in score_ridge(other, models, ["x"], ["g"]).collect()}
+    assert got["a"] == pytest.approx(6.0) and got["z"] is None
+
+
+def direct_relu(x, y, run, units, penalty):
+    layer = hidden_layer(run, x.shape[1], units)
+    h = np.hstack([np.ones((len(x), 1)), np.maximum(x @ layer[0] + layer[1], 0)])
+    ridge = penalty * np.eye(units + 1)
+    ridge[0, 0] = 0
+    return h, np.linalg.solve(h.T @ h + ridge, h.T @ y)
+
+
+@pytest.mark.parametrize("bytes_limit", [10**9, 0])
+def test_relu_runs_against_a_direct_solve(frame, data, bytes_limit):
+    units, runs, penalty = 8, 3, 0.5
+    models = fit_relu_runs(frame, ["a", "b"], "y", ["g"], runs=runs, units=units, penalty=penalty)
+    assert {(r["g"], r["run"]): r["n"] for r in models.collect()} == {
+        (g, run): len(y) for g, (_, y) in data.items() for run in range(runs)
+    }
+    scores = score_relu_runs(frame, models, ["a", "b"], ["g"], keep=["i"], units=units, bytes_limit=bytes_limit)
+    assert scores.columns == ["g", "i", "run", "prediction"]
+    got = {(r["g"], r["run"], r["i"]): r["prediction"] for r in scores.collect()}
+    assert len(got) == runs * sum(len(y) for _, y in data.values())
+    for g, (x, y) in data.items():
+        for run in range(runs):
+            h, w = direct_relu(x, y, run, units, penalty)
+            for i, p in enumerate(h @ w):
+                assert got[g, run, i] == pytest.approx(p, abs=1e-6)
+
+
+def test_relu_without_groups_beats_a_constant(frame, data):
+    train = frame.where("g = 'hot'")
+    models = fit_relu_runs(train, ["a", "b"], "y", runs=2, units=20)
+    scores = score_relu_runs(train.select("i", "a", "b", F.col("y").alias("truth")), models, ["a", "b"], keep=["i", "truth"], units=20)
+    residual = scores.select(F.avg((F.col("prediction") - F.col("truth")) ** 2)).first()[0]
+    assert residual < 0.1 * np.var(data["hot"][1])
+
+
+def test_summary_over_runs(spark):
+    df = spark.createDataFrame([("a", 0, 1.0), ("a", 1, 3.0), ("b", 0, 5.0)], "p string, run int, prediction double")
+    got = {r["p"]: tuple(r)[1:] for r in score_summary(df, ["p"]).collect()}
+    assert got["a"] == (2.0, pytest.approx(2**0.5), 2) and got["b"] == (5.0, None, 1)

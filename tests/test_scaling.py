@@ -1,0 +1,51 @@
+import numpy as np
+import pytest
+
+from seasonline.operators.scaling import apply_scaler, fit_scaler, group_moments, zscore, zscore_features
+
+
+@pytest.fixture
+def stats(spark):
+    data = [(2010, "a", 1.0, 5.0), (2010, "b", 2.0, 5.0), (2010, "c", 6.0, 5.0), (2011, "d", 7.0, 1.0), (None, "e", 3.0, 2.0)]
+    return spark.createDataFrame(data, "Yr int, Name string, x double, `two words` double")
+
+
+def test_zscore_by_season(stats):
+    got = {r["Name"]: r for r in zscore(stats, ["x", "two words"], ["Yr"]).collect()}
+    x = np.array([1.0, 2.0, 6.0])
+    for name, z in zip("abc", (x - x.mean()) / x.std(ddof=1)):
+        assert got[name]["x"] == pytest.approx(z)
+        assert got[name]["two words"] == 0.0
+    # A single row and a row without a season have no spread to compare with.
+    assert got["d"]["x"] == got["e"]["x"] == 0.0
+    assert len(got) == 5
+
+
+def test_missing_values_score_zero(spark):
+    df = spark.createDataFrame([(1, 1.0), (1, None), (1, 3.0)], "Yr int, x double")
+    assert sorted(r["x"] for r in zscore(df, ["x"], ["Yr"]).collect()) == pytest.approx([-0.5**0.5, 0.0, 0.5**0.5])
+
+
+def test_identifiers_are_dropped(stats):
+    assert zscore_features(stats, ["x", "two words"], "Yr", ["Name"]).columns == ["x", "two words"]
+
+
+def test_scaler_of_one_frame_on_another(spark, stats):
+    scaler = fit_scaler(stats, ["x", "two words"])
+    other = spark.createDataFrame([(4.0, 3.0)], "x double, `two words` double")
+    x = np.array([1.0, 2.0, 6.0, 7.0, 3.0])
+    w = np.array([5.0, 5.0, 5.0, 1.0, 2.0])
+    got = apply_scaler(other, scaler, ["x", "two words"]).first()
+    assert got["x"] == pytest.approx((4.0 - x.mean()) / x.std())
+    assert got["two words"] == pytest.approx((3.0 - w.mean()) / w.std())
+
+
+def test_scaler_without_spread_only_centres(spark):
+    df = spark.createDataFrame([("a", 5.0), ("a", 5.0)], "g string, x double")
+    scaler = fit_scaler(df, ["x"], ["g"])
+    other = spark.createDataFrame([("a", 8.0), ("z", 1.0)], "g string, x double")
+    assert {r["g"]: r["x"] for r in apply_scaler(other, scaler, ["x"], ["g"]).collect()} == {"a": 3.0, "z": None}
+
+
+def test_moments_have_one_row_per_group(stats):
+    assert group_moments(stats, ["x"], ["Yr"]).count() == 3
