@@ -104,7 +104,7 @@ def cell_texts(bodies: Column) -> Column:
 
     Only spaces are trimmed: a no-break space or a line end stays.
     """
-    texts = F.transform(plain_texts(bodies), F.trim)
+    texts = F.transform(plain_texts(bodies), lambda t: F.trim(t))
     return F.transform(texts, lambda t: F.replace(t, F.lit(","), F.lit("")))
 
 

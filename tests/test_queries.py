@@ -1,0 +1,60 @@
+"""Every query against its SQL, on the smallest tables."""
+
+import math
+
+import pytest
+
+import __spark_entry__ as entry_points
+
+duckdb = pytest.importorskip("duckdb")
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+@pytest.fixture(scope="module")
+def engine():
+    from conftest import SF_DIR
+
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
+    return con
+
+
+def as_set(columns, rows):
+    order = sorted(range(len(columns)), key=columns.__getitem__)
+    return sorted(repr(tuple(r[i] for i in order)) for r in rows)
+
+
+@pytest.mark.parametrize("name", entry_points.queries())
+def test_query(spark, sf_dir, engine, name):
+    df = entry_points.queries()[name](spark, sf_dir)
+    sql = entry_points.oracle_sql().get(name)
+    if sql is None:
+        got = df.collect()
+        assert got and all(not math.isnan(v) for r in got for v in r if isinstance(v, float))
+        return
+    found = engine.execute(sql)
+    columns = [d[0] for d in found.description]
+    types = {d[0]: str(d[1]) for d in found.description}
+    assert {c: TYPES[t] for c, t in df.dtypes} == types
+    assert as_set(df.columns, [tuple(r) for r in df.collect()]) == as_set(columns, found.fetchall())
+
+
+def test_every_sql_has_a_query():
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
+def test_entry(spark, sf_dir):
+    df = entry_points.entry(spark)
+    assert df.columns == ["name", "pos", "yr", "gp", "proj", "a", "e"] and df.count() > 0
+
+
+def test_runs_are_repeatable(spark, sf_dir):
+    query = entry_points.queries()["relu_run_summary"]
+    one = {r["player"]: r["score_mean"] for r in query(spark, sf_dir).collect()}
+    two = {r["player"]: r["score_mean"] for r in query(spark, sf_dir).collect()}
+    assert one == pytest.approx(two, abs=0.02) and len(one) > 100

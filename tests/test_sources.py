@@ -1,0 +1,143 @@
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from seasonline.layouts import ACTUAL, ACTUAL_FIELDS, LAYOUTS, POSITIONS, PROJECTED, PROJECTED_FIELDS, all_fields, stat_list
+from seasonline.operators.conform import conform, position_frame
+from seasonline.plans.training import full_season_errors, matched_lines, train_and_score, training_frame
+from seasonline.sources.lines import (
+    from_comma_text,
+    read_master,
+    read_scoring_season,
+    read_seasons,
+    read_stat_lines,
+    union_lines,
+)
+from seasonline.sources.pages import with_url_facets
+
+
+def write(path, lines):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_bytes("".join(line + "\r\n" for line in lines).encode())
+
+
+def te_line(name, team, yr, bye, *stats):
+    return ",".join([name, team, *([f"{yr}.0"] if yr else []), str(bye), *map(str, stats)])
+
+
+@pytest.fixture
+def folder(tmp_path):
+    """Two seasons of one position: 2010 without a season column, and the season to be scored."""
+    write(tmp_path / "Data/2010/TE/TE_projected_2010.csv", [te_line(f"P{i}", "X", None, "-" if i == 3 else 5.0, i, 10.0 * i, 1.0, 20.0 + i) for i in range(8)])
+    write(tmp_path / "Data/2011/TE/TE_projected_2011.csv", [te_line(f"P{i}", "Y", 2011, 7.0, i, 11.0 * i, 2.0, 30.0 + i) for i in range(8)])
+    for yr in (2010, 2011):
+        write(
+            tmp_path / f"Data/{yr}/TE/TE_actual_{yr}.csv",
+            [te_line(f"P{i}", "X", yr, 16.0 - (i == 7) * 9, 99.0, i, 9.0 * i, 3.0, 25.0 + 2 * i, 1.5) for i in range(8)],
+        )
+    write(tmp_path / "Total_Data/Test_Data/2012/TE_projected.csv", [te_line(f"P{i}", "Z", 2012, 7.0, i, 12.0 * i, 2.0, 31.0 + i) for i in range(3)])
+    write(tmp_path / "Total_Data/2010-2011/TE_actual.csv", [te_line("A", "X", y, 16.0, 9.0, 1, 2.0, 3.0, 4.0, 5.5) for y in (2009, 2010, 2011, 2012)])
+    return str(tmp_path)
+
+
+def lines_of(spark, folder):
+    return read_stat_lines(spark, [f"{folder}/Data/{yr}/TE/TE_{k}_{yr}.csv" for yr in (2010, 2011) for k in (PROJECTED, ACTUAL)])
+
+
+def test_both_layouts_become_one_table(spark, folder):
+    lines = lines_of(spark, folder)
+    assert lines.where("width_ok").count() == lines.count() == 32
+    old = lines.where("kind = 'projected' and Yr = 2010 and Name = 'P3'").first()
+    assert (old["Team"], old["Bye"], old["GP"], old["Rec"], old["Rec Yds"], old["FPts"]) == ("X", None, None, 3.0, 30.0, 23.0)
+    new = lines.where("kind = 'actual' and Yr = 2011 and Name = 'P7'").first()
+    assert (new["GP"], new["Bye"], new["Rec"], new["Rec TDs"], new["FPts"]) == (7, None, 7.0, 3.0, 39.0)
+    assert "FPPG" not in lines.columns and "Rec Tgts" not in lines.columns
+    assert dict(lines.dtypes)["Yr"] == dict(lines.dtypes)["GP"] == "int" and dict(lines.dtypes)["FPts"] == "double"
+
+
+def test_seasons_are_a_closed_range(spark, folder):
+    assert rows(read_master(spark, folder, 2010, 2011, LAYOUTS["TE", ACTUAL]).select("Yr")) == [(2010,), (2011,)]
+    only = read_stat_lines(spark, [f"{folder}/Data/2011/TE/TE_{k}_2011.csv" for k in (PROJECTED, ACTUAL)])
+    assert only.count() == 16
+
+
+def test_reading_a_range_takes_one_file_per_season_position_and_kind(spark, tmp_path):
+    for pos in POSITIONS:
+        for kind, layouts in ((PROJECTED, PROJECTED_FIELDS), (ACTUAL, ACTUAL_FIELDS)):
+            fields = ["1.0"] * len(layouts[pos])
+            fields[:3] = ["N", "T", "2014.0"]
+            write(tmp_path / f"Data/2014/{pos}/{pos}_{kind}_2014.csv", [",".join(fields)])
+    lines = read_seasons(spark, str(tmp_path), 2014, 2014)
+    assert rows(lines.select("pos", "kind", "Yr", "FPts")) == sorted((p, k, 2014, 1.0) for p in POSITIONS for k in (PROJECTED, ACTUAL))
+
+
+def test_scoring_season_plays_all_games(spark, folder):
+    lines = read_scoring_season(spark, folder, 2012, ["TE"])
+    assert rows(lines.select("Name", "Yr", "GP", "Bye")) == [(f"P{i}", 2012, 16, 7) for i in range(3)]
+
+
+def test_layout_order(spark, folder):
+    frame = position_frame(lines_of(spark, folder), LAYOUTS["TE", PROJECTED])
+    assert frame.columns == ["Name", "Team", "Yr", "Bye", "Rec", "Rec Yds", "Rec TDs", "FPts"]
+
+
+def test_malformed_records_are_marked_not_dropped(spark):
+    data = [("TE", "projected", 2010, "A,B,C"), ("TE", "projected", 2010, "A,X,2010.0,5,1,2,3,4"), ("XX", "projected", 2010, "A,B"), ("TE", "projected", 2010, "  ")]
+    lines = from_comma_text(spark.createDataFrame(data, "pos string, kind string, season_hint int, value string"))
+    assert sorted((r["pos"], r["width_ok"], r["Name"]) for r in lines.collect() if r["Name"]) == [("TE", True, "A")]
+    assert lines.count() == 3 and lines.where("not width_ok").count() == 2
+
+
+def test_text_that_is_no_number_is_null(spark):
+    data = [("TE", "projected", None, ["A", "X ", "2010.0", "-", "1.0d", "nan", "-3", " 4 \r"])]
+    r = conform(spark.createDataFrame(data, "pos string, kind string, season_hint int, record array<string>")).first()
+    assert (r["Team"], r["Yr"], r["Bye"], r["Rec"], r["Rec Yds"], r["Rec TDs"], r["FPts"]) == ("X", 2010, None, None, None, -3.0, 4.0)
+
+
+def test_layout_widths():
+    assert {p: (LAYOUTS[p, PROJECTED].page_width, LAYOUTS[p, ACTUAL].page_width) for p in POSITIONS} == {
+        "QB": (12, 13), "RB": (10, 12), "WR": (10, 12), "TE": (7, 9),
+    }
+    for p in POSITIONS:
+        outcome = [f for f in LAYOUTS[p, ACTUAL].kept if f != "GP"]
+        assert [f for f in PROJECTED_FIELDS[p] if f != "Bye"] == outcome
+    assert stat_list("TE") == ("Rec", "Rec Yds", "Rec TDs", "FPts")
+    assert list(all_fields())[:4] == ["Name", "Team", "Yr", "Bye"]
+
+
+def test_union_fills_what_is_missing(spark):
+    a = spark.createDataFrame([(1, "x")], "yr int, name string")
+    b = spark.createDataFrame([(2.0, 2)], "gp double, yr int")
+    assert rows(union_lines([a, b])) == [(1, "x", None), (2, None, 2.0)]
+
+
+def test_facets_from_urls(spark):
+    base = "http://www.example.com"
+    data = [
+        (f"{base}/rankings/playerproj.php?&PosID=10&Season=2015&LeagueID=1&cur_page=2",),
+        (f"{base}/stats/playerstats.php?Season=2016&GameWeek=&PosID=40&LeagueID=1&cur_page=0",),
+        (f"{base}/other?PosID=99&Season=x",),
+        ("not a url at all %%% ",),
+        (None,),
+    ]
+    got = [tuple(r)[1:] for r in with_url_facets(spark.createDataFrame(data, "url string")).collect()]
+    assert got[:2] == [("QB", 2015, 2, "projected"), ("TE", 2016, 0, "actual")]
+    assert got[2:] == [(None, None, None, None)] * 3
+
+
+def test_train_and_score_end_to_end(spark, folder):
+    lines, scoring = lines_of(spark, folder), read_scoring_season(spark, folder, 2012, ["TE"])
+    matched = matched_lines(lines, "TE")
+    assert matched.columns == ["Name", "Team", "Yr", "GP", "Rec", "Rec Yds", "Rec TDs", "Proj FPts", "Act FPts"]
+    errors = full_season_errors(matched)
+    assert (matched.count(), errors.count()) == (16, 14)
+    kept = training_frame(lines, "TE")
+    assert set(rows(kept)) <= set(rows(errors.drop("abs_error")))
+    scores = train_and_score(lines, scoring, ["TE"], runs=2, units=5, penalty=1.0)
+    assert scores.columns == ["Yr", "pos", "run", "Player", "Projection", "My Computed Score"]
+    got = rows(scores.select("run", "Player", "Yr", "pos", "Projection"))
+    assert got == [(run, f"P{i}", 2012, "TE", 31.0 + i) for run in range(2) for i in range(3)]
+    assert scores.where(F.col("My Computed Score").isNull()).count() == 0
+    again = train_and_score(lines, scoring, ["TE"], runs=2, units=5, penalty=1.0)
+    first = {tuple(r)[:4]: r["My Computed Score"] for r in scores.collect()}
+    assert {tuple(r)[:4]: r["My Computed Score"] for r in again.collect()} == pytest.approx(first)
