@@ -7,7 +7,7 @@ A cell ends where HTML ends it: at its closing tag, or at the next cell, row or
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import cache
 from html.entities import name2codepoint
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 NBSP = "\u00a0"
 
-_COMMENT_OR_CODE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+_COMMENT_OR_CODE = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)"
 _TAG = r"(?s)</?[a-zA-Z][^>]*>"
 _TOKEN = r"(?s)&#[xX][0-9a-fA-F]+;|&#[0-9]+;|&[a-zA-Z][a-zA-Z0-9]*;|[^&]+|&"
 
@@ -56,43 +56,65 @@ def first_element(html: Column, tag: str, attributes: Mapping[str, str] | None =
     first match, the depth goes up and down and the element ends where it returns to zero
     (or with the page, when it is never closed).
     """
-    cut = F.split(html, rf"(?i)(?=<{tag}\b|</{tag}\b)")
-    pieces = F.transform(
-        cut,
-        lambda piece: F.struct(
-            piece.alias("text"),
-            piece.rlike("^" + start_tag_pattern(tag, attributes)).alias("wanted"),
-            piece.rlike(rf"(?i)^<{tag}\b").alias("opens"),
-            F.nullif(F.regexp_extract(piece, rf"(?i)^</{tag}\b[^>]*>", 0), F.lit("")).alias("closing"),
-        ),
-    )
-    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("body"), F.lit(False).alias("done"))
-
-    def step(at: Column, piece: Column) -> Column:
-        begun, closes = at["depth"] > 0, piece["closing"].isNotNull()
-        enters = ~begun & ~at["done"] & piece["wanted"]
-        last = (at["depth"] == 1) & closes
-        depth = at["depth"] + F.when(enters | (begun & piece["opens"]), 1).when(begun & closes, -1).otherwise(0)
-        kept = F.when(last, piece["closing"]).when(begun | enters, piece["text"]).otherwise(F.lit(""))
+    wanted, opens, closes = start_tag_pattern(tag, attributes), rf"(?i)^<{tag}\b", rf"(?i)^</{tag}\b"
+
+    def marked(head: Column) -> Column:
         return F.struct(
-            depth.cast("int").alias("depth"),
-            F.concat(at["body"], kept).alias("body"),
-            (at["done"] | last).alias("done"),
+            head.rlike("^" + wanted).alias("wanted"), head.rlike(opens).alias("opens"), head.rlike(closes).alias("closes")
+        )
+
+    def span(heads: Column) -> Column:
+        """One-based numbers of the first piece and of the one that closes it; 0 where there is none."""
+        start = F.struct(*[F.lit(0).alias(c) for c in ("at", "depth", "first", "last")])
+
+        def step(s: Column, piece: Column) -> Column:
+            at, inside = s["at"] + 1, (s["first"] > 0) & (s["last"] == 0)
+            enters, ends = (s["first"] == 0) & piece["wanted"], inside & piece["closes"]
+            deeper = F.when(enters | (inside & piece["opens"]), 1).when(ends, -1).otherwise(0)
+            return F.struct(
+                at.alias("at"),
+                (s["depth"] + deeper).alias("depth"),
+                F.when(enters, at).otherwise(s["first"]).alias("first"),
+                F.when(ends & (s["depth"] == 1), at).otherwise(s["last"]).alias("last"),
+            )
+
+        return F.aggregate(F.transform(heads, marked), start, step)
+
+    def element(pieces: Column) -> Column:
+        heads = F.transform(pieces, lambda p: F.regexp_extract(p, r"^</?[a-zA-Z][^>]*>", 0))
+        return _bind(
+            heads,
+            lambda heads: _bind(
+                span(heads),
+                lambda s: F.when(
+                    s["first"] > 0,
+                    F.concat(
+                        F.array_join(F.slice(pieces, s["first"], after(s) - s["first"]), ""),
+                        F.coalesce(F.get(heads, s["last"] - 1), F.lit("")),
+                    ),
+                ),
+            ),
         )
 
-    found = F.aggregate(pieces, start, step, lambda at: at["body"])
-    # Most pages either have the start tag or do not: skip the walk for those that do not.
-    return F.when(html.rlike(start_tag_pattern(tag, attributes)), F.nullif(found, F.lit("")))
+    def after(s: Column) -> Column:
+        """The piece after the element's last whole one: the closing one, or one past the page."""
+        return F.when(s["last"] > 0, s["last"]).otherwise(s["at"] + 1)
+
+    # A page without the start tag needs no walk.
+    return F.when(html.rlike(wanted), _bind(F.split(html, rf"(?i)(?=</?{tag}\b)"), element))
+
+
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), lambda v: use(v)), 1)
 
 
 def cell_bodies(html: Column, tag: str = "td", attributes: Mapping[str, str] | None = None) -> Column:
     """Inner HTML of every ``tag`` element, in page order; an empty array where there is none."""
     if tag in ("td", "th", "td|th"):
-        end = r"(?=</t[dh]\b|<t[dh]\b|</?tr\b|</?table\b|</?tbody\b|</?thead\b|$)"
-        # `$` must be the end of the page, not of a line.
-        end = end.replace("$", r"\z")
+        end = r"(?=</?(?:t[dhr]|table|tbody|thead|tfoot)\b|\z)"
     else:
-        end = rf"(?=</{tag}\b|\z)"
+        end = rf"(?=</?{tag}\b|\z)"
     name = tag if "|" not in tag else f"(?:{tag})"
     pattern = start_tag_pattern(name, attributes) + "(.*?)" + end
     found = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))

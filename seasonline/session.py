@@ -10,6 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# For tens of terabytes on hundreds of executors; pass to build_session as **LARGE_DATA. Adaptive
+# execution merges what turns out small, so the number of shuffle partitions is an upper bound.
+LARGE_DATA = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
 
 def build_session(app_name: str = "seasonline", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs are written for; ``conf`` overrides them."""

@@ -12,9 +12,15 @@ from seasonline.sources.sinks import write_partitioned
 LOAD = "load_id"
 
 
-def stream_pages(spark: SparkSession, folder: str, schema: str, *, files: str = "*.parquet") -> DataFrame:
-    """Page files of a folder as a stream; a file is read once, when it first appears."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", files).parquet(folder)
+def stream_pages(
+    spark: SparkSession, folder: str, schema: str, *, files: str = "*.parquet", files_per_batch: int = 10_000
+) -> DataFrame:
+    """Page files of a folder as a stream; a file is read once, when it first appears.
+
+    A large backlog is worked off in batches of ``files_per_batch``.
+    """
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", files)
+    return stream.option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
 def load_new_pages(

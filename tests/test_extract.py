@@ -70,8 +70,8 @@ def test_chunks_put_together_are_the_cells(spark):
 def test_small_steps(spark):
     df = spark.createDataFrame([(["a\u00a0", "\u00a0b", "\u00a0", "c", ""],)], "c array<string>")
     assert df.select(split_cells(joined_cells(F.col("c")))).first()[0] == ["ab", "c"]
-    names = spark.createDataFrame([("1. Aaron Rodgers",), ("23. .A.J. Green Jr. ",), ("  4 ",)], "n string")
-    assert [r[0] for r in names.select(clean_name(F.col("n"))).collect()] == ["Aaron Rodgers", ".A.J. Green Jr.", ""]
+    names = spark.createDataFrame([("1. Al Rider",), ("23. .A.J. Brook Jr. ",), ("  4 ",)], "n string")
+    assert [r[0] for r in names.select(clean_name(F.col("n"))).collect()] == ["Al Rider", ".A.J. Brook Jr.", ""]
     cells = spark.createDataFrame([("7",), ("-",), ("1e2",), ("x1",)], "c string")
     assert [r[0] for r in cells.select(number_or_text(F.col("c"))).collect()] == ["7.0", "-", "100.0", "x1"]
 
@@ -106,3 +106,15 @@ def test_decode_entities(spark):
 
 def test_outcome_fixture_has_two_records():
     assert len(expected_records(table(TE_ACTUAL, "sort1"), "sort1", 9, 2015, True)) == 2
+
+
+def test_broken_tags_do_not_stop_the_job(spark):
+    broken = ["<table width=100% cellpadding=2 </table >", "<table width=100% cellpadding=2", "<table <table width=100% cellpadding=2><td>", "", None]
+    df = select_table(spark.createDataFrame([(h,) for h in broken], "html string"))
+    assert [r["table_html"] for r in df.collect()] == [None, None, "<table width=100% cellpadding=2><td>", None, None]
+
+
+def test_element_among_many_of_its_kind(spark):
+    html = "<div>" * 2000 + "<div class='a b'>x<div>y</div>z</div>" + "</div>" * 2000 + "<div class=b>later</div>"
+    df = select_table(spark.createDataFrame([(html,)], "html string"), tag="div", attributes={"class": "b"})
+    assert df.first()["table_html"] == "<div class='a b'>x<div>y</div>z</div>"

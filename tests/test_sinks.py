@@ -51,7 +51,7 @@ def test_grid_sink_keeps_the_page(spark, tmp_path):
 
 
 def url(kind, yr, page):
-    head = "rankings/playerproj.php?&PosID=40&Season={}" if kind == "projected" else "stats/playerstats.php?Season={}&GameWeek=&PosID=40"
+    head = "rankings/list.php?&PosID=40&Season={}" if kind == "projected" else "stats/list.php?Season={}&GameWeek=&PosID=40"
     return "http://www.example.com/" + head.format(yr) + f"&LeagueID=1&cur_page={page}"
 
 
@@ -93,7 +93,7 @@ def test_stream_reads_each_file_once_and_newer_pages_win(spark, tmp_path):
     source, sink, progress = (str(tmp_path / d) for d in ("source", "sink", "progress"))
 
     def load():
-        pages = stream_pages(spark, source, "page int, text string")
+        pages = stream_pages(spark, source, "page int, text string", files_per_batch=1)
         load_new_pages(pages, lambda batch: batch, sink, progress)
         return spark.read.parquet(sink)
 

@@ -114,8 +114,8 @@ def test_union_fills_what_is_missing(spark):
 def test_facets_from_urls(spark):
     base = "http://www.example.com"
     data = [
-        (f"{base}/rankings/playerproj.php?&PosID=10&Season=2015&LeagueID=1&cur_page=2",),
-        (f"{base}/stats/playerstats.php?Season=2016&GameWeek=&PosID=40&LeagueID=1&cur_page=0",),
+        (f"{base}/rankings/list.php?&PosID=10&Season=2015&LeagueID=1&cur_page=2",),
+        (f"{base}/stats/list.php?Season=2016&GameWeek=&PosID=40&LeagueID=1&cur_page=0",),
         (f"{base}/other?PosID=99&Season=x",),
         ("not a url at all %%% ",),
         (None,),
