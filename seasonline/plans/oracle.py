@@ -83,8 +83,8 @@ scaled AS (
   FROM train JOIN m USING (pos)),
 means AS (SELECT pos, avg(x1) AS m1, avg(x2) AS m2, avg(a) AS ma FROM scaled GROUP BY pos),
 sums AS (
-  SELECT pos, m1, m2, ma, sum((x1 - m1) * (x1 - m1)) + 1.0 AS s11, sum((x1 - m1) * (x2 - m2)) AS s12,
-         sum((x2 - m2) * (x2 - m2)) + 1.0 AS s22, sum((x1 - m1) * (a - ma)) AS b1, sum((x2 - m2) * (a - ma)) AS b2
+  SELECT pos, m1, m2, ma, sum((x1 - m1) * (x1 - m1)) + 0.5 AS s11, sum((x1 - m1) * (x2 - m2)) AS s12,
+         sum((x2 - m2) * (x2 - m2)) + 0.5 AS s22, sum((x1 - m1) * (a - ma)) AS b1, sum((x2 - m2) * (a - ma)) AS b2
   FROM scaled JOIN means USING (pos) GROUP BY pos, m1, m2, ma),
 model AS (
   SELECT pos, m1, m2, ma, (b1 * s22 - b2 * s12) / (s11 * s22 - s12 * s12) AS w1,

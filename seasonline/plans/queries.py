@@ -360,7 +360,7 @@ def ridge_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, coming = _train_and_coming(spark, sf_dir)
     inputs = ["gp", "proj"]
     scaler = fit_scaler(train, inputs, ["pos"])
-    models = fit_ridge(apply_scaler(train, scaler, inputs, ["pos"]), inputs, "a", ["pos"], penalty=1.0)
+    models = fit_ridge(apply_scaler(train, scaler, inputs, ["pos"]), inputs, "a", ["pos"])
     scaled = apply_scaler(coming.withColumn("projection", F.col("proj")), scaler, inputs, ["pos"])
     scores = score_ridge(scaled, models, inputs, ["pos"], name="score")
     return scores.select("pos", F.col("name").alias("player"), _r("projection"), _r("score", 3))
@@ -369,7 +369,7 @@ def ridge_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _relu_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, coming = _train_and_coming(spark, sf_dir)
     scaler = fit_scaler(train, FEATURES, ["pos"])
-    models = fit_relu_runs(apply_scaler(train, scaler, FEATURES, ["pos"]), FEATURES, "a", ["pos"], penalty=1.0)
+    models = fit_relu_runs(apply_scaler(train, scaler, FEATURES, ["pos"]), FEATURES, "a", ["pos"])
     scaled = apply_scaler(coming.withColumn("projection", F.col("proj")), scaler, FEATURES, ["pos"])
     return score_relu_runs(scaled, models, FEATURES, ["pos"], keep=["name", "projection"], name="score")
 

@@ -3,8 +3,11 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from seasonline.layouts import ACTUAL, LAYOUTS, PROJECTED
+from seasonline.operators.profile import error_report
+from seasonline.operators.regression import RUNS
 from seasonline.operators.robust import iqr_fence
 from seasonline.operators.scaling import zscore
 from seasonline.plans.training import full_season_errors, matched_lines, train_and_score, training_frame
@@ -73,6 +76,17 @@ def test_season_scores(spark):
     assert best["FPts"] == pytest.approx(3.181459103100992, abs=1e-14)
 
 
+def test_model_beats_the_published_forecast(spark):
+    history, coming = read_seasons(spark, ROOT, 2010, 2017), read_scoring_season(spark, ROOT, 2018)
+    scores = train_and_score(history, coming)
+    outcome = read_seasons(spark, ROOT, 2018, 2018, kinds=[ACTUAL]).where("GP > 13")
+    outcome = outcome.select("pos", F.col("Name").alias("Player"), (F.lit(16) / F.col("GP") * F.col("FPts")).alias("points"))
+    names = {"model": "My Computed Score", "forecast": "Projection"}
+    report = error_report(scores.join(outcome, ["pos", "Player"]), "points", names, ["pos"])
+    for r in report.collect():
+        assert r["n"] % RUNS == 0 and r["model_rmse"] < r["forecast_rmse"], r
+
+
 def test_all_positions_are_scored(spark, history):
     scores = train_and_score(history, read_scoring_season(spark, ROOT, 2019), runs=2)
     counts = {(r["pos"], r["run"]): r["count"] for r in scores.groupBy("pos", "run").count().collect()}
