@@ -71,3 +71,23 @@ def position_frame(lines: DataFrame, layout: Layout, *, position: str = "pos", k
     """The rows of one (position, kind) with that layout's columns, in its order."""
     rows = lines.where((F.col(position) == layout.position) & (F.col(kind) == layout.kind))
     return rows.select(*[F.col(f"`{f}`") for f in layout.kept])
+
+
+def comma_text(
+    lines: DataFrame, layouts: LayoutMap = LAYOUTS, *, position: str = "pos", kind: str = "kind", text: str = "value"
+) -> DataFrame:
+    """The reverse of :func:`conform`: each line's fields in its layout's order, as comma text.
+
+    Numbers are written in float notation; fields that are not kept, and missing values, are
+    left empty. Lines of an unknown layout give NULL.
+    """
+    value: Column = F.lit(None).cast("string")
+    for (pos, knd), layout in layouts.items():
+        cells = [
+            F.coalesce((F.col(f"`{f}`") if layout.type_of(f) == "string" else F.col(f"`{f}`").cast("double")).cast("string"), F.lit(""))
+            if f in layout.kept
+            else F.lit("")
+            for f in layout.fields
+        ]
+        value = F.when((F.col(position) == pos) & (F.col(kind) == knd), F.concat_ws(",", *cells)).otherwise(value)
+    return lines.withColumn(text, value)

@@ -64,9 +64,13 @@ def chunked(cells: Column, width: Column) -> Column:
     return F.when(F.size(cells) > 0, records).otherwise(F.array().cast("array<array<string>>"))
 
 
+# Digits of any script, raised, lowered and circled ones.
+_DIGIT = r"[\p{Nd}\u00b2\u00b3\u00b9\u2070\u2074-\u2079\u2080-\u2089\u2460-\u2468]"
+
+
 def clean_name(name: Column) -> Column:
     """A name without the rank printed before it: no digits, outer full stops, outer spaces."""
-    return F.trim(F.btrim(F.regexp_replace(name, "[0-9]", ""), F.lit(".")))
+    return F.trim(F.btrim(F.regexp_replace(name, _DIGIT, ""), F.lit(".")))
 
 
 def number_or_text(cell: Column) -> Column:

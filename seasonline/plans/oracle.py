@@ -199,6 +199,10 @@ FROM pages GROUP BY 1""",
     "page_quarantine": """SELECT page_id, url FROM pages WHERE html NOT LIKE '%<html lang="en">%'""",
     "records_from_cells": f"""WITH {_LINE},
 {_SIDES}
+SELECT kind, {_NAME} AS name, pos AS team, yr, CASE WHEN kind = 'projected' THEN CAST(gp AS INTEGER) END AS bye,
+       CASE WHEN kind = 'actual' THEN CAST(gp AS INTEGER) END AS gp, qty, CAST(lines AS DOUBLE) AS lines, points FROM sides""",
+    "season_files": f"""WITH {_LINE},
+{_SIDES}
 SELECT kind, {_NAME} AS name, pos AS team, yr, CASE WHEN kind = 'projected' THEN CAST(gp AS INTEGER) END AS bye,
        CASE WHEN kind = 'actual' THEN CAST(gp AS INTEGER) END AS gp, qty, CAST(lines AS DOUBLE) AS lines, points FROM sides""",
     "table_grid": f"""WITH {_LINE},

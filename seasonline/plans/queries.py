@@ -53,9 +53,9 @@ from seasonline.plans.rendering import (
     stat_pages,
 )
 from seasonline.session import scratch_path, staged
-from seasonline.sources.lines import from_comma_text, union_lines
+from seasonline.sources.lines import from_comma_text, read_stat_lines, union_lines
 from seasonline.sources.pages import kind_of, query_value, read_pages
-from seasonline.sources.sinks import write_grid, write_master, write_scores, write_seasons
+from seasonline.sources.sinks import write_grid, write_master, write_scores, write_season_text, write_seasons
 from seasonline.streaming.pages import latest_loads, load_new_pages, stream_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -209,6 +209,27 @@ def conform_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_columns(from_comma_text(comma_text(both_kinds(spark, sf_dir)), PART_LAYOUTS).where("width_ok"))
 
 
+def season_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stat lines written as comma files per season and kind, and read back by their paths."""
+    sides = both_kinds(spark, sf_dir)
+    missing = F.lit(None).cast("int")
+    lines = sides.select(
+        F.lit(PART).alias("pos"),
+        "kind",
+        spelled(F.col("name")).alias("Name"),
+        F.col("pos").alias("Team"),
+        F.col("yr").alias("Yr"),
+        F.when(F.col("kind") == PROJECTED, F.col("gp")).otherwise(missing).alias("Bye"),
+        F.when(F.col("kind") == ACTUAL, F.col("gp")).otherwise(missing).alias("GP"),
+        F.col("qty").alias("Qty"),
+        F.col("lines").alias("Lines"),
+        F.col("points").alias("FPts"),
+    )
+    path = scratch_path(spark, "files")
+    write_season_text(lines, path, PART_LAYOUTS)
+    return _line_columns(read_stat_lines(spark, path, PART_LAYOUTS).where("width_ok"))
+
+
 def scoring_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecast records of the last season, every part taken to sell the whole year."""
     lines = from_comma_text(comma_text(both_kinds(spark, sf_dir)), PART_LAYOUTS)
@@ -404,6 +425,7 @@ QUERIES: dict[str, Query] = {
     "stat_histogram": stat_histogram,
     "log_histogram": log_histogram,
     "conform_layouts": conform_layouts,
+    "season_files": season_files,
     "scoring_frame": scoring_frame,
     "union_seasons": union_seasons,
     "sink_roundtrip": sink_roundtrip,

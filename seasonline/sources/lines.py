@@ -18,8 +18,10 @@ MASTER_FILE = "Total_Data/{first}-{last}/{pos}_{kind}.csv"
 SCORING_FILE = "Total_Data/Test_Data/{yr}/{pos}_projected.csv"
 # ------------------------------------------------------------------------------------------------
 
+# A large file is a folder of parts; its name counts, not theirs.
+_PART = r"/part-[^/]*$"
 _POS_AND_KIND = r"([A-Za-z]+)_(projected|actual)[^/]*$"
-_SEASON_IN_PATH = r"_([0-9]{4})\.[^/]*$|/([0-9]{4})/[^/]*$"
+_SEASON_IN_PATH = r"_([0-9]{4})(?:\.[^/]*)?$|/([0-9]{4})/[^/]*$"
 
 
 def read_stat_lines(spark: SparkSession, paths: str | Sequence[str], layouts: LayoutMap = LAYOUTS) -> DataFrame:
@@ -27,7 +29,7 @@ def read_stat_lines(spark: SparkSession, paths: str | Sequence[str], layouts: La
 
     Position, kind and (for records that lack it) the season come from the file's path.
     """
-    path = F.col("_metadata.file_path")
+    path = F.regexp_replace(F.col("_metadata.file_path"), _PART, "")
     season = F.coalesce(
         F.nullif(F.regexp_extract(path, _SEASON_IN_PATH, 1), F.lit("")),
         F.nullif(F.regexp_extract(path, _SEASON_IN_PATH, 2), F.lit("")),

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seasonline.layouts import LAYOUTS
+from seasonline.operators.conform import LayoutMap, comma_text
 from seasonline.operators.reconcile import in_seasons
 
 ROWS_PER_FILE = 5_000_000
@@ -41,6 +43,18 @@ def write_seasons(lines: DataFrame, path: str, *, by: Sequence[str] = ("Yr", "po
     write_partitioned(lines, path, by, **options)
 
 
+def write_season_text(
+    lines: DataFrame, path: str, layouts: LayoutMap = LAYOUTS, *, season: str = "Yr", **options
+) -> None:
+    """Stat lines as headerless comma files, one folder of parts per position, kind and season.
+
+    ``read_stat_lines`` reads them back.
+    """
+    text = comma_text(lines, layouts).where(F.col("value").isNotNull())
+    named = text.select(F.concat_ws("_", "pos", "kind", F.col(season).cast("string")).alias("file"), "value")
+    write_partitioned(named, path, ["file"], file_format="text", **options)
+
+
 def write_master(
     lines: DataFrame, path: str, first: int, last: int, *, season: str = "Yr", by: Sequence[str] = ("pos", "kind"), **options
 ) -> None:

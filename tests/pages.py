@@ -50,7 +50,7 @@ def expected_records(html, cell_class, width, season, outcome):
         if season is not None:
             record.insert(2, str(season))
         if outcome:
-            record[0] = "".join(c for c in record[0] if c not in "0123456789").strip(".").strip(" ")
+            record[0] = "".join(c for c in record[0] if not c.isdigit()).strip(".").strip(" ")
         for j, cell in enumerate(record):
             try:
                 record[j] = str(float(cell))
@@ -66,7 +66,7 @@ def table(rows, cell_class, attrs='width="100%" cellpadding="2"'):
 
 
 TE_ROWS = [["<a href='/p?a=1,2'>Al Bo</a>", "KC", "7", "80", "1,024.5", "9", "200.5"], ["Cy D&#39;Oh", "FA", "-", "1", "2", "0", "-1.5"]]
-TE_ACTUAL = [["1. Al Bo Jr.", "KC", "16", "100", "80", "1,024", "9", "200.5", "12.5"], ["12. Cy&nbsp;", "SD", "1", "2", "1", "2", "0", "1.2", "1.2"]]
+TE_ACTUAL = [["1. Al Bo Jr.", "KC", "16", "100", "80", "1,024", "9", "200.5", "12.5"], ["12. Cy&sup2;&nbsp;\u0663", "SD", "1", "2", "1", "2", "0", "1.2", "1.2"]]
 
 PAGES = {
     "plain": ("TE", "projected", table(TE_ROWS, "smallbody")),

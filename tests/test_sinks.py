@@ -4,7 +4,8 @@ from conftest import rows
 from pages import TE_ACTUAL, TE_ROWS, table
 
 from seasonline.plans.history import build_history, build_scoring_season, history_quality, read_history
-from seasonline.sources.sinks import write_grid, write_master, write_scores, write_seasons
+from seasonline.sources.lines import from_comma_text, read_stat_lines
+from seasonline.sources.sinks import write_grid, write_master, write_scores, write_season_text, write_seasons
 from seasonline.streaming.pages import latest_loads, load_new_pages, stream_pages
 
 LINES = "Name string, Yr int, pos string, kind string, FPts double"
@@ -28,6 +29,24 @@ def test_rerun_replaces_only_its_own_partitions(spark, tmp_path):
     assert {os.path.dirname(f) for f in files_of(path)} == {f"Yr={y}/pos=TE/kind={k}" for y in (2010, 2011) for k in ("projected", "actual")}
 
 
+def test_comma_files_read_back_by_path(spark, tmp_path):
+    source = from_comma_text(
+        spark.createDataFrame(
+            [
+                ("TE", "projected", 2010, "Al,KC,5.0,1.0,2.0,3.0,4.5"),
+                ("TE", "actual", 2011, "Al,KC,2011.0,16.0,99.0,1.0,2.0,3.0,-4.5,1.1"),
+                ("RB", "projected", 2011, "Bo,FA,2011.0,-,1.0,2.0,3.0,4.0,5.0,6.0,7.0"),
+            ],
+            "pos string, kind string, season_hint int, value string",
+        )
+    )
+    path = str(tmp_path / "files")
+    write_season_text(source, path)
+    assert {os.path.dirname(f) for f in files_of(path)} == {"file=TE_projected_2010", "file=TE_actual_2011", "file=RB_projected_2011"}
+    assert rows(spark.read.text(path).where("file like 'TE_act%'").select("value")) == [("Al,KC,2011.0,16.0,,1.0,2.0,3.0,-4.5,",)]
+    assert rows(read_stat_lines(spark, path)) == rows(source)
+
+
 def test_master_holds_a_range(spark, tmp_path):
     lines = spark.createDataFrame([("a", y, "TE", "actual", 1.0) for y in range(2009, 2014)], LINES)
     write_master(lines, str(tmp_path / "m"), 2010, 2012)
