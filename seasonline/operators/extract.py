@@ -118,40 +118,43 @@ def records_from_pages(
     return rows.withColumn("record", F.transform(named, number_or_text))
 
 
-def table_grid(
-    pages: DataFrame, keys: Sequence[str], *, html: str = "table_html"
-) -> DataFrame:
-    """Every cell of a table, header included, as ``row_no, col_no, is_header, text``.
+def table_rows(pages: DataFrame, keys: Sequence[str], *, html: str = "table_html") -> DataFrame:
+    """Every row of a table, header rows included: ``row_no`` and ``cells`` of (is_header, text).
 
     A cell that spans several columns is repeated in each of them.
     """
-    row = r"(?is)<tr\b[^>]*>(.*?)(?=</tr\b|<tr\b|</table\b|</t(?:body|head|foot)\b|\z)"
-    cell = r"(?is)(<t[dh]\b.*?)(?=</t[dh]\b|<t[dh]\b|\z)"
-    rows = pages.select(
-        *keys, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(row), F.lit(1))).alias("row_no", "_row")
-    )
-    tags = F.regexp_extract_all(F.col("_row"), F.lit(cell), F.lit(1))
+    row = r"(?is)<tr\b[^>]*>(.*?)(?=</?(?:tr|table|tbody|thead|tfoot)\b|\z)"
+    cell = r"(?is)(<t[dh]\b.*?)(?=</?t[dh]\b|\z)"
     span = r"(?is)^<t[dh]\b[^>]*\scolspan\s*=\s*[\"']?([0-9]+)"
 
     def spread(tag: Column, text: Column) -> Column:
         width = F.regexp_extract(tag, span, 1).try_cast("int")
         one = F.struct(tag.rlike("(?i)^<th").alias("is_header"), text.alias("text"))
-        return F.array_repeat(one, F.greatest(F.coalesce(width, F.lit(1)), F.lit(1)))
+        # HTML takes any span above 1000 as 1000.
+        return F.array_repeat(one, F.least(F.greatest(F.coalesce(width, F.lit(1)), F.lit(1)), F.lit(1000)))
 
-    spread_cells = F.flatten(F.zip_with("_tags", "_texts", spread))
-    return (
-        rows.select(*keys, "row_no", tags.alias("_tags"))
-        .select(*keys, "row_no", "_tags", F.transform(H.plain_texts(F.col("_tags")), lambda t: F.btrim(t, F.lit(" \t\r\n"))).alias("_texts"))
-        .select(*keys, "row_no", F.posexplode(spread_cells).alias("col_no", "_cell"))
-        .select(*keys, "row_no", "col_no", "_cell.is_header", "_cell.text")
+    rows = pages.select(
+        *keys, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(row), F.lit(1))).alias("row_no", "_row")
+    )
+    tags = rows.select(*keys, "row_no", F.regexp_extract_all("_row", F.lit(cell), F.lit(1)).alias("_tags"))
+    texts = F.transform(H.plain_texts(F.col("_tags")), lambda t: F.btrim(t, F.lit(" \t\r\n")))
+    return tags.withColumn("_texts", texts).select(
+        *keys, "row_no", F.flatten(F.zip_with("_tags", "_texts", spread)).alias("cells")
     )
 
 
-def wide_table(grid: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """The grid as a table: one row per body row, columns named as given, all text."""
-    body = grid.where(~F.col("is_header"))
-    cells = [F.max(F.when(F.col("col_no") == i, F.col("text"))).alias(c) for i, c in enumerate(columns)]
-    return body.groupBy(*keys, "row_no").agg(*cells)
+def table_grid(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of :func:`table_rows` as one line per cell: ``row_no, col_no, is_header, text``."""
+    cells = rows.select(*keys, "row_no", F.posexplode("cells").alias("col_no", "_cell"))
+    return cells.select(*keys, "row_no", "col_no", "_cell.is_header", "_cell.text")
+
+
+def wide_table(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows of :func:`table_rows` as a table of text columns, without the header rows."""
+    body = rows.where(F.exists("cells", lambda c: ~c["is_header"]))
+    return body.select(
+        *keys, "row_no", *[F.get("cells", F.lit(i))["text"].alias(c) for i, c in enumerate(columns)]
+    )
 
 
 def page_quality(

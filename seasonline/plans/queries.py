@@ -20,6 +20,7 @@ from seasonline.operators.extract import (
     records_from_pages,
     select_table,
     table_grid,
+    table_rows,
     wide_table,
 )
 from seasonline.operators.profile import error_report, histogram, skew_report
@@ -343,19 +344,22 @@ def records_from_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_columns(conform(records, PART_LAYOUTS))
 
 
+def _page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table_rows(select_table(grid_pages(t.stat_lines(spark, sf_dir))), ["yr", "page"])
+
+
 def page_table_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every cell of every rendered table, header included."""
-    return table_grid(select_table(grid_pages(t.stat_lines(spark, sf_dir))), ["yr", "page"])
+    return table_grid(_page_rows(spark, sf_dir), ["yr", "page"])
 
 
 def grid_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole parsed tables written per season and read back as rows."""
+    """Whole parsed tables written per season and read back as columns."""
     path = scratch_path(spark, "grids")
-    grid = page_table_grid(spark, sf_dir)
-    write_grid(grid, path, by=["yr"])
-    stored = spark.read.schema(grid.schema).parquet(path)
-    rows = wide_table(stored, ["yr", "page"], GRID_COLUMNS)
-    return rows.select("yr", "page", "row_no", *[F.col(c).alias(c.lower()) for c in GRID_COLUMNS])
+    rows = _page_rows(spark, sf_dir)
+    write_grid(rows, path, by=["yr"])
+    wide = wide_table(spark.read.schema(rows.schema).parquet(path), ["yr", "page"], GRID_COLUMNS)
+    return wide.select("yr", "page", "row_no", *[F.col(c).alias(c.lower()) for c in GRID_COLUMNS])
 
 
 # --- regressions -----------------------------------------------------------------------------------

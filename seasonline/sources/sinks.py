@@ -70,6 +70,6 @@ def write_scores(
     write_partitioned(scores, path, by, file_format=file_format, options=extra, **options)
 
 
-def write_grid(grid: DataFrame, path: str, *, by: Sequence[str], **options) -> None:
-    """Whole parsed tables, header cells included, with the page kept as a column."""
-    write_partitioned(grid, path, by, **options)
+def write_grid(rows: DataFrame, path: str, *, by: Sequence[str], **options) -> None:
+    """Whole parsed tables, header rows included, with the page kept as a column."""
+    write_partitioned(rows, path, by, **options)

@@ -16,6 +16,7 @@ from seasonline.operators.extract import (
     select_table,
     split_cells,
     table_grid,
+    table_rows,
     wide_table,
     with_cells,
 )
@@ -89,13 +90,13 @@ def test_grid_and_wide_table(spark):
         "<tr><td>Al</td><td class=x>KC</td><td>1,024</td></tr><tr><td>Bo<td><td> 7 </table>"
     )
     tables = select_table(spark.createDataFrame([(1, html)], "page int, html string"))
-    grid = table_grid(tables, ["page"])
-    assert rows(grid) == [
+    parsed = table_rows(tables, ["page"])
+    assert rows(table_grid(parsed, ["page"])) == [
         (1, 0, 0, True, "Na&me"), (1, 0, 1, True, "Na&me"), (1, 0, 2, True, "Yds"),
         (1, 1, 0, False, "Al"), (1, 1, 1, False, "KC"), (1, 1, 2, False, "1,024"),
         (1, 2, 0, False, "Bo"), (1, 2, 1, False, ""), (1, 2, 2, False, "7"),
     ]
-    wide = wide_table(grid, ["page"], ["name", "team", "yds"])
+    wide = wide_table(parsed, ["page"], ["name", "team", "yds"])
     assert rows(wide) == [(1, 1, "Al", "KC", "1,024"), (1, 2, "Bo", "", "7")]
 
 
