@@ -22,7 +22,8 @@ def select_table(
     into: str = "table_html",
 ) -> DataFrame:
     """``pages`` with the first element of the given tag and attributes; NULL where missing."""
-    return pages.withColumn(into, H.first_element(H.visible(F.col(html)), tag, attributes))
+    seen = pages.withColumn("_visible", H.visible(F.col(html)))
+    return seen.withColumn(into, H.first_element(F.col("_visible"), tag, attributes)).drop("_visible")
 
 
 def with_cells(
@@ -127,25 +128,37 @@ def table_rows(pages: DataFrame, keys: Sequence[str], *, html: str = "table_html
     cell = r"(?is)(<t[dh]\b.*?)(?=</?t[dh]\b|\z)"
     span = r"(?is)^<t[dh]\b[^>]*\scolspan\s*=\s*[\"']?([0-9]+)"
 
+    def single(tag: Column, text: Column) -> Column:
+        return F.struct((F.lower(F.substring(tag, 2, 2)) == "th").alias("is_header"), text.alias("text"))
+
     def spread(tag: Column, text: Column) -> Column:
         width = F.regexp_extract(tag, span, 1).try_cast("int")
-        one = F.struct(tag.rlike("(?i)^<th").alias("is_header"), text.alias("text"))
         # HTML takes any span above 1000 as 1000.
-        return F.array_repeat(one, F.least(F.greatest(F.coalesce(width, F.lit(1)), F.lit(1)), F.lit(1000)))
+        width = F.least(F.greatest(F.coalesce(width, F.lit(1)), F.lit(1)), F.lit(1000))
+        return F.array_repeat(single(tag, text), width)
 
     rows = pages.select(
         *keys, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(row), F.lit(1))).alias("row_no", "_row")
     )
-    tags = rows.select(*keys, "row_no", F.regexp_extract_all("_row", F.lit(cell), F.lit(1)).alias("_tags"))
+    tags = rows.select(
+        *keys,
+        "row_no",
+        F.col("_row").rlike(r"(?i)\scolspan").alias("_spans"),
+        F.regexp_extract_all("_row", F.lit(cell), F.lit(1)).alias("_tags"),
+    )
     texts = F.transform(H.plain_texts(F.col("_tags")), lambda t: F.btrim(t, F.lit(" \t\r\n")))
-    return tags.withColumn("_texts", texts).select(
-        *keys, "row_no", F.flatten(F.zip_with("_tags", "_texts", spread)).alias("cells")
+    cells = F.when(F.col("_spans"), F.flatten(F.zip_with("_tags", "_texts", spread))).otherwise(
+        F.zip_with("_tags", "_texts", single)
     )
+    return tags.withColumn("_texts", texts).select(*keys, "row_no", cells.alias("cells"))
 
 
 def table_grid(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of :func:`table_rows` as one line per cell: ``row_no, col_no, is_header, text``."""
-    cells = rows.select(*keys, "row_no", F.posexplode("cells").alias("col_no", "_cell"))
+    # The outer form: for the plain one Spark adds a filter on the array's size below the
+    # projection that parses it, and so parses every row twice more.
+    cells = rows.select(*keys, "row_no", F.posexplode_outer("cells").alias("col_no", "_cell"))
+    cells = cells.where(F.col("col_no").isNotNull())
     return cells.select(*keys, "row_no", "col_no", "_cell.is_header", "_cell.text")
 
 

@@ -1,7 +1,8 @@
 """The operators over the benchmark tables, one query each.
 
 Input of an operator that reads its rows more than once is staged first, so the expensive
-aggregation under it runs a single time. Measures are rounded for comparison across engines.
+aggregation under it runs a single time; so are rendered texts and pages, which stand for stored
+files. Measures are rounded for comparison across engines.
 """
 
 from __future__ import annotations
@@ -207,7 +208,8 @@ def _line_columns(lines: DataFrame) -> DataFrame:
 
 def conform_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text records of two kinds, with and without a season, as typed columns."""
-    return _line_columns(from_comma_text(comma_text(both_kinds(spark, sf_dir)), PART_LAYOUTS).where("width_ok"))
+    text = staged(comma_text(both_kinds(spark, sf_dir)), "text")
+    return _line_columns(from_comma_text(text, PART_LAYOUTS).where("width_ok"))
 
 
 def season_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +235,7 @@ def season_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scoring_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecast records of the last season, every part taken to sell the whole year."""
-    lines = from_comma_text(comma_text(both_kinds(spark, sf_dir)), PART_LAYOUTS)
+    lines = from_comma_text(staged(comma_text(both_kinds(spark, sf_dir)), "text"), PART_LAYOUTS)
     frame = position_frame(in_seasons(lines, "Yr", SCORE_YEAR, SCORE_YEAR), PART_LAYOUTS[PART, PROJECTED])
     return with_full_exposure(frame, full_season=t.FULL_YEAR).select(
         F.col("Name").alias("name"), F.col("GP").alias("gp"), F.col("Qty").alias("qty"), F.col("FPts").alias("points")
@@ -339,13 +341,14 @@ def page_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def records_from_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stat lines rendered as ranking pages and parsed back into typed records."""
-    pages = stat_pages(both_kinds(spark, sf_dir))
+    pages = staged(stat_pages(both_kinds(spark, sf_dir)), "pages")
     records = records_from_pages(pages, PART_LAYOUTS).withColumnRenamed("yr", "season_hint")
     return _line_columns(conform(records, PART_LAYOUTS))
 
 
 def _page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table_rows(select_table(grid_pages(t.stat_lines(spark, sf_dir))), ["yr", "page"])
+    pages = staged(grid_pages(t.stat_lines(spark, sf_dir)), "pages")
+    return table_rows(select_table(pages), ["yr", "page"])
 
 
 def page_table_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
