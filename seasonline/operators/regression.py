@@ -34,7 +34,7 @@ PENALTY = 10.0
 
 MODEL_BYTES_LIMIT = 64 * 1024 * 1024
 _GROUPS_IN_MEMORY = 64
-_ADDENDS = 64
+_ADDENDS = 1024
 
 
 def ols_by_group(df: DataFrame, feature: str, target: str, by: Sequence[str] = ()) -> DataFrame:

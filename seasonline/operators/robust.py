@@ -12,6 +12,7 @@ from seasonline.functions.numbers import present
 from seasonline.session import staged
 
 FENCE_FACTOR = 1.5
+_SKETCHES_PER_GROUP = 16
 
 
 def quantile_name(q: float) -> str:
@@ -43,13 +44,8 @@ def midpoint_quantiles(
     """
     by = list(by)
     rows = df.where(present(F.col(value))).select(*by, F.col(value).cast("double").alias("_v"))
-    margin = 2.0 / accuracy
-    probes = sorted({min(max(q + d, 0.0), 1.0) for q in qs for d in (-margin, margin)} | {0.0, 1.0})
-    pivots = rows.groupBy(*by).agg(F.percentile_approx("_v", probes, accuracy).alias("_pivots"))
-    pivots = pivots.select(
-        *by, *[F.col("_pivots").getItem(i).alias(f"_p{i}") for i in range(len(probes))]
-    )
-    sliced = attach(rows, pivots, by).select(*by, "_v", _slice_number(len(probes), slices).alias("_slice"))
+    pivots = _pivots(rows, qs, by, accuracy)
+    sliced = attach(rows, pivots, by).select(*by, "_v", _slice_number(2 * len(qs) + 2, slices).alias("_slice"))
 
     # Slices are at most `slices` times the number of pivots per group, so this window is bounded.
     in_group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
@@ -93,6 +89,25 @@ def midpoint_quantiles(
     return found.groupBy(*by).agg(F.first("n").alias("n"), *midpoints)
 
 
+def _pivots(rows: DataFrame, qs: Sequence[float], by: list[str], accuracy: int) -> DataFrame:
+    """Per group the extremes and, for each ``q``, a value likely below and one likely above.
+
+    The sketches of a group are merged in several places, by the number of the input
+    partition; the lowest and highest of their answers are taken.
+    """
+    margin = 2.0 / accuracy
+    around = [p for q in qs for p in ((max(q - margin, 0.0), F.min), (min(q + margin, 1.0), F.max))]
+    probes = [(0.0, F.min), *around, (1.0, F.max)]
+    sketches = (
+        rows.withColumn("_part", F.spark_partition_id() % _SKETCHES_PER_GROUP)
+        .groupBy(*by, "_part")
+        .agg(F.percentile_approx("_v", [p for p, _ in probes], accuracy).alias("_q"))
+    )
+    answers = F.array_sort(F.array(*[pick(F.col("_q")[i]) for i, (_, pick) in enumerate(probes)]))
+    pivots = sketches.groupBy(*by).agg(answers.alias("_sorted"))
+    return pivots.select(*by, *[F.col("_sorted")[i].alias(f"_p{i}") for i in range(len(probes))])
+
+
 def _slice_number(n_pivots: int, slices: int) -> Column:
     """A number that never decreases with ``_v``: between two pivots, ``slices`` equal widths."""
     v = F.col("_v")

@@ -49,6 +49,13 @@ def test_a_poor_sketch_changes_nothing(spark):
     check(spark, {"a": [rnd.gauss(0, 1) ** 3 for _ in range(4000)], "b": list(range(999))}, accuracy=5, slices=3)
 
 
+def test_input_in_order_of_value(spark):
+    values = [float(v) ** 2 for v in range(3000)]
+    df = spark.createDataFrame([("a", v) for v in values], "g string, v double").repartitionByRange(9, "v")
+    got = midpoint_quantiles(df, "v", (0.25, 0.5, 0.75), ["g"]).first()
+    assert tuple(got) == ("a", 3000, *(midpoint(values, q) for q in (0.25, 0.5, 0.75)))
+
+
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(allow_nan=False, width=32), min_size=1, max_size=60), st.sampled_from([1, 2, 64]))
 def test_any_values(spark, values, slices):
