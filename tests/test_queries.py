@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 
@@ -44,6 +45,23 @@ def test_query(spark, sf_dir, engine, name):
     assert as_set(df.columns, [tuple(r) for r in df.collect()]) == as_set(columns, found.fetchall())
 
 
+@pytest.mark.parametrize("name", ["trimmed_reconciliation", "midpoint_quartiles", "season_zscore", "ridge_scores"])
+def test_a_hot_part_and_a_hot_brand(spark, sf_dir, tmp_path, name):
+    """A third of the line items on one part, a third of the parts in one brand."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    items = items.withColumn("l_partkey", F.when(F.col("l_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("l_partkey")))
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    parts = parts.withColumn("p_brand", F.when(F.col("p_partkey") % 3 == 0, "Brand#1").otherwise(F.col("p_brand")))
+    con = duckdb.connect()
+    for table, df in (("lineitem", items), ("part", parts)):
+        df.write.parquet(f"{tmp_path}/{table}.parquet")
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    df = entry_points.queries()[name](spark, str(tmp_path))
+    found = con.execute(entry_points.oracle_sql()[name])
+    columns = [d[0] for d in found.description]
+    assert as_set(df.columns, [tuple(r) for r in df.collect()]) == as_set(columns, found.fetchall())
+
+
 def test_every_sql_has_a_query():
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
