@@ -1,15 +1,17 @@
 """Pieces of HTML as column expressions: elements, cells, text.
 
 Everything works on one page's string at a time inside the JVM; nothing is shuffled.
-A cell ends where HTML ends it: at its closing tag, or at the next cell, row or table tag.
+A cell ends where HTML ends it: at its closing tag, or at the next cell or row tag of its own
+table. The text of a table inside a cell is part of the cell's text.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Mapping
 from functools import cache
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,8 +19,11 @@ from pyspark.sql import functions as F
 NBSP = "\u00a0"
 
 _COMMENT_OR_CODE = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)"
-_TAG = r"(?s)</?[a-zA-Z][^>]*>"
-_TOKEN = r"(?s)&#[xX][0-9a-fA-F]+;|&#[0-9]+;|&[a-zA-Z][a-zA-Z0-9]*;|[^&]+|&"
+# What stands in a tag after its name: a ">" in a quoted value does not end it.
+_REST = r"""[^>"']*+(?:"[^"]*"[^>"']*+|'[^']*'[^>"']*+)*+"""
+_BEFORE = r"""[^>"']*?(?:"[^"]*"[^>"']*?|'[^']*'[^>"']*?)*?"""
+_TAG = rf"(?s)</?[a-zA-Z]{_REST}>"
+_TOKEN = r"(?s)&#[xX][0-9a-fA-F]+;?|&#[0-9]+;?|&[a-zA-Z][a-zA-Z0-9]*;?|[^&]+|&"
 
 
 def visible(html: Column) -> Column:
@@ -29,14 +34,14 @@ def visible(html: Column) -> Column:
 def _attribute(name: str, value: str) -> str:
     """Pattern that looks ahead in a start tag for an attribute, in any order and quoting."""
     v = re.escape(value)
-    return rf"(?=[^>]*\s{name}\s*=\s*(?:\"{v}\"|'{v}'|{v}(?=[\s>])))"
+    return rf"(?={_BEFORE}\s{name}\s*=\s*(?:\"{v}\"|'{v}'|{v}(?=[\s>])))"
 
 
 def _with_class(value: str) -> str:
     """As :func:`_attribute` for one name in a list of classes."""
     v = re.escape(value)
     return (
-        rf"(?=[^>]*\sclass\s*=\s*(?:\"(?:[^\">]*\s)?{v}(?:\s[^\">]*)?\"|'(?:[^'>]*\s)?{v}(?:\s[^'>]*)?'|{v}(?=[\s>])))"
+        rf"(?={_BEFORE}\sclass\s*=\s*(?:\"(?:[^\">]*\s)?{v}(?:\s[^\">]*)?\"|'(?:[^'>]*\s)?{v}(?:\s[^'>]*)?'|{v}(?=[\s>])))"
     )
 
 
@@ -46,7 +51,7 @@ def start_tag_pattern(tag: str, attributes: Mapping[str, str] | None = None) ->
         _with_class(value) if name == "class" else _attribute(name, value)
         for name, value in (attributes or {}).items()
     ]
-    return rf"(?is)<{tag}\b{''.join(looks)}[^>]*>"
+    return rf"(?is)<{tag}\b{''.join(looks)}{_REST}>"
 
 
 def first_element(html: Column, tag: str, attributes: Mapping[str, str] | None = None) -> Column:
@@ -81,7 +86,7 @@ def first_element(html: Column, tag: str, attributes: Mapping[str, str] | None =
         return F.aggregate(F.transform(heads, marked), start, step)
 
     def element(pieces: Column) -> Column:
-        heads = F.transform(pieces, lambda p: F.regexp_extract(p, r"^</?[a-zA-Z][^>]*>", 0))
+        heads = F.transform(pieces, lambda p: F.regexp_extract(p, rf"^</?[a-zA-Z]{_REST}>", 0))
         return _bind(
             heads,
             lambda heads: _bind(
@@ -110,17 +115,66 @@ def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def cell_bodies(html: Column, tag: str = "td", attributes: Mapping[str, str] | None = None) -> Column:
-    """Inner HTML of every ``tag`` element, in page order; an empty array where there is none."""
+    """Inner HTML of every ``tag`` element, in page order; an empty array where there is none.
+
+    A table cell holds the tables in it as a whole, and their marked cells count as well.
+    """
+    name = tag if "|" not in tag else f"(?:{tag})"
+    start = start_tag_pattern(name, attributes)
     if tag in ("td", "th", "td|th"):
-        end = r"(?=</?(?:t[dhr]|table|tbody|thead|tfoot)\b|\z)"
+        flat = start + r"(.*?)(?=</?(?:t[dhr]|table|tbody|thead|tfoot)\b|\z)"
+        found = F.regexp_extract_all(html, F.lit(flat), F.lit(1))
+        # Only a page with a table in a table needs the walk through its levels.
+        found = F.when(html.rlike(r"(?is)<table\b.*<table\b"), _nested_bodies(html, start)).otherwise(found)
     else:
-        end = rf"(?=</?{tag}\b|\z)"
-    name = tag if "|" not in tag else f"(?:{tag})"
-    pattern = start_tag_pattern(name, attributes) + "(.*?)" + end
-    found = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+        found = F.regexp_extract_all(html, F.lit(rf"{start}(.*?)(?=</?{tag}\b|\z)"), F.lit(1))
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
+def _nested_bodies(html: Column, start: str) -> Column:
+    """Cell bodies where tables hold tables: a cell ends at the next tag of its own table's level."""
+
+    def level_before(levels: Column, piece: Column) -> Column:
+        """Appends how many tables are open before the next piece."""
+        now = F.element_at(levels, -1)
+        step = F.when(piece.rlike(r"(?i)^<table\b"), 1).when(piece.rlike(r"(?i)^</table\b"), -1).otherwise(0)
+        return F.concat(levels, F.array(F.greatest(now + step, F.lit(0))))
+
+    def ends(pieces: Column, levels: Column) -> Column:
+        """For each piece the next one of its level that opens no table; one past the page if none."""
+        last = F.size(pieces)
+        start_state = F.struct(
+            F.array_repeat(last + 1, F.array_max(levels) + 1).alias("next"), F.array().cast("array<int>").alias("ends")
+        )
+
+        def step(s: Column, at: Column) -> Column:
+            """From the last piece to the first, with the next piece of every level."""
+            level = F.element_at(levels, at)
+            opens = F.element_at(pieces, at).rlike(r"(?i)^<table\b")
+            return F.struct(
+                F.transform(s["next"], lambda known, i: F.when((i == level) & ~opens, at).otherwise(known)).alias("next"),
+                F.concat(F.array(F.get(s["next"], level)), s["ends"]).alias("ends"),
+            )
+
+        return F.aggregate(F.reverse(F.sequence(F.lit(1), last)), start_state, step, lambda s: s["ends"])
+
+    def bodies(pieces: Column, ends: Column) -> Column:
+        cells = F.filter(F.sequence(F.lit(1), F.size(pieces)), lambda i: F.element_at(pieces, i).rlike("^" + start))
+        return F.transform(
+            cells,
+            lambda i: F.regexp_replace(F.array_join(F.slice(pieces, i, F.element_at(ends, i) - i), ""), "^" + start, ""),
+        )
+
+    cut = F.split(html, r"(?i)(?=</?(?:t[dhr]|table|tbody|thead|tfoot)\b)")
+    return _bind(
+        cut,
+        lambda pieces: _bind(
+            F.aggregate(pieces, F.array(F.lit(0)), level_before),
+            lambda levels: _bind(ends(pieces, levels), lambda found: bodies(pieces, found)),
+        ),
+    )
+
+
 def cell_texts(bodies: Column) -> Column:
     """The texts of cells: no tags, entities decoded, spaces trimmed, thousands commas removed.
 
@@ -137,7 +191,11 @@ def plain_texts(bodies: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    """Named and numeric character references replaced; unknown ones are left alone."""
+    """Named and numeric character references replaced as browsers do; unknown ones are left alone.
+
+    A reference may lack its semicolon where HTML allows that: a number, and the older names, of which
+    the longest that fits counts.
+    """
     parts = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
     decoded = F.array_join(F.transform(parts, _decode_token), "")
     return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
@@ -146,21 +204,28 @@ def decode_entities(text: Column) -> Column:
 def _decode_token(token: Column) -> Column:
     code = F.when(
         F.lower(F.substring(token, 1, 3)) == "&#x",
-        F.conv(F.regexp_extract(token, r"^&#[xX]([0-9a-fA-F]+);$", 1), 16, 10),
-    ).when(F.substring(token, 1, 2) == "&#", F.regexp_extract(token, r"^&#([0-9]+);$", 1))
+        F.conv(F.regexp_extract(token, r"^&#[xX]([0-9a-fA-F]+);?$", 1), 16, 10),
+    ).when(F.substring(token, 1, 2) == "&#", F.regexp_extract(token, r"^&#([0-9]+);?$", 1))
     code = code.try_cast("int")
     valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
     numeric = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    named = F.try_element_at(_named_entities(), token)
-    return F.when(valid, numeric).when(token.rlike("^&[a-zA-Z]"), F.coalesce(named, token)).otherwise(token)
+    names = F.from_json(F.lit(_entity_names()), "map<string,string>")
+    named = F.try_element_at(names, token)
+    older = F.regexp_extract(token, _older_names(), 1)
+    prefixed = F.when(
+        older != "", F.concat(F.try_element_at(names, older), F.substring(token, F.length(older) + 1, F.length(token)))
+    )
+    return F.when(valid, numeric).when(token.rlike("^&[a-zA-Z]"), F.coalesce(named, prefixed, token)).otherwise(token)
 
 
 @cache
-def _entity_pairs() -> tuple[tuple[str, str], ...]:
-    # The HTML 4 names, from the standard library's table, plus &apos;.
-    return (*((f"&{name};", chr(code)) for name, code in name2codepoint.items()), ("&apos;", "'"))
+def _entity_names() -> str:
+    """All names of the standard library's table, as one literal."""
+    return json.dumps({f"&{name}": text for name, text in html5.items()})
 
 
-def _named_entities() -> Column:
-    flat = [F.lit(x) for pair in _entity_pairs() for x in pair]
-    return F.create_map(*flat)
+@cache
+def _older_names() -> str:
+    """Pattern of the names that need no semicolon, the longest first."""
+    names = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
+    return f"^(&(?:{'|'.join(names)}))"

@@ -20,6 +20,24 @@ def whole_number(text: Column) -> Column:
     return F.when(text.rlike(WHOLE_PATTERN), text.try_cast("double").try_cast("int"))
 
 
+def float_text(value: Column) -> Column:
+    """A double in float notation: the shortest digits, an exponent only below 0.0001 and from 1e16 on."""
+    text = value.cast("string")
+    mantissa, exponent = F.split_part(text, F.lit("E"), F.lit(1)), F.split_part(text, F.lit("E"), F.lit(2))
+    power = exponent.try_cast("int")
+    plain = F.rtrim(text.try_cast("decimal(38,20)").cast("string"), F.lit("0"))
+    scientific = F.concat(
+        F.regexp_replace(mantissa, r"\.0$", ""),
+        F.when(power < 0, "e-").otherwise("e+"),
+        F.lpad(F.abs(power).cast("string"), F.greatest(F.length(F.abs(power).cast("string")), F.lit(2)), "0"),
+    )
+    return (
+        F.when(power.isNull(), F.replace(F.replace(text, F.lit("Infinity"), F.lit("inf")), F.lit("NaN"), F.lit("nan")))
+        .when(power.between(-4, 15), F.concat(plain, F.when(F.endswith(plain, F.lit(".")), "0").otherwise("")))
+        .otherwise(scientific)
+    )
+
+
 def present(value: Column) -> Column:
     """True for a usable number: neither NULL nor NaN."""
     return value.isNotNull() & ~F.isnan(value)

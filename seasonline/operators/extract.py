@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seasonline.functions import html as H
-from seasonline.functions.numbers import number
+from seasonline.functions.numbers import float_text, number
 from seasonline.layouts import ACTUAL, CELL_CLASS, LAYOUTS, TABLE_ATTRIBUTES
 from seasonline.operators.conform import LayoutMap
 
@@ -76,7 +76,7 @@ def clean_name(name: Column) -> Column:
 
 def number_or_text(cell: Column) -> Column:
     """A cell as it is written out: numbers in float notation, everything else as it is."""
-    return F.coalesce(number(cell).cast("string"), cell)
+    return F.coalesce(float_text(number(cell)), cell)
 
 
 def records_from_pages(
@@ -95,11 +95,29 @@ def records_from_pages(
     """One row per record: page facets, ``row_no`` on the page, and ``record``.
 
     With ``season`` the page's season goes in as the third field; with ``season=None`` the
-    records keep the older layout without it. Names are cleaned on pages of outcomes only.
+    records keep the older layout without it. Names are cleaned on pages of outcomes only. Pages
+    without the table or of an unknown layout have no records.
     """
     facets = list(dict.fromkeys([*([season] if season else []), position, kind, *order]))
     tables = select_table(pages.select(*facets, html), html=html, attributes=table_attributes)
-    cells = with_cells(tables, kind=kind, cell_class=cell_class)
+    return records_from_tables(tables, layouts, position=position, kind=kind, season=season, order=order, cell_class=cell_class, season_at=season_at)
+
+
+def records_from_tables(
+    tables: DataFrame,
+    layouts: LayoutMap = LAYOUTS,
+    *,
+    table: str = "table_html",
+    position: str = "pos",
+    kind: str = "kind",
+    season: str | None = "yr",
+    order: Sequence[str] = ("page",),
+    cell_class: Mapping[str, str] = CELL_CLASS,
+    season_at: int = 3,
+) -> DataFrame:
+    """The records of tables that were cut out of their pages; see :func:`records_from_pages`."""
+    facets = list(dict.fromkeys([*([season] if season else []), position, kind, *order]))
+    cells = with_cells(tables.select(*facets, table), html=table, kind=kind, cell_class=cell_class)
     flat = cells.select(*facets, split_cells(joined_cells(F.col("cells"))).alias("cells"))
     width: Column | None = None
     for (pos, knd), layout in layouts.items():

@@ -7,7 +7,7 @@ a group that holds most of the rows is still fitted by all tasks together.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seasonline.functions.attach import attach
-from seasonline.session import checkpointed
+from seasonline.session import staged
 
 # The functions below travel with the tasks; workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -32,9 +32,10 @@ RIDGE_PENALTY = 0.5
 # the scores of a held-out season beat the published forecasts, with 0.001 they do not.
 PENALTY = 10.0
 
-MODEL_BYTES_LIMIT = 64 * 1024 * 1024
-_GROUPS_IN_MEMORY = 64
 _ADDENDS = 1024
+_SALTS = 16
+
+Layer = tuple[np.ndarray, np.ndarray]
 
 
 def ols_by_group(df: DataFrame, feature: str, target: str, by: Sequence[str] = ()) -> DataFrame:
@@ -113,24 +114,31 @@ def score_ridge(
 # --- one hidden layer of random ReLU units, repeated over seeds ---------------------------------
 
 
-def hidden_layer(run: int, n_features: int, units: int) -> tuple[np.ndarray, np.ndarray]:
+def hidden_layer(run: int, n_features: int, units: int) -> Layer:
     """Weights and biases of run ``run``; the same in every task."""
     draw = np.random.default_rng(run)
     return draw.standard_normal((n_features, units)) / np.sqrt(n_features), draw.uniform(-1.0, 1.0, units)
 
 
-def _activations(x: np.ndarray, layer: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+def sine_layer(run: int, n_features: int, units: int) -> Layer:
+    """A layer by a formula that any engine can repeat: sines of run, feature and unit, all from 1."""
+    f, u = np.arange(1, n_features + 1)[:, None], np.arange(1, units + 1)
+    return np.sin(1.3 * (run + 1) + 2.1 * f + 3.7 * u), np.sin(0.7 * (run + 1) + 1.9 * u)
+
+
+def _activations(x: np.ndarray, layer: Layer) -> np.ndarray:
     """A column of ones for the intercept, then the hidden units."""
     weights, bias = layer
     return np.hstack([np.ones((len(x), 1)), np.maximum(x @ weights + bias, 0.0)])
 
 
-def _by_group(pdf: pd.DataFrame, by: Sequence[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
+def _runs_of_keys(pdf: pd.DataFrame, by: Sequence[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
+    """Stretches of rows with equal keys, in order; a missing key is None."""
     if not by:
         yield (), pdf
         return
-    for key, rows in pdf.groupby(list(by), sort=False):
-        yield key, rows
+    for key, rows in pdf.groupby(list(by), sort=False, dropna=False):
+        yield tuple(None if pd.isna(k) else k for k in key), rows
 
 
 def fit_relu_runs(
@@ -142,17 +150,25 @@ def fit_relu_runs(
     runs: int = RUNS,
     units: int = HIDDEN_UNITS,
     penalty: float = PENALTY,
+    layer: Callable[[int, int, int], Layer] = hidden_layer,
 ) -> DataFrame:
     """Random-features regression per group and run: ``run, n, weights`` (intercept first).
 
-    The hidden layer is drawn from the run's number and only the output layer is fitted, by
-    ridge normal equations. Features should be standardised. All groups and runs share one
-    pass over the rows, which stay where they are.
+    The hidden layer is ``layer(run, features, units)`` and only the output layer is fitted, by
+    ridge normal equations. Features should be standardised. Rows with a missing feature or target, or
+    without a group, are not fitted.
+
+    All groups and runs share one pass over the rows, which stay where they are: input splits are put
+    together into a few tasks per core, sorted by group in each, and a task sends each group's sums once
+    and holds those of one group only.
     """
     features, by = list(features), list(by)
-    rows = df.dropna(subset=[*features, target]).select(
+    rows = df.dropna(subset=[*features, target, *by]).select(
         *by, *[F.col(f"`{c}`").cast("double").alias(c) for c in [*features, target]]
     )
+    rows = rows.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
+    if by:
+        rows = rows.sortWithinPartitions(*by)
     upper = np.triu_indices(units + 2)
     sums_schema = T.StructType(
         [df.schema[c] for c in by]
@@ -164,28 +180,25 @@ def fit_relu_runs(
     )
 
     def cross_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        layers = [hidden_layer(run, len(features), units) for run in range(runs)]
+        layers = [layer(run, len(features), units) for run in range(runs)]
         addend = TaskContext.get().partitionId() % _ADDENDS
-        held: dict[tuple, np.ndarray] = {}
+        held_key, held = None, np.zeros((runs, units + 2, units + 2))
 
         def emit() -> pd.DataFrame:
-            records = [
-                (*key, run, addend, sums[run][upper]) for key, sums in held.items() for run in range(runs)
-            ]
-            held.clear()
+            records = [(*held_key, run, addend, held[run][upper]) for run in range(runs)]
+            held[:] = 0.0
             return pd.DataFrame(records, columns=sums_schema.names)
 
         for pdf in batches:
-            for key, group in _by_group(pdf, by):
-                if key not in held:
-                    if len(held) >= _GROUPS_IN_MEMORY:
-                        yield emit()
-                    held[key] = np.zeros((runs, units + 2, units + 2))
+            for key, group in _runs_of_keys(pdf, by):
+                if held_key is not None and key != held_key:
+                    yield emit()
+                held_key = key
                 x, y = group[features].to_numpy(), group[[target]].to_numpy()
-                for run, layer in enumerate(layers):
-                    h = np.hstack([_activations(x, layer), y])
-                    held[key][run] += h.T @ h
-        if held:
+                for run, drawn in enumerate(layers):
+                    h = np.hstack([_activations(x, drawn), y])
+                    held[run] += h.T @ h
+        if held_key is not None:
             yield emit()
 
     def added(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -223,60 +236,76 @@ def score_relu_runs(
     keep: Sequence[str],
     units: int = HIDDEN_UNITS,
     name: str = "prediction",
-    bytes_limit: int = MODEL_BYTES_LIMIT,
+    salts: int | None = None,
+    layer: Callable[[int, int, int], Layer] = hidden_layer,
 ) -> DataFrame:
     """One row per scored row and run: ``by``, ``keep``, ``run`` and the prediction.
 
-    The fitted models are checkpointed, so scoring never repeats the fit. They travel with
-    the task when their counted size is below ``bytes_limit``; a larger set is joined to the
-    rows instead.
+    The prediction is NULL where the row's group is missing or has no model, and where a feature is
+    missing, as with :func:`score_ridge`. ``layer`` is the one the models were fitted with.
+
+    The fitted models are staged, so scoring never repeats the fit. Rows and models meet by group in one
+    shuffle; a group is spread over ``salts`` places, each with a copy of its models, which come before
+    its rows. A task holds the models of one group.
     """
     features, by = list(features), list(by)
     keep = [c for c in dict.fromkeys(keep) if c not in by]
+    spark = df.sparkSession
+    models = staged(models.select(*by, "run", "weights"), "models")
+    runs = sorted(r["run"] for r in models.select("run").distinct().collect())
+    places = salts or (_SALTS if by else int(spark.conf.get("spark.sql.shuffle.partitions")))
+    x = F.array(*[F.col(f"`{f}`").cast("double") for f in features])
+    names = {c: f"_{i}_{c}" for i, c in enumerate([*by, *keep])}  # the columns a model row lacks, under names of their own
     rows = df.select(
-        *by,
-        *[F.col(f"`{c}`") for c in keep],
-        F.array(*[F.col(f"`{f}`").cast("double") for f in features]).alias("_x"),
+        *[F.col(f"`{c}`").alias(n) for c, n in names.items()],
+        x.alias("_x"),
+        F.pmod(F.xxhash64(x, *[F.col(f"`{c}`") for c in keep]), F.lit(places)).cast("int").alias("_salt"),
+        F.lit(None).cast("int").alias("_run"),
+        F.lit(None).cast("array<double>").alias("_weights"),
+    )
+    held = models.select(
+        *[F.col(f"`{c}`").alias(names[c]) for c in by],
+        *[F.lit(None).cast(df.schema[c].dataType).alias(names[c]) for c in keep],
+        F.lit(None).cast("array<double>").alias("_x"),
+        F.explode(F.sequence(F.lit(0), F.lit(places - 1))).alias("_salt"),
+        F.col("run").alias("_run"),
+        F.col("weights").alias("_weights"),
     )
+    keys = [*[names[c] for c in by], "_salt"]
+    met = held.unionByName(rows).repartition(*keys).sortWithinPartitions(*keys, F.col("_run").asc_nulls_last())
     out = T.StructType(
         [df.schema[c] for c in [*by, *keep]]
         + [T.StructField("run", T.IntegerType()), T.StructField(name, T.DoubleType())]
     )
 
-    def predicted(group: pd.DataFrame, fitted: Sequence[tuple[int, np.ndarray]]) -> pd.DataFrame:
-        x = np.stack(group["_x"].to_list()).astype(float)
-        scores = np.empty((len(x), len(fitted)))
-        for i, (run, weights) in enumerate(fitted):
-            scores[:, i] = _activations(x, hidden_layer(run, len(features), units)) @ np.asarray(weights)
-        repeated = group[[*by, *keep]].loc[group.index.repeat(len(fitted))]
-        run_numbers = np.tile(np.array([run for run, _ in fitted], dtype="int32"), len(x))
-        return repeated.assign(run=run_numbers, **{name: scores.ravel()})
-
-    models = checkpointed(models.select(*by, "run", "weights"))
-    if models.count() * (units + 1) * 8 <= bytes_limit:
-        by_key: dict[tuple, list[tuple[int, np.ndarray]]] = {}
-        for row in models.collect():
-            by_key.setdefault(tuple(row[c] for c in by), []).append((row["run"], np.asarray(row["weights"])))
-
-        def score_held(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                scored = [
-                    predicted(group, by_key[key]) for key, group in _by_group(pdf, by) if key in by_key
-                ]
-                if scored:
-                    yield pd.concat(scored)
-
-        return rows.mapInPandas(score_held, out)
-
-    per_group = models.groupBy(*by).agg(F.collect_list(F.struct("run", "weights")).alias("_models"))
-    joined = attach(rows, per_group, by).where(F.col("_models").isNotNull())
-
-    def score_joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        layers = {run: layer(run, len(features), units) for run in runs}
+        at, fitted = None, {}
         for pdf in batches:
-            for _, group in _by_group(pdf, by):
-                yield predicted(group, [(m["run"], m["weights"]) for m in group["_models"].iloc[0]])
-
-    return joined.mapInPandas(score_joined, out)
+            for key, group in _runs_of_keys(pdf, keys):
+                if key != at:
+                    at, fitted = key, {}
+                is_model = group["_weights"].notna()
+                for run, weights in zip(group.loc[is_model, "_run"], group.loc[is_model, "_weights"]):
+                    fitted[int(run)] = np.asarray(weights)
+                rest = group[~is_model]
+                if not len(rest):
+                    continue
+                known = {} if any(k is None for k in key[:-1]) else fitted
+                inputs = np.stack(rest["_x"].to_list()).astype(float)
+                scores = np.full((len(rest), len(runs)), np.nan)
+                for i, run in enumerate(runs):
+                    if run in known:
+                        scores[:, i] = _activations(inputs, layers[run]) @ known[run]
+                repeated = rest[list(names.values())].loc[rest.index.repeat(len(runs))]
+                repeated.columns = list(names)
+                flat = scores.ravel()
+                yield repeated.assign(
+                    run=np.tile(np.array(runs, dtype="int32"), len(rest)),
+                    **{name: pd.Series(np.where(np.isnan(flat), None, flat), index=repeated.index, dtype=object)},
+                )
+
+    return met.mapInPandas(scored, out)
 
 
 def score_summary(scores: DataFrame, by: Sequence[str], score: str = "prediction") -> DataFrame:

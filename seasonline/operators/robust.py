@@ -13,6 +13,7 @@ from seasonline.session import staged
 
 FENCE_FACTOR = 1.5
 _SKETCHES_PER_GROUP = 16
+_FINER = 4
 
 
 def quantile_name(q: float) -> str:
@@ -28,6 +29,7 @@ def midpoint_quantiles(
     *,
     accuracy: int = 1000,
     slices: int = 1024,
+    slice_rows: int = 1_000_000,
 ) -> DataFrame:
     """Exact quantiles with midpoint interpolation: one row per group with ``n`` and ``q..``.
 
@@ -36,7 +38,8 @@ def midpoint_quantiles(
 
     1. a mergeable sketch per group gives approximate pivots just below and above each ``q``;
     2. the pivots and equal-width slices between them number the value range; counting rows
-       per slice combines before the shuffle and says which slices hold the wanted ranks;
+       per slice combines before the shuffle and says which slices hold the wanted ranks; while one
+       of these holds over ``slice_rows`` rows, the rows of these slices are sliced again;
     3. only rows of those slices, combined to (value, count), are put in order.
 
     Pivots and slices are small tables, staged between the passes over ``df``; stage ``df``
@@ -54,24 +57,17 @@ def midpoint_quantiles(
         "_upto", F.sum("_in_slice").over(in_group.orderBy("_slice"))
     ).withColumn("n", F.sum("_in_slice").over(in_group))
     before = F.col("_upto") - F.col("_in_slice")
-    hits = staged(
-        counts.select(
-            *by,
-            "_slice",
-            "n",
-            before.alias("_before"),
-            F.filter(
-                _wanted_ranks(qs), lambda w: (w["rank"] >= before) & (w["rank"] < F.col("_upto"))
-            ).alias("_wanted"),
-        ).where(F.size("_wanted") > 0),
-        "slices",
-    )
+    hits = staged(_hit(counts.select(*by, "_slice", "n", "_in_slice", before.alias("_before"), _wanted_ranks(qs).alias("_wanted"))), "slices")
+    for _ in range(_FINER):
+        if (hits.agg(F.max("_in_slice")).first()[0] or 0) <= slice_rows:
+            break
+        sliced, hits = _sliced_again(sliced, hits, by, slices)
 
     ordered = (
         sliced.join(hits.select(*by, "_slice"), [*by, "_slice"], "left_semi")
         .groupBy(*by, "_slice", "_v")
         .agg(F.count("*").alias("_copies"))
-        .join(hits, [*by, "_slice"])
+        .join(hits.drop("_in_slice"), [*by, "_slice"])
     )
     in_slice = Window.partitionBy(*by, "_slice").orderBy("_v")
     ordered = ordered.withColumn("_end", F.col("_before") + F.sum("_copies").over(in_slice))
@@ -89,6 +85,35 @@ def midpoint_quantiles(
     return found.groupBy(*by).agg(F.first("n").alias("n"), *midpoints)
 
 
+def _hit(counts: DataFrame) -> DataFrame:
+    """Slices that hold wanted ranks, with these ranks."""
+    before, upto = F.col("_before"), F.col("_before") + F.col("_in_slice")
+    hit = F.filter("_wanted", lambda w: (w["rank"] >= before) & (w["rank"] < upto))
+    return counts.withColumn("_wanted", hit).where(F.size("_wanted") > 0)
+
+
+def _sliced_again(sliced: DataFrame, hits: DataFrame, by: list[str], slices: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of the hit slices in equal-width slices of each, and which of these are hit."""
+    keys = [*by, "_slice"]
+    inside = staged(sliced.join(hits.select(*keys), keys, "left_semi"), "inside")
+    edges = staged(inside.groupBy(*keys).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high")), "edges")
+    width = F.col("_high") - F.col("_low")
+    inner = F.when(
+        (width > 0) & (width < float("inf")),
+        F.least(F.floor((F.col("_v") - F.col("_low")) / width * slices), F.lit(slices - 1)),
+    ).otherwise(F.lit(0))
+    finer = inside.join(edges, keys).select(*by, "_v", F.col("_slice").alias("_outer"), inner.cast("long").alias("_inner"))
+    counts = finer.groupBy(*by, "_outer", "_inner").agg(F.count("*").alias("_in_slice"))
+    whole = hits.select(*by, F.col("_slice").alias("_outer"), "n", F.col("_before").alias("_start"), "_wanted")
+    # At most `slices` rows for each hit slice.
+    earlier = Window.partitionBy(*by, "_outer").orderBy("_inner").rowsBetween(Window.unboundedPreceding, -1)
+    number = (F.col("_outer") * F.lit(slices) + F.col("_inner")).alias("_slice")
+    counted = counts.withColumn("_before", F.coalesce(F.sum("_in_slice").over(earlier), F.lit(0)))
+    counted = counted.join(whole, [*by, "_outer"]).withColumn("_before", F.col("_before") + F.col("_start"))
+    hit = _hit(counted.select(*by, number, "n", "_in_slice", "_before", "_wanted"))
+    return finer.select(*by, "_v", number), staged(hit, "slices")
+
+
 def _pivots(rows: DataFrame, qs: Sequence[float], by: list[str], accuracy: int) -> DataFrame:
     """Per group the extremes and, for each ``q``, a value likely below and one likely above.
 

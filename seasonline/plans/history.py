@@ -2,27 +2,37 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from seasonline.layouts import CELL_CLASS, LAYOUTS, PROJECTED, TABLE_ATTRIBUTES
+from seasonline.layouts import CELL_CLASS, LAYOUTS, POSITION_IDS, PROJECTED, TABLE_ATTRIBUTES
 from seasonline.operators.conform import LayoutMap, conform
 from seasonline.operators.extract import (
-    missing_table,
+    joined_cells,
     page_quality,
     records_from_pages,
+    records_from_tables,
     select_table,
     split_cells,
-    joined_cells,
     with_cells,
 )
 from seasonline.operators.reconcile import FULL_SEASON, with_full_exposure
+from seasonline.session import staged
 from seasonline.sources.pages import with_url_facets
-from seasonline.sources.sinks import write_master, write_seasons
+from seasonline.sources.sinks import write_master, write_partitioned, write_seasons
 
 FACETS = ("yr", "pos", "kind", "page")
+PAGE = ("Yr", "pos", "kind", "page")
+LOAD = "load_id"
+
+# Why a page holds no lines.
+NO_TABLE = "no table"
+UNKNOWN_PAGE = "unknown page"
 
 
 def lines_from_pages(
@@ -32,9 +42,12 @@ def lines_from_pages(
     table_attributes: Mapping[str, str] = TABLE_ATTRIBUTES,
     cell_class: Mapping[str, str] = CELL_CLASS,
 ) -> DataFrame:
-    """Typed stat lines of all pages that carry ``pos, yr, page, kind`` facets."""
+    """Typed stat lines of all pages that carry ``pos, yr, page, kind`` facets.
+
+    Records of the wrong width are kept and marked, with their text in ``raw``.
+    """
     records = records_from_pages(pages, layouts, table_attributes=table_attributes, cell_class=cell_class)
-    return conform(records.withColumnRenamed("yr", "season_hint"), layouts)
+    return conform(records.withColumnRenamed("yr", "season_hint"), layouts, season_included=True)
 
 
 def history_quality(pages: DataFrame) -> DataFrame:
@@ -44,25 +57,74 @@ def history_quality(pages: DataFrame) -> DataFrame:
     return page_quality(cells, FACETS)
 
 
-def build_history(pages: DataFrame, path: str, first: int, last: int) -> None:
-    """Store the lines of ``pages`` per season, and the seasons' range as one master table.
+def _known_layout(layouts: LayoutMap) -> Column:
+    names = [f"{position}/{kind}" for position, kind in layouts]
+    return F.coalesce(F.concat_ws("/", "pos", "kind").isin(names), F.lit(False)) & F.col("pos").isNotNull() & F.col("yr").isNotNull()
+
 
-    Pages without the expected table go to ``quarantine`` instead of stopping the job. The
-    pages are parsed once; the master is made from the stored lines.
+def build_history(
+    pages: DataFrame,
+    path: str,
+    first: int,
+    last: int,
+    *,
+    layouts: LayoutMap = LAYOUTS,
+    position_ids: Mapping[str, str] = POSITION_IDS,
+) -> None:
+    """Store the lines of ``pages``, and the seasons from ``first`` to ``last`` as one master table.
+
+    Nothing is lost on the way: a page without the table, or whose address names no known position, kind
+    and season, goes to ``quarantine/pages`` with the reason; a record of the wrong width goes to
+    ``quarantine/records`` with its text; all else is a stored line. Loading a page again replaces that
+    page's lines, also by none, and leaves other pages alone. An address without a page number is page 0.
+
+    The page is cut once: facets and table are staged, and every output is made from them. A load adds
+    folders of its own, and counts when the list of its pages is written, last of all; what a load that
+    failed has left is not read. Ids of loads grow with time.
     """
-    faceted = with_url_facets(pages)
-    write_seasons(lines_from_pages(faceted), f"{path}/seasons")
-    stored = pages.sparkSession.read.parquet(f"{path}/seasons")
-    write_master(stored, f"{path}/masters/{first}-{last}", first, last)
-    missing_table(select_table(faceted)).drop("table_html").write.mode("overwrite").parquet(f"{path}/quarantine")
+    spark = pages.sparkSession
+    load = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    cut = select_table(with_url_facets(pages, position_ids=position_ids).withColumn("page", F.coalesce("page", F.lit(0))))
+    reason = F.when(~_known_layout(layouts), UNKNOWN_PAGE).when(F.col("table_html").isNull(), NO_TABLE)
+    cut = staged(cut.withColumn("reason", reason).withColumn(LOAD, F.lit(load)).drop("html"), "tables")
+
+    known = cut.where(F.col("reason").isNull())
+    records = records_from_tables(known, layouts).withColumnRenamed("yr", "season_hint")
+    # A record whose text gives no season falls under its page's.
+    lines = conform(records.withColumn("page_yr", F.col("season_hint")), layouts, season_included=True)
+    lines = staged(lines.withColumn(LOAD, F.lit(load)), "lines")
+    good = lines.where("width_ok").withColumn("Yr", F.col("page_yr")).drop("page_yr", "width_ok", "raw")
+    write_seasons(good, f"{path}/seasons", by=("Yr", "pos", "kind", LOAD))
+    bad = lines.where("NOT width_ok").select(F.col("page_yr").alias("yr"), "pos", "kind", "page", "row_no", "raw", LOAD)
+    write_partitioned(bad, f"{path}/quarantine/records", [LOAD])
+    write_partitioned(cut.where(F.col("reason").isNotNull()), f"{path}/quarantine/pages", [LOAD])
+    # Every page that was seen, with lines or without.
+    seen = cut.where(F.col("reason").isNull() | (F.col("reason") == NO_TABLE)).select(F.col("yr").alias("Yr"), "pos", "kind", "page", LOAD)
+    write_partitioned(seen.distinct(), f"{path}/loads", [LOAD])
+    stored = read_history(spark, path, first, last, layouts=layouts)
+    write_master(stored, f"{path}/masters/{first}-{last}", first, last, whole=True)
 
 
 def build_scoring_season(pages: DataFrame, path: str, season: int, *, full_season: int = FULL_SEASON) -> None:
     """Store the forecasts of the season to be scored, with a full season of games."""
     faceted = with_url_facets(pages).where((F.col("kind") == PROJECTED) & (F.col("yr") == season))
-    write_seasons(with_full_exposure(lines_from_pages(faceted), full_season=full_season), path)
-
-
-def read_history(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
-    """Stored lines of a range of seasons; only those seasons' folders are read."""
-    return spark.read.parquet(f"{path}/seasons").where(F.col("Yr").between(first, last))
+    lines = lines_from_pages(faceted.withColumn("page", F.coalesce("page", F.lit(0))))
+    write_seasons(with_full_exposure(lines, full_season=full_season), path)
+
+
+def read_history(spark: SparkSession, path: str, first: int, last: int, *, layouts: LayoutMap = LAYOUTS) -> DataFrame:
+    """Stored lines of a range of seasons, of each page's newest load; only those seasons' folders are read."""
+    empty = conform(
+        spark.createDataFrame([], "pos string, kind string, page int, row_no int, season_hint int, record array<string>"), layouts
+    ).drop("width_ok", "raw")
+    in_range = F.col("Yr").between(first, last)
+    stored = spark.read.schema(empty.withColumn(LOAD, F.lit("")).schema).parquet(f"{path}/seasons").where(in_range)
+    loads = spark.read.schema(f"Yr int, pos string, kind string, page int, {LOAD} string").parquet(f"{path}/loads").where(in_range)
+    newest = loads.groupBy(*PAGE).agg(F.max(LOAD).alias(LOAD))
+    return stored.join(newest, [*PAGE, LOAD], "left_semi").select(*empty.columns)
+
+
+def read_quarantine(spark: SparkSession, path: str, what: str, schema: str) -> DataFrame:
+    """Quarantined ``pages`` or ``records`` of every load."""
+    wanted = T.StructType.fromDDL(schema)
+    return spark.read.schema(wanted).parquet(f"{path}/quarantine/{what}").select(*wanted.names)

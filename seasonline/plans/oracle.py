@@ -60,6 +60,19 @@ train AS (SELECT adj.* FROM adj JOIN quart USING (pos) WHERE e <= 1.5 * (q75 - q
 )
 
 
+# The two sides, each without some names and with others twice.
+_UNEVEN = """forecast AS (
+  SELECT l_partkey AS name, p_brand AS pos, CAST(year(l_shipdate) AS INTEGER) AS yr, copy, sum(l_quantity) AS qty,
+         count(*) AS lines, sum(l_quantity) * p_retailprice AS proj
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN (SELECT unnest([1, 2]) AS copy) ON copy = 1 OR l_partkey % 7 = 0
+  WHERE l_partkey % 11 <> 0 GROUP BY l_partkey, p_brand, p_retailprice, year(l_shipdate), copy),
+outcome AS (
+  SELECT l_partkey AS name, CAST(year(l_shipdate) AS INTEGER) AS yr, copy,
+         CAST(count(DISTINCT month(l_shipdate)) AS INTEGER) AS gp, sum(l_extendedprice * (1 - l_discount)) AS act
+  FROM lineitem JOIN (SELECT unnest([1, 2]) AS copy) ON copy = 1 OR l_partkey % 5 = 0
+  WHERE l_partkey % 13 <> 0 GROUP BY l_partkey, year(l_shipdate), copy)"""
+
+
 def _hist(by: str, values: dict[str, str], bins: int) -> str:
     head = f"{by}, " if by else ""
     long = " UNION ALL ".join(f"SELECT {head}'{s}' AS stat, {x} AS x FROM line" for s, x in values.items())
@@ -96,6 +109,37 @@ SELECT pos, name AS player, round(proj, 4) AS projection,
 FROM line LEFT JOIN m USING (pos) LEFT JOIN model USING (pos) WHERE yr = 2001"""
 )
 
+# Two hidden units for each run, then the same system as above.
+_PAIR = (
+    _TRAIN
+    + """,
+m AS (SELECT pos, avg(gp) AS g_m, stddev_pop(gp) AS g_s, avg(proj) AS p_m, stddev_pop(proj) AS p_s FROM train GROUP BY pos),
+layer AS (
+  SELECT CAST(run AS INTEGER) AS run,
+         sin(1.3 * (run + 1) + 2.1 + 3.7) AS w11, sin(1.3 * (run + 1) + 4.2 + 3.7) AS w21, sin(0.7 * (run + 1) + 1.9) AS c1,
+         sin(1.3 * (run + 1) + 2.1 + 7.4) AS w12, sin(1.3 * (run + 1) + 4.2 + 7.4) AS w22, sin(0.7 * (run + 1) + 3.8) AS c2
+  FROM range(0, 3) t(run)),
+inputs AS (
+  SELECT 'train' AS part, pos, name, proj, a, (gp - g_m) / CASE WHEN g_s = 0 THEN 1 ELSE g_s END AS x1,
+         (proj - p_m) / CASE WHEN p_s = 0 THEN 1 ELSE p_s END AS x2 FROM train JOIN m USING (pos)
+  UNION ALL
+  SELECT 'coming', line.pos, name, proj, NULL, (12 - g_m) / CASE WHEN g_s = 0 THEN 1 ELSE g_s END,
+         (proj - p_m) / CASE WHEN p_s = 0 THEN 1 ELSE p_s END FROM line LEFT JOIN m ON line.pos = m.pos WHERE yr = 2001),
+h AS (
+  SELECT part, pos, name, proj, a, run, CASE WHEN x1 IS NOT NULL THEN greatest(x1 * w11 + x2 * w21 + c1, 0) END AS h1,
+         CASE WHEN x1 IS NOT NULL THEN greatest(x1 * w12 + x2 * w22 + c2, 0) END AS h2
+  FROM inputs, layer),
+means AS (SELECT pos, run, avg(h1) AS m1, avg(h2) AS m2, avg(a) AS ma FROM h WHERE part = 'train' GROUP BY pos, run),
+sums AS (
+  SELECT pos, run, m1, m2, ma, sum((h1 - m1) * (h1 - m1)) + 10 AS s11, sum((h1 - m1) * (h2 - m2)) AS s12,
+         sum((h2 - m2) * (h2 - m2)) + 10 AS s22, sum((h1 - m1) * (a - ma)) AS b1, sum((h2 - m2) * (a - ma)) AS b2
+  FROM h JOIN means USING (pos, run) WHERE part = 'train' GROUP BY pos, run, m1, m2, ma),
+scores AS (
+  SELECT h.pos, name AS player, h.run, proj, ma + (b1 * s22 - b2 * s12) / (s11 * s22 - s12 * s12) * (h1 - m1)
+         + (b2 * s11 - b1 * s12) / (s11 * s22 - s12 * s12) * (h2 - m2) AS score
+  FROM h LEFT JOIN sums ON h.pos = sums.pos AND h.run = sums.run WHERE part = 'coming')"""
+)
+
 _SKEW = (
     "WITH "
     + _LINE
@@ -121,10 +165,14 @@ ORACLE_SQL: dict[str, str] = {
 {_QUART}
 SELECT name, pos, yr, gp, round(proj, 4) AS proj, round(a, 6) AS a, round(e, 6) AS e
 FROM adj JOIN quart USING (pos) WHERE e <= 1.5 * (q75 - q25)""",
-    "forecast_actual_join": f"""WITH {_LINE}
-SELECT name, pos, yr, gp, qty, lines, round(proj, 4) AS proj, round(act, 4) AS act FROM line""",
-    "loose_name_join": f"""WITH {_LINE}
-SELECT pos, {_NAME} || ' Jr.' AS name, yr, gp, round(proj, 4) AS proj, round(act, 4) AS act FROM line""",
+    "forecast_actual_join": f"""WITH {_UNEVEN}
+SELECT f.name, f.pos, f.yr, f.copy, o.gp, f.qty, f.lines, round(f.proj, 4) AS proj, round(o.act * o.copy, 4) AS act
+FROM forecast f JOIN outcome o ON f.name = o.name AND f.yr = o.yr""",
+    "loose_name_join": f"""WITH {_UNEVEN},
+f AS (SELECT *, {_NAME} || CASE WHEN name % 2 = 0 THEN ' Jr.' ELSE '' END AS shown FROM forecast),
+o AS (SELECT *, {_NAME} || CASE WHEN name % 2 = 0 THEN ' Jr' ELSE '. ' END AS shown FROM outcome)
+SELECT f.pos, f.shown AS name, f.yr, o.gp, round(f.proj, 4) AS proj, round(o.act, 4) AS act
+FROM f JOIN o ON trim(replace(f.shown, '.', '')) = trim(replace(o.shown, '.', '')) AND f.yr = o.yr""",
     "exposure_rescale": f"""WITH {_ADJ}
 SELECT name, pos, yr, gp, round(act, 4) AS act, round(a, 6) AS a FROM adj WHERE yr BETWEEN 1996 AND 1999""",
     "tukey_fence": f"""WITH {_ADJ},
@@ -223,4 +271,21 @@ SELECT yr, CAST(name // 50 AS INTEGER) AS page,
 SELECT pos, count(*) AS n, round(regr_slope(a, proj), 6) AS slope, round(regr_intercept(a, proj), 3) AS intercept
 FROM adj GROUP BY pos""",
     "ridge_scores": _RIDGE,
+    "relu_pair_scores": _PAIR + "\nSELECT pos, player, run, round(proj, 4) AS projection, round(score, 2) AS score FROM scores",
+    "relu_pair_summary": _PAIR
+    + "\nSELECT pos, player, round(avg(score), 2) AS score_mean, round(stddev_samp(score), 2) AS score_std, count(score) AS n_runs"
+    + " FROM scores GROUP BY pos, player",
+    "page_history": f"""WITH {_LINE},
+{_SIDES},
+fetched AS (
+  SELECT 1 AS load, kind, name, yr, CAST(name // 50 AS INTEGER) AS page, qty, points FROM sides
+  UNION ALL SELECT 2, kind, name, yr, CAST(name // 50 AS INTEGER), qty * 2, points FROM sides
+  WHERE yr IN (1996, 1997) AND (name // 50) % 2 = 0),
+records AS (SELECT *, name = max(name) OVER (PARTITION BY load, kind, yr, page) AS short,
+                   load = max(load) OVER (PARTITION BY kind, yr, page) AS newest FROM fetched),
+kept AS (SELECT * FROM records WHERE page % 7 NOT IN (3, 5) AND NOT (load = 2 AND yr = 1996 AND page = 0))
+SELECT 'stored' AS status, kind, yr, page, {_NAME} AS name, points, qty FROM kept WHERE NOT short AND newest
+UNION ALL SELECT 'record', kind, yr, page, {_NAME}, NULL, NULL FROM kept WHERE short
+UNION ALL SELECT CASE page % 7 WHEN 3 THEN 'unknown page' ELSE 'no table' END, kind, yr, page, NULL, NULL, NULL
+FROM (SELECT DISTINCT load, kind, yr, page FROM fetched WHERE page % 7 IN (3, 5))""",
 }

@@ -40,16 +40,20 @@ from seasonline.operators.regression import (
     score_relu_runs,
     score_ridge,
     score_summary,
+    sine_layer,
 )
 from seasonline.operators.robust import iqr_fence, keep_within, midpoint_quantiles, std_fence
 from seasonline.operators.scaling import apply_scaler, fit_scaler, zscore
 from seasonline.plans import tables as t
+from seasonline.plans.history import build_history, read_history, read_quarantine
 from seasonline.plans.rendering import (
     GRID_COLUMNS,
     PART,
+    PART_ID,
     PART_LAYOUTS,
     both_kinds,
     comma_text,
+    fetched_pages,
     grid_pages,
     spelled,
     stat_pages,
@@ -74,16 +78,31 @@ def _r(name: str, digits: int = 4) -> Column:
 
 
 def forecast_actual_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forecast stats with exposure and outcome, joined on name and season."""
-    return t.matched(spark, sf_dir).select("name", "pos", "yr", "gp", "qty", "lines", _r("proj"), _r("act"))
+    """Forecast stats with exposure and outcome, joined on name and season.
+
+    Each side lacks names that the other has, and names that stand twice on both sides pair four times.
+    """
+    forecast, outcome = t.uneven_sides(spark, sf_dir)
+    joined = forecast_with_outcome(
+        forecast,
+        outcome.withColumn("act", F.col("act") * F.col("copy")),
+        ["name", "yr"],
+        identifiers=["name", "pos", "yr", "copy"],
+        exposure="gp",
+        stats=["qty", "lines", "proj"],
+        target="act",
+        target_name="act",
+    )
+    return joined.select("name", "pos", "yr", "copy", "gp", "qty", "lines", _r("proj"), _r("act"))
 
 
 def loose_name_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same join where the two sides write the suffix of a name differently."""
-    forecast, outcome = t.forecast_lines(spark, sf_dir), t.outcome_lines(spark, sf_dir)
+    """The same join where the two sides write names differently: ``Jr.`` and ``Jr``, with and without stops."""
+    forecast, outcome = t.uneven_sides(spark, sf_dir)
+    letters, even = spelled(F.col("name")), F.col("name") % 2 == 0
     joined = forecast_with_outcome(
-        forecast.withColumn("name", F.concat(spelled(F.col("name")), F.lit(" Jr."))),
-        outcome.withColumn("name", F.concat(spelled(F.col("name")), F.lit(" Jr"))),
+        forecast.withColumn("name", F.concat(letters, F.when(even, " Jr.").otherwise(""))),
+        outcome.withColumn("name", F.concat(letters, F.when(even, " Jr").otherwise(". "))),
         ["name", "yr"],
         identifiers=["pos"],
         exposure="gp",
@@ -97,7 +116,7 @@ def loose_name_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def exposure_rescale(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes of a range of seasons carried to a full year, for parts sold in enough months."""
-    lines = in_seasons(t.stat_lines(spark, sf_dir), "yr", 1996, 1999)
+    lines = in_seasons(t.stat_lines(spark, sf_dir, 1996, 1999), "yr", 1996, 1999)
     kept = enough_exposure(lines, "gp", more_than=t.MIN_MONTHS)
     return kept.select(
         "name", "pos", "yr", "gp", _r("act"), F.round(rescaled(F.col("act"), F.col("gp"), t.FULL_YEAR), 6).alias("a")
@@ -302,8 +321,9 @@ def incremental_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same facets, loaded by a stream that reads each page file once."""
     root = scratch_path(spark, "loads")
     pages = stream_pages(spark, sf_dir, "page_id bigint, url string", files="pages.parquet")
-    load_new_pages(pages, _facets, f"{root}/lines", f"{root}/progress")
-    return latest_loads(spark.read.parquet(f"{root}/lines"), ["page_id"]).drop("load_id")
+    load_new_pages(pages, _facets, f"{root}/lines", f"{root}/progress", page_keys=["page_id"], loads=f"{root}/loads")
+    loads = spark.read.parquet(f"{root}/loads")
+    return latest_loads(spark.read.parquet(f"{root}/lines"), ["page_id"], loads).drop("load_id")
 
 
 def page_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,7 +363,7 @@ def records_from_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stat lines rendered as ranking pages and parsed back into typed records."""
     pages = staged(stat_pages(both_kinds(spark, sf_dir)), "pages")
     records = records_from_pages(pages, PART_LAYOUTS).withColumnRenamed("yr", "season_hint")
-    return _line_columns(conform(records, PART_LAYOUTS))
+    return _line_columns(conform(records, PART_LAYOUTS, season_included=True))
 
 
 def _page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,12 +394,11 @@ def ols_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fits.select("pos", "n", _r("slope", 6), _r("intercept", 3))
 
 
-def _train_and_coming(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Trimmed lines of past years, and the last year's forecasts with a full year of months."""
-    lines = staged(t.stat_lines(spark, sf_dir), "lines")
-    errors = staged(t.with_errors(lines.where(F.col("yr") < SCORE_YEAR)), "errors")
+def _train_and_coming(spark: SparkSession, sf_dir: str, year: int = SCORE_YEAR) -> tuple[DataFrame, DataFrame]:
+    """Trimmed lines of the years before ``year``, and its forecasts with a full year of months."""
+    errors = staged(t.with_errors(t.stat_lines(spark, sf_dir, last=year - 1)), "errors")
     train = keep_within(errors, "e", iqr_fence(errors, "e", ["pos"]), ["pos"])
-    coming = lines.where(F.col("yr") == SCORE_YEAR).drop("act", "gp")
+    coming = t.stat_lines(spark, sf_dir, year, year).drop("act", "gp")
     return staged(train, "train"), with_full_exposure(coming, "gp", full_season=t.FULL_YEAR)
 
 
@@ -415,6 +434,57 @@ def relu_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.select("pos", F.col("name").alias("player"), _r("score_mean", 2), _r("score_std", 2), "n_runs")
 
 
+def _pair_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs with two hidden units each, whose layers come from a formula."""
+    train, coming = _train_and_coming(spark, sf_dir)
+    inputs = ["gp", "proj"]
+    scaler = fit_scaler(train, inputs, ["pos"])
+    models = fit_relu_runs(
+        apply_scaler(train, scaler, inputs, ["pos"]), inputs, "a", ["pos"], runs=3, units=2, layer=sine_layer
+    )
+    scaled = apply_scaler(coming.withColumn("projection", F.col("proj")), scaler, inputs, ["pos"])
+    return score_relu_runs(
+        scaled, models, inputs, ["pos"], keep=["name", "projection"], units=2, name="score", layer=sine_layer
+    )
+
+
+def relu_pair_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last year scored by hidden-layer regressions small enough to be solved by hand."""
+    return _pair_scores(spark, sf_dir).select("pos", F.col("name").alias("player"), "run", _r("projection"), _r("score", 2))
+
+
+def relu_pair_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean and spread of each player's scores over these runs."""
+    summary = score_summary(_pair_scores(spark, sf_dir), ["pos", "name"], "score")
+    return summary.select("pos", F.col("name").alias("player"), _r("score_mean", 2), _r("score_std", 2), "n_runs")
+
+
+# --- from fetched pages to stored lines ------------------------------------------------------------
+
+
+def page_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetched pages stored as lines, in two loads, with all that does not fit in quarantine.
+
+    The second load holds a few pages again: some with other quantities, one without any line.
+    """
+    root = scratch_path(spark, "history")
+    sides = both_kinds(spark, sf_dir)
+    for load in (1, 2):
+        pages = staged(fetched_pages(sides, load), "pages")
+        build_history(pages, root, 1996, 1998, layouts=PART_LAYOUTS, position_ids={PART_ID: PART})
+    lines = read_history(spark, root, 0, 9999, layouts=PART_LAYOUTS).select(
+        F.lit("stored").alias("status"), "kind", F.col("Yr").alias("yr"), "page", F.col("Name").alias("name"), F.col("FPts").alias("points"), F.col("Qty").alias("qty")
+    )
+    nothing = F.lit(None).cast("double")
+    records = read_quarantine(spark, root, "records", "raw string, kind string, yr int, page int").select(
+        F.lit("record").alias("status"), "kind", "yr", "page", F.substring_index("raw", ",", 1).alias("name"), nothing.alias("points"), nothing.alias("qty")
+    )
+    missing = read_quarantine(spark, root, "pages", "reason string, kind string, yr int, page int").select(
+        F.col("reason").alias("status"), "kind", "yr", "page", F.lit(None).cast("string").alias("name"), nothing.alias("points"), nothing.alias("qty")
+    )
+    return union_lines([lines, records, missing])
+
+
 QUERIES: dict[str, Query] = {
     "trimmed_reconciliation": trimmed_reconciliation,
     "forecast_actual_join": forecast_actual_join,
@@ -449,4 +519,7 @@ QUERIES: dict[str, Query] = {
     "ridge_scores": ridge_scores,
     "relu_run_scores": relu_run_scores,
     "relu_run_summary": relu_run_summary,
+    "relu_pair_scores": relu_pair_scores,
+    "relu_pair_summary": relu_pair_summary,
+    "page_history": page_history,
 }

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seasonline.layouts import ACTUAL, PROJECTED, Layout
 from seasonline.plans.tables import stat_lines
 
 PART = "PART"
+PART_ID = "50"
 PART_LAYOUTS = {
     (PART, PROJECTED): Layout(PART, PROJECTED, ("Name", "Team", "Yr", "Bye", "Qty", "Lines", "FPts")),
     (PART, ACTUAL): Layout(
@@ -71,11 +72,13 @@ def _on_pages(sides: DataFrame) -> DataFrame:
     return sides.withColumn("page", F.floor(F.col("name") / NAMES_PER_PAGE).cast("int"))
 
 
-def stat_pages(sides: DataFrame) -> DataFrame:
+def stat_pages(sides: DataFrame, *, last_is_short: bool = False) -> DataFrame:
     """Ranking pages ``yr, pos, kind, page, html`` with the quirks of real ones.
 
-    The data table stands inside another table, with no-break-space cells, links, entities,
-    thousands commas and, for outcomes, the rank before the name.
+    The data table stands inside another table, with no-break-space cells, links, entities with and
+    without semicolon, a ">" in an attribute, a team's name in a table of its own, thousands commas
+    and, for outcomes, the rank before the name. With ``last_is_short`` the last record of each page lacks its
+    last cells.
     """
     def td(kind: str, text: Column | str) -> Column:
         mark = {PROJECTED: 'class="smallbody"', ACTUAL: "align=right class='sort1'"}[kind]
@@ -86,7 +89,7 @@ def stat_pages(sides: DataFrame) -> DataFrame:
     link = F.concat(F.lit('<a href="/players?x=1,2">'), name, F.lit("</a>"))
     rank = (F.col("name") % NAMES_PER_PAGE + 1).cast("string")
     forecast = F.concat(
-        td(PROJECTED, "&nbsp;"), td(PROJECTED, F.concat(F.lit(" "), link)), td(PROJECTED, brand),
+        td(PROJECTED, "&nbsp"), td(PROJECTED, F.concat(F.lit(" "), link)), td(PROJECTED, F.concat(F.lit("<table><tr><td title='>'>"), brand, F.lit("</td></tr></table>"))),
         td(PROJECTED, F.col("gp").cast("string")), td(PROJECTED, " "), td(PROJECTED, quantity),
         td(PROJECTED, count), td(PROJECTED, F.format_number("points", 2)),
     )
@@ -97,6 +100,10 @@ def stat_pages(sides: DataFrame) -> DataFrame:
     )
     row = F.concat(F.lit("<tr>"), F.when(F.col("kind") == PROJECTED, forecast).otherwise(outcome), F.lit("</tr>"))
     rows = _on_pages(sides).select("yr", F.lit(PART).alias("brand"), "kind", "page", "name", row.alias("row_html"))
+    if last_is_short:
+        # The text up to the second cell's end; the rest of the page then holds no further cell.
+        whole = F.max("name").over(Window.partitionBy("yr", "kind", "page")) > F.col("name")
+        rows = rows.withColumn("row_html", F.when(whole, F.col("row_html")).otherwise(F.regexp_replace("row_html", r"(?s)(<a .*?</a></td>).*", "$1</tr>")))
     head = F.lit(
         "<html><!-- <table width=100% cellpadding=2> --><table border=0><tr><td class=sort1>top</td><td>"
         "<table cellpadding='2' cellspacing=1 WIDTH=\"100%\">"
@@ -106,6 +113,35 @@ def stat_pages(sides: DataFrame) -> DataFrame:
     return pages.withColumnRenamed("brand", "pos")
 
 
+def fetched_pages(sides: DataFrame, load: int) -> DataFrame:
+    """``page_id, url, html`` of ranking pages as fetched, some of them in a second load again.
+
+    In both loads the last record of a page is short, every seventh page (from 3) is of an unknown
+    position and every seventh (from 5) has no table. The second load holds even pages of two seasons, with
+    the quantities doubled, and page 0 of one of them without any record.
+    """
+    if load == 2:
+        again = (F.col("yr").isin(1996, 1997)) & (F.floor(F.col("name") / NAMES_PER_PAGE) % 2 == 0)
+        sides = sides.where(again).withColumn("qty", F.col("qty") * 2)
+    pages = stat_pages(sides, last_is_short=True)
+    page = F.col("page")
+    head = F.when(F.col("kind") == PROJECTED, "rankings/list.php?").otherwise("stats/list.php?GameWeek=&")
+    url = F.concat(
+        F.lit("http://www.example.com/"),
+        head,
+        F.lit("PosID="),
+        F.when(page % 7 == 3, "99").otherwise(PART_ID),
+        F.lit("&Season="),
+        F.col("yr").cast("string"),
+        F.lit("&cur_page="),
+        page.cast("string"),
+    )
+    html = F.when(page % 7 == 5, "<p>not here</p>")
+    if load == 2:
+        html = html.when((page == 0) & (F.col("yr") == 1996), "<table width=100% cellpadding=2></table>")
+    return pages.select(F.xxhash64(url).alias("page_id"), url.alias("url"), html.otherwise(F.col("html")).alias("html"))
+
+
 def grid_pages(lines: DataFrame) -> DataFrame:
     """Pages ``yr, page, html`` that hold a plain table with a header row."""
     cells = [

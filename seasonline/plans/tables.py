@@ -15,8 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
+def _shipped(spark: SparkSession, sf_dir: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Line items shipped in a range of years, which is given to the scan as dates."""
+    items = table(spark, sf_dir, "lineitem")
+    kind = items.schema["l_shipdate"].dataType
+    if first is not None:
+        items = items.where(F.col("l_shipdate") >= F.lit(f"{first}-01-01").cast(kind))
+    if last is not None:
+        items = items.where(F.col("l_shipdate") < F.lit(f"{last + 1}-01-01").cast(kind))
+    return items.select(
         F.col("l_partkey").alias("name"),
         F.year("l_shipdate").alias("yr"),
         F.month("l_shipdate").alias("month"),
@@ -38,9 +45,9 @@ def _with_part(sums: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.join(parts, "name").withColumn("proj", F.col("qty") * F.col("p_retailprice")).drop("p_retailprice")
 
 
-def stat_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``name, pos, yr, gp, qty, lines, proj, act``: one row per part and year."""
-    sums = _shipped(spark, sf_dir).groupBy("name", "yr").agg(
+def stat_lines(spark: SparkSession, sf_dir: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """``name, pos, yr, gp, qty, lines, proj, act``: one row per part and year, of the given years."""
+    sums = _shipped(spark, sf_dir, first, last).groupBy("name", "yr").agg(
         _months().alias("gp"),
         F.sum("l_quantity").alias("qty"),
         F.count("*").alias("lines"),
@@ -63,17 +70,29 @@ def outcome_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forecasts joined to outcomes on name and season."""
-    return forecast_with_outcome(
-        forecast_lines(spark, sf_dir),
+    """Forecasts joined to outcomes on name and season; list prices come in last, by name."""
+    sold = _shipped(spark, sf_dir).groupBy("name", "yr").agg(F.sum("l_quantity").alias("qty"), F.count("*").alias("lines"))
+    joined = forecast_with_outcome(
+        sold,
         outcome_lines(spark, sf_dir),
         ["name", "yr"],
-        identifiers=["name", "pos", "yr"],
         exposure="gp",
-        stats=["qty", "lines", "proj"],
+        stats=["qty", "lines"],
         target="act",
         target_name="act",
     )
+    return _with_part(joined, spark, sf_dir).select("name", "pos", "yr", "gp", "qty", "lines", "proj", "act")
+
+
+def uneven_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Forecasts and outcomes that do not quite fit: each side lacks some names, and holds others twice."""
+    forecast, outcome = forecast_lines(spark, sf_dir), outcome_lines(spark, sf_dir)
+
+    def uneven(lines: DataFrame, lacks: int, doubles: int) -> DataFrame:
+        copies = F.when(F.col("name") % doubles == 0, 2).otherwise(1)
+        return lines.where(F.col("name") % lacks != 0).withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+
+    return uneven(forecast, 11, 7), uneven(outcome, 13, 5)
 
 
 def with_errors(lines: DataFrame) -> DataFrame:

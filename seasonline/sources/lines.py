@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasonline.layouts import KINDS, LAYOUTS, POSITIONS, PROJECTED, Layout
-from seasonline.operators.conform import LayoutMap, conform
+from seasonline.operators.conform import LayoutMap, comma_cells, conform
 from seasonline.operators.reconcile import FULL_SEASON, in_seasons, with_full_exposure
 
 # Where the files of a season, of a range of seasons and of the season to be
@@ -44,9 +44,12 @@ def read_stat_lines(spark: SparkSession, paths: str | Sequence[str], layouts: La
 
 
 def from_comma_text(lines: DataFrame, layouts: LayoutMap = LAYOUTS, *, text: str = "value") -> DataFrame:
-    """Typed stat lines from comma text with ``pos``, ``kind`` and ``season_hint`` columns."""
+    """Typed stat lines from comma text with ``pos``, ``kind`` and ``season_hint`` columns.
+
+    Cells may be quoted. Blank lines are no records.
+    """
     kept = [c for c in lines.columns if c != text]
-    records = lines.where(F.trim(text) != "").select(*kept, F.split(text, ",", -1).alias("record"))
+    records = lines.where(F.trim(text) != "").select(*kept, comma_cells(F.col(text)).alias("record"))
     return conform(records, layouts)
 
 

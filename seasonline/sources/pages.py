@@ -36,10 +36,12 @@ def kind_of(url: Column, kinds: Mapping[str, str] = KIND_BY_PATH) -> Column:
     return kind
 
 
-def with_url_facets(pages: DataFrame, *, url: str = "url") -> DataFrame:
-    """``pages`` with ``pos``, ``yr``, ``page`` and ``kind`` read from the URL."""
+def with_url_facets(
+    pages: DataFrame, *, url: str = "url", position_ids: Mapping[str, str] = POSITION_IDS
+) -> DataFrame:
+    """``pages`` with ``pos``, ``yr``, ``page`` and ``kind`` read from the URL; NULL where it does not say."""
     u = F.col(url)
-    position = F.create_map(*[F.lit(x) for pair in POSITION_IDS.items() for x in pair])
+    position = F.create_map(*[F.lit(x) for pair in position_ids.items() for x in pair])
     return pages.withColumns(
         {
             "pos": F.try_element_at(position, query_value(u, POSITION_KEY)),

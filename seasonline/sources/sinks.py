@@ -22,16 +22,19 @@ def write_partitioned(
     file_format: str = "parquet",
     options: Mapping[str, str] | None = None,
     rows_per_file: int = ROWS_PER_FILE,
+    whole: bool = False,
 ) -> None:
     """Write ``df`` below ``path``, one folder per value of ``by``.
 
+    Folders that ``df`` has no rows for stay as they are, or go if ``df`` is the ``whole`` table.
+
     ``rebalance`` gathers a folder's rows into few files, and at run time splits a folder
     that holds far more rows than the others over several tasks.
     """
     writer = (
         df.hint("rebalance", *[F.col(f"`{c}`") for c in by])
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy(*by)
     )

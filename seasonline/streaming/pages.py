@@ -30,16 +30,22 @@ def load_new_pages(
     checkpoint: str,
     *,
     by: Sequence[str] = (),
+    page_keys: Sequence[str] = (),
+    loads: str | None = None,
 ) -> None:
     """Process all pages not seen before, then stop.
 
     Each micro-batch writes its own ``load_id`` partition, so a batch that is replayed after
-    a failure replaces itself and touches nothing else.
+    a failure replaces itself and touches nothing else. With ``loads`` the keys of every page of
+    the batch are written there too, whether the page has lines or not.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         lines = to_lines(batch).withColumn(LOAD, F.lit(batch_id))
         write_partitioned(lines, path, [LOAD, *by])
+        if loads is not None:
+            seen = batch.select(*page_keys).distinct().withColumn(LOAD, F.lit(batch_id))
+            write_partitioned(seen, loads, [LOAD])
 
     query = (
         pages.writeStream.foreachBatch(write)
@@ -50,7 +56,11 @@ def load_new_pages(
     query.awaitTermination()
 
 
-def latest_loads(lines: DataFrame, page_keys: Sequence[str]) -> DataFrame:
-    """Lines of the newest load of each page: a page fetched again replaces its older lines."""
-    newest = lines.groupBy(*page_keys).agg(F.max(LOAD).alias(LOAD))
+def latest_loads(lines: DataFrame, page_keys: Sequence[str], loads: DataFrame | None = None) -> DataFrame:
+    """Lines of the newest load of each page: a page fetched again replaces its older lines.
+
+    ``loads`` lists the loads of each page; without it they are taken from the lines, and a page whose
+    newest load has no lines keeps its older ones.
+    """
+    newest = (lines if loads is None else loads).groupBy(*page_keys).agg(F.max(LOAD).alias(LOAD))
     return lines.join(newest, [*page_keys, LOAD], "left_semi")

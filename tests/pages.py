@@ -11,7 +11,8 @@ class _Cells(HTMLParser):
     def __init__(self, cell_class):
         super().__init__(convert_charrefs=True)
         self.cell_class, self.depth, self.done, self.found = cell_class, 0, False, False
-        self.cells, self.open = [], False
+        # Open cells as (number, depth of their table).
+        self.cells, self.open = [], []
 
     def handle_starttag(self, tag, attrs):
         attrs = dict(attrs)
@@ -20,22 +21,22 @@ class _Cells(HTMLParser):
             if self.depth or (wanted and not self.done):
                 self.depth += 1
                 self.found = True
-        if tag in ("td", "th", "tr", "table"):
-            self.open = False
+        if tag in ("td", "th", "tr"):
+            self.open = [c for c in self.open if c[1] < self.depth]
         if tag == "td" and self.depth and self.cell_class in (attrs.get("class") or "").split():
-            self.open = True
+            self.open.append((len(self.cells), self.depth))
             self.cells.append("")
 
     def handle_endtag(self, tag):
         if tag in ("td", "th", "tr", "table"):
-            self.open = False
+            self.open = [c for c in self.open if c[1] < self.depth]
         if tag == "table" and self.depth:
             self.depth -= 1
             self.done = self.done or not self.depth
 
     def handle_data(self, data):
-        if self.open:
-            self.cells[-1] += data
+        for number, _ in self.open:
+            self.cells[number] += data
 
 
 def expected_records(html, cell_class, width, season, outcome):
@@ -93,5 +94,17 @@ PAGES = {
     "in a comment": ("TE", "projected", "<!-- " + table([["no"]], "smallbody") + " -->" + table(TE_ROWS, "smallbody")),
     "in a script": ("TE", "projected", "<script>var t='" + table([["no"]], "smallbody") + "';</script>" + table(TE_ROWS, "smallbody")),
     "entities": ("TE", "projected", table([["A&amp;B &eacute;&lt;&unknown; &#x1F600;", "K&nbsp;C", *TE_ROWS[0][2:]]], "smallbody")),
+    "sign in an attribute": ("TE", "projected", table([["<i title='a>b'>Al</i>", *TE_ROWS[0][1:]]], 'smallbody" title="x>y').replace("<td class", "<td data-x='1>0' class")),
+    "references without semicolon": ("TE", "projected", table([["A&nbspB &amp C &ngeq; &notit; &copy2", *TE_ROWS[0][1:]], ["&nbsp", "&#160", "&#65&#x42", *TE_ROWS[1][1:]]], "smallbody")),
+    "text after an inner table": (
+        "TE",
+        "projected",
+        table([["Al <table><tr><td>B.</td><td class=smallbody>in</td></tr></table> tail", "KC", *TE_ROWS[0][2:-1]]], "smallbody"),
+    ),
+    "tables in tables in cells": (
+        "TE",
+        "projected",
+        table([["<table><tr><td><table><tr><td>deep<tr><td class='smallbody x'>er</table>est</table>", "KC"] * 4], "smallbody"),
+    ),
     "quarterback": ("QB", "projected", table([["Q", "KC", *map(str, range(10))]] * 3, "smallbody")),
 }

@@ -51,6 +51,23 @@ def test_scans_read_only_what_is_needed(spark, sf_dir):
     ]
 
 
+def test_seasons_reach_the_scan_as_dates(spark, sf_dir):
+    for query in (q.exposure_rescale, q.ridge_scores):
+        plan = plan_of(t.stat_lines(spark, sf_dir, 1996, 1999)) if query is q.exposure_rescale else plan_of(t.stat_lines(spark, sf_dir, last=2000))
+        assert re.search(r"PushedFilters: \[[^\]]*LessThan\(l_shipdate", plan)
+    assert "GreaterThanOrEqual(l_shipdate" in plan_of(q.exposure_rescale(spark, sf_dir))
+
+
+def test_prices_are_joined_after_the_two_sides(spark, sf_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(t.matched(spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # By (name, yr) for each side, by name for what was joined, and for the parts.
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 4
+
+
 def test_rows_are_not_shuffled_to_meet_small_statistics(errors):
     kept = keep_within(errors, "e", iqr_fence(errors, "e", ["pos"]), ["pos"])
     plan = plan_of(kept)

@@ -10,6 +10,7 @@ from seasonline.operators.regression import (
     score_relu_runs,
     score_ridge,
     score_summary,
+    sine_layer,
 )
 
 
@@ -69,14 +70,14 @@ def direct_relu(x, y, run, units, penalty):
     return h, np.linalg.solve(h.T @ h + ridge, h.T @ y)
 
 
-@pytest.mark.parametrize("bytes_limit", [10**9, 0])
-def test_relu_runs_against_a_direct_solve(frame, data, bytes_limit):
+@pytest.mark.parametrize("salts", [None, 1, 5])
+def test_relu_runs_against_a_direct_solve(frame, data, salts):
     units, runs, penalty = 8, 3, 0.5
     models = fit_relu_runs(frame, ["a", "b"], "y", ["g"], runs=runs, units=units, penalty=penalty)
     assert {(r["g"], r["run"]): r["n"] for r in models.collect()} == {
         (g, run): len(y) for g, (_, y) in data.items() for run in range(runs)
     }
-    scores = score_relu_runs(frame, models, ["a", "b"], ["g"], keep=["i"], units=units, bytes_limit=bytes_limit)
+    scores = score_relu_runs(frame, models, ["a", "b"], ["g"], keep=["i"], units=units, salts=salts)
     assert scores.columns == ["g", "i", "run", "prediction"]
     got = {(r["g"], r["run"], r["i"]): r["prediction"] for r in scores.collect()}
     assert len(got) == runs * sum(len(y) for _, y in data.values())
@@ -87,6 +88,50 @@ def test_relu_runs_against_a_direct_solve(frame, data, bytes_limit):
                 assert got[g, run, i] == pytest.approx(p, abs=1e-6)
 
 
+def test_rows_without_a_model_keep_their_place(spark, frame):
+    models = fit_relu_runs(frame, ["a", "b"], "y", ["g"], runs=2, units=4)
+    rows = [("tiny", 1, 0.5, 0.5), ("new", 2, 0.5, 0.5), (None, 3, 0.5, 0.5), ("hot", 4, None, 0.5)]
+    df = spark.createDataFrame(rows, "g string, i int, a double, b double")
+    scores = score_relu_runs(df, models, ["a", "b"], ["g"], keep=["i"], units=4)
+    got = {(r["i"], r["run"]): r["prediction"] for r in scores.collect()}
+    assert set(got) == {(i, run) for i in (1, 2, 3, 4) for run in (0, 1)}
+    assert all((p is not None) == (i == 1) for (i, _), p in got.items())
+    ridge = score_ridge(df, fit_ridge(frame, ["a", "b"], "y", ["g"]), ["a", "b"], ["g"])
+    assert {r["i"] for r in ridge.where("prediction IS NOT NULL").collect()} == {1}
+
+
+def test_rows_without_a_group_are_not_fitted(spark, frame):
+    more = frame.unionByName(spark.createDataFrame([(None, 1, 1.0, 1.0, 1.0)] * 5, frame.schema))
+    models = fit_relu_runs(more, ["a", "b"], "y", ["g"], runs=1, units=3)
+    assert {r["g"] for r in models.collect()} == {"hot", "cold", "tiny"}
+
+
+def test_a_task_sends_the_sums_of_each_group_once(spark, monkeypatch):
+    """A thousand groups in any order: sums are as many as tasks times groups at most."""
+    df = spark.range(6000).select((F.col("id") * 7919 % 1000).alias("g"), F.rand(1).alias("x"), F.rand(2).alias("y")).repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    try:
+        models = fit_relu_runs(df, ["x"], "y", ["g"], runs=1, units=2)
+        plan = models._jdf.queryExecution().optimizedPlan()
+        assert "Sort [g" in plan.toString() and "MapInPandas" in plan.toString()
+        while plan.nodeName() != "MapInPandas":
+            plan = plan.children().head()
+        sent = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plan).count()
+        assert 1000 <= sent <= 3 * 1000
+        assert {r["g"]: r["n"] for r in models.collect()} == {g: 6 for g in range(1000)}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_layers_by_formula(frame, data):
+    models = fit_relu_runs(frame, ["a", "b"], "y", ["g"], runs=2, units=2, penalty=1.0, layer=sine_layer)
+    x, y = data["cold"]
+    for r in models.where("g = 'cold'").collect():
+        w, b = sine_layer(r["run"], 2, 2)
+        h = np.hstack([np.ones((len(x), 1)), np.maximum(x @ w + b, 0)])
+        assert r["weights"] == pytest.approx(list(np.linalg.solve(h.T @ h + np.diag([0, 1.0, 1.0]), h.T @ y)))
+
+
 def test_relu_without_groups_beats_a_constant(frame, data):
     train = frame.where("g = 'hot'")
     models = fit_relu_runs(train, ["a", "b"], "y", runs=2, units=20)

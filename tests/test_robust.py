@@ -49,6 +49,15 @@ def test_a_poor_sketch_changes_nothing(spark):
     check(spark, {"a": [rnd.gauss(0, 1) ** 3 for _ in range(4000)], "b": list(range(999))}, accuracy=5, slices=3)
 
 
+def test_one_far_outlier_is_sliced_off(spark):
+    """Nearly all rows fall into the slice beside the outlier; it is sliced again until it is small."""
+    rnd = random.Random(7)
+    groups = {"far": [rnd.random() for _ in range(5000)] + [1e12], "both": [-1e15, *[rnd.gauss(0, 1) for _ in range(3000)], 1e9], "same": [2.0] * 4000 + [9e9]}
+    for qs in ((0.001,), (0.0, 0.001, 0.5, 0.999, 1.0)):
+        check(spark, groups, qs, slice_rows=20)
+        check(spark, groups, qs, slice_rows=20, slices=3, accuracy=10)
+
+
 def test_input_in_order_of_value(spark):
     values = [float(v) ** 2 for v in range(3000)]
     df = spark.createDataFrame([("a", v) for v in values], "g string, v double").repartitionByRange(9, "v")

@@ -2,8 +2,9 @@ import os
 
 from conftest import rows
 from pages import TE_ACTUAL, TE_ROWS, table
+from pyspark.sql import functions as F
 
-from seasonline.plans.history import build_history, build_scoring_season, history_quality, read_history
+from seasonline.plans.history import build_history, build_scoring_season, history_quality, read_history, read_quarantine
 from seasonline.sources.lines import from_comma_text, read_stat_lines
 from seasonline.sources.sinks import write_grid, write_master, write_scores, write_season_text, write_seasons
 from seasonline.streaming.pages import latest_loads, load_new_pages, stream_pages
@@ -85,16 +86,43 @@ def test_history_from_pages(spark, tmp_path):
     path = str(tmp_path / "history")
     build_history(fetched(spark), path, 2015, 2015)
     lines = read_history(spark, path, 2010, 2020)
+    assert "width_ok" not in lines.columns
     assert rows(lines.groupBy("Yr", "kind").count()) == [(2014, "projected", 2), (2015, "actual", 2), (2015, "projected", 3)]
     one = lines.where("Yr = 2015 and kind = 'actual' and Name = 'Al Bo Jr'").first()
     assert (one["GP"], one["Rec"], one["Rec Yds"], one["FPts"], one["pos"], one["page"]) == (16, 80.0, 1024.0, 200.5, "TE", 0)
     assert spark.read.parquet(f"{path}/masters/2015-2015").count() == 5
-    assert rows(spark.read.parquet(f"{path}/quarantine").select("page_id")) == [(5,)]
+    assert rows(spark.read.parquet(f"{path}/quarantine/pages").select("page_id", "reason")) == [(5, "no table")]
     quality = {tuple(r)[:4]: tuple(r)[4:] for r in history_quality(fetched(spark)).collect()}
     assert quality[2015, "TE", "projected", 0] == (1, 0, 0, 14)
     assert quality[2014, "TE", "actual", 0] == (1, 1, 0, 0) and quality[2013, "TE", "actual", 0] == (1, 1, 1, 0)
 
 
+def test_nothing_is_lost_between_pages_and_history(spark, tmp_path):
+    """Unknown pages, short records and a second load: every row is stored or in quarantine."""
+    path = str(tmp_path / "history")
+    odd = [
+        (6, url("projected", 2015, 0).replace("PosID=40", "PosID=77"), table(TE_ROWS, "smallbody")),
+        (7, "http://www.example.com/other", table(TE_ROWS, "smallbody")),
+        (8, None, table(TE_ROWS, "smallbody")),
+        (9, url("projected", 2016, 0), table([TE_ROWS[0], ["Zed, Jr", "SD", "5"]], "smallbody")),
+    ]
+    pages = fetched(spark).unionByName(spark.createDataFrame(odd, "page_id long, url string, html string"))
+    build_history(pages, path, 2015, 2015)
+    missing = spark.read.parquet(f"{path}/quarantine/pages").select("page_id", "reason")
+    assert rows(missing) == [(5, "no table"), (6, "unknown page"), (7, "unknown page"), (8, "unknown page")]
+    records = read_quarantine(spark, path, "records", "yr int, pos string, kind string, page int, raw string")
+    assert rows(records) == [(2016, "TE", "projected", 0, "Zed Jr,SD,2016.0,5.0")]
+    before = rows(read_history(spark, path, 2010, 2020).select("Yr", "kind", "page", "Name"))
+    assert len(before) == 2 + 2 + 1 + 2 + 1
+
+    again = [(1, url("projected", 2015, 1), table([TE_ROWS[1]], "smallbody")), (2, url("actual", 2015, 0), table([], "sort1"))]
+    build_history(spark.createDataFrame(again, "page_id long, url string, html string"), path, 2015, 2015)
+    after = rows(read_history(spark, path, 2010, 2020).select("Yr", "kind", "page", "Name"))
+    changed = [r for r in before if r[:3] not in ((2015, "projected", 1), (2015, "actual", 0))]
+    assert after == sorted([*changed, (2015, "projected", 1, "Cy D'Oh")])
+    assert spark.read.parquet(f"{path}/masters/2015-2015").count() == 3
+
+
 def test_history_prunes_seasons(spark, tmp_path):
     path = str(tmp_path / "history")
     build_history(fetched(spark), path, 2014, 2015)
@@ -123,3 +151,15 @@ def test_stream_reads_each_file_once_and_newer_pages_win(spark, tmp_path):
     stored = load()
     assert stored.count() == 4
     assert rows(latest_loads(stored, ["page"]).select("page", "text")) == [(0, "new"), (1, "same"), (2, "more")]
+
+
+def test_a_page_that_became_empty_loses_its_lines(spark, tmp_path):
+    source, sink, progress, loads = (str(tmp_path / d) for d in ("source", "sink", "progress", "loads"))
+    for text in ("a b", ""):
+        spark.createDataFrame([(0, text), (1, "c")], "page int, text string").coalesce(1).write.mode("append").parquet(source)
+        pages = stream_pages(spark, source, "page int, text string")
+        words = lambda batch: batch.select("page", F.explode(F.split("text", " ")).alias("w")).where("w <> ''")
+        load_new_pages(pages, words, sink, progress, page_keys=["page"], loads=loads)
+    stored = spark.read.parquet(sink)
+    assert rows(latest_loads(stored, ["page"]).select("page", "w")) == [(0, "a"), (0, "b"), (1, "c")]
+    assert rows(latest_loads(stored, ["page"], spark.read.parquet(loads)).select("page", "w")) == [(1, "c")]

@@ -3,7 +3,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from seasonline.layouts import ACTUAL, ACTUAL_FIELDS, LAYOUTS, POSITIONS, PROJECTED, PROJECTED_FIELDS, all_fields, stat_list
-from seasonline.operators.conform import conform, position_frame
+from seasonline.functions.numbers import float_text
+from seasonline.operators.conform import comma_cells, comma_line, conform, position_frame
 from seasonline.plans.training import full_season_errors, matched_lines, train_and_score, training_frame
 from seasonline.sources.lines import (
     from_comma_text,
@@ -14,6 +15,7 @@ from seasonline.sources.lines import (
     union_lines,
 )
 from seasonline.sources.pages import with_url_facets
+from seasonline.sources.sinks import write_season_text
 
 
 def write(path, lines):
@@ -88,6 +90,62 @@ def test_malformed_records_are_marked_not_dropped(spark):
     assert lines.count() == 3 and lines.where("not width_ok").count() == 2
 
 
+def test_malformed_records_keep_their_text(spark):
+    records = [
+        (["Bo", "SD", "5", "70", "900", "4", "1.5"], True, "Bo,SD,5,70,900,4,1.5"),
+        (["Bo", "SD", "2015.0", "5", "70", "900", "4"], None, "Bo,SD,2015.0,5,70,900,4"),
+        (["Bo, Jr", 'a "b"', "5"], None, '"Bo, Jr","a ""b""",5'),
+        (["Bo", "SD", "5", "70", "900", "4", "1.5"], None, None),
+        (["Bo", "SD", "2015", "5", "70", "900", "4", "1.5"], True, None),
+        (["Bo", "SD", "2015", "5", "70", "900", "4", "1.5"], False, "Bo,SD,2015,5,70,900,4,1.5"),
+    ]
+    for record, included, raw in records:
+        df = spark.createDataFrame([("TE", "projected", 2015, record)], "pos string, kind string, season_hint int, record array<string>")
+        r = conform(df, season_included=included).first()
+        assert (r["raw"], r["width_ok"]) == (raw, raw is None), record
+        assert (r["Name"], r["Yr"], r["FPts"]) == ((None, None, None) if raw else ("Bo", 2015, 1.5))
+
+
+def test_comma_cells_are_the_reverse_of_comma_line(spark):
+    cells = [["a", "b"], ["", "a,b", "", 'q"q', '"x"', ""], ["x\ny", " s "], [""], ['6" rule', "z"], [",", '""']]
+    df = spark.createDataFrame([(c,) for c in cells], "c array<string>")
+    assert [r[0] for r in df.select(comma_cells(comma_line(F.col("c")))).collect()] == cells
+    loose = spark.createDataFrame([('a,6" x,"open',)], "t string")
+    assert loose.select(comma_cells(F.col("t"))).first()[0] == ["a", '6" x', '"open']
+
+
+def test_all_layouts_survive_writing_with_generated_code(spark, tmp_path):
+    """Names with commas and quotes, large and tiny numbers; no fall-back to interpreted evaluation."""
+    rows_in = []
+    for (pos, kind), layout in LAYOUTS.items():
+        for i, name in enumerate(["Bo, Jr", 'Al "Ace" Z', "Plain"]):
+            cells = [name, "SD", "2015.0", "7.0", *[str(12345678.0 + j + i) for j in range(layout.width - 4)]]
+            cells[-1] = "0.0005"
+            rows_in.append((pos, kind, None, cells))
+    df = spark.createDataFrame(rows_in, "pos string, kind string, season_hint int, record array<string>")
+    settings = {"spark.sql.codegen.fallback": "false", "spark.sql.codegen.factoryMode": "CODEGEN_ONLY"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        lines = conform(df)
+        assert lines.where("width_ok").count() == len(rows_in)
+        write_season_text(lines, str(tmp_path / "a"))
+        back = read_stat_lines(spark, str(tmp_path / "a"))
+        write_season_text(back, str(tmp_path / "b"))
+        assert rows(read_stat_lines(spark, str(tmp_path / "b"))) == rows(back) == rows(lines.select(back.columns))
+        text = [r["value"] for r in spark.read.text(str(tmp_path / "b")).collect()]
+        assert any(t.startswith('"Bo, Jr",SD,2015.0,7.0,12345678.0') for t in text) and not any("E7" in t for t in text)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_float_notation(spark):
+    values = [0.0, 1.0, -1.5, 1e7, 5e-4, 1e-4, 9.99e-5, 1e15, 1e16, 1.5e16, 1e22, 1e100, 1.2345678901234567e-4, 1e-300, float("inf"), -2.5e-7]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r[0] for r in df.select(float_text(F.col("v"))).collect()] == [repr(v) for v in values]
+
+
 def test_text_that_is_no_number_is_null(spark):
     data = [("TE", "projected", None, ["A", "X ", "2010.0", "-", "1.0d", "nan", "-3", " 4 \r"])]
     r = conform(spark.createDataFrame(data, "pos string, kind string, season_hint int, record array<string>")).first()
