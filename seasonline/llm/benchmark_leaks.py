@@ -12,6 +12,7 @@ shingle of the document is one of an item's, at the place that puts the two shin
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,13 +36,13 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def shingles_of(words: Column) -> Column:
+def shingles_of(words: Column, length: int = SHINGLE) -> Column:
     """Hashes of the word shingles in order; a shorter sequence is one shingle, an empty one has none."""
     return _let(
         words,
         lambda ws: F.when(
             F.size(ws) > 0,
-            F.transform(F.sequence(F.lit(1), F.greatest(F.size(ws) - (SHINGLE - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(ws, i, SHINGLE))),
+            F.transform(F.sequence(F.lit(1), F.greatest(F.size(ws) - (length - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(ws, i, length))),
         ).otherwise(F.array().cast("array<bigint>")),
     )
 
@@ -118,8 +119,14 @@ def find_leaks(
         "item-shingles",
     )
     slim = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).alias("text"))
-    held = slim.select("doc", "mark", F.posexplode(shingles_of(words_of(F.col("text")))).alias("place", "shingle"))
     few = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    # Items of fewer words than a shingle are looked for by as many; there are five lengths at most.
+    lengths = [r["n"] for r in items.select(F.least("n", F.lit(SHINGLE)).alias("n")).distinct().collect()]
+    places = [
+        slim.select("doc", "mark", F.posexplode(shingles_of(words_of(F.col("text")), length)).alias("place", "shingle"))
+        for length in sorted(lengths) or [SHINGLE]
+    ]
+    held = reduce(DataFrame.unionByName, places)
     windows = staged(
         held.join(few, "shingle").select("doc", "mark", (F.col("place") - F.col("offset")).alias("start"), "n").distinct(),
         "windows",
