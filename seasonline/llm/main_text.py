@@ -54,9 +54,9 @@ _GOOD_NAMES = re.compile(
     r"(?i)(?:^|[\W_])(?:article\w*|content|main|post|entry|story|body|text|articlebody|post-body)(?:$|[\W_])"
 )
 _FEATURES = (
-    "bias main_tag side_tag heading prose list bad_name good_name length link_share all_link_share sentences share".split()
+    "bias main_tag side_tag heading prose list bad_name good_name length link_share all_link_share sentences share inside".split()
 )
-_PRIOR = np.array([-0.5, 2.0, -4.0, 0.3, 0.6, -0.2, -4.0, 1.5, 0.5, -1.5, -1.0, 0.5, 0.5])
+_PRIOR = np.array([-0.5, 2.0, -4.0, 0.3, 0.6, -0.2, -4.0, 1.5, 0.5, -1.5, -1.0, 0.5, 0.5, -6.0])
 _PRIOR_PAIRS = np.array([[1.0, -0.5], [-1.0, 1.5]])  # [parent, child]
 
 _TOKEN = re.compile(
@@ -175,6 +175,7 @@ def node_features(page: Page) -> np.ndarray:
     for node in range(n - 1, 0, -1):
         whole[page.parents[node]] += whole[node]
         all_linked[page.parents[node]] += all_linked[node]
+    inside = [False] * n
     x = np.zeros((n, len(_FEATURES)))
     x[:, 0] = 1
     for node, (tag, names) in enumerate(zip(page.tags, page.names, strict=True)):
@@ -186,6 +187,9 @@ def node_features(page: Page) -> np.ndarray:
         if names and tag not in ("html", "body"):
             x[node, 6] = _BAD_NAMES.search(names) is not None
             x[node, 7] = _GOOD_NAMES.search(names) is not None and not x[node, 6]
+        # Within navigation, forms, comments and the like, however deep.
+        inside[node] = bool(node and inside[page.parents[node]] or x[node, 2] or x[node, 6])
+        x[node, 13] = inside[node]
     x[:, 8] = np.log1p(own) / 5
     x[:, 9] = linked / np.maximum(own, 1)
     x[:, 10] = all_linked / np.maximum(whole, 1)
