@@ -152,7 +152,9 @@ def without_repeated_spans(
     places = staged(places.join(twice, "low", "left_semi"), "places")
     place = F.struct("doc", "mark", "first")
     firsts = places.groupBy("low", "high").agg(F.min(place).alias("kept"), F.max(place).alias("other"))
-    later = places.join(firsts.where("kept != other"), ["low", "high"]).where(~place.eqNullSafe(F.col("kept")))
+    # Staged, so that the join below has plain shuffles on both sides: only then is a hot span split.
+    firsts = staged(firsts.where("kept != other").drop("other"), "firsts")
+    later = places.join(firsts, ["low", "high"]).where(~place.eqNullSafe(F.col("kept")))
     cover, its_doc, its_mark = (free_name(named, c) for c in ("cover", "its_doc", "its_mark"))
     # As many ranges as the document has spans at most; equal ranges are put together before the shuffle.
     covers = later.groupBy(F.col("doc").alias(its_doc), F.col("mark").alias(its_mark)).agg(
