@@ -23,7 +23,6 @@ ACTUAL_FIELDS = {
     "TE": ("Name", "Team", "Yr", "GP", "Rec Tgts", "Rec", "Rec Yds", "Rec TDs", "FPts", "FPPG"),
 }
 POSITION_IDS = {"10": "QB", "20": "RB", "30": "WR", "40": "TE"}
-PAGES_PER_POSITION = {"QB": 2, "RB": 3, "WR": 3, "TE": 3}
 TABLE_ATTRIBUTES = {"width": "100%", "cellpadding": "2"}
 CELL_CLASS = {PROJECTED: "smallbody", ACTUAL: "sort1"}
 OLD_CELL_CLASS = {PROJECTED: "sort1", ACTUAL: "sort1"}

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seasonline.functions.html import bind
 from seasonline.functions.numbers import float_text, number, whole_number
 from seasonline.layouts import LAYOUTS, Layout, all_fields
 
@@ -129,8 +130,9 @@ def comma_text(
         F.array(*[F.col(f"`{f}`").cast("string") for f in texts]).cast("array<string>"),
         F.transform(F.array(*[F.col(f"`{f}`").cast("double") for f in numbers]).cast("array<double>"), float_text),
     )
-    spread = lines.withColumn("_written", written).withColumn("_places", _by_layout(layouts, position, kind, places))
-    value = comma_line(F.transform("_places", lambda at: F.coalesce(F.get(F.col("_written"), at), F.lit(""))))
+    wanted = _by_layout(layouts, position, kind, places)
+    # Bound, or the optimiser would work all fields out again for each place.
+    value = bind(written, lambda ws: comma_line(F.transform(wanted, lambda at: F.coalesce(F.get(ws, at), F.lit("")))))
     if "raw" in lines.columns:
         value = F.coalesce(F.col("raw"), value)
-    return spread.withColumn(text, value).drop("_written", "_places")
+    return lines.withColumn(text, value)

@@ -137,38 +137,100 @@ def records_from_tables(
     return rows.withColumn("record", F.transform(named, number_or_text))
 
 
+_ROW = r"(?is)<tr\b[^>]*>(.*?)(?=</?(?:tr|table|tbody|thead|tfoot)\b|\z)"
+_CELL = r"(?is)(<t[dh]\b.*?)(?=</?t[dh]\b|\z)"
+_SPAN = r"(?is)^<t[dh]\b[^>]*\s{}\s*=\s*[\"']?([0-9]+)"
+
+
 def table_rows(pages: DataFrame, keys: Sequence[str], *, html: str = "table_html") -> DataFrame:
-    """Every row of a table, header rows included: ``row_no`` and ``cells`` of (is_header, text).
+    """Every row of a table, header rows included: ``row_no``, ``in_head`` and ``cells`` of (is_header, text).
 
-    A cell that spans several columns is repeated in each of them.
+    A cell that spans several columns or rows is repeated in each of them, as far as the table goes.
+    ``in_head`` marks the header rows a table begins with; a header row further down is not among them.
     """
-    row = r"(?is)<tr\b[^>]*>(.*?)(?=</?(?:tr|table|tbody|thead|tfoot)\b|\z)"
-    cell = r"(?is)(<t[dh]\b.*?)(?=</?t[dh]\b|\z)"
-    span = r"(?is)^<t[dh]\b[^>]*\scolspan\s*=\s*[\"']?([0-9]+)"
+
+    def span(tag: Column, name: str) -> Column:
+        width = F.regexp_extract(tag, _SPAN.format(name), 1).try_cast("int")
+        return F.greatest(F.coalesce(width, F.lit(1)), F.lit(1))
 
     def single(tag: Column, text: Column) -> Column:
         return F.struct((F.lower(F.substring(tag, 2, 2)) == "th").alias("is_header"), text.alias("text"))
 
-    def spread(tag: Column, text: Column) -> Column:
-        width = F.regexp_extract(tag, span, 1).try_cast("int")
-        # HTML takes any span above 1000 as 1000.
-        width = F.least(F.greatest(F.coalesce(width, F.lit(1)), F.lit(1)), F.lit(1000))
-        return F.array_repeat(single(tag, text), width)
-
-    rows = pages.select(
-        *keys, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(row), F.lit(1))).alias("row_no", "_row")
+    def spanning(tag: Column, text: Column) -> Column:
+        below = (span(tag, "rowspan") - 1).alias("below")
+        cell = F.struct((F.lower(F.substring(tag, 2, 2)) == "th").alias("is_header"), text.alias("text"), below)
+        return F.array_repeat(cell, span(tag, "colspan"))
+
+    def texts(tags: Column) -> Column:
+        return F.transform(H.plain_texts(tags), lambda t: F.btrim(t, F.lit(" \t\r\n")))
+
+    def tags_of(row: Column) -> Column:
+        return F.regexp_extract_all(row, F.lit(_CELL), F.lit(1))
+
+    def plain(rows: Column) -> Column:
+        return F.transform(F.transform(rows, tags_of), lambda tags: F.zip_with(tags, texts(tags), single))
+
+    def spread(rows: Column) -> Column:
+        own = F.transform(F.transform(rows, tags_of), lambda tags: F.zip_with(tags, texts(tags), spanning))
+        placed = F.aggregate(own, F.array().cast(_PLACED), lambda done, row: F.concat(done, F.array(_placed(done, row))))
+        return F.transform(placed, lambda line: F.transform(line, lambda c: F.struct(c["is_header"].alias("is_header"), c["text"].alias("text"))))
+
+    found = pages.select(*keys, F.regexp_extract_all(F.col(html), F.lit(_ROW), F.lit(1)).alias("_rows"))
+    # Only a table with spans needs to be laid out cell by cell.
+    spans = F.exists("_rows", lambda row: row.rlike(r"(?i)\s(?:col|row)span"))
+    cells = F.when(spans, spread(F.col("_rows"))).otherwise(plain(F.col("_rows")))
+    head = F.aggregate(
+        "_cells",
+        F.struct(F.lit(0).alias("n"), F.lit(True).alias("open")),
+        lambda s, row: F.struct(
+            (s["n"] + F.when(s["open"] & F.forall(row, lambda c: c["is_header"]), 1).otherwise(0)).alias("n"),
+            (s["open"] & F.forall(row, lambda c: c["is_header"])).alias("open"),
+        ),
+        lambda s: s["n"],
     )
-    tags = rows.select(
-        *keys,
-        "row_no",
-        F.col("_row").rlike(r"(?i)\scolspan").alias("_spans"),
-        F.regexp_extract_all("_row", F.lit(cell), F.lit(1)).alias("_tags"),
-    )
-    texts = F.transform(H.plain_texts(F.col("_tags")), lambda t: F.btrim(t, F.lit(" \t\r\n")))
-    cells = F.when(F.col("_spans"), F.flatten(F.zip_with("_tags", "_texts", spread))).otherwise(
-        F.zip_with("_tags", "_texts", single)
+    laid = found.select(*keys, cells.alias("_cells")).select(*keys, head.alias("_head"), F.posexplode("_cells").alias("row_no", "cells"))
+    return laid.select(*keys, "row_no", (F.col("row_no") < F.col("_head")).alias("in_head"), "cells")
+
+
+_PLACED = "array<array<struct<is_header:boolean,text:string,below:int>>>"
+
+
+def _placed(done: Column, row: Column) -> Column:
+    """A row's cells in their columns, between those that reach down from the row before.
+
+    ``done`` holds the rows so far; ``below`` of a cell says how many further rows it reaches into.
+    """
+    above = F.coalesce(F.get(done, F.size(done) - 1), F.array().cast(_PLACED[6:-1]))
+    hanging = F.transform(
+        above,
+        lambda c: F.struct(
+            (c["below"] > 0).alias("hangs"),
+            F.struct(c["is_header"].alias("is_header"), c["text"].alias("text"), (c["below"] - 1).alias("below")).alias("cell"),
+        ),
     )
-    return tags.withColumn("_texts", texts).select(*keys, "row_no", cells.alias("cells"))
+
+    def joined(hanging: Column) -> Column:
+        def step(line: Column, cells: Column) -> Column:
+            """``line`` with the hanging cells that come next to it, then the row's next cell."""
+            rest = F.slice(hanging, F.size(line) + 1, F.size(hanging))
+            run = F.aggregate(
+                rest,
+                F.struct(line.alias("line"), F.lit(True).alias("on")),
+                lambda s, h: F.struct(
+                    F.when(s["on"] & h["hangs"], F.concat(s["line"], F.array(h["cell"]))).otherwise(s["line"]).alias("line"),
+                    (s["on"] & h["hangs"]).alias("on"),
+                ),
+                lambda s: s["line"],
+            )
+            return F.concat(run, cells)
+
+        def ended(line: Column) -> Column:
+            rest = F.slice(hanging, F.size(line) + 1, F.size(hanging))
+            return F.concat(line, F.transform(F.filter(rest, lambda h: h["hangs"]), lambda h: h["cell"]))
+
+        return F.aggregate(row, F.array().cast(_PLACED[6:-1]), step, ended)
+
+    return H.bind(hanging, joined)
 
 
 def table_grid(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -180,12 +242,50 @@ def table_grid(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return cells.select(*keys, "row_no", "col_no", "_cell.is_header", "_cell.text")
 
 
-def wide_table(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Rows of :func:`table_rows` as a table of text columns, without the header rows."""
-    body = rows.where(F.exists("cells", lambda c: ~c["is_header"]))
-    return body.select(
-        *keys, "row_no", *[F.get("cells", F.lit(i))["text"].alias(c) for i, c in enumerate(columns)]
-    )
+def header_names(rows: DataFrame) -> list[str]:
+    """Column names of the tables' first header rows, in order of place; a name met twice gets a number.
+
+    What is gathered is the different headers, a handful of short rows for tables of one kind.
+    """
+    headers = rows.where(F.col("in_head") & (F.col("row_no") == 0)).select(F.transform("cells", lambda c: c["text"]).alias("names"))
+    names: list[str] = []
+    for header in sorted((r["names"] for r in headers.distinct().collect()), key=len, reverse=True):
+        for i, name in enumerate(header):
+            numbered = name if header.index(name) == i else f"{name}.{header[:i].count(name)}"
+            if len(names) <= i:
+                names.append(numbered)
+    return names
+
+
+def wide_table(rows: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None, *, extra: str = "extra") -> DataFrame:
+    """Rows of :func:`table_rows` as a table of text columns, without the header rows at the top.
+
+    ``columns`` names the columns by place (None: as the tables' own headers do). What stands to the right
+    of the last of them is kept as an array in ``extra``, which is empty where there is nothing.
+    """
+    columns = header_names(rows) if columns is None else list(columns)
+    named = [F.get("cells", F.lit(i))["text"].alias(c) for i, c in enumerate(columns)]
+    right = F.transform(F.slice("cells", len(columns) + 1, F.greatest(F.size("cells"), F.lit(1))), lambda c: c["text"])
+    return rows.where(~F.col("in_head")).select(*keys, "row_no", *named, right.alias(extra))
+
+
+def numeric_columns(table: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``table`` with those of the text columns as doubles whose values all are numbers.
+
+    Thousands commas are allowed and empty texts are missing values. A column without any value stays text.
+    """
+
+    def value(c: str) -> Column:
+        return number(F.replace(F.col(f"`{c}`"), F.lit(","), F.lit("")))
+
+    def given(c: str) -> Column:
+        return F.trim(F.col(f"`{c}`")) != ""
+
+    checks = [
+        (F.count_if(given(c)) > 0) & (F.count_if(given(c) & value(c).isNull()) == 0) for c in columns
+    ]
+    found = table.agg(*[check.alias(f"_{i}") for i, check in enumerate(checks)]).first() if columns else ()
+    return table.withColumns({c: value(c) for c, is_number in zip(columns, found) if is_number})
 
 
 def page_quality(

@@ -197,6 +197,14 @@ FROM orders GROUP BY 1, 2 HAVING count(*) > 1""",
         for c in ("gp", "qty", "lines", "proj", "act")
     )
     + " FROM line WINDOW w AS (PARTITION BY yr)",
+    "feature_scores": "WITH "
+    + _LINE
+    + "\nSELECT "
+    + ", ".join(
+        f"round(coalesce(({c} - avg({c}) OVER w) / nullif(stddev_samp({c}) OVER w, 0), 0), 6) AS {c}"
+        for c in ("gp", "qty", "lines", "proj", "act")
+    )
+    + " FROM line WINDOW w AS (PARTITION BY yr)",
     "pop_scaler": f"""WITH {_LINE},
 s AS (SELECT avg(proj) AS pm, stddev_pop(proj) AS ps, avg(act) AS am, stddev_pop(act) AS asd FROM line WHERE yr < 2001)
 SELECT name, pos, yr, round((proj - pm) / ps, 6) AS s_proj, round((act - am) / asd, 6) AS s_act FROM line, s""",
@@ -259,14 +267,21 @@ p AS (SELECT DISTINCT yr, page FROM r),
 cells AS (
   SELECT yr, page, row_no, false AS is_header,
          [{_NAME}, pos, CAST(gp AS VARCHAR), format('{{:,}}', CAST(qty AS BIGINT)), format('{{:,.2f}}', round(proj, 2))] AS texts FROM r
-  UNION ALL SELECT yr, page, 0, true, ['Name', 'Team', 'Months', 'Qty', 'Value'] FROM p)
-SELECT yr, CAST(page AS INTEGER) AS page, CAST(row_no AS INTEGER) AS row_no, CAST(unnest(range(0, 5)) AS INTEGER) AS col_no,
+  UNION ALL SELECT yr, page, 0, true, ['Name', 'Team', 'Months', 'Qty', 'Value'] FROM p
+  UNION ALL SELECT yr, page, max(row_no) + 1, true, ['Sum', 'Sum', 'Sum', 'Sum', 'Sum'] FROM r GROUP BY yr, page
+  UNION ALL SELECT yr, page, max(row_no) + 2, false, ['All & more', 'All & more', 'n', 'x', 'x'] FROM r GROUP BY yr, page
+  UNION ALL SELECT yr, page, max(row_no) + 3, false, ['All & more', 'All & more', 'm', 'y', 'z', 'extra'] FROM r GROUP BY yr, page)
+SELECT yr, CAST(page AS INTEGER) AS page, CAST(row_no AS INTEGER) AS row_no, CAST(unnest(range(0, len(texts))) AS INTEGER) AS col_no,
        is_header, unnest(texts) AS text FROM cells""",
-    "grid_sink_roundtrip": f"""WITH {_LINE}
+    "grid_sink_roundtrip": f"""WITH {_LINE},
+ends AS (SELECT yr, CAST(name // 50 AS INTEGER) AS page, CAST(count(*) AS INTEGER) AS n FROM line GROUP BY ALL)
 SELECT yr, CAST(name // 50 AS INTEGER) AS page,
        CAST(row_number() OVER (PARTITION BY yr, name // 50 ORDER BY name) AS INTEGER) AS row_no,
        {_NAME} AS name, pos AS team, CAST(gp AS VARCHAR) AS months, format('{{:,}}', CAST(qty AS BIGINT)) AS qty,
-       format('{{:,.2f}}', round(proj, 2)) AS value FROM line""",
+       format('{{:,.2f}}', round(proj, 2)) AS value, '' AS extra FROM line
+UNION ALL SELECT yr, page, n + 1, 'Sum', 'Sum', 'Sum', 'Sum', 'Sum', '' FROM ends
+UNION ALL SELECT yr, page, n + 2, 'All & more', 'All & more', 'n', 'x', 'x', '' FROM ends
+UNION ALL SELECT yr, page, n + 3, 'All & more', 'All & more', 'm', 'y', 'z', 'extra' FROM ends""",
     "ols_by_group": f"""WITH {_ADJ}
 SELECT pos, count(*) AS n, round(regr_slope(a, proj), 6) AS slope, round(regr_intercept(a, proj), 3) AS intercept
 FROM adj GROUP BY pos""",

@@ -43,7 +43,7 @@ from seasonline.operators.regression import (
     sine_layer,
 )
 from seasonline.operators.robust import iqr_fence, keep_within, midpoint_quantiles, std_fence
-from seasonline.operators.scaling import apply_scaler, fit_scaler, zscore
+from seasonline.operators.scaling import apply_scaler, fit_scaler, zscore, zscore_features
 from seasonline.plans import tables as t
 from seasonline.plans.history import build_history, read_history, read_quarantine
 from seasonline.plans.rendering import (
@@ -174,6 +174,13 @@ def season_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("name", "pos", "yr", *[_r(z, 6) for z in names.values()])
 
 
+def feature_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The standardised stats alone, as a model takes them: no identifiers and no season."""
+    lines = staged(t.stat_lines(spark, sf_dir), "lines")
+    scored = zscore_features(lines, ["gp", "qty", "lines", "proj", "act"], "yr", identifiers=["name", "pos"])
+    return scored.select(*[_r(c, 6) for c in scored.columns])
+
+
 def pop_scaler(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A scaler fitted on all seasons but the last, applied to every row."""
     lines = staged(t.stat_lines(spark, sf_dir), "lines")
@@ -381,8 +388,10 @@ def grid_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "grids")
     rows = _page_rows(spark, sf_dir)
     write_grid(rows, path, by=["yr"])
-    wide = wide_table(spark.read.schema(rows.schema).parquet(path), ["yr", "page"], GRID_COLUMNS)
-    return wide.select("yr", "page", "row_no", *[F.col(c).alias(c.lower()) for c in GRID_COLUMNS])
+    wide = wide_table(spark.read.schema(rows.schema).parquet(path), ["yr", "page"])
+    return wide.select(
+        "yr", "page", "row_no", *[F.col(c).alias(c.lower()) for c in GRID_COLUMNS], F.array_join("extra", "|").alias("extra")
+    )
 
 
 # --- regressions -----------------------------------------------------------------------------------
@@ -496,6 +505,7 @@ QUERIES: dict[str, Query] = {
     "overall_quartiles": overall_quartiles,
     "duplicate_keys": duplicate_key_report,
     "season_zscore": season_zscore,
+    "feature_scores": feature_scores,
     "pop_scaler": pop_scaler,
     "error_report": error_summary,
     "skew_report": skew_summary,

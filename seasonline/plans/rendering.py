@@ -76,8 +76,8 @@ def stat_pages(sides: DataFrame, *, last_is_short: bool = False) -> DataFrame:
     """Ranking pages ``yr, pos, kind, page, html`` with the quirks of real ones.
 
     The data table stands inside another table, with no-break-space cells, links, entities with and
-    without semicolon, a ">" in an attribute, a team's name in a table of its own, thousands commas
-    and, for outcomes, the rank before the name. With ``last_is_short`` the last record of each page lacks its
+    without semicolon, on every fifth page a team's name in a table of its own with a ">" in an
+    attribute, thousands commas and, for outcomes, the rank before the name. With ``last_is_short`` the last record of each page lacks its
     last cells.
     """
     def td(kind: str, text: Column | str) -> Column:
@@ -85,11 +85,13 @@ def stat_pages(sides: DataFrame, *, last_is_short: bool = False) -> DataFrame:
         return F.concat(F.lit(f"<td {mark}>"), F.lit(text) if isinstance(text, str) else text, F.lit("</td>"))
 
     name, brand = spelled(F.col("name")), F.col("pos")
+    nested = F.concat(F.lit("<table><tr><td title='>'>"), brand, F.lit("</td></tr></table>"))
+    team = F.when(F.floor(F.col("name") / NAMES_PER_PAGE) % 5 == 0, nested).otherwise(brand)
     quantity, count = F.format_number("qty", 1), F.col("lines").cast("string")
     link = F.concat(F.lit('<a href="/players?x=1,2">'), name, F.lit("</a>"))
     rank = (F.col("name") % NAMES_PER_PAGE + 1).cast("string")
     forecast = F.concat(
-        td(PROJECTED, "&nbsp"), td(PROJECTED, F.concat(F.lit(" "), link)), td(PROJECTED, F.concat(F.lit("<table><tr><td title='>'>"), brand, F.lit("</td></tr></table>"))),
+        td(PROJECTED, "&nbsp"), td(PROJECTED, F.concat(F.lit(" "), link)), td(PROJECTED, team),
         td(PROJECTED, F.col("gp").cast("string")), td(PROJECTED, " "), td(PROJECTED, quantity),
         td(PROJECTED, count), td(PROJECTED, F.format_number("points", 2)),
     )
@@ -143,7 +145,8 @@ def fetched_pages(sides: DataFrame, load: int) -> DataFrame:
 
 
 def grid_pages(lines: DataFrame) -> DataFrame:
-    """Pages ``yr, page, html`` that hold a plain table with a header row."""
+    """Pages ``yr, page, html`` with a table: a header row, a row per line, and at its end another header
+    row and two rows that share a cell, one of them wider than the header."""
     cells = [
         spelled(F.col("name")),
         F.col("pos"),
@@ -154,4 +157,8 @@ def grid_pages(lines: DataFrame) -> DataFrame:
     row = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cells], F.lit("</tr>"))
     rows = _on_pages(lines).select("yr", "page", "name", row.alias("row_html"))
     titles = "".join(f"<th>{c}</th>" for c in GRID_COLUMNS)
-    return _pages(rows, ["yr", "page"], F.lit(f'<table width="100%" cellpadding="2"><tr>{titles}</tr>\n'), "</table>")
+    foot = (
+        "<tr><th colspan=5>Sum</th></tr><tr><td rowspan=2 colspan='2'>All &amp; more</td><td>n</td><td colspan=2>x</td></tr>"
+        "<tr><td>m</td><td title='a>b'>y</td><td>z</td><td>extra</td></tr></table>"
+    )
+    return _pages(rows, ["yr", "page"], F.lit(f'<table width="100%" cellpadding="2"><tr>{titles}</tr>\n'), foot)

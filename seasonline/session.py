@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -46,13 +48,17 @@ def build_session(app_name: str = "seasonline", master: str | None = None, **con
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session without that setting gets a folder of its own.
+    A cluster has to name it. A local session that does not, whose one process is driver and executor, gets
+    a folder that goes when the process ends.
     """
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if named is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-        named = os.path.join(tempfile.mkdtemp(prefix="seasonline-"), "shared")
+        own = tempfile.mkdtemp(prefix="seasonline-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        named = os.path.join(own, "shared")
         spark.conf.set(CHECKPOINT_DIR, named)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
@@ -60,8 +66,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path for one job's files below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path for one job's files, below the run's own folder in the shared one."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of everything this application stages; the caller owns it, see :func:`clear_scratch`."""
+    return f"{shared_dir(spark).rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has staged, once its results are stored: they may still read from it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from seasonline.operators.extract import (
     joined_cells,
     missing_table,
     number_or_text,
+    numeric_columns,
     page_quality,
     records_from_pages,
     select_table,
@@ -97,7 +98,44 @@ def test_grid_and_wide_table(spark):
         (1, 2, 0, False, "Bo"), (1, 2, 1, False, ""), (1, 2, 2, False, "7"),
     ]
     wide = wide_table(parsed, ["page"], ["name", "team", "yds"])
-    assert rows(wide) == [(1, 1, "Al", "KC", "1,024"), (1, 2, "Bo", "", "7")]
+    assert rows(wide.drop("extra")) == [(1, 1, "Al", "KC", "1,024"), (1, 2, "Bo", "", "7")]
+
+
+GRIDS = {
+    "spans": (
+        "<tr><th>A</th><th colspan=2>B</th></tr><tr><td rowspan=3>x</td><td rowspan='2'>y</td><td>1</td></tr>"
+        "<tr><td>2</td></tr><tr><td>3</td><td>4</td><td>wide</td></tr><tr><td>end<td>",
+        [["A", "B", "B"], ["x", "y", "1"], ["x", "y", "2"], ["x", "3", "4", "wide"], ["end", ""]],
+    ),
+    "hanging at the end": ("<tr><td>a<td rowspan=2>b<td rowspan=2>c</tr><tr><td>d</tr>", [["a", "b", "c"], ["d", "b", "c"]]),
+    "wide and high": ("<tr><td colspan=2 rowspan=2>q</td><td>r</td></tr><tr><td>s</td></tr>", [["q", "q", "r"], ["q", "q", "s"]]),
+    "beyond the table": ("<tr><td rowspan=9>a</td></tr>", [["a"]]),
+    "very wide": ("<tr><td colspan=1500>a</td></tr>", [["a"] * 1500]),
+    "no spans": ("<tr><td title='a>b'>a</td></tr><tr></tr><tr><td>b &lt</td></tr>", [["a"], [], ["b <"]]),
+}
+
+
+@pytest.mark.parametrize("name", GRIDS)
+def test_spans_fill_their_places(spark, name):
+    inner, wanted = GRIDS[name]
+    html = f"<table width=100% cellpadding=2>{inner}</table>"
+    tables = select_table(spark.createDataFrame([(1, html)], "page int, html string"))
+    got = table_rows(tables, ["page"]).orderBy("row_no").collect()
+    assert [[c["text"] for c in r["cells"]] for r in got] == wanted
+
+
+def test_names_come_from_the_header_and_nothing_is_dropped(spark):
+    html = (
+        "<table width=100% cellpadding=2><tr><th>Name</th><th>Yds</th><th>Yds</th></tr><tr><td>Al</td><td>1,024</td><td>3</td></tr>"
+        "<tr><th>Sub</th><th>total</th><th>x</th></tr><tr><td>Bo</td><td>7</td><td></td><td>more</td><td>still</td></tr></table>"
+    )
+    rows_ = table_rows(select_table(spark.createDataFrame([(1, html)], "page int, html string")), ["page"])
+    wide = wide_table(rows_, ["page"])
+    assert wide.columns == ["page", "row_no", "Name", "Yds", "Yds.1", "extra"]
+    assert rows(wide.select("row_no", "Name", "Yds", F.array_join("extra", "|"))) == [(1, "Al", "1,024", ""), (2, "Sub", "total", ""), (3, "Bo", "7", "more|still")]
+    typed = numeric_columns(wide.where("row_no <> 2"), ["Name", "Yds", "Yds.1"])
+    assert dict(typed.dtypes)["Name"] == "string" and dict(typed.dtypes)["Yds"] == dict(typed.dtypes)["Yds.1"] == "double"
+    assert rows(typed.select("Yds", "`Yds.1`")) == [(7.0, None), (1024.0, 3.0)]
 
 
 def test_decode_entities(spark):
