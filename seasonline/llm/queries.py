@@ -110,6 +110,32 @@ QUERIES: dict[str, Query] = {
     "op10_benchmark_leaks": benchmark_leaks,
 }
 
-# The operators hash, learn or write files: no SQL of DuckDB gives the same rows. They are tested against
-# brute force, exact round trips and held-out rows in tests/llm.
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
+
+# Leaks without fingerprints: every window that shares a shingle with an item, against every item of its size.
+# The other operators hash, learn or write files, and no SQL of DuckDB gives the same rows; they are tested
+# against brute force, exact round trips and held-out rows in tests/llm.
+ORACLE_SQL: dict[str, str] = {
+    "op10_benchmark_leaks": f"""WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+i AS (SELECT item_id, {_WORDS} AS ws, len(ws) AS n FROM benchmark WHERE len({_WORDS}) > 0),
+ishingles AS (
+  SELECT item_id, n, pos, array_to_string(ws[pos + 1:pos + least(n, 5)], ' ') AS s
+  FROM (SELECT *, unnest(range(0, greatest(n - 4, 1))) AS pos FROM i)),
+dshingles AS (
+  SELECT doc_id, pos, array_to_string(ws[pos + 1:pos + k], ' ') AS s
+  FROM (SELECT doc_id, ws, k, unnest(range(0, greatest(len(ws) - k + 1, 1))) AS pos
+        FROM d, (SELECT DISTINCT least(n, 5) AS k FROM i) WHERE len(ws) > 0)),
+windows AS (SELECT DISTINCT doc_id, CAST(d.pos AS BIGINT) - i.pos AS start, n FROM dshingles d JOIN ishingles i USING (s)),
+words AS (SELECT doc_id, start, n, ws[greatest(start, 0) + 1:start + n] AS ws FROM windows JOIN d USING (doc_id)),
+wshingles AS (
+  SELECT doc_id, start, n, size, array_to_string(ws[pos + 1:pos + 5], ' ') AS s, count(*) AS c
+  FROM (SELECT *, greatest(len(ws) - 4, 1) AS size, unnest(range(0, greatest(len(ws) - 4, 1))) AS pos FROM words)
+  GROUP BY ALL),
+icounts AS (SELECT item_id, n, greatest(n - 4, 1) AS isize, s, count(*) AS c FROM ishingles GROUP BY ALL),
+shared AS (
+  SELECT doc_id, start, item_id, size, isize, CAST(sum(least(w.c, i.c)) AS DOUBLE) AS m
+  FROM wshingles w JOIN icounts i USING (n, s) GROUP BY doc_id, start, item_id, size, isize),
+scored AS (SELECT doc_id, item_id, greatest(start, 0) AS start_word, m / (size + isize - m) AS similarity FROM shared)
+SELECT doc_id, item_id, start_word, similarity FROM scored WHERE similarity >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start_word) = 1""",
+}
