@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,15 @@ def hashed_sample(rows: DataFrame, key: Column, n: int) -> DataFrame:
     return rows.where(unit_interval(F.lit("sample"), key) < F.lit(n / total)).limit(int(1.2 * n) + 100)
 
 
-def chunks(items: list, size: int) -> Iterator[list]:
-    for at in range(0, len(items), size):
-        yield items[at : at + size]
+_held: dict[Hashable, Any] = {}
+
+
+def held_by_worker(key: Hashable, build: Callable[[], Any]) -> Any:
+    """What a Python worker keeps between batches and tasks: a vocabulary with its memo, say.
+
+    Workers live on from one operator to the next, so only the last thing asked for is kept.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = build()
+    return _held[key]

@@ -10,7 +10,6 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Callable
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -18,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seasonline.llm.common import free_name
+from seasonline.llm.common import free_name, held_by_worker
 from seasonline.llm.pieces import PieceMemo, cut
 
 EDITS = T.ArrayType(
@@ -141,9 +140,8 @@ def _is_cut(left: str, right: str) -> bool:
     return bool(left) and bool(right) and not left[-1].isspace() and right[0] in " \n"
 
 
-@lru_cache(maxsize=4)
 def _piece_counts(path: str, pattern: str) -> PieceMemo:
-    """Token counts of pieces by the vocabulary in ``path``; one for each Python worker."""
+    """Token counts of pieces by the vocabulary in ``path``."""
     import tiktoken
 
     with open(path, "rb") as lines:
@@ -167,7 +165,7 @@ def with_token_counts(
 
     @F.pandas_udf(_COUNTS)
     def counted(texts: pd.Series, edit_lists: pd.Series) -> pd.DataFrame:
-        memo = _piece_counts(vocabulary, pattern)
+        memo = held_by_worker(("counts", vocabulary, pattern), lambda: _piece_counts(vocabulary, pattern))
         rows = []
         for body, changes in zip(texts, edit_lists, strict=True):
             body = body or ""

@@ -1,8 +1,8 @@
 """Quality grades by ordinal regression over hashed text.
 
 A cumulative-link model: P(grade >= k) is the logistic function of w.x - t_k, with one weight vector w
-for all grades and ordered thresholds t_1 < t_2 < ... . Features are hashed: which words a text holds,
-and how often its tokens have a certain shape (letters, digits, signs).
+for all grades and ordered thresholds t_1 < t_2 < ... . Features are hashed: which words and beginnings
+of words a text holds, and how often its tokens have a certain shape (letters, digits, signs).
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -18,10 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seasonline.llm.common import free_name, hashed_sample
+from seasonline.llm.common import free_name, hashed_sample, held_by_worker
 
 WORD_BITS = 18
 SHAPE_BITS = 10
+STEM = 4  # letters of a word's beginning that are a feature of their own
 N_WORDS, N_SHAPES = 1 << WORD_BITS, 1 << SHAPE_BITS
 REPEATS, VARIETY, BIAS = N_WORDS + N_SHAPES, N_WORDS + N_SHAPES + 1, N_WORDS + N_SHAPES + 2
 N_FEATURES = BIAS + 1
@@ -30,39 +30,37 @@ _LOWER, _UPPER, _DIGIT = re.compile(r"[^\W\d_]+"), re.compile(r"[A-Z]+"), re.com
 
 
 class _Features(dict):
-    """Token to (feature of its word or -1, feature of its shape), for the tokens met lately."""
+    """Token to the features of its word, of its word's first letters (both or -1), and of its shape, for
+    the tokens met lately."""
 
-    def __missing__(self, token: str) -> tuple[int, int]:
+    def __missing__(self, token: str) -> tuple[int, int, int]:
         from xxhash import xxh3_64_intdigest
 
-        if len(self) > 300_000:
+        if len(self) > 200_000:
             self.clear()
         word = "".join(c for c in token.lower() if c.isalnum())
         shape = _DIGIT.sub("0", _LOWER.sub("a", _UPPER.sub("A", token)))[:16]
         of_word = xxh3_64_intdigest(word.encode()) & (N_WORDS - 1) if word else -1
-        found = (of_word, N_WORDS + (xxh3_64_intdigest(shape.encode(), 1) & (N_SHAPES - 1)))
+        of_stem = xxh3_64_intdigest(word[:STEM].encode(), 2) & (N_WORDS - 1) if len(word) > STEM else -1
+        found = (of_word, of_stem, N_WORDS + (xxh3_64_intdigest(shape.encode(), 1) & (N_SHAPES - 1)))
         if len(token) <= 64:
             self[token] = found
         return found
 
 
-@lru_cache(maxsize=1)
-def _features() -> _Features:
-    return _Features()
-
-
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Indices and values of a whole text's features; only the bias for a text without words."""
     tokens = (text or "").split()
     n = len(tokens)
     if not n:
         return np.array([BIAS], np.int32), np.ones(1, np.float32)
-    of, times = _features(), Counter(tokens)
+    of, times = held_by_worker("features", _Features), Counter(tokens)
     words: set[int] = set()
     shapes: Counter = Counter()
     for token, count in times.items():
-        word, shape = of[token]
+        word, stem, shape = of[token]
         words.add(word)
+        words.add(stem)
         shapes[shape] += count
     words.discard(-1)
     repeats = sum(a == b for a, b in zip(tokens, tokens[1:], strict=False)) if len(times) < 0.9 * n else 0
@@ -89,26 +87,37 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 
 
 def fit_grades(
-    rows: list[tuple[np.ndarray, np.ndarray]], grades: list[int], *, rounds: int = 150, penalty: float = 2e-4, least_share: float = 0.003
+    rows: list[tuple[np.ndarray, np.ndarray]], grades: list[int], *, rounds: int = 250, penalty: float = 2e-5, least_z: float = 4.0
 ) -> GradeModel:
     """The model of maximum likelihood with a squared penalty, by full-batch gradients.
 
-    Words in fewer than ``least_share`` of the rows, or in fewer than 5, get no weight. Rows weigh by the
-    square root of their grade's rarity.
+    Only words that tell grades apart get a weight: those whose share of better rows, at some threshold,
+    lies ``least_z`` deviations or more off the share of all rows. The rest would add up to noise in long
+    texts. Rows that are nearly copies, told by their smallest hashed words, count once. Rows weigh by
+    the square root of their grade's rarity.
     """
+    alike = {(g, *np.sort(i)[:4].tolist(), len(i) // 8): n for n, ((i, _), g) in reversed(list(enumerate(zip(rows, grades, strict=True))))}
+    rows, grades = [rows[n] for n in sorted(alike.values())], [grades[n] for n in sorted(alike.values())]
     levels = sorted(set(grades))
     if len(levels) < 2:
         return GradeModel(np.zeros(0), np.zeros(0), levels)
     y = np.searchsorted(levels, grades)
     n, k = len(y), len(levels)
     index = np.concatenate([r[0] for r in rows])
-    value = np.concatenate([r[1] for r in rows]).astype(np.float64)
-    row = np.repeat(np.arange(n), [len(r[0]) for r in rows])
+    value = np.concatenate([r[1] for r in rows])
+    row = np.repeat(np.arange(n, dtype=np.int32), [len(r[0]) for r in rows])
     seen = np.bincount(index, minlength=N_FEATURES)
-    used = seen >= max(5, least_share * n)
+    used = np.zeros(N_FEATURES, dtype=bool)
+    for j in range(1, k):
+        better = (y >= j)[row]
+        share = (y >= j).mean()
+        off = np.bincount(index, better, minlength=N_FEATURES) - seen * share
+        used |= np.abs(off) >= least_z * np.sqrt(np.maximum(seen, 1) * share * (1 - share))
+    used &= seen >= 3
+    used[N_WORDS:] = True
     used[BIAS] = False  # the thresholds take its place
     keep = used[index]
-    index, value, row = index[keep], value[keep], row[keep]
+    index, value, row = index[keep], value[keep].astype(np.float64), row[keep]
     weight = (1 / np.bincount(y, minlength=k)[y]) ** 0.5
     weight *= n / weight.sum()
     w, mean, square = np.zeros(N_FEATURES), np.zeros(N_FEATURES), np.zeros(N_FEATURES)

@@ -58,7 +58,8 @@ def test_tails_fall_and_gradient_finds_the_optimum():
     """With one feature that tells the grades apart, the fitted tails are ordered and near the shares."""
     draw = np.random.default_rng(0)
     grades = draw.choice(3, 600, p=[0.3, 0.3, 0.4])
-    rows = [(np.array([BIAS], np.int32), np.ones(1, np.float32)) for _ in grades]
+    # Each row has words of its own, or all would count as copies of one.
+    rows = [(np.array([4 * i, 4 * i + 1, 4 * i + 2, BIAS], np.int32), np.ones(4, np.float32)) for i in range(len(grades))]
     model = fit_grades(rows, grades.tolist(), rounds=800)
     tails = model.tails(np.zeros(1))[0]
     weight = 1 / np.bincount(grades)[grades] ** 0.5
