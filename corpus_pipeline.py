@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasonline.llm.benchmark_leaks import without_leaks
-from seasonline.llm.byte_bpe import with_decoded, with_token_ids
+from seasonline.llm.byte_bpe import with_token_ids
 from seasonline.llm.common import free_name, table
 from seasonline.llm.quality import grade_of_labels, train_grades, with_grades
 from seasonline.llm.simhash_near import near_groups
@@ -58,13 +58,13 @@ def no_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, token ids, their number, and whether they decode to the text."""
-    how = {
-        "vocabulary": public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
-        "pattern": public_tokenizers.PATTERN,
-    }
-    encoded = with_decoded(with_token_ids(docs.select("doc_id", "text"), **how), **how)
-    whole = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
-    return encoded.select("doc_id", "token_ids", F.size("token_ids").cast("long").alias("n_tokens"), whole.alias("round_trip"))
+    encoded = with_token_ids(
+        docs.select("doc_id", "text"),
+        vocabulary=public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+        pattern=public_tokenizers.PATTERN,
+        round_trip="round_trip",
+    )
+    return encoded.select("doc_id", "token_ids", F.size("token_ids").cast("long").alias("n_tokens"), "round_trip")
 
 
 STAGES = [

@@ -10,18 +10,21 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from functools import lru_cache
-from itertools import chain, pairwise
+from array import array
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice, pairwise
 
 import ahocorasick
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seasonline.llm.common import free_name
-from seasonline.llm.pieces import PieceMemo
+from seasonline.llm.common import free_name, held_by_worker
+from seasonline.llm.pieces import PieceMemo, batch_ids, slices
 
 _NEVER = 1 << 60
 
@@ -63,6 +66,7 @@ class ByteBpe:
             raise ValueError("the vocabulary lacks a single byte")
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
+        self.decimal_of = {i: str(i) for i in ranks.values()}
         self._pattern = regex.compile(pattern)
         self._halves: dict[int, tuple[int, int]] = {}
         self._fits = _Compatible(self._crossed)
@@ -79,25 +83,28 @@ class ByteBpe:
         self._sizes = {rank: len(token) for token, rank in ranks.items()}
         self._shorter = {rank: self._next_shorter(token) for token, rank in ranks.items()}
         self._memo = PieceMemo(self._encode_pieces)
-        self._words = PieceMemo(lambda words: [self._encode_word(w) for w in words], size=100_000)
+        self._words = PieceMemo(lambda words: [self._encode_word(w) for w in words], size=60_000)
 
     def encode(self, text: str) -> list[int]:
         """The token ids of a text."""
-        return list(chain.from_iterable(self._memo.of_text(text)))
+        return np.frombuffer(b"".join(self._memo.of_text(text)), dtype="<u4").tolist()
 
-    def decode(self, ids: list[int]) -> bytes:
+    def encode_batch(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The token ids of each text of an Arrow array; a null text has none."""
+        return batch_ids(texts, self._memo, "<u4")
+
+    def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
-    def _encode_pieces(self, pieces: list[str]) -> list[tuple[int, ...]]:
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
         split = [self._pattern.findall(p) for p in pieces]
-        words = list(chain.from_iterable(split))
-        ids = iter(self._words.values(words))
-        return [tuple(chain.from_iterable(next(ids) for _ in ws)) for ws in split]
+        ids = iter(self._words.values(list(chain.from_iterable(split))))
+        return [b"".join(islice(ids, len(words))) for words in split]
 
-    def _encode_word(self, word: str) -> tuple[int, ...]:
+    def _encode_word(self, word: str) -> bytes:
         piece = word.encode()
         whole = self.ranks.get(piece)
-        return (whole,) if whole is not None else tuple(self.encode_bytes(piece))
+        return array("I", [whole] if whole is not None else self.encode_bytes(piece)).tobytes()
 
     def encode_bytes(self, piece: bytes) -> list[int]:
         """The merges of one piece, in time linear in its length."""
@@ -159,27 +166,57 @@ class ByteBpe:
                 return False
 
 
-@lru_cache(maxsize=4)
 def byte_bpe(path: str, pattern: str) -> ByteBpe:
-    """The encoder of a rank file (base64 token and rank per line); one for each Python worker."""
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return ByteBpe(ranks, pattern)
+    """The encoder of a rank file (base64 token and rank per line), kept by the worker."""
+
+    def build() -> ByteBpe:
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        return ByteBpe(ranks, pattern)
+
+    return held_by_worker(("bpe", path, pattern), build)
 
 
-def with_token_ids(docs: DataFrame, *, vocabulary: str, pattern: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
+def with_token_ids(
+    docs: DataFrame,
+    *,
+    vocabulary: str,
+    pattern: str,
+    text: str = "text",
+    ids: str = "token_ids",
+    round_trip: str | None = None,
+) -> DataFrame:
     """``docs`` with the token ids of their texts as an array; a null text counts as empty.
 
-    Rows are independent: repeated rows, ties and an empty table need no rule. A column named ``ids`` in
-    ``docs`` gives way. No shuffle.
+    With ``round_trip`` a column of that name says whether the ids decode to the text again. Rows are
+    independent: repeated rows, ties and an empty table need no rule. Columns of these names in ``docs``
+    give way. No shuffle. Texts go through a worker a few megabytes at a time.
     """
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def encoded(texts: pd.Series) -> pd.Series:
+    added = [ids, *([round_trip] if round_trip else [])]
+    kept = [c for c in docs.columns if c not in added]
+    hold = free_name(docs, "body")
+    given = docs.select(*kept, F.col(text).alias(hold))
+    fields = [*given.schema.fields[:-1], T.StructField(ids, T.ArrayType(T.IntegerType()))]
+    fields += [T.StructField(round_trip, T.BooleanType())] if round_trip else []
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(vocabulary, pattern)
-        return pd.Series([bpe.encode(body or "") for body in texts], dtype=object)
-
-    return docs.withColumn(ids, encoded(F.col(text)))
+        for batch in batches:
+            at = 0
+            for some in slices(batch.column(len(kept))):
+                found = list(bpe.encode_batch(some))
+                offsets = np.zeros(len(found) + 1, dtype=np.int32)
+                np.cumsum([len(a) for a in found], out=offsets[1:])
+                values = pa.array(np.concatenate(found).view(np.int32) if found else np.empty(0, np.int32))
+                columns = [c.slice(at, len(some)) for c in batch.columns[: len(kept)]]
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets), values))
+                if round_trip:
+                    bodies = ((t or "").encode() for t in some.to_pylist())
+                    columns.append(pa.array([bpe.decode(a.tolist()) == b for a, b in zip(found, bodies, strict=True)], pa.bool_()))
+                at += len(some)
+                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+
+    return given.mapInArrow(encoded, T.StructType(fields))
 
 
 def with_decoded(tokens: DataFrame, *, vocabulary: str, pattern: str, ids: str = "token_ids", into: str = "decoded") -> DataFrame:
@@ -191,7 +228,7 @@ def with_decoded(tokens: DataFrame, *, vocabulary: str, pattern: str, ids: str =
     @F.pandas_udf(T.BinaryType())
     def decoded(arrays: pd.Series) -> pd.Series:
         bpe = byte_bpe(vocabulary, pattern)
-        return pd.Series([bpe.decode([] if a is None else a) for a in arrays], dtype=object)
+        return pd.Series([bpe.decode([] if a is None else a.tolist()) for a in arrays], dtype=object)
 
     return tokens.withColumn(into, decoded(F.col(ids)))
 
@@ -216,9 +253,9 @@ def round_trip_digests(docs: DataFrame, *, vocabulary: str, pattern: str, text:
     def digests(texts: pd.Series) -> pd.DataFrame:
         bpe = byte_bpe(vocabulary, pattern)
         rows = []
-        for body in texts:
-            ids = bpe.encode(body or "")
-            decimal = ",".join(map(str, ids)).encode()
+        for found in bpe.encode_batch(pa.Array.from_pandas(texts, type=pa.large_string())):
+            ids = found.tolist()
+            decimal = ",".join(map(bpe.decimal_of.__getitem__, ids)).encode()
             rows.append(
                 (len(ids), hashlib.sha256(decimal).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest())
             )
