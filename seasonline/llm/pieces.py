@@ -82,11 +82,11 @@ class PieceMemo:
 def gathered(values: list[bytes], index: np.ndarray, item: int) -> tuple[np.ndarray, np.ndarray]:
     """``values[i]`` for every i of ``index`` one after the other as bytes, and the number of items of each.
 
-    An item is ``item`` bytes wide.
+    An item is ``item`` bytes wide, 2 or 4.
     """
     sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // item
     starts = np.cumsum(sizes) - sizes
-    blob = np.frombuffer(b"".join(values), dtype=f"V{item}")
+    blob = np.frombuffer(b"".join(values), dtype=f"<u{item}")
     counts = sizes[index]
     ends = np.cumsum(counts)
     total = int(ends[-1]) if len(ends) else 0
@@ -106,13 +106,13 @@ def slices(texts: pa.Array, most_bytes: int = 4 << 20) -> Iterator[pa.Array]:
         low = high
 
 
-def batch_ids(texts: pa.Array, memo: PieceMemo, dtype: str) -> Iterator[np.ndarray]:
+def batch_ids(texts: pa.Array, memo: PieceMemo, dtype: str, most_bytes: int = 4 << 20) -> Iterator[np.ndarray]:
     """The ids of each text, by a memo whose values are ids as bytes of ``dtype``; a null text has none.
 
     Works on columns: Arrow cuts all texts and numbers the different pieces, so that each of these is
     looked up once, and ids are gathered by index. Texts with runs of white space go by the cutting rule.
     """
-    for some in slices(texts):
+    for some in slices(texts, most_bytes):
         yield from _batch_ids(pc.fill_null(some.cast(pa.large_string()), ""), memo, np.dtype(dtype))
 
 

@@ -13,8 +13,8 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seasonline.llm.pieces import PieceMemo
+from seasonline.llm.common import held_by_worker
+from seasonline.llm.pieces import PieceMemo, batch_ids
 
 # How a row without document id is stored in an index file.
 NO_ID = -(1 << 63)
@@ -31,9 +32,8 @@ NO_ID = -(1 << 63)
 _SHARDS = "shard string, id_bytes int, n_docs long, n_tokens long"
 
 
-@lru_cache(maxsize=4)
 def _encoder(path: str, dtype: str) -> tuple[PieceMemo, bool]:
-    """Pieces to the bytes of their ids, by the ``tokenizers`` file in ``path``; one per Python worker.
+    """Pieces to the bytes of their ids, by the ``tokenizers`` file in ``path``.
 
     Texts may go by pieces only where the file splits as byte-level BPE does, without a normaliser; the
     second value says so. Otherwise whole texts are encoded.
@@ -59,19 +59,52 @@ def _encoder(path: str, dtype: str) -> tuple[PieceMemo, bool]:
         and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec.get("added_tokens", []))
     )
     tokenizer = Tokenizer.from_file(path)
-
-    def encode_many(texts: list[str]) -> list[bytes]:
+    if tokenizer.get_vocab_size() > 1 << 8 * np.dtype(dtype).itemsize:
+        raise ValueError(f"ids of {path} do not fit into {np.dtype(dtype).itemsize} bytes")
+    # A token's name has a character for each of its bytes; an added token is named by its text.
+    sizes = np.zeros(tokenizer.get_vocab_size() + 1, dtype=np.int64)
+    for name, number in tokenizer.get_vocab().items():
+        sizes[number] = len(name.encode() if name in added else name)
+    width = np.dtype(dtype).itemsize
+
+    def one_by_one(texts: list[str]) -> list[bytes]:
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=dtype).tobytes() for e in found]
 
-    return PieceMemo(encode_many), by_piece
-
-
-def _ids_of(path: str, dtype: str) -> Callable[[str], bytes]:
-    memo, by_piece = _encoder(path, dtype)
+    def encode_many(texts: list[str]) -> list[bytes]:
+        """Pieces that open with white space and end without stay apart when joined, and so do those that
+        open with a stop or comma if a letter comes before: one call for all."""
+        opened, stopped = [], []
+        for i, t in enumerate(texts) if by_piece else ():
+            if t and not t[-1].isspace():
+                if t[0] in " \n":
+                    opened.append(i)
+                elif t[0] in ".,":
+                    stopped.append(i)
+        if len(opened) + len(stopped) < 2:
+            return one_by_one(texts)
+        letters = [" a"] * len(stopped)
+        units = [texts[i] for i in opened] + [u for pair in zip(letters, (texts[i] for i in stopped), strict=True) for u in pair]
+        ids = np.array(tokenizer.encode_batch_fast(["".join(units)], add_special_tokens=False)[0].ids)
+        token_ends, text_ends = np.cumsum(sizes[ids]), np.cumsum([len(u.encode()) for u in units])
+        last = np.searchsorted(token_ends, text_ends)
+        if not np.array_equal(token_ends[np.minimum(last, len(ids) - 1)], text_ends):
+            return one_by_one(texts)
+        data, edges = ids.astype(dtype).tobytes(), [0, *((last + 1) * width).tolist()]
+        parts = [data[a:z] for a, z in pairwise(edges)]
+        found = dict(zip(opened, parts, strict=False)) | dict(zip(stopped, parts[len(opened) + 1 :: 2], strict=True))
+        rest = [i for i in range(len(texts)) if i not in found]
+        found.update(zip(rest, one_by_one([texts[i] for i in rest]), strict=True))
+        return [found[i] for i in range(len(texts))]
+
+    return PieceMemo(encode_many, size=600_000), by_piece
+
+
+def _ids_of(path: str, dtype: str) -> Callable[[pa.Array], Iterable[np.ndarray]]:
+    memo, by_piece = held_by_worker(("ids", path, dtype), lambda: _encoder(path, dtype))
     if by_piece:
-        return lambda text: b"".join(memo.of_text(text))
-    return lambda text: memo.values([text])[0] if text else b""
+        return lambda texts: batch_ids(texts, memo, dtype, 8 << 20)
+    return lambda texts: [np.frombuffer(b, dtype) for b in memo.values([t or "" for t in texts.to_pylist()])]
 
 
 def _put(store: fs.FileSystem, path: str, parts: list[bytes]) -> None:
@@ -116,6 +149,7 @@ def write_token_files(
     def write_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _ids_of(vocabulary, dtype)
         end = b"" if end_id is None else np.array([end_id], dtype=dtype).tobytes()
+        n_end = len(end) // id_bytes
         store, root = _store(folder)
         shard = f"{TaskContext.get().partitionId():07d}"
         draft = f"{root}/{shard}.bin.{uuid.uuid4().hex}.draft"
@@ -126,10 +160,9 @@ def write_token_files(
             if out is None:
                 out = store.open_output_stream(draft)
             names.append(batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False))
-            for body in batch.column(1).to_pylist():
-                ids = encode(body) + end
-                out.write(ids)
-                sizes.append(len(ids) // id_bytes)
+            for ids in encode(batch.column(1)):
+                out.write(ids.tobytes() + end)
+                sizes.append(len(ids) + n_end)
         if out is None:
             return
         out.close()
