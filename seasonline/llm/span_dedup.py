@@ -1,14 +1,21 @@
-"""Substring deduplication by sliding spans of sentences.
+"""Substring deduplication by sliding spans of sentences and windows of words.
 
 Every run of consecutive sentences that is as short as a length in words allows, from each sentence
 forward and from each sentence back, is hashed; equal hashes meet in one global join; and sentences that
 lie in any span but the first of its kind are removed.
+
+Windows of words find what starts or ends inside a sentence. Of the shorter word runs in a window the one
+with the smallest hash is its anchor; equal windows have equal anchors. An anchor is hashed with all words
+that a window around it can have: where these recur, so does every window in them. Only around anchors met
+with different words beside them windows are hashed as a whole, so none that recurs is lost.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -21,6 +28,14 @@ from seasonline.llm.common import free_name
 from seasonline.session import staged
 
 _END = re.compile(r"[.!?]+[\"')\]]*\s+|\n\s*")
+_WORD = re.compile(r"\S+")
+
+# What a place is: ``last`` of a span of sentences is its last sentence, and one of these for the others. An
+# anchor is near if it stands, with the same words around it, less than a window before.
+_WINDOW, _ANCHOR, _NEAR = -1, -2, -3
+# Words hashed at once, which bounds the arrays.
+_STRETCH = 1 << 15
+_FACTOR = 0x9E3779B97F4A7C15
 
 
 def sentences(text: str) -> list[str]:
@@ -35,9 +50,17 @@ def spans(parts: list[str], least: int, alone: int, shortest: int = 2) -> tuple[
     From each sentence on, and back from each, the shortest run of at least ``shortest`` sentences and
     ``least`` words; and each sentence of ``alone`` words or more by itself.
     """
+    return _spans(*_pieces(parts), least, alone, shortest)
+
+
+def _pieces(parts: list[str]) -> tuple[list[bytes], np.ndarray]:
+    """Each sentence normalised, and how many words it has."""
     words = [p.lower().split() for p in parts]
-    sizes = np.array([len(w) for w in words], dtype=np.int64)
-    n = len(parts)
+    return [" ".join(w).encode() for w in words], np.array([len(w) for w in words], dtype=np.int64)
+
+
+def _spans(pieces: list[bytes], sizes: np.ndarray, least: int, alone: int, shortest: int = 2):
+    n = len(pieces)
     total = np.zeros(n + 1, dtype=np.int64)
     np.cumsum(sizes, out=total[1:])
     at = np.arange(n)
@@ -51,9 +74,9 @@ def spans(parts: list[str], least: int, alone: int, shortest: int = 2) -> tuple[
             np.stack([single, single], 1),
         ]
     )
-    pairs = np.unique(pairs, axis=0)
+    keys = np.unique(pairs[:, 0] * n + pairs[:, 1])
+    pairs = np.stack([keys // max(n, 1), keys % max(n, 1)], 1)
     # Sentences joined once as bytes; a span is a slice.
-    pieces = [" ".join(w).encode() for w in words]
     edges = np.zeros(n + 1, dtype=np.int64)
     np.cumsum([len(p) + 1 for p in pieces], out=edges[1:])
     line = b" ".join(pieces)
@@ -61,22 +84,90 @@ def spans(parts: list[str], least: int, alone: int, shortest: int = 2) -> tuple[
     return pairs[:, 0], pairs[:, 1], [line[a:b] for a, b in zip(starts, ends, strict=True)]
 
 
-def _hashes(found: list[bytes]) -> np.ndarray:
+def _hashes(found: list[bytes], seed: int = 0) -> np.ndarray:
     """128-bit hashes as two columns of signed 64-bit integers."""
     from xxhash import xxh3_128_digest
 
-    return np.frombuffer(b"".join(map(xxh3_128_digest, found)), dtype="<i8").reshape(-1, 2)
+    return np.frombuffer(b"".join([xxh3_128_digest(f, seed) for f in found]), dtype="<i8").reshape(-1, 2)
+
+
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the factor and of its inverse, modulo 2**64."""
+
+    def powers(of: int) -> np.ndarray:
+        line = np.full(n, of, dtype=np.uint64)
+        line[0] = 1
+        return np.multiply.accumulate(line)
+
+    return powers(_FACTOR), powers(pow(_FACTOR, -1, 1 << 64))
+
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-def _low_halves(least: int, alone: int):
-    """For each document the lower halves of its spans' hashes; one that recurs in it comes twice."""
+
+_OF_BYTE = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_FACTOR))
+
+
+def _line(pieces: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """A document's words as one line, with their starts and ends in it."""
+    line = b" ".join(p for p in pieces if p)
+    blanks = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+    return line, np.concatenate([[0], blanks + 1]), np.concatenate([blanks, [len(line)]])
+
+
+def _smallest(line: bytes, starts: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the runs of half of ``size`` words that are the smallest of some window, or equal to one."""
+    length = (size + 1) // 2
+    width = size - length + 1
+    up, down = (p[: len(line)] for p in _powers(1 << max(18, len(line).bit_length())))
+    sums = np.zeros(len(line) + 1, dtype=np.uint64)
+    np.cumsum(_OF_BYTE[np.frombuffer(line, np.uint8)] * up, out=sums[1:])
+    a, z = starts[: len(starts) - length + 1], ends[length - 1 :]
+    hashes = _mixed((sums[z] - sums[a]) * down[a])
+    # Smallest of every ``width`` neighbours: the rest of one block with the beginning of the next.
+    blocks = np.full((-(-len(hashes) // width), width), np.iinfo(np.uint64).max, dtype=np.uint64)
+    blocks.reshape(-1)[: len(hashes)] = hashes
+    rest = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
+    begun = np.minimum.accumulate(blocks, axis=1).reshape(-1)
+    n = len(hashes) - width + 1
+    least = np.minimum(rest[:n], begun[width - 1 : width - 1 + n])
+    values = np.unique(least[np.concatenate([[True], least[1:] != least[:-1]])])
+    where = np.flatnonzero(values[np.minimum(np.searchsorted(values, hashes), len(values) - 1)] == hashes)
+    return where, hashes[where].view(np.int64)
+
+
+def _anchors(line: bytes, starts: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """First words and hashes of a document's anchors: at least every place that is one of some window."""
+    places, hashes = [], []
+    for at in range(0, len(starts) - size + 1, _STRETCH):
+        a, z = starts[at : at + _STRETCH + size - 1], ends[at : at + _STRETCH + size - 1]
+        where, found = _smallest(line[a[0] : z[-1]], a - a[0], z - a[0], size)
+        places.append(where + at)
+        hashes.append(found)
+    if not places:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if len(places) == 1:
+        return places[0], hashes[0]
+    places, first = np.unique(np.concatenate(places), return_index=True)
+    return places, np.concatenate(hashes)[first]
+
+
+def _low_halves(least: int, alone: int, passage: int):
+    """For each document the lower halves of the hashes of its spans and anchors; one that recurs in it comes
+    twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for text in batch.column(0).to_pylist():
                 if text:
-                    values, counts = np.unique(_hashes(spans(sentences(text), least, alone)[2])[:, 0], return_counts=True)
+                    pieces, sizes = _pieces(sentences(text))
+                    own = [_hashes(_spans(pieces, sizes, least, alone)[2])[:, 0], _anchors(*_line(pieces), passage)[1]]
+                    values, counts = np.unique(np.concatenate(own), return_counts=True)
                     out += [values, values[counts > 1]]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out))], names=["low"])
@@ -84,27 +175,78 @@ def _low_halves(least: int, alone: int):
     return run
 
 
-def _located(least: int, alone: int):
-    schema = pa.schema([(c, pa.int64()) for c in ("low", "high", "doc", "mark")] + [("first", pa.int32()), ("last", pa.int32())])
+_PLACES = pa.schema([(c, pa.int64()) for c in ("low", "high", "doc", "mark")] + [("first", pa.int32()), ("last", pa.int32())])
+_PLACE_COLUMNS = "low long, high long, doc long, mark long, first int, last int"
+
+
+def _places(columns: list[list]) -> Iterator[pa.RecordBatch]:
+    if columns[0]:
+        yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in columns], schema=_PLACES)
+
+
+def _place(columns: list[list], doc: int | None, mark: int, low, high, first, last) -> None:
+    n = len(low)
+    values = (low, high, [doc] * n, [mark] * n, first, last)
+    for held, value, of in zip(columns, values, _PLACES, strict=True):
+        held.append(pa.array(np.ascontiguousarray(value, of.type.to_pandas_dtype()) if isinstance(value, np.ndarray) else value, of.type))
+
+
+def _around(line: bytes, starts: np.ndarray, ends: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all words that windows around anchors can have, and of the anchors' places among them."""
+    from xxhash import xxh3_64_intdigest
+
+    room = size - (size + 1) // 2
+    first = np.maximum(places - room, 0)
+    a, z = starts[first].tolist(), ends[np.minimum(places + size, len(starts)) - 1].tolist()
+    hashes = [xxh3_64_intdigest(line[i:j], n) for i, j, n in zip(a, z, (places - first).tolist(), strict=True)]
+    return np.array(hashes, dtype=np.uint64).view(np.int64)
+
+
+def _located(least: int, alone: int, passage: int):
+    """Places of the spans and the anchors of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            columns: list[list] = [[] for _ in schema]
+            columns: list[list] = [[] for _ in _PLACES]
             for doc, mark, text in zip(ids, marks, batch.column(2).to_pylist(), strict=True):
                 if not text:
                     continue
-                first, last, found = spans(sentences(text), least, alone)
-                if len(found):
-                    hashes = _hashes(found)
-                    for held, values in zip(columns, (hashes[:, 0], hashes[:, 1]), strict=False):
-                        held.append(pa.array(np.ascontiguousarray(values)))
-                    columns[2].append(pa.array([doc] * len(found), pa.int64()))
-                    columns[3].append(pa.array([mark] * len(found), pa.int64()))
-                    columns[4].append(pa.array(first.astype(np.int32)))
-                    columns[5].append(pa.array(last.astype(np.int32)))
-            if columns[0]:
-                yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in columns], schema=schema)
+                pieces, sizes = _pieces(sentences(text))
+                first, last, found = _spans(pieces, sizes, least, alone)
+                hashes = _hashes(found)
+                _place(columns, doc, mark, hashes[:, 0], hashes[:, 1], first, last)
+                words = _line(pieces)
+                places, anchors = _anchors(*words, passage)
+                if len(places):
+                    around = _around(*words, places, passage)
+                    order = np.lexsort((places, around, anchors))
+                    same = (np.diff(anchors[order]) == 0) & (np.diff(around[order]) == 0) & (np.diff(places[order]) < passage)
+                    kind = np.full(len(places), _ANCHOR)
+                    kind[order[1:][same]] = _NEAR
+                    _place(columns, doc, mark, anchors, around, places, kind)
+            yield from _places(columns)
+
+    return run
+
+
+def _windows(passage: int):
+    """Places of all windows around the anchors given with each document."""
+    room = passage - (passage + 1) // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, marks, texts = (batch.column(c).to_pylist() for c in range(3))
+            for at, (doc, mark, text) in enumerate(zip(ids, marks, texts, strict=True)):
+                line, starts, ends = _line(_pieces(sentences(text))[0])
+                given = np.unique(batch.column(3)[at].values.to_numpy()).astype(np.int64)
+                first = np.unique(given[:, None] - np.arange(room + 1))
+                first = first[(first >= 0) & (first + passage <= len(starts))]
+                columns: list[list] = [[] for _ in _PLACES]
+                edges = zip(starts[first].tolist(), ends[first + passage - 1].tolist(), strict=True)
+                hashes = _hashes([line[a:z] for a, z in edges], 1)
+                _place(columns, doc, mark, hashes[:, 0], hashes[:, 1], first, np.full(len(first), _WINDOW))
+                yield from _places(columns)
 
     return run
 
@@ -118,45 +260,98 @@ _CUT = T.StructType(
 )
 
 
+def _gone(body: str, parts: list[str], covered, passage: int) -> list[tuple[int, int]]:
+    """The stretches of a text, in order and apart, that its covered places take; each word with the white space
+    after it."""
+    ends = np.cumsum([0, *map(len, parts)])
+    words = None
+    out = []
+    for r in covered:
+        if r["last"] >= 0:
+            out.append((int(ends[r["first"]]), int(ends[r["last"] + 1])))
+            continue
+        if words is None:
+            words = [m.start() for m in _WORD.finditer(body)] + [len(body)]
+            words[0] = 0
+        before = passage - (passage + 1) // 2 if r["last"] != _WINDOW else 0
+        first, end = r["first"] - before, r["first"] + passage
+        out.append((words[max(first, 0)], words[min(end, len(words) - 1)]))
+    merged: list[tuple[int, int]] = []
+    for a, z in sorted(out):
+        if merged and a <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(z, merged[-1][1]))
+        else:
+            merged.append((a, z))
+    return merged
+
+
+def _touched(parts: list[str], gone: list[tuple[int, int]]) -> int:
+    ends = np.cumsum([0, *map(len, parts)])
+    hit = np.zeros(len(parts), dtype=bool)
+    for a, z in gone:
+        hit[np.searchsorted(ends, a, side="right") - 1 : np.searchsorted(ends, z)] = True
+    return int(hit.sum())
+
+
 def without_repeated_spans(
     docs: DataFrame,
     *,
     least_words: int = 30,
     alone_words: int = 50,
+    passage_words: int = 50,
     doc_id: str = "doc_id",
     text: str = "text",
     counts: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """``docs`` without the sentences that a non-first repeated span covers.
+    """``docs`` without the sentences and words that a non-first repeated span or window covers.
 
     A span is a shortest run of two sentences or more with ``least_words`` words, or one sentence of
-    ``alone_words``; case and white space do not matter. So every passage of at least ``2 * least_words - 10``
-    words that recurs sentence for sentence is covered as a whole, and shorter repeats stay. The first
-    occurrence is the one in the smallest document id (null before all), then the smallest hash of the
-    text, then the earliest place, and stays. Rows equal in id and text are one document: they get one
-    result. A null or empty text stays as it is. With ``counts`` two columns are added: the number of
-    sentences, and of those removed. Other columns are kept; an empty table gives an empty one.
-
-    Two passes over the texts: one sends 8 bytes per span and finds hashes met twice, the other sends
-    only to these their places. Hashes are summed before each shuffle and joins are left to adaptive
-    execution, which splits a passage that very many documents share.
+    ``alone_words``; a window is any ``passage_words`` words in a row; case and white space do not matter. So
+    every passage of at least ``passage_words`` words that recurs word for word is covered as a whole, wherever
+    it starts or ends, and of shorter repeats those spans. The first occurrence is the one in the smallest
+    document id (null before all), then the smallest hash of the text, then the earliest place, and stays; so
+    does a window that overlaps the first one of its kind, as in a word said over and over. Rows equal in id
+    and text are one document: they get one result. A null or empty text stays as it is. With ``counts`` two
+    columns are added: the number of sentences, and of those removed in whole or in part. Other columns are
+    kept; an empty table gives an empty one.
+
+    Three passes over the texts: one sends 8 bytes per span and anchor and finds hashes met twice, the next
+    sends only to these their places, and the last hashes windows around anchors whose surroundings differ.
+    Hashes are summed before each shuffle and joins are left to adaptive execution, which splits a passage
+    that very many documents share.
     """
     mark = free_name(docs, "mark")
     named = docs.withColumn(mark, F.xxhash64(F.col(text)))
     slim = named.select(F.col(doc_id).cast("long").alias("doc"), F.col(mark).alias("mark"), F.col(text).alias("text"))
-    lows = slim.select("text").mapInArrow(_low_halves(least_words, alone_words), "low long")
+    lows = slim.select("text").mapInArrow(_low_halves(least_words, alone_words, passage_words), "low long")
     twice = staged(lows.groupBy("low").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("low"), "twice")
-    places = slim.mapInArrow(
-        _located(least_words, alone_words), "low long, high long, doc long, mark long, first int, last int"
-    )
-    places = staged(places.join(twice, "low", "left_semi"), "places")
+    located = slim.mapInArrow(_located(least_words, alone_words, passage_words), _PLACE_COLUMNS)
+    located = staged(located.join(twice, "low", "left_semi"), "places")
     place = F.struct("doc", "mark", "first")
-    firsts = places.groupBy("low", "high").agg(F.min(place).alias("kept"), F.max(place).alias("other"))
-    # Staged, so that the join below has plain shuffles on both sides: only then is a hot span split.
-    firsts = staged(firsts.where("kept != other").drop("other"), "firsts")
-    later = places.join(firsts, ["low", "high"]).where(~place.eqNullSafe(F.col("kept")))
+    firsts = located.groupBy("low", "high").agg(F.min(place).alias("kept"), F.max(place).alias("other"), F.min("last").alias("kind"))
+    # Staged, so that the joins below have plain shuffles on both sides: only then is a hot span split.
+    firsts = staged(
+        firsts.select("low", "high", "kept", "kind", (F.col("kept") != F.col("other")).alias("recurs")).where((F.col("kind") <= _ANCHOR) | F.col("recurs")),
+        "firsts",
+    )
+    anchors = firsts.where(F.col("kind") <= _ANCHOR)
+    several = anchors.groupBy("low").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("low")
+    opened = anchors.join(several, "low", "left_semi").select("kept.*")
+    opened = opened.unionByName(located.where(F.col("last") == _NEAR).select("doc", "mark", "first"))
+    opened = staged(opened.groupBy("doc", "mark").agg(F.collect_set("first").alias("anchors")), "anchors")
+    looked = slim.alias("d").join(opened.alias("a"), F.col("d.doc").eqNullSafe(F.col("a.doc")) & (F.col("d.mark") == F.col("a.mark")))
+    windows = looked.select("d.doc", "d.mark", "d.text", "a.anchors").mapInArrow(_windows(passage_words), _PLACE_COLUMNS)
+    windows = staged(windows, "windows")
+    first_windows = windows.groupBy("low", "high").agg(F.min(place).alias("kept"), F.max(place).alias("other"))
+    first_windows = staged(first_windows.where("kept != other").drop("other"), "first-windows")
+    itself = F.col("doc").eqNullSafe(F.col("kept.doc")) & (F.col("mark") == F.col("kept.mark"))
+    overlaps = (F.col("last") < 0) & itself & (F.col("first") - F.col("kept.first") < passage_words)
+    later = located.join(firsts.where("recurs").select("low", "high", "kept"), ["low", "high"]).unionByName(
+        windows.join(first_windows, ["low", "high"])
+    )
+    later = later.where(~place.eqNullSafe(F.col("kept")) & ~overlaps)
     cover, its_doc, its_mark = (free_name(named, c) for c in ("cover", "its_doc", "its_mark"))
-    # As many ranges as the document has spans at most; equal ranges are put together before the shuffle.
+    # As many ranges as the document has spans and words at most; equal ranges are put together before the shuffle.
     covers = later.groupBy(F.col("doc").alias(its_doc), F.col("mark").alias(its_mark)).agg(
         F.collect_set(F.struct("first", "last")).alias(cover)
     )
@@ -169,12 +364,10 @@ def without_repeated_spans(
                 rows.append((body, 0, 0))
                 continue
             parts = sentences(body)
-            gone = np.zeros(len(parts), dtype=bool)
-            for r in covered if covered is not None else ():
-                gone[r["first"] : r["last"] + 1] = True
-            removed = int(gone.sum())
-            kept = "".join(p for p, g in zip(parts, gone, strict=True) if not g) if removed else body
-            rows.append((kept, len(parts), removed))
+            gone = _gone(body, parts, covered, passage_words) if covered is not None else []
+            edges = [0, *(edge for a_z in gone for edge in a_z), len(body)]
+            kept = "".join(body[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True))
+            rows.append((kept, len(parts), _touched(parts, gone)))
         return pd.DataFrame(rows, columns=_CUT.names)
 
     joined = named.join(covers, F.col(doc_id).cast("long").eqNullSafe(F.col(its_doc)) & (F.col(mark) == F.col(its_mark)), "left")

@@ -173,6 +173,52 @@ def test_passages_in_awkward_documents(spark):
     assert without_repeated_spans(docs.limit(0)).count() == 0
 
 
+def plain_windows(rows, size=50):
+    """Places of the words that lie in a window met before, each window by every other."""
+    seen, gone = {}, {}
+    for i, text in sorted(rows):
+        words = text.lower().split()
+        for at in range(len(words) - size + 1):
+            doc, first = seen.setdefault(tuple(words[at : at + size]), (i, at))
+            if (doc, first) != (i, at) and not (doc == i and at - first < size):
+                gone.setdefault(i, set()).update(range(at, at + size))
+    return gone
+
+
+def test_passages_that_end_inside_sentences(spark):
+    """Three sentences of 18 words in running text, one sentence of 49 words with parts of others, periods."""
+    words = lambda seed, n: prose(seed, n).lower().replace(".", "").split()
+    three = [" ".join(words(200 + i, 18)) for i in range(3)]
+    lone, rest = words(210, 49), words(211, 40)
+    again = " ".join(words(212, 7))
+    rows = [
+        (1, f"{three[0]}. {three[1]}. {three[2]} and so on."),
+        (2, f"Here it runs on with {three[0]}. {three[1]}. {three[2]} which ends in another way. " + prose(213, 30)),
+        (3, " ".join(rest[:5]) + ". " + " ".join(lone) + ". " + " ".join(rest[5:]) + "."),
+        (4, "Other words " + " ".join(rest[2:5]) + ". " + " ".join(lone) + ". " + " ".join(rest[5:9]) + " other words."),
+        (5, " ".join([again] * 40)),
+        (6, "at first " + " ".join([again] * 9) + " at last"),
+        (7, " ".join(words(214, 49)) + " one"),
+        (8, " ".join(words(214, 49)) + " two"),
+        (9, " \n" + " ".join(words(215, 50))),
+        (10, "So: " + " ".join(words(215, 50)).upper() + "\n"),
+    ]
+    # A passage at every place of a text of several stretches, taken from anywhere in another.
+    draw = random.Random(3)
+    source = words(216, 34_000)
+    for i in range(11, 31):
+        at, n = draw.choice([0, 32_700, draw.randrange(33_000)]), draw.randint(50, 90)
+        rows.append((i, " ".join(words(300 + i, draw.randint(0, 60)) + source[at : at + n] + words(400 + i, draw.randint(0, 60)))))
+    rows.append((0, " ".join(source)))
+    docs = documents(spark, [(i, t, None, None, None) for i, t in rows])
+    got = {r["doc_id"]: (r["text"].lower().split(), r["m"]) for r in without_repeated_spans(docs, counts=("n", "m")).collect()}
+    gone = plain_windows(rows)
+    assert {2, 4, 5, 6, 10, *range(11, 31)} == set(gone)
+    for i, text in rows:
+        assert got[i][0] == [w for at, w in enumerate(text.lower().split()) if at not in gone.get(i, ())]
+        assert (got[i][1] > 0) == (i in gone)
+
+
 # --- benchmark leaks -------------------------------------------------------------------------------
 
 
