@@ -2,8 +2,10 @@
 
 Item-sized windows of a document get a SimHash over their words. Fingerprints of windows and items of
 one size meet in a multi-index: cut into ``radius + 1`` blocks, two fingerprints within the radius agree
-on one block at least, so all such pairs are found. Then the exact weighted Jaccard similarity of the
-five-word shingles, weighted by how often each occurs, decides.
+on one block at least, so all such pairs are found. Pairs beyond the radius, such as of a copy that is cut
+at its ends, meet by shingles: of two sequences as similar as asked, the beginnings of the sorted shingles
+share one. Then the exact weighted Jaccard similarity of the five-word shingles, weighted by how often
+each occurs, decides; so no pair is lost to the fingerprints.
 
 A window that can pass the last test shares a shingle with the item. So windows are laid only where a
 shingle of the document is one of an item's, at the place that puts the two shingles over each other.
@@ -76,6 +78,15 @@ def _blocks(fingerprint: Column, masks: list[int]) -> Column:
     )
 
 
+def beginning_of(shingles: Column, similarity: float) -> Column:
+    """As many of the sorted shingles as have one in common with those of any sequence so similar.
+
+    Such a sequence holds ``similarity`` of the shingles at least, so it cannot miss more than the rest.
+    """
+    needed = F.ceil(F.lit(similarity) * F.size(shingles) - F.lit(1e-9)).cast("int")
+    return F.array_distinct(F.slice(F.sort_array(shingles), F.lit(1), F.greatest(F.size(shingles) - needed + 1, F.lit(1))))
+
+
 def weighted_jaccard(a: Column, b: Column) -> Column:
     """Shared over joint weight of two shingle arrays, a shingle weighing as often as it occurs."""
 
@@ -169,7 +180,15 @@ def find_leaks(
     # A pair may agree on several blocks; the first of these gives the row.
     first = F.coalesce(*[F.when(differ.bitwiseAND(F.lit(m).cast("long")) == 0, F.lit(b)) for b, m in enumerate(masks)])
     near = indexed.join(index, ["n", "block", "bits"]).where((F.bit_count(differ) <= radius) & (first == F.col("block")))
-    scored = near.select(
+    begun = prints.withColumn("begun", beginning_of(F.col("held"), similarity)).select("*", F.explode("begun").alias("shingle"))
+    asked = items.withColumn("asked", beginning_of(F.col("shingles"), similarity)).select(
+        "item_id", "n", "shingles", "asked", F.col("fp").alias("item_fp"), F.explode("asked").alias("shingle")
+    )
+    # A pair may share several shingles; the smallest of these gives the row.
+    smallest = F.array_min(F.array_intersect("begun", "asked"))
+    beyond = begun.join(asked, ["n", "shingle"]).where((F.bit_count(differ) > radius) & (smallest == F.col("shingle")))
+    pairs = [f.select("doc", "mark", "item_id", "start", "held", "shingles") for f in (near, beyond)]
+    scored = reduce(DataFrame.unionByName, pairs).select(
         "doc", "mark", "item_id", "start", weighted_jaccard(F.col("held"), F.col("shingles")).alias("similarity")
     ).where(F.col("similarity") >= similarity)
     best = F.max(F.struct("similarity", (-F.greatest("start", F.lit(0))).alias("before")))

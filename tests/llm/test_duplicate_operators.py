@@ -277,6 +277,32 @@ def test_leaks_by_brute_force(spark):
     assert find_leaks(frame.limit(0), bench).count() == 0
 
 
+def test_leaks_cut_at_the_ends(spark):
+    """Copies that lack five of their words at an end are similar by 0.8, however far their fingerprints lie."""
+
+    def fingerprint(words):
+        hashes = [xxh64_intdigest(w, 42) for w in words]
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+    items, docs, far = [], [], 0
+    for seed in range(400):
+        draw = random.Random(seed)
+        item, around = (["".join(draw.choices("abcdefghij", k=7)) for _ in range(n)] for n in (50, 20))
+        window = around[5:10] + item[5:]
+        beyond = (fingerprint(window) ^ fingerprint(item)).bit_count() > RADIUS
+        far += beyond
+        if beyond or seed < 3:
+            items.append((seed, " ".join(item)))
+            docs.append((seed, " ".join(around[:10] + item[5:] + around[10:])))
+            docs.append((1000 + seed, " ".join(around[:10] + item[:-5] + around[10:])))
+            docs.append((2000 + seed, " ".join(around[:10] + item[6:] + around[10:])))
+    assert far
+    got = find_leaks(documents(spark, [(*d, None, None, None) for d in docs]), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r["doc"], r["item_id"]): (r["start_word"], r["similarity"]) for r in got.collect()}
+    assert set(got) == plain_leaks(docs, items) == {(i + at, i) for i, _ in items for at in (0, 1000)}
+    assert all(got[i, i] == (5, pytest.approx(41 / 51)) for i, _ in items)
+
+
 def test_leaks_in_awkward_documents(spark):
     docs = documents(spark, clashes=True)
     items = spark.createDataFrame([(1, prose(3, 60)), (2, "one")], "item_id long, text string")
