@@ -27,6 +27,9 @@ RADIUS = 13
 # Up to so many rows of three numbers (24 MB) are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
+# Windows that start within so many words of a document are gathered in one row.
+STRETCH = 4096
+
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` worked out once."""
@@ -142,29 +145,19 @@ def find_leaks(
         held.join(few, "shingle").select("doc", "mark", (F.col("place") - F.col("offset")).alias("start"), "n").distinct(),
         "windows",
     )
-    # A document's windows: as many as its words times the sizes of items at most.
-    laid = staged(windows.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "n")).alias("windows")), "laid")
-    low = lambda w: F.greatest(w["start"], F.lit(0))
+    # A stretch's windows: as many as its words times the sizes of items at most.
+    laid = staged(
+        windows.groupBy("doc", "mark", F.floor(F.col("start") / STRETCH).alias("stretch")).agg(F.collect_list(F.struct("start", "n")).alias("windows")),
+        "laid",
+    )
+    low = F.greatest("w.start", F.lit(0))
     met = slim.alias("d").join(
         laid.alias("l"), F.col("d.doc").eqNullSafe(F.col("l.doc")) & (F.col("d.mark") == F.col("l.mark"))
     )
-    sliced = met.select(
-        F.col("d.doc").alias("doc"),
-        F.col("d.mark").alias("mark"),
-        F.explode(
-            _let(
-                words_of(F.col("text")),
-                lambda ws: F.transform(
-                    F.col("windows"),
-                    lambda w: F.struct(
-                        w["start"].alias("start"),
-                        w["n"].alias("n"),
-                        F.slice(ws, low(w) + 1, w["start"] + w["n"] - low(w)).alias("words"),
-                    ),
-                ),
-            )
-        ).alias("w"),
-    ).select("doc", "mark", "w.start", "w.n", "w.words")
+    # One row a window before its words are cut out, so that no row holds the words of several.
+    each = met.select(F.col("d.doc").alias("doc"), F.col("d.mark").alias("mark"), words_of(F.col("text")).alias("all"), "windows")
+    each = each.select("doc", "mark", "all", F.explode("windows").alias("w"))
+    sliced = each.select("doc", "mark", "w.start", "w.n", F.slice("all", low + 1, F.col("w.start") + F.col("w.n") - low).alias("words"))
     prints = staged(
         sliced.select("doc", "mark", "start", "n", simhash_of(F.col("words")).alias("fp"), shingles_of(F.col("words")).alias("held")),
         "window-prints",

@@ -303,6 +303,27 @@ def test_leaks_cut_at_the_ends(spark):
     assert all(got[i, i] == (5, pytest.approx(41 / 51)) for i, _ in items)
 
 
+def test_windows_of_a_long_document_come_in_stretches(spark, monkeypatch):
+    """A phrase of several items all over a document: no row holds its windows as a whole."""
+    from seasonline.llm import benchmark_leaks
+
+    held = {}
+
+    def kept(frame, label):
+        held[label] = staged(frame, label)
+        return held[label]
+
+    staged = benchmark_leaks.staged
+    monkeypatch.setattr(benchmark_leaks, "staged", kept)
+    phrase = "one two three four five six "
+    items = [(i, phrase + prose(500 + i, 10 + i)) for i in range(4)] + [(9, phrase * 3)]
+    docs = [(1, phrase * 1500 + items[2][1]), (2, "no leak " + phrase)]
+    got = find_leaks(documents(spark, [(*d, None, None, None) for d in docs]), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc"], r["item_id"], r["start_word"]) for r in got.collect()} == {(1, 2, 9000), (1, 9, 0)}
+    sizes = held["laid"].select("doc", F.size("windows").alias("n")).collect()
+    assert max(r["n"] for r in sizes) <= 4096 * 5 and sum(r["doc"] == 1 for r in sizes) > 2
+
+
 def test_leaks_in_awkward_documents(spark):
     docs = documents(spark, clashes=True)
     items = spark.createDataFrame([(1, prose(3, 60)), (2, "one")], "item_id long, text string")
