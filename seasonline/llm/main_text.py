@@ -160,6 +160,39 @@ def parse(source: str) -> Page:
     return page
 
 
+def _sides(page: Page) -> tuple[list[bool], list[bool]]:
+    """Of each element whether its tag, and whether its names, are those of navigation, forms, adverts, comments
+    and the like.
+
+    An element round the main part of the page is none of these, whatever it is called: one that holds the
+    ``article`` or ``main`` of most text, or most of the page's text outside links that lies in no such
+    element deeper.
+    """
+    n = len(page.parents)
+    prose = [0] * n
+    for node, text, in_links in page.runs:
+        prose[node] += len(text) - in_links
+    in_main = [False] * n
+    tagged, named = [False] * n, [False] * n
+    for node in range(1, n):
+        tag, names = page.tags[node], page.names[node]
+        in_main[node] = in_main[page.parents[node]] or tag in _MAIN
+        tagged[node] = tag in _SIDE and not (tag == "header" and in_main[node])  # an article's header holds its heading
+        named[node] = bool(names) and tag not in ("html", "body") and _BAD_NAMES.search(names) is not None
+    whole, free, all_prose = prose.copy(), prose.copy(), sum(prose)
+    for node in range(n - 1, 0, -1):
+        whole[page.parents[node]] += whole[node]
+        if (tagged[node] or named[node]) and 2 * free[node] > all_prose:
+            tagged[node] = named[node] = False
+        if not (tagged[node] or named[node]):
+            free[page.parents[node]] += free[node]
+    holder = max((node for node in range(1, n) if page.tags[node] in _MAIN and not named[node]), key=lambda node: whole[node], default=0)
+    while holder > 0:
+        tagged[holder] = named[holder] = False
+        holder = page.parents[holder]
+    return tagged, named
+
+
 def node_features(page: Page) -> np.ndarray:
     """What the model sees of each element."""
     n = len(page.parents)
@@ -169,9 +202,7 @@ def node_features(page: Page) -> np.ndarray:
         linked[node] += in_links
         ends[node] += text.count(".") + text.count("!") + text.count("?")
     whole, all_linked = own.copy(), linked.copy()
-    in_main = [False] * n
-    for node in range(1, n):
-        in_main[node] = in_main[page.parents[node]] or page.tags[node] in _MAIN
+    tagged, named = _sides(page)
     for node in range(n - 1, 0, -1):
         whole[page.parents[node]] += whole[node]
         all_linked[page.parents[node]] += all_linked[node]
@@ -180,12 +211,12 @@ def node_features(page: Page) -> np.ndarray:
     x[:, 0] = 1
     for node, (tag, names) in enumerate(zip(page.tags, page.names, strict=True)):
         x[node, 1] = tag in _MAIN
-        x[node, 2] = tag in _SIDE and not (tag == "header" and in_main[node])  # an article's header holds its heading
+        x[node, 2] = tagged[node]
         x[node, 3] = tag in _HEADING
         x[node, 4] = tag in _PROSE
         x[node, 5] = tag in _LIST
         if names and tag not in ("html", "body"):
-            x[node, 6] = _BAD_NAMES.search(names) is not None
+            x[node, 6] = named[node]
             x[node, 7] = _GOOD_NAMES.search(names) is not None and not x[node, 6]
         # Within navigation, forms, comments and the like, however deep.
         inside[node] = bool(node and inside[page.parents[node]] or x[node, 2] or x[node, 6])
@@ -202,16 +233,16 @@ def known_labels(page: Page) -> np.ndarray | None:
     """Content marks of a page that names its main part itself; None for a page that does not.
 
     What lies in an ``article`` or ``main`` element is content, but for navigation, forms, adverts, comments and
-    the like inside it.
+    the like inside it; see ``_sides`` for what is taken for one.
     """
     if not _MAIN.intersection(page.tags):
         return None
     marks = np.zeros(len(page.tags), dtype=np.int64)
     blocked = [False] * len(page.tags)
+    tagged, named = _sides(page)
     for node in range(1, len(page.tags)):
         parent, tag = page.parents[node], page.tags[node]
-        side = tag in _SIDE and not (tag == "header" and marks[parent])
-        blocked[node] = blocked[parent] or side or _BAD_NAMES.search(page.names[node]) is not None and tag not in ("html", "body")
+        blocked[node] = blocked[parent] or tagged[node] or named[node]
         marks[node] = not blocked[node] and (marks[parent] or tag in _MAIN)
     return marks
 

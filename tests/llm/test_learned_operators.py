@@ -221,6 +221,26 @@ def test_boilerplate_goes(model):
             assert texts([parse(page(body.replace("</article>", extra + "</article>")))], model) == ["\n".join(parts)]
 
 
+def test_wrappers_of_the_page_are_no_boilerplate(model):
+    """A form or a div with a telling name round everything, with and without an article in it."""
+    prior = TextModel(_PRIOR, _PRIOR_PAIRS)
+    wrappers = ["form id=form1", "div class='content has-sidebar'", "div class=with-comments", "section class='no-sidebar'", "form><div class='page no-sidebar'"]
+    related = f"<section class=related><article class=card><p>{prose(8, 12)}</p></article></section>"
+    comments = f"<section id=comments><article class=comment><p>{prose(9, 40)}</p></article></section>"
+    for seed, wrapper in enumerate(wrappers):
+        body, parts = article(300 + seed)
+        for form in (body, body.replace("article", "main"), body.replace("article", "div")):
+            source = page(f"<{wrapper}>{form}{comments}<div class=sidebar><p>{prose(10, 30)}</p></div></{wrapper.split()[0].split('>')[0]}>")
+            for fitted in (model, prior):
+                assert texts([parse(source)], fitted) == ["\n".join(parts)]
+        marks = known_labels(parse(page(f"<{wrapper}>{body}{related}{comments}")))
+        plain = known_labels(parse(page(f"{body}{related}{comments}")))
+        assert marks.sum() == plain.sum() == 5
+        inner = body.replace("<article>", "<article><div class='text has-sidebar'>").replace("</article>", "</div></article>")
+        assert texts([parse(page(inner + related))], model) == ["\n".join(parts)]
+    assert known_labels(parse(page("<main class=no-sidebar><p>" + prose(11, 50) + "</p></main>"))).sum() == 2
+
+
 def test_tags_and_references(model):
     body = (
         "<article><h1>A &amp; B &copy &#x41;&#66; &bogus; x</h1><p class='a>b'>one\n two\t<b>bold</b> <a href='x'>link</a>, more words here.<br>next"
