@@ -24,10 +24,12 @@ from seasonline.llm.common import free_name, hashed_sample
 
 # Kinds of elements as HTML defines them.
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-_RAW = frozenset("script style title textarea noscript iframe xmp noembed noframes template svg math object select".split())
+_RAW = frozenset("script style title textarea noscript iframe xmp noembed noframes".split())  # text up to the end tag
+_FOREIGN = frozenset(("svg", "math"))
+_UNSHOWN = frozenset("desc metadata annotation annotation-xml".split())  # in foreign elements
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "strike strong sub sup time tt u var wbr svg math object".split()
 )
 _CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
@@ -39,7 +41,7 @@ _SIBLINGS = {
 }
 _SCOPES = frozenset("ul ol menu dl table div article section main body aside nav form blockquote".split())
 _MAIN = frozenset(("article", "main"))
-_SIDE = frozenset("nav footer aside header form menu dialog button fieldset".split())
+_SIDE = frozenset("nav footer aside header form menu dialog button fieldset select".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 _PROSE = frozenset("p pre blockquote dd figcaption".split())
 _LIST = frozenset("ul ol li dl dt table thead tbody tr td th".split())
@@ -62,6 +64,7 @@ _PRIOR_PAIRS = np.array([[1.0, -0.5], [-1.0, 1.5]])  # [parent, child]
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)", re.DOTALL
 )
+_OPEN_VALUE = re.compile(r"=\s*[^\s\"']+\Z")  # a slash at the end of a value without quotes closes nothing
 _ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 
 
@@ -77,10 +80,12 @@ class Page:
 
 def parse(source: str) -> Page:
     """Read a page as browsers mostly do: unclosed and stray tags are put up with, nothing is dropped but
-    what is never shown (scripts, styles, the title in the head and the like)."""
+    what is never shown (scripts, styles, templates, the title in the head and the like). Only such text runs on
+    to its end tag, and not from an element that closes itself."""
     page = Page()
     stack: list[tuple[str, int]] = [("#page", 0)]  # inline elements carry their block's number
     links, texts, linked, at, raw_end = 0, [], 0, 0, None
+    foreign = hidden = choices = 0  # open drawings and formulas, open templates, open lists of choices
 
     def flush() -> None:
         nonlocal linked
@@ -92,16 +97,19 @@ def parse(source: str) -> Page:
         linked = 0
 
     def close_to(depth: int) -> None:
-        nonlocal links
+        nonlocal links, foreign, hidden, choices
         for name, _ in stack[depth:]:
             links -= name == "a"
+            foreign -= name in _FOREIGN
+            hidden -= name == "template"
+            choices -= name == "select"
         if any(name not in _INLINE for name, _ in stack[depth:]):
             flush()
         del stack[depth:]
 
     def add_text(raw: str) -> None:
         nonlocal linked
-        if raw:
+        if raw and not hidden:
             text = html.unescape(raw) if "&" in raw else raw
             texts.append(text)
             if links > 0:
@@ -126,10 +134,22 @@ def parse(source: str) -> Page:
                 if name in _INLINE and stack[depth][0] not in _INLINE:
                     break
             continue
-        if name in _RAW:
+        empty = rest.endswith("/") and not _OPEN_VALUE.search(rest)
+        block = name in _CLOSES_P or name in _SIBLINGS or name in _SCOPES
+        if foreign and not block and name not in _INLINE and name not in _VOID and name not in _RAW and name not in _UNSHOWN:
+            continue  # parts of a drawing or formula, whose text belongs to the block around
+        if empty and (name in _RAW or name in ("template", "select") or name in _UNSHOWN and foreign):
+            continue
+        if name in _RAW or name in _UNSHOWN and foreign:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(source, at)
-            at = raw_end = end.end() if end else len(source)
+            if end or name in _RAW:
+                at = raw_end = end.end() if end else len(source)
             continue
+        if choices and (block and name not in ("option", "hr") or name == "select"):
+            for depth in range(len(stack) - 1, 0, -1):  # a block, or another one, ends an open list of choices
+                if stack[depth][0] == "select":
+                    close_to(depth)
+                    break
         if name in _CLOSES_P or name in _SIBLINGS:
             wanted = _SIBLINGS.get(name, {"p"} if name in _CLOSES_P else set())
             for depth in range(len(stack) - 1, 0, -1):
@@ -144,11 +164,14 @@ def parse(source: str) -> Page:
                 texts.append(" ")
             elif name not in _VOID and not rest.endswith("/"):
                 links += name == "a"
+                foreign += name in _FOREIGN
                 stack.append((name, stack[-1][1]))
             elif name == "hr":
                 flush()
             continue
         flush()
+        hidden += name == "template"
+        choices += name == "select"
         node = len(page.parents)
         page.parents.append(stack[-1][1])
         page.tags.append(name)

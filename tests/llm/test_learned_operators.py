@@ -250,6 +250,23 @@ def test_tags_and_references(model):
     assert got == ["A & B © AB &bogus; x", "one two bold link, more words here. next", "unclosed paragraph of words.", "first item", "second item", "last words."]
 
 
+def test_elements_that_close_themselves_or_not_at_all(model):
+    body, parts = article(95)
+    for extra in (
+        "<svg class=icon />", "<svg/>", "<math/>", "<object data='x.swf' />", "<script src='x.js'/>", "<iframe src='x'/>", "<select name=a/>",
+        "<title/>", "<template/>", "<svg><path d='M0'/>", "<object data=x>", "<nav><select><option>one<option>two</nav>", "<select><option>one",
+        "<template><p>not shown</p><template>nor this</template> or this</template>", "<svg><desc>not shown</desc><path d=''/></svg>",
+        "<script src=/a/>var x = '<p>not shown</p>';</script>",
+    ):
+        for source in (extra + body, body.replace("<article>", "<article>" + extra), body.replace("</h1>", "</h1>" + extra)):
+            assert texts([parse(page(source))], model) == ["\n".join(parts)], extra
+    sentence = prose(96, 20)
+    formula = "<math><mrow><mi>a</mi><mo>=</mo><mn>1</mn></mrow><annotation encoding='application/x-tex'>a=1</annotation></math>"
+    added = f"<p>{sentence} {formula} and <svg><text>drawn</text></svg> or <object data=x><b>instead</b></object> here.</p></article>"
+    got = texts([parse(page(body.replace("</article>", added)))], model)
+    assert got == ["\n".join([*parts, f"{sentence} a=1 and drawn or instead here."])]
+
+
 def test_pages_without_labels_or_text(spark, model):
     prior = fit_text_model([parse("<p>no main part</p>")])
     assert (prior.weights == _PRIOR).all() and (prior.pairs == _PRIOR_PAIRS).all()
