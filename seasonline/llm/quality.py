@@ -10,6 +10,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -63,7 +65,7 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
         words.add(stem)
         shapes[shape] += count
     words.discard(-1)
-    repeats = sum(a == b for a, b in zip(tokens, tokens[1:], strict=False)) if len(times) < 0.9 * n else 0
+    repeats = sum(map(eq, tokens, islice(tokens, 1, None))) if len(times) < n else 0
     index = [*words, *shapes, REPEATS, VARIETY, BIAS]
     value = [1.0] * len(words) + [(c / n) ** 0.5 for c in shapes.values()] + [repeats / n, (len(times) / n) ** 0.5, 1.0]
     return np.array(index, np.int32), np.array(value, np.float32)

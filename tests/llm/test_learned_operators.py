@@ -23,7 +23,7 @@ from seasonline.llm.main_text import (
     train_text_model,
     with_main_text,
 )
-from seasonline.llm.quality import BIAS, features, fit_grades, grade_of_labels, train_grades, with_grades
+from seasonline.llm.quality import BIAS, REPEATS, features, fit_grades, grade_of_labels, train_grades, with_grades
 from seasonline.llm.vector_search import SearchPlan, nearest_vectors, usable
 
 # --- quality ---------------------------------------------------------------------------------------
@@ -89,6 +89,16 @@ def test_grade_of_labels(spark):
     assert [r[0] for r in df.select(grade_of_labels(F.col("quality"), F.col("toxic"))).collect()] == [0, 0, 1, 2, 2, None, None]
 
 
+def test_repeated_neighbours_count_in_every_text():
+    """However many of the tokens differ."""
+    for others in (0, 3, 20, 200, 2000):
+        tokens = ["twice", "twice", *(f"t{i}" for i in range(others))]
+        index, value = features(" ".join(tokens))
+        assert value[index == REPEATS] == pytest.approx(1 / len(tokens))
+    index, value = features("every token differs")
+    assert value[index == REPEATS] == 0
+
+
 # --- language --------------------------------------------------------------------------------------
 
 LETTERS = {"aa": "abcdefgh", "bb": "efghijkl", "cc": "xyzéèç"}
