@@ -243,18 +243,13 @@ def table_grid(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def header_names(rows: DataFrame) -> list[str]:
-    """Column names of the tables' first header rows, in order of place; a name met twice gets a number.
+    """Column names of the tables' longest first header row, in order of place; a name met twice gets a number.
 
-    What is gathered is the different headers, a handful of short rows for tables of one kind.
+    Spark chooses the row, of several as long the greatest by its names; one comes back.
     """
     headers = rows.where(F.col("in_head") & (F.col("row_no") == 0)).select(F.transform("cells", lambda c: c["text"]).alias("names"))
-    names: list[str] = []
-    for header in sorted((r["names"] for r in headers.distinct().collect()), key=len, reverse=True):
-        for i, name in enumerate(header):
-            numbered = name if header.index(name) == i else f"{name}.{header[:i].count(name)}"
-            if len(names) <= i:
-                names.append(numbered)
-    return names
+    header = headers.agg(F.max(F.struct(F.size("names").alias("n"), "names"))["names"].alias("names")).first()["names"] or []
+    return [name if header.index(name) == i else f"{name}.{header[:i].count(name)}" for i, name in enumerate(header)]
 
 
 def wide_table(rows: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None, *, extra: str = "extra") -> DataFrame:

@@ -157,3 +157,24 @@ def test_element_among_many_of_its_kind(spark):
     html = "<div>" * 2000 + "<div class='a b'>x<div>y</div>z</div>" + "</div>" * 2000 + "<div class=b>later</div>"
     df = select_table(spark.createDataFrame([(html,)], "html string"), tag="div", attributes={"class": "b"})
     assert df.first()["table_html"] == "<div class='a b'>x<div>y</div>z</div>"
+
+
+def test_headers_that_differ_by_page_stay_in_spark(spark, monkeypatch):
+    """One header a page: the longest names the columns, and one row comes to the driver."""
+    pages = [(i, f"<table><tr><th>day {i}</th><th>x</th></tr><tr><td>{i}</td><td>1</td></tr></table>") for i in range(40)]
+    pages.append((99, "<table><tr><th>day</th><th>x</th><th>x</th></tr><tr><td>99</td><td>1</td><td>2</td></tr></table>"))
+    parsed = table_rows(spark.createDataFrame(pages, "page int, table_html string"), ["page"])
+    kind, gathered = type(parsed), []
+    collect = kind.collect
+
+    def counted(frame):
+        got = collect(frame)
+        gathered.append(len(got))
+        return got
+
+    monkeypatch.setattr(kind, "collect", counted)
+    wide = wide_table(parsed, ["page"])
+    monkeypatch.undo()
+    assert wide.columns == ["page", "row_no", "day", "x", "x.1", "extra"] and wide.count() == 41
+    assert sum(gathered) <= 1
+    assert wide_table(parsed.where("page < 0"), ["page"]).columns == ["page", "row_no", "extra"]
