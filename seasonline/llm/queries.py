@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasonline.llm.benchmark_leaks import find_leaks
@@ -17,6 +17,7 @@ from seasonline.llm.main_text import train_text_model, with_main_text
 from seasonline.llm.quality import grade_of_labels, train_grades, with_grades
 from seasonline.llm.simhash_near import near_groups
 from seasonline.llm.span_dedup import without_repeated_spans
+from seasonline.llm.spelling import spelling_variants, word_counts
 from seasonline.llm.token_files import read_documents, write_token_files
 from seasonline.llm.vector_search import nearest_vectors
 from seasonline.session import scratch_path
@@ -97,6 +98,19 @@ def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.select(F.col("doc").alias("doc_id"), "item_id", "start_word", "similarity")
 
 
+def slipped(doc_id: Column, run: Column) -> Column:
+    """``run``, of which every 199th by a checksum with the document's id (none: empty) loses one code point."""
+    h = F.crc32(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), run))
+    at = F.pmod(h, F.char_length(run)).cast("int")
+    return F.when(h % 199 == 0, F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.char_length(run)))).otherwise(run)
+
+
+def spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every common word of the corpus with the commoner word it is a variant of."""
+    words = word_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), shortest=6, least=5, change=slipped)
+    return spelling_variants(words, ratio=5)
+
+
 QUERIES: dict[str, Query] = {
     "op1_edit_aware_counts": edit_aware_counts,
     "op2_simhash_groups": simhash_groups,
@@ -108,6 +122,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_grades": quality_grades,
     "op9_kernel_language": kernel_language,
     "op10_benchmark_leaks": benchmark_leaks,
+    "op11_spelling_groups": spelling_groups,
 }
 
 _WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
@@ -138,4 +153,25 @@ shared AS (
 scored AS (SELECT doc_id, item_id, greatest(start, 0) AS start_word, m / (size + isize - m) AS similarity FROM shared)
 SELECT doc_id, item_id, start_word, similarity FROM scored WHERE similarity >= 0.8
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start_word) = 1""",
+    # The checksum byte by byte, every word against all with one code point less, and the forms step by step.
+    "op11_spelling_groups": r"""WITH RECURSIVE
+table8 AS (SELECT list(c ORDER BY i) AS t FROM (
+  SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, _: xor(c >> 1, (c & 1) * 3988292384)) AS c FROM (SELECT unnest(range(256)) AS i))),
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{6,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+places AS (SELECT doc_id, run, count(*) AS times, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM runs GROUP BY doc_id, run),
+sums AS (SELECT run, times, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(1, len(x), 2), lambda i: CAST(16 * (instr('0123456789ABCDEF', x[i]) - 1) + instr('0123456789ABCDEF', x[i + 1]) - 1 AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]))) AS h FROM places, table8),
+slipped AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substring(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, times FROM sums),
+v AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+holes AS (SELECT word, n, i, left(word, i) || substring(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM holes a JOIN holes b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT h.word, v.word, v.n FROM holes h JOIN v ON v.word = h.rest
+  UNION SELECT v.word, h.word, h.n FROM holes h JOIN v ON v.word = h.rest),
+best AS (SELECT word, count(*) AS n_near, min({'less': -other_n, 'word': other}) AS b FROM near GROUP BY word),
+forms AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.less >= 5 * n THEN b.word END AS form, CASE WHEN -b.less >= 5 * n THEN -b.less END AS form_n
+  FROM v LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS root, 0 AS steps FROM forms UNION ALL SELECT w.word, f.form, steps + 1 FROM walk w JOIN forms f ON f.word = w.root WHERE f.form IS NOT NULL)
+SELECT word, form, arg_max(root, steps) AS root, n, n_near, form_n FROM forms JOIN walk USING (word) GROUP BY word, form, n, n_near, form_n""",
 }
