@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seasonline.llm.alignment import align_tokenizers
 from seasonline.llm.benchmark_leaks import find_leaks
 from seasonline.llm.byte_bpe import round_trip_digests
 from seasonline.llm.common import table
@@ -27,6 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 PATTERN = public_tokenizers.PATTERN
 END_ID = 2
 
@@ -111,6 +113,12 @@ def spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(words, ratio=5)
 
 
+def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two tokenizers, set against each other."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align_tokenizers(docs, a=TOKENIZER, b=PIECES)
+
+
 QUERIES: dict[str, Query] = {
     "op1_edit_aware_counts": edit_aware_counts,
     "op2_simhash_groups": simhash_groups,
@@ -123,6 +131,7 @@ QUERIES: dict[str, Query] = {
     "op9_kernel_language": kernel_language,
     "op10_benchmark_leaks": benchmark_leaks,
     "op11_spelling_groups": spelling_groups,
+    "op13_tokenizer_alignment": tokenizer_alignment,
 }
 
 _WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
