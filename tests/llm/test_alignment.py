@@ -103,12 +103,12 @@ def _rows(frame, names=MEASURES):
 
 @pytest.mark.parametrize("most_sent", [3_000_000, 0])
 def test_measures_of_hostile_texts(spark, most_sent):
-    """Both ways to look counts up: pairs sent to the tasks, and blocks with their own pairs."""
+    """Both ways to look counts up: pairs sent to the tasks, and slices with their own pairs."""
     texts = HOSTILE + drawn(1500) + ["the same text again"] * 200
     want, *_ = brute(texts)
     assert sum(r[0] == 0 for r in want) > 20
     frame = spark.createDataFrame(list(enumerate(texts)), "place int, text string").repartition(4)
-    assert _rows(align_tokenizers(frame, a=TOKENIZER, b=PIECES, most_sent=most_sent, block_bytes=4000)) == want
+    assert _rows(align_tokenizers(frame, a=TOKENIZER, b=PIECES, most_sent=most_sent)) == want
 
 
 def test_counts_of_pairs(spark):
@@ -133,7 +133,7 @@ def test_groups_read_back(spark):
 @pytest.mark.parametrize("most_sent", [3_000_000, 0])
 def test_awkward_tables(spark, most_sent):
     """Nulls, repeated rows, very long texts, clashing names, no rows."""
-    clashes = {"body": F.lit("b"), "block": F.lit(1), "row": F.lit(2), "key": F.lit("k"), "N_A": F.lit("n"), "best": F.lit(0)}
+    clashes = {"body": F.lit("b"), "slice": F.lit(1), "rows": F.lit(2), "units": F.lit(3), "n_units": F.lit("u"), "key": F.lit("k"), "N_A": F.lit("n"), "best": F.lit(0)}
     docs = documents(spark, clashes=True).withColumns(clashes)
     got = align_tokenizers(docs, a=TOKENIZER, b=PIECES, most_sent=most_sent)
     assert set(clashes) - {"N_A"} <= set(got.columns) and got.count() == docs.count()
