@@ -16,6 +16,7 @@ from seasonline.llm.edit_counts import scrub_edits, with_token_counts
 from seasonline.llm.language import train_languages, with_language
 from seasonline.llm.main_text import train_text_model, with_main_text
 from seasonline.llm.quality import grade_of_labels, train_grades, with_grades
+from seasonline.llm.sharding import shard_documents
 from seasonline.llm.simhash_near import near_groups
 from seasonline.llm.span_dedup import without_repeated_spans
 from seasonline.llm.spelling import spelling_variants, word_counts
@@ -113,6 +114,11 @@ def spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(words, ratio=5)
 
 
+def document_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its shard of sixteen and its place in it."""
+    return shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=16)
+
+
 def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens by two tokenizers, set against each other."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -131,6 +137,7 @@ QUERIES: dict[str, Query] = {
     "op9_kernel_language": kernel_language,
     "op10_benchmark_leaks": benchmark_leaks,
     "op11_spelling_groups": spelling_groups,
+    "op12_document_shards": document_shards,
     "op13_tokenizer_alignment": tokenizer_alignment,
 }
 
