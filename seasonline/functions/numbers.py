@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from seasonline.functions.html import bind
+
 # What counts as a number. Spark alone would also take type suffixes such as "1.0d" and "1f".
 NUMBER_PATTERN = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
 WHOLE_PATTERN = r"^\s*[+-]?\d+(\.0*)?\s*$"
@@ -22,20 +24,26 @@ def whole_number(text: Column) -> Column:
 
 def float_text(value: Column) -> Column:
     """A double in float notation: the shortest digits, an exponent only below 0.0001 and from 1e16 on."""
-    text = value.cast("string")
-    mantissa, exponent = F.split_part(text, F.lit("E"), F.lit(1)), F.split_part(text, F.lit("E"), F.lit(2))
-    power = exponent.try_cast("int")
-    plain = F.rtrim(text.try_cast("decimal(38,20)").cast("string"), F.lit("0"))
-    scientific = F.concat(
-        F.regexp_replace(mantissa, r"\.0$", ""),
-        F.when(power < 0, "e-").otherwise("e+"),
-        F.lpad(F.abs(power).cast("string"), F.greatest(F.length(F.abs(power).cast("string")), F.lit(2)), "0"),
-    )
-    return (
-        F.when(power.isNull(), F.replace(F.replace(text, F.lit("Infinity"), F.lit("inf")), F.lit("NaN"), F.lit("nan")))
-        .when(power.between(-4, 15), F.concat(plain, F.when(F.endswith(plain, F.lit(".")), "0").otherwise("")))
-        .otherwise(scientific)
-    )
+
+    def written(text: Column) -> Column:
+        mantissa, exponent = F.split_part(text, F.lit("E"), F.lit(1)), F.split_part(text, F.lit("E"), F.lit(2))
+        power = exponent.try_cast("int")
+        plain = F.rtrim(text.try_cast("decimal(38,20)").cast("string"), F.lit("0"))
+        scientific = F.concat(
+            F.regexp_replace(mantissa, r"\.0$", ""),
+            F.when(power < 0, "e-").otherwise("e+"),
+            F.lpad(F.abs(power).cast("string"), F.greatest(F.length(F.abs(power).cast("string")), F.lit(2)), "0"),
+        )
+        return (
+            F.when(text.endswith("y"), F.replace(text, F.lit("Infinity"), F.lit("inf")))
+            .when(text.endswith("N"), F.lit("nan"))
+            # Most numbers have no exponent and are written as they are.
+            .when(~F.contains(text, F.lit("E")), text)
+            .when(power.between(-4, 15), F.concat(plain, F.when(F.endswith(plain, F.lit(".")), "0").otherwise("")))
+            .otherwise(scientific)
+        )
+
+    return bind(value.cast("string"), written)
 
 
 def present(value: Column) -> Column:

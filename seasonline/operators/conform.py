@@ -29,6 +29,12 @@ def _by_layout(layouts: LayoutMap, position: str, kind: str, value: Callable[[La
     return F.try_element_at(F.create_map(*pairs), F.concat_ws("/", position, kind))
 
 
+def known_layout(layouts: LayoutMap, *, position: str = "pos", kind: str = "kind") -> Column:
+    """Whether the row's position and kind have a layout; never NULL."""
+    names = [f"{p}/{k}" for p, k in layouts]
+    return F.coalesce(F.concat_ws("/", position, kind).isin(names), F.lit(False)) & F.col(position).isNotNull()
+
+
 def conform(
     records: DataFrame,
     layouts: LayoutMap = LAYOUTS,

@@ -260,7 +260,9 @@ SELECT kind, {_NAME} AS name, pos AS team, yr, CASE WHEN kind = 'projected' THEN
     "season_files": f"""WITH {_LINE},
 {_SIDES}
 SELECT kind, {_NAME} AS name, pos AS team, yr, CASE WHEN kind = 'projected' THEN CAST(gp AS INTEGER) END AS bye,
-       CASE WHEN kind = 'actual' THEN CAST(gp AS INTEGER) END AS gp, qty, CAST(lines AS DOUBLE) AS lines, points FROM sides""",
+       CASE WHEN kind = 'actual' THEN CAST(gp AS INTEGER) END AS gp, qty, CAST(lines AS DOUBLE) AS lines, points,
+       NULL::VARCHAR AS reason, NULL::VARCHAR AS raw FROM sides WHERE name % 41 <> 7
+UNION ALL SELECT kind, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'wrong width', {_NAME} || ',' || pos FROM sides WHERE name % 41 = 7""",
     "table_grid": f"""WITH {_LINE},
 r AS (SELECT *, name // 50 AS page, row_number() OVER (PARTITION BY yr, name // 50 ORDER BY name) AS row_no FROM line),
 p AS (SELECT DISTINCT yr, page FROM r),

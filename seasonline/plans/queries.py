@@ -59,7 +59,7 @@ from seasonline.plans.rendering import (
     stat_pages,
 )
 from seasonline.session import scratch_path, staged
-from seasonline.sources.lines import from_comma_text, read_stat_lines, union_lines
+from seasonline.sources.lines import checked_stat_lines, from_comma_text, union_lines
 from seasonline.sources.pages import kind_of, query_value, read_pages
 from seasonline.sources.sinks import write_grid, write_master, write_scores, write_season_text, write_seasons
 from seasonline.streaming.pages import latest_loads, load_new_pages, stream_pages
@@ -239,9 +239,13 @@ def conform_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def season_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stat lines written as comma files per season and kind, and read back by their paths."""
+    """Stat lines written as comma files per season and kind, and read back by their paths.
+
+    Some lines are broken off in the files; they come back with their text.
+    """
     sides = both_kinds(spark, sf_dir)
     missing = F.lit(None).cast("int")
+    broken = F.when(F.col("name") % 41 == 7, F.concat(spelled(F.col("name")), F.lit(","), F.col("pos")))
     lines = sides.select(
         F.lit(PART).alias("pos"),
         "kind",
@@ -253,10 +257,12 @@ def season_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("qty").alias("Qty"),
         F.col("lines").alias("Lines"),
         F.col("points").alias("FPts"),
+        broken.alias("raw"),
     )
     path = scratch_path(spark, "files")
     write_season_text(lines, path, PART_LAYOUTS)
-    return _line_columns(read_stat_lines(spark, path, PART_LAYOUTS).where("width_ok"))
+    found = checked_stat_lines(spark, path, PART_LAYOUTS)
+    return union_lines([_line_columns(found.lines), found.malformed.select("kind", "reason", "raw")])
 
 
 def scoring_frame(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seasonline.layouts import LAYOUTS
-from seasonline.operators.conform import LayoutMap, comma_text
+from seasonline.operators.conform import LayoutMap, comma_text, known_layout
 from seasonline.operators.reconcile import in_seasons
 
 ROWS_PER_FILE = 5_000_000
@@ -53,7 +53,11 @@ def write_season_text(
 
     ``read_stat_lines`` reads them back.
     """
-    text = comma_text(lines, layouts).where(F.col("value").isNotNull())
+    # By layout, not by the text itself: a filter on the text would have it worked out twice.
+    written = known_layout(layouts)
+    if "raw" in lines.columns:
+        written |= F.col("raw").isNotNull()
+    text = comma_text(lines.where(written), layouts)
     named = text.select(F.concat_ws("_", "pos", "kind", F.col(season).cast("string")).alias("file"), "value")
     write_partitioned(named, path, ["file"], file_format="text", **options)
 

@@ -7,6 +7,7 @@ from seasonline.functions.numbers import float_text
 from seasonline.operators.conform import comma_cells, comma_line, conform, position_frame
 from seasonline.plans.training import full_season_errors, matched_lines, train_and_score, training_frame
 from seasonline.sources.lines import (
+    checked_stat_lines,
     from_comma_text,
     read_master,
     read_scoring_season,
@@ -106,6 +107,49 @@ def test_malformed_records_keep_their_text(spark):
         assert (r["Name"], r["Yr"], r["FPts"]) == ((None, None, None) if raw else ("Bo", 2015, 1.5))
 
 
+def test_every_line_is_read_or_told(spark, tmp_path):
+    """Blank, short, long and seasonless lines among good ones, over several files and splits of a file."""
+    good = [te_line(f"P{i}", "X", 2014, 7.0, 1.0, 2.0, 3.0, float(i)) for i in range(300)]
+    mixed = list(good)
+    for place, text in {0: "", 1: "only,two", 57: "  ", 58: "a,b,c,d,e,f,g,h,i,j", 199: "Bo,SD,later,5,1,2,3,4", 250: '"Al, Jr",SD'}.items():
+        mixed.insert(place, text)
+    write(tmp_path / "Data/2014/TE/TE_projected_2014.csv", mixed)
+    write(tmp_path / "Data/2014/XX/XX_projected_2014.csv", ["a,b", "", "c"])
+    write(tmp_path / "Data/2014/TE/TE_actual_2014.csv", ["short"])
+    paths = [str(tmp_path / f"Data/2014/{p}/{p}_{k}_2014.csv") for p, k in (("TE", "projected"), ("XX", "projected"), ("TE", "actual"))]
+    settings = {"spark.sql.files.maxPartitionBytes": "700", "spark.sql.files.openCostInBytes": "0"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = checked_stat_lines(spark, paths)
+        lines, malformed = found.lines.collect(), found.malformed.collect()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert sorted(r["FPts"] for r in lines) == [float(i) for i in range(300)]
+    assert found.lines.columns == read_stat_lines(spark, paths).columns
+    told = sorted((r["pos"], r["kind"], r["file"].rsplit("/", 1)[1], r["line_no"], r["reason"], r["raw"]) for r in malformed)
+    name = "TE_projected_2014.csv"
+    assert told == sorted(
+        [("TE", "projected", name, 1 + mixed.index(t), why, t) for t, why in (
+            ("only,two", "wrong width"), ("a,b,c,d,e,f,g,h,i,j", "wrong width"), ("Bo,SD,later,5,1,2,3,4", "no season"), ('"Al, Jr",SD', "wrong width"))]
+        + [("XX", "projected", "XX_projected_2014.csv", n, "unknown layout", t) for n, t in ((1, "a,b"), (3, "c"))]
+        + [("TE", "actual", "TE_actual_2014.csv", 1, "wrong width", "short")]
+    )
+
+
+def test_malformed_lines_of_a_range_are_kept_or_warned_of(spark, folder, tmp_path):
+    with open(tmp_path / "Data/2011/TE/TE_projected_2011.csv", "ab") as file:
+        file.write(b"torn,li")
+    paths = [str(tmp_path / f"Data/{yr}/{p}/{p}_{k}_{yr}.csv") for yr in (2010, 2011) for p in POSITIONS if p != "TE" for k in (PROJECTED, ACTUAL)]
+    for path in paths:
+        write(tmp_path / path, [])
+    with pytest.warns(UserWarning, match="1 malformed"):
+        assert read_seasons(spark, folder, 2010, 2011).count() == 32
+    assert read_seasons(spark, folder, 2010, 2011, quarantine=f"{folder}/bad").count() == 32
+    assert rows(spark.read.parquet(f"{folder}/bad").select("pos", "kind", "line_no", "raw")) == [("TE", "projected", 9, "torn,li")]
+
+
 def test_comma_cells_are_the_reverse_of_comma_line(spark):
     cells = [["a", "b"], ["", "a,b", "", 'q"q', '"x"', ""], ["x\ny", " s "], [""], ['6" rule', "z"], [",", '""']]
     df = spark.createDataFrame([(c,) for c in cells], "c array<string>")
