@@ -32,8 +32,9 @@ RIDGE_PENALTY = 0.5
 # the scores of a held-out season beat the published forecasts, with 0.001 they do not.
 PENALTY = 10.0
 
-_ADDENDS = 1024
-_SALTS = 16
+# Bytes of input that one task of a fit adds up, and rows that one task of a scoring takes with its models.
+TASK_BYTES = 1 << 30
+PLACE_ROWS = 250_000
 
 Layer = tuple[np.ndarray, np.ndarray]
 
@@ -141,6 +142,12 @@ def _runs_of_keys(pdf: pd.DataFrame, by: Sequence[str]) -> Iterator[tuple[tuple,
         yield tuple(None if pd.isna(k) else k for k in key), rows
 
 
+def fit_tasks(rows: DataFrame, task_bytes: int = TASK_BYTES) -> int:
+    """How many tasks a table read from files needs, by its size on disk."""
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, -(-size // task_bytes))
+
+
 def fit_relu_runs(
     df: DataFrame,
     features: Sequence[str],
@@ -151,6 +158,7 @@ def fit_relu_runs(
     units: int = HIDDEN_UNITS,
     penalty: float = PENALTY,
     layer: Callable[[int, int, int], Layer] = hidden_layer,
+    task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
     """Random-features regression per group and run: ``run, n, weights`` (intercept first).
 
@@ -158,15 +166,18 @@ def fit_relu_runs(
     ridge normal equations. Features should be standardised. Rows with a missing feature or target, or
     without a group, are not fitted.
 
-    All groups and runs share one pass over the rows, which stay where they are: input splits are put
-    together into a few tasks per core, sorted by group in each, and a task sends each group's sums once
-    and holds those of one group only.
+    All groups and runs share one pass over the rows. They are staged, so their size is known: a task takes about
+    ``task_bytes`` of them, whatever the cluster, sorts them by group, sends each group's sums once and holds those of one
+    group only. Sums of many tasks are added in two steps, each of about the square root of the number of tasks.
     """
     features, by = list(features), list(by)
     rows = df.dropna(subset=[*features, target, *by]).select(
         *by, *[F.col(f"`{c}`").cast("double").alias(c) for c in [*features, target]]
     )
-    rows = rows.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
+    rows = staged(rows, "rows")
+    tasks = fit_tasks(rows, task_bytes)
+    addends = max(1, round(tasks**0.5))
+    rows = rows.coalesce(tasks)
     if by:
         rows = rows.sortWithinPartitions(*by)
     upper = np.triu_indices(units + 2)
@@ -181,7 +192,7 @@ def fit_relu_runs(
 
     def cross_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         layers = [layer(run, len(features), units) for run in range(runs)]
-        addend = TaskContext.get().partitionId() % _ADDENDS
+        addend = TaskContext.get().partitionId() % addends
         held_key, held = None, np.zeros((runs, units + 2, units + 2))
 
         def emit() -> pd.DataFrame:
@@ -227,6 +238,30 @@ def fit_relu_runs(
     return partial.groupBy(*by, "run").applyInPandas(solved, models)
 
 
+def _placed(rows: DataFrame, models: DataFrame, groups: list[str], salts: int | None, place_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with a place in ``_salt``, and a copy of its group's models for every place that a group has.
+
+    A group has as many places as its counted rows need; groups that fit into one are not listed, so the table of
+    places is no longer than all rows by ``place_rows``.
+    """
+    counts = rows.groupBy(*groups).agg(F.ceil(F.count(F.lit(1)) / place_rows).cast("int").alias("_places")).where("_places > 1")
+    if salts is not None:
+        rows, models = (df.withColumn("_places", F.lit(salts)) for df in (rows, models))
+    elif not groups:
+        places = F.lit((counts.first() or {"_places": 1})["_places"])
+        rows, models = (df.withColumn("_places", places) for df in (rows, models))
+    else:
+        large = staged(counts, "places")
+        # Rows without a group have no models, and are spread by their number too.
+        same = [F.col(f"a.`{g}`").eqNullSafe(F.col(f"b.`{g}`")) for g in groups]
+        models = models.join(large, groups, "left")
+        rows = rows.alias("a").join(large.alias("b"), same, "left").select("a.*", "b._places")
+    places = F.coalesce("_places", F.lit(1))
+    value = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns if c not in (*groups, "_places")])
+    rows = rows.withColumn("_salt", F.pmod(value, places).cast("int"))
+    return rows, models.withColumn("_salt", F.explode(F.sequence(F.lit(0), places - 1)))
+
+
 def score_relu_runs(
     df: DataFrame,
     models: DataFrame,
@@ -237,6 +272,7 @@ def score_relu_runs(
     units: int = HIDDEN_UNITS,
     name: str = "prediction",
     salts: int | None = None,
+    place_rows: int = PLACE_ROWS,
     layer: Callable[[int, int, int], Layer] = hidden_layer,
 ) -> DataFrame:
     """One row per scored row and run: ``by``, ``keep``, ``run`` and the prediction.
@@ -245,33 +281,29 @@ def score_relu_runs(
     missing, as with :func:`score_ridge`. ``layer`` is the one the models were fitted with.
 
     The fitted models are staged, so scoring never repeats the fit. Rows and models meet by group in one
-    shuffle; a group is spread over ``salts`` places, each with a copy of its models, which come before
-    its rows. A task holds the models of one group.
+    shuffle; the rows of each group are counted first, and it gets a place for every ``place_rows`` of them, each with a copy of
+    its models, which come before the rows; ``salts`` gives every group so many instead. A task holds the models of one group.
     """
     features, by = list(features), list(by)
     keep = [c for c in dict.fromkeys(keep) if c not in by]
     spark = df.sparkSession
     models = staged(models.select(*by, "run", "weights"), "models")
     runs = sorted(r["run"] for r in models.select("run").distinct().collect())
-    places = salts or (_SALTS if by else int(spark.conf.get("spark.sql.shuffle.partitions")))
     x = F.array(*[F.col(f"`{f}`").cast("double") for f in features])
     names = {c: f"_{i}_{c}" for i, c in enumerate([*by, *keep])}  # the columns a model row lacks, under names of their own
-    rows = df.select(
-        *[F.col(f"`{c}`").alias(n) for c, n in names.items()],
-        x.alias("_x"),
-        F.pmod(F.xxhash64(x, *[F.col(f"`{c}`") for c in keep]), F.lit(places)).cast("int").alias("_salt"),
-        F.lit(None).cast("int").alias("_run"),
-        F.lit(None).cast("array<double>").alias("_weights"),
-    )
-    held = models.select(
-        *[F.col(f"`{c}`").alias(names[c]) for c in by],
+    groups = [names[c] for c in by]
+    rows = df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], x.alias("_x"))
+    rows, held = _placed(rows, models.select(*[F.col(f"`{c}`").alias(names[c]) for c in by], "run", "weights"), groups, salts, place_rows)
+    rows = rows.select(*names.values(), "_x", "_salt", F.lit(None).cast("int").alias("_run"), F.lit(None).cast("array<double>").alias("_weights"))
+    held = held.select(
+        *groups,
         *[F.lit(None).cast(df.schema[c].dataType).alias(names[c]) for c in keep],
         F.lit(None).cast("array<double>").alias("_x"),
-        F.explode(F.sequence(F.lit(0), F.lit(places - 1))).alias("_salt"),
+        "_salt",
         F.col("run").alias("_run"),
         F.col("weights").alias("_weights"),
     )
-    keys = [*[names[c] for c in by], "_salt"]
+    keys = [*groups, "_salt"]
     met = held.unionByName(rows).repartition(*keys).sortWithinPartitions(*keys, F.col("_run").asc_nulls_last())
     out = T.StructType(
         [df.schema[c] for c in [*by, *keep]]

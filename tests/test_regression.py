@@ -1,10 +1,14 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from seasonline.operators.regression import (
+    _placed,
     fit_relu_runs,
     fit_ridge,
+    fit_tasks,
     hidden_layer,
     ols_by_group,
     score_relu_runs,
@@ -12,6 +16,7 @@ from seasonline.operators.regression import (
     score_summary,
     sine_layer,
 )
+from seasonline.session import staged
 
 
 @pytest.fixture(scope="module")
@@ -123,6 +128,41 @@ def test_a_task_sends_the_sums_of_each_group_once(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_places_of_a_group_grow_with_its_rows(spark, frame, data):
+    """A group of nine rows in ten is spread over as many places as it needs, small ones stay in one."""
+    models = fit_relu_runs(frame, ["a", "b"], "y", ["g"], runs=2, units=4)
+    more = frame.unionByName(spark.createDataFrame([(None, i, 1.0, 1.0, 1.0) for i in range(120)], frame.schema))
+    rows, held = _placed(more, models.select("g", "run", "weights"), ["g"], None, 50)
+    sizes = {(r["g"], r["_salt"]): r["count"] for r in rows.groupBy("g", "_salt").count().collect()}
+    n_places = {g: sum(k[0] == g for k in sizes) for g in ("hot", "cold", "tiny", None)}
+    assert n_places == {"hot": 18, "cold": 2, "tiny": 1, None: 3}
+    assert max(n for (g, _), n in sizes.items() if g == "hot") <= 2 * 50
+    copies = {r["g"]: r["count"] for r in held.groupBy("g").count().collect()}
+    assert copies == {"hot": 2 * 18, "cold": 2 * 2, "tiny": 2}
+    scores = score_relu_runs(more, models, ["a", "b"], ["g"], keep=["i"], units=4, place_rows=50)
+    whole = score_relu_runs(more, models, ["a", "b"], ["g"], keep=["i"], units=4)
+    key = lambda r: (str(r["g"]), r["i"], r["run"])
+    assert sorted(map(key, scores.collect())) == sorted(map(key, whole.collect()))
+    found, want = ({key(r): r["prediction"] for r in df.where("g is not null").collect()} for df in (scores, whole))
+    assert found == pytest.approx(want)
+    assert scores.where("g is null and prediction is not null").isEmpty()
+
+
+def test_tasks_of_a_fit_follow_the_size_of_its_rows(spark, frame, data):
+    """Not the number of cores: that is two before executors come."""
+    whole = fit_relu_runs(frame, ["a", "b"], "y", ["g"], runs=2, units=4)
+    split = fit_relu_runs(frame, ["a", "b"], "y", ["g"], runs=2, units=4, task_bytes=4000)
+
+    def tasks(models):
+        return int(re.search(r"Repartition (\d+), false", models._jdf.queryExecution().optimizedPlan().toString())[1])
+
+    assert tasks(whole) == 1
+    assert tasks(split) == fit_tasks(staged(frame.select("g", "a", "b", "y")), 4000) > 3
+    found, want = ({(r["g"], r["run"]): (r["n"], list(r["weights"])) for r in df.collect()} for df in (split, whole))
+    assert {k: v[0] for k, v in found.items()} == {k: v[0] for k, v in want.items()}
+    assert all(found[k][1] == pytest.approx(want[k][1]) for k in want)
+
+
 def test_layers_by_formula(frame, data):
     models = fit_relu_runs(frame, ["a", "b"], "y", ["g"], runs=2, units=2, penalty=1.0, layer=sine_layer)
     x, y = data["cold"]
