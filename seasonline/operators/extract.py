@@ -171,14 +171,38 @@ def table_rows(pages: DataFrame, keys: Sequence[str], *, html: str = "table_html
         return F.transform(F.transform(rows, tags_of), lambda tags: F.zip_with(tags, texts(tags), single))
 
     def spread(rows: Column) -> Column:
+        """Rows laid out one after the other; from row to row go the rows done and the cells that reach further down."""
         own = F.transform(F.transform(rows, tags_of), lambda tags: F.zip_with(tags, texts(tags), spanning))
-        placed = F.aggregate(own, F.array().cast(_PLACED), lambda done, row: F.concat(done, F.array(_placed(done, row))))
-        return F.transform(placed, lambda line: F.transform(line, lambda c: F.struct(c["is_header"].alias("is_header"), c["text"].alias("text"))))
 
+        def step(done: Column, row: Column) -> Column:
+            return H.bind(
+                _placed(done["above"], row),
+                lambda line: F.struct(F.concat(done["rows"], F.array(F.transform(line, shown))).alias("rows"), line.alias("above")),
+            )
+
+        start = F.struct(F.array().cast(_SHOWN).alias("rows"), F.array().cast(_PLACED).alias("above"))
+        return F.aggregate(own, start, step, lambda done: done["rows"])
+
+    def shown(cell: Column) -> Column:
+        return F.struct(cell["is_header"].alias("is_header"), cell["text"].alias("text"))
+
+    # Only rows that a span may touch are laid out cell by cell: from the first row with one to as far as the last with one
+    # or any that reaches over several rows goes. Most tables have none, or a few at the foot.
     found = pages.select(*keys, F.regexp_extract_all(F.col(html), F.lit(_ROW), F.lit(1)).alias("_rows"))
-    # Only a table with spans needs to be laid out cell by cell.
-    spans = F.exists("_rows", lambda row: row.rlike(r"(?i)\s(?:col|row)span"))
-    cells = F.when(spans, spread(F.col("_rows"))).otherwise(plain(F.col("_rows")))
+    marks = F.transform("_rows", lambda row: row.rlike(r"(?i)\s(?:col|row)span"))
+    reach = F.transform(
+        F.filter(F.transform("_rows", lambda row, i: F.struct(row.alias("row"), i.alias("i"))), lambda r: r["row"].rlike(r"(?i)\s(?:col|row)span")),
+        lambda r: r["i"] + F.array_max(F.transform(tags_of(r["row"]), lambda tag: span(tag, "rowspan"))),
+    )
+    found = found.select(*keys, "_rows", F.array_position(marks, F.lit(True)).cast("int").alias("_first"), F.array_max(reach).cast("int").alias("_last"))
+    n = F.size("_rows")
+    last = F.least("_last", n)
+    laid_out = F.concat(
+        plain(F.slice("_rows", F.lit(1), F.col("_first") - 1)),
+        spread(F.slice("_rows", F.col("_first"), last - F.col("_first") + 1)),
+        plain(F.slice("_rows", last + 1, n - last)),
+    )
+    cells = F.when(F.col("_first") > 0, laid_out).otherwise(plain(F.col("_rows")))
     head = F.aggregate(
         "_cells",
         F.struct(F.lit(0).alias("n"), F.lit(True).alias("open")),
@@ -192,15 +216,15 @@ def table_rows(pages: DataFrame, keys: Sequence[str], *, html: str = "table_html
     return laid.select(*keys, "row_no", (F.col("row_no") < F.col("_head")).alias("in_head"), "cells")
 
 
-_PLACED = "array<array<struct<is_header:boolean,text:string,below:int>>>"
+_SHOWN = "array<array<struct<is_header:boolean,text:string>>>"
+_PLACED = "array<struct<is_header:boolean,text:string,below:int>>"
 
 
-def _placed(done: Column, row: Column) -> Column:
-    """A row's cells in their columns, between those that reach down from the row before.
+def _placed(above: Column, row: Column) -> Column:
+    """A row's cells in their columns, between those that reach down from the row ``above``.
 
-    ``done`` holds the rows so far; ``below`` of a cell says how many further rows it reaches into.
+    ``below`` of a cell says how many further rows it reaches into.
     """
-    above = F.coalesce(F.get(done, F.size(done) - 1), F.array().cast(_PLACED[6:-1]))
     hanging = F.transform(
         above,
         lambda c: F.struct(
@@ -228,7 +252,7 @@ def _placed(done: Column, row: Column) -> Column:
             rest = F.slice(hanging, F.size(line) + 1, F.size(hanging))
             return F.concat(line, F.transform(F.filter(rest, lambda h: h["hangs"]), lambda h: h["cell"]))
 
-        return F.aggregate(row, F.array().cast(_PLACED[6:-1]), step, ended)
+        return F.aggregate(row, F.array().cast(_PLACED), step, ended)
 
     return H.bind(hanging, joined)
 

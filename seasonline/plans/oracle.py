@@ -284,6 +284,9 @@ SELECT yr, CAST(name // 50 AS INTEGER) AS page,
 UNION ALL SELECT yr, page, n + 1, 'Sum', 'Sum', 'Sum', 'Sum', 'Sum', '' FROM ends
 UNION ALL SELECT yr, page, n + 2, 'All & more', 'All & more', 'n', 'x', 'x', '' FROM ends
 UNION ALL SELECT yr, page, n + 3, 'All & more', 'All & more', 'm', 'y', 'z', 'extra' FROM ends""",
+    "grid_numbers": f"""WITH {_LINE}
+SELECT yr, CAST(name // 50 AS INTEGER) AS page, CAST(row_number() OVER (PARTITION BY yr, name // 50 ORDER BY name) AS INTEGER) AS row_no,
+       {_NAME} AS name, pos AS team, CAST(gp AS DOUBLE) AS months, CAST(qty AS DOUBLE) AS qty, round(proj, 2) AS value FROM line""",
     "ols_by_group": f"""WITH {_ADJ}
 SELECT pos, count(*) AS n, round(regr_slope(a, proj), 6) AS slope, round(regr_intercept(a, proj), 3) AS intercept
 FROM adj GROUP BY pos""",

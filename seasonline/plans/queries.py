@@ -17,6 +17,7 @@ from seasonline.layouts import ACTUAL, PROJECTED
 from seasonline.operators.conform import conform, position_frame
 from seasonline.operators.extract import (
     missing_table,
+    numeric_columns,
     page_quality,
     records_from_pages,
     select_table,
@@ -400,6 +401,14 @@ def grid_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def grid_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the rendered tables with those columns as numbers that hold nothing else; the foot is left out."""
+    rows = staged(_page_rows(spark, sf_dir), "rows")
+    wide = wide_table(rows, ["yr", "page"]).where(~F.col("Name").isin("Sum", "All & more"))
+    typed = numeric_columns(staged(wide, "wide"), GRID_COLUMNS)
+    return typed.select("yr", "page", "row_no", *[F.col(c).alias(c.lower()) for c in GRID_COLUMNS])
+
+
 # --- regressions -----------------------------------------------------------------------------------
 
 
@@ -531,6 +540,7 @@ QUERIES: dict[str, Query] = {
     "records_from_cells": records_from_cells,
     "table_grid": page_table_grid,
     "grid_sink_roundtrip": grid_sink_roundtrip,
+    "grid_numbers": grid_numbers,
     "ols_by_group": ols_fit,
     "ridge_scores": ridge_scores,
     "relu_run_scores": relu_run_scores,

@@ -111,6 +111,18 @@ GRIDS = {
     "wide and high": ("<tr><td colspan=2 rowspan=2>q</td><td>r</td></tr><tr><td>s</td></tr>", [["q", "q", "r"], ["q", "q", "s"]]),
     "beyond the table": ("<tr><td rowspan=9>a</td></tr>", [["a"]]),
     "very wide": ("<tr><td colspan=1500>a</td></tr>", [["a"] * 1500]),
+    "in the middle": (
+        "<tr><td>a</td><td>b</td></tr><tr><td rowspan=2>c</td><td>d</td></tr><tr><td>e</td></tr><tr><td>f</td><td>g</td></tr>",
+        [["a", "b"], ["c", "d"], ["c", "e"], ["f", "g"]],
+    ),
+    "twice, plain between": (
+        "<tr><td rowspan=2>a</td><td>b</td></tr><tr><td>c</td></tr><tr><td>d</td><td>e</td></tr><tr><td colspan=2>f</td></tr><tr><td>g</td></tr>",
+        [["a", "b"], ["a", "c"], ["d", "e"], ["f", "f"], ["g"]],
+    ),
+    "long reach from above a later span": (
+        "<tr><td rowspan=4>a</td><td>b</td></tr><tr><td colspan=2>c</td></tr><tr><td>d</td></tr><tr><td>e</td></tr><tr><td>f</td></tr>",
+        [["a", "b"], ["a", "c", "c"], ["a", "d"], ["a", "e"], ["f"]],
+    ),
     "no spans": ("<tr><td title='a>b'>a</td></tr><tr></tr><tr><td>b &lt</td></tr>", [["a"], [], ["b <"]]),
 }
 
