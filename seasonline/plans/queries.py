@@ -63,7 +63,7 @@ from seasonline.session import scratch_path, staged
 from seasonline.sources.lines import checked_stat_lines, from_comma_text, union_lines
 from seasonline.sources.pages import kind_of, query_value, read_pages
 from seasonline.sources.sinks import write_grid, write_master, write_scores, write_season_text, write_seasons
-from seasonline.streaming.pages import latest_loads, load_new_pages, stream_pages
+from seasonline.streaming.pages import latest_loads, load_history, load_new_pages, stream_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -486,16 +486,7 @@ def relu_pair_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- from fetched pages to stored lines ------------------------------------------------------------
 
 
-def page_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fetched pages stored as lines, in two loads, with all that does not fit in quarantine.
-
-    The second load holds a few pages again: some with other quantities, one without any line.
-    """
-    root = scratch_path(spark, "history")
-    sides = both_kinds(spark, sf_dir)
-    for load in (1, 2):
-        pages = staged(fetched_pages(sides, load), "pages")
-        build_history(pages, root, 1996, 1998, layouts=PART_LAYOUTS, position_ids={PART_ID: PART})
+def _stored_and_quarantined(spark: SparkSession, root: str) -> DataFrame:
     lines = read_history(spark, root, 0, 9999, layouts=PART_LAYOUTS).select(
         F.lit("stored").alias("status"), "kind", F.col("Yr").alias("yr"), "page", F.col("Name").alias("name"), F.col("FPts").alias("points"), F.col("Qty").alias("qty")
     )
@@ -509,6 +500,31 @@ def page_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_lines([lines, records, missing])
 
 
+def page_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetched pages stored as lines, in two loads, with all that does not fit in quarantine.
+
+    The second load holds a few pages again: some with other quantities, one without any line, and some whose
+    faults are gone, which leave the quarantine.
+    """
+    root = scratch_path(spark, "history")
+    sides = both_kinds(spark, sf_dir)
+    for load in (1, 2):
+        pages = staged(fetched_pages(sides, load), "pages")
+        build_history(pages, root, 1996, 1998, layouts=PART_LAYOUTS, position_ids={PART_ID: PART})
+    return _stored_and_quarantined(spark, root)
+
+
+def incremental_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two loads as files that come in one after the other, each stored by a stream when it is there."""
+    root, folder = scratch_path(spark, "history"), scratch_path(spark, "fetched")
+    sides = both_kinds(spark, sf_dir)
+    for load in (1, 2):
+        fetched_pages(sides, load).write.mode("append").parquet(folder)
+        pages = stream_pages(spark, folder, "page_id bigint, url string, html string")
+        load_history(pages, root, f"{root}-progress", 1996, 1998, layouts=PART_LAYOUTS, position_ids={PART_ID: PART})
+    return _stored_and_quarantined(spark, root)
+
+
 QUERIES: dict[str, Query] = {
     "trimmed_reconciliation": trimmed_reconciliation,
     "forecast_actual_join": forecast_actual_join,
@@ -548,4 +564,5 @@ QUERIES: dict[str, Query] = {
     "relu_pair_scores": relu_pair_scores,
     "relu_pair_summary": relu_pair_summary,
     "page_history": page_history,
+    "incremental_history": incremental_history,
 }

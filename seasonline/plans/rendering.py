@@ -72,12 +72,12 @@ def _on_pages(sides: DataFrame) -> DataFrame:
     return sides.withColumn("page", F.floor(F.col("name") / NAMES_PER_PAGE).cast("int"))
 
 
-def stat_pages(sides: DataFrame, *, last_is_short: bool = False) -> DataFrame:
+def stat_pages(sides: DataFrame, *, last_is_short: Column | None = None) -> DataFrame:
     """Ranking pages ``yr, pos, kind, page, html`` with the quirks of real ones.
 
     The data table stands inside another table, with no-break-space cells, links, entities with and
     without semicolon, on every fifth page a team's name in a table of its own with a ">" in an
-    attribute, thousands commas and, for outcomes, the rank before the name. With ``last_is_short`` the last record of each page lacks its
+    attribute, thousands commas and, for outcomes, the rank before the name. Where ``last_is_short`` holds, the last record of a page lacks its
     last cells.
     """
     def td(kind: str, text: Column | str) -> Column:
@@ -101,10 +101,11 @@ def stat_pages(sides: DataFrame, *, last_is_short: bool = False) -> DataFrame:
         td(ACTUAL, "1.5"), td(ACTUAL, "&#160;"), td(ACTUAL, "&#xA0;"),
     )
     row = F.concat(F.lit("<tr>"), F.when(F.col("kind") == PROJECTED, forecast).otherwise(outcome), F.lit("</tr>"))
-    rows = _on_pages(sides).select("yr", F.lit(PART).alias("brand"), "kind", "page", "name", row.alias("row_html"))
-    if last_is_short:
+    short = F.lit(False) if last_is_short is None else last_is_short
+    rows = _on_pages(sides).select("yr", F.lit(PART).alias("brand"), "kind", "page", "name", row.alias("row_html"), short.alias("short"))
+    if last_is_short is not None:
         # The text up to the second cell's end; the rest of the page then holds no further cell.
-        whole = F.max("name").over(Window.partitionBy("yr", "kind", "page")) > F.col("name")
+        whole = ~F.col("short") | (F.max("name").over(Window.partitionBy("yr", "kind", "page")) > F.col("name"))
         rows = rows.withColumn("row_html", F.when(whole, F.col("row_html")).otherwise(F.regexp_replace("row_html", r"(?s)(<a .*?</a></td>).*", "$1</tr>")))
     head = F.lit(
         "<html><!-- <table width=100% cellpadding=2> --><table border=0><tr><td class=sort1>top</td><td>"
@@ -118,14 +119,15 @@ def stat_pages(sides: DataFrame, *, last_is_short: bool = False) -> DataFrame:
 def fetched_pages(sides: DataFrame, load: int) -> DataFrame:
     """``page_id, url, html`` of ranking pages as fetched, some of them in a second load again.
 
-    In both loads the last record of a page is short, every seventh page (from 3) is of an unknown
-    position and every seventh (from 5) has no table. The second load holds even pages of two seasons, with
-    the quantities doubled, and page 0 of one of them without any record.
+    The last record of a page is short, every seventh page (from 3) is of an unknown position and every
+    seventh (from 5) has no table. The second load holds even pages of two seasons, with the quantities doubled: of
+    1996 with the same faults, and page 0 without any record; of 1997 with whole records, and with all tables.
     """
+    faulty = F.lit(True) if load == 1 else F.col("yr") != 1997
     if load == 2:
         again = (F.col("yr").isin(1996, 1997)) & (F.floor(F.col("name") / NAMES_PER_PAGE) % 2 == 0)
         sides = sides.where(again).withColumn("qty", F.col("qty") * 2)
-    pages = stat_pages(sides, last_is_short=True)
+    pages = stat_pages(sides, last_is_short=faulty)
     page = F.col("page")
     head = F.when(F.col("kind") == PROJECTED, "rankings/list.php?").otherwise("stats/list.php?GameWeek=&")
     url = F.concat(
@@ -138,7 +140,7 @@ def fetched_pages(sides: DataFrame, load: int) -> DataFrame:
         F.lit("&cur_page="),
         page.cast("string"),
     )
-    html = F.when(page % 7 == 5, "<p>not here</p>")
+    html = F.when((page % 7 == 5) & faulty, "<p>not here</p>")
     if load == 2:
         html = html.when((page == 0) & (F.col("yr") == 1996), "<table width=100% cellpadding=2></table>")
     return pages.select(F.xxhash64(url).alias("page_id"), url.alias("url"), html.otherwise(F.col("html")).alias("html"))

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from seasonline.layouts import LAYOUTS
 from seasonline.operators.conform import LayoutMap, comma_text, known_layout
 from seasonline.operators.reconcile import in_seasons
+from seasonline.session import staged
 
 ROWS_PER_FILE = 5_000_000
 
@@ -69,6 +71,45 @@ def write_master(
     write_partitioned(in_seasons(lines, season, first, last), path, by, **options)
 
 
+def write_master_seasons(
+    lines: DataFrame, path: str, seasons: Sequence[int] | None = None, *, season: str = "Yr", by: Sequence[str] = ("pos", "kind")
+) -> None:
+    """Write the given ``seasons`` of a master table again, or with None the whole of it; other seasons stay untouched.
+
+    The new folders are written beside the old ones and take their places when all are there. A season that has no
+    rows of a position and kind any more then loses that folder.
+    """
+    if seasons is not None and not seasons:
+        return
+    folders = [*by, season]
+    if seasons is None:
+        write_partitioned(lines, path, folders, whole=True)
+        return
+    changed = staged(lines.where(F.col(season).isin(list(seasons))), "master")
+    write_partitioned(changed, path, folders)
+    # As many rows as there are positions, kinds and changed seasons.
+    held = {"/".join(f"{c}={r[c]}" for c in folders) for r in changed.select(*folders).distinct().collect()}
+    store, root = _files(lines.sparkSession, path)
+    for number in seasons:
+        pattern = "/".join([*(f"{c}=*" for c in by), f"{season}={number}"])
+        for found in store.globStatus(root.suffix(f"/{pattern}")) or []:
+            folder = found.getPath()
+            if "/".join(folder.toString().split("/")[-len(folders) :]) not in held:
+                store.delete(folder, True)
+
+
+def _files(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path for it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """A Parquet table, without rows where nothing has been written yet."""
+    store, at = _files(spark, path)
+    return spark.read.schema(schema).parquet(path) if store.exists(at) else spark.createDataFrame([], schema)
+
+
 def write_scores(
     scores: DataFrame, path: str, *, by: Sequence[str] = ("Yr", "pos", "run"), file_format: str = "csv", **options
 ) -> None:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seasonline.layouts import LAYOUTS, POSITION_IDS
+from seasonline.operators.conform import LayoutMap
+from seasonline.plans.history import build_history
 from seasonline.sources.sinks import write_partitioned
 
 LOAD = "load_id"
@@ -56,6 +59,29 @@ def load_new_pages(
     query.awaitTermination()
 
 
+def load_history(
+    pages: DataFrame,
+    path: str,
+    checkpoint: str,
+    first: int,
+    last: int,
+    *,
+    name: str = "pages",
+    layouts: LayoutMap = LAYOUTS,
+    position_ids: Mapping[str, str] = POSITION_IDS,
+) -> None:
+    """Store the lines and the quarantine of all pages not seen before, then stop; see :func:`build_history`.
+
+    Each micro-batch is one load, named by the stream and the batch: one that is done again after a failure replaces itself.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        build_history(batch, path, first, last, layouts=layouts, position_ids=position_ids, name=f"{name}.{batch_id}")
+
+    query = pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
 def latest_loads(lines: DataFrame, page_keys: Sequence[str], loads: DataFrame | None = None) -> DataFrame:
     """Lines of the newest load of each page: a page fetched again replaces its older lines.
 

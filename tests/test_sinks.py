@@ -4,10 +4,11 @@ from conftest import rows
 from pages import TE_ACTUAL, TE_ROWS, table
 from pyspark.sql import functions as F
 
+from seasonline.plans import history
 from seasonline.plans.history import build_history, build_scoring_season, history_quality, read_history, read_quarantine
 from seasonline.sources.lines import from_comma_text, read_stat_lines
 from seasonline.sources.sinks import write_grid, write_master, write_scores, write_season_text, write_seasons
-from seasonline.streaming.pages import latest_loads, load_new_pages, stream_pages
+from seasonline.streaming.pages import latest_loads, load_history, load_new_pages, stream_pages
 
 LINES = "Name string, Yr int, pos string, kind string, FPts double"
 
@@ -163,3 +164,128 @@ def test_a_page_that_became_empty_loses_its_lines(spark, tmp_path):
     stored = spark.read.parquet(sink)
     assert rows(latest_loads(stored, ["page"]).select("page", "w")) == [(0, "a"), (0, "b"), (1, "c")]
     assert rows(latest_loads(stored, ["page"], spark.read.parquet(loads)).select("page", "w")) == [(1, "c")]
+
+
+def one_page(spark, page_id, kind, yr, page, records):
+    cell = "smallbody" if kind == "projected" else "sort1"
+    body = table(records, cell) if records is not None else "<p>gone</p>"
+    return spark.createDataFrame([(page_id, url(kind, yr, page), body)], "page_id long, url string, html string")
+
+
+def test_a_load_writes_only_the_seasons_it_changes(spark, tmp_path):
+    path, master = str(tmp_path / "history"), str(tmp_path / "history/masters/2014-2015")
+    build_history(fetched(spark), path, 2014, 2015)
+    before = files_of(master)
+    assert {f.rsplit("/", 1)[0] for f in before if "Yr=2014" in f} == {"pos=TE/kind=projected/Yr=2014"}
+    build_history(one_page(spark, 2, "projected", 2015, 1, []), path, 2014, 2015)
+    after = files_of(master)
+    assert [f for f in after if "Yr=2014" in f] == [f for f in before if "Yr=2014" in f]
+    assert not {f for f in after if "Yr=2015" in f} & {f for f in before if "Yr=2015" in f}
+    assert rows(spark.read.parquet(master).groupBy("Yr", "kind").count()) == rows(read_history(spark, path, 2014, 2015).groupBy("Yr", "kind").count())
+    # A season that has no rows of a kind any more loses the folder.
+    build_history(one_page(spark, 3, "actual", 2015, 0, []), path, 2014, 2015)
+    assert rows(spark.read.parquet(master).groupBy("Yr", "kind").count()) == [(2014, "projected", 2), (2015, "projected", 2)]
+    # Another range has a master of its own, whole from the first.
+    build_history(one_page(spark, 9, "actual", 2016, 0, TE_ACTUAL), path, 2014, 2016)
+    assert spark.read.parquet(f"{path}/masters/2014-2016").count() == 6
+
+
+def test_a_load_that_fails_half_way_leaves_the_old_master(spark, tmp_path, monkeypatch):
+    path, master = str(tmp_path / "history"), str(tmp_path / "history/masters/2014-2015")
+    build_history(fetched(spark), path, 2014, 2015)
+    before = rows(spark.read.parquet(master).select("Yr", "kind", "Name"))
+    again = one_page(spark, 1, "projected", 2014, 0, [TE_ROWS[1]])
+    with monkeypatch.context() as broken:
+
+        def fail(*_, **__):
+            raise RuntimeError("lost")
+
+        broken.setattr(history, "write_master_seasons", fail)
+        try:
+            build_history(again, path, 2014, 2015, name="pages.7")
+        except RuntimeError:
+            pass
+    assert rows(spark.read.parquet(master).select("Yr", "kind", "Name")) == before
+    # The next load, of another season, also brings what the failed one has left undone.
+    build_history(one_page(spark, 5, "actual", 2013, 0, None), path, 2014, 2015)
+    assert rows(spark.read.parquet(master).where("Yr = 2014").select("Name")) == [("Cy D'Oh",)]
+
+
+def test_a_batch_done_again_replaces_itself(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "history")
+    with monkeypatch.context() as broken:
+        done = history.write_partitioned
+
+        def fails_at_the_list(df, where, by, **options):
+            if where.endswith("/loads"):
+                raise RuntimeError("lost")
+            done(df, where, by, **options)
+
+        broken.setattr(history, "write_partitioned", fails_at_the_list)
+        try:
+            build_history(fetched(spark), path, 2014, 2015, name="pages.0")
+        except RuntimeError:
+            pass
+    assert spark.read.parquet(f"{path}/seasons").count() == 7
+    for _ in range(2):
+        build_history(fetched(spark), path, 2014, 2015, name="pages.0")
+        assert rows(read_history(spark, path, 2010, 2020).groupBy("Yr", "kind").count()) == [
+            (2014, "projected", 2), (2015, "actual", 2), (2015, "projected", 3),
+        ]
+        assert spark.read.parquet(f"{path}/loads").select("load_id").distinct().count() == 1
+        assert read_quarantine(spark, path, "pages", "page_id long", superseded=True).count() == 1
+    build_history(one_page(spark, 2, "projected", 2015, 1, []), path, 2014, 2015)
+    loads = [r[0] for r in spark.read.schema("load_id string").parquet(f"{path}/loads").distinct().orderBy("load_id").collect()]
+    assert [x[:20] for x in loads] == [f"{n:020d}" for n in range(2)]
+
+
+def test_a_stream_builds_the_history(spark, tmp_path):
+    source, path, progress = (str(tmp_path / d) for d in ("source", "history", "progress"))
+    schema = "page_id long, url string, html string"
+
+    def load():
+        load_history(stream_pages(spark, source, schema, files_per_batch=1), path, progress, 2014, 2015)
+        return rows(read_history(spark, path, 2010, 2020).groupBy("Yr", "kind").count())
+
+    fetched(spark).coalesce(1).write.parquet(source)
+    first = load()
+    assert first == [(2014, "projected", 2), (2015, "actual", 2), (2015, "projected", 3)]
+    assert load() == first
+    one_page(spark, 3, "actual", 2015, 0, []).coalesce(1).write.mode("append").parquet(source)
+    one_page(spark, 5, "actual", 2013, 0, TE_ACTUAL).coalesce(1).write.mode("append").parquet(source)
+    assert load() == [(2013, "actual", 2), (2014, "projected", 2), (2015, "projected", 3)]
+    assert read_quarantine(spark, path, "pages", "page_id long").count() == 0
+    assert spark.read.parquet(f"{path}/masters/2014-2015").count() == 5
+
+
+def test_what_a_later_load_sets_right_leaves_the_quarantine(spark, tmp_path):
+    path = str(tmp_path / "history")
+    unknown = url("projected", 2015, 0).replace("PosID=40", "PosID=77")
+    short = [TE_ROWS[0], ["Zed", "SD", "5"]]
+    odd = spark.createDataFrame(
+        [(6, unknown, "x"), (8, None, "y"), (9, None, "z")], "page_id long, url string, html string"
+    ).unionByName(one_page(spark, 7, "projected", 2016, 0, short)).unionByName(one_page(spark, 5, "actual", 2013, 0, None))
+    for _ in range(2):  # the same faults again stay one entry, but where there is no address to tell a page by
+        build_history(odd, path, 2015, 2015)
+    pages = "page_id long, reason string"
+    missing = read_quarantine(spark, path, "pages", pages)
+    assert rows(missing) == sorted([(5, "no table"), (6, "unknown page"), *[(n, "unknown page") for n in (8, 9) for _ in range(2)]])
+    records = "yr int, page int, raw string"
+    assert rows(read_quarantine(spark, path, "records", records)) == [(2016, 0, "Zed,SD,2016.0,5.0")]
+    mended = one_page(spark, 7, "projected", 2016, 0, TE_ROWS).unionByName(one_page(spark, 5, "actual", 2013, 0, TE_ACTUAL))
+    build_history(mended, path, 2015, 2015)
+    assert read_quarantine(spark, path, "records", records).count() == 0
+    assert {r["page_id"] for r in read_quarantine(spark, path, "pages", pages).collect()} == {6, 8, 9}
+    assert read_quarantine(spark, path, "records", records, superseded=True).count() == 2
+    assert rows(read_history(spark, path, 2010, 2020).groupBy("Yr").count()) == [(2013, 2), (2016, 2)]
+
+
+def test_scoring_season_keeps_what_does_not_fit(spark, tmp_path):
+    path = str(tmp_path / "scoring")
+    odd = one_page(spark, 6, "projected", 2015, 7, [TE_ROWS[0], ["Zed", "SD", "5"]]).unionByName(one_page(spark, 7, "projected", 2015, 8, None))
+    odd = odd.unionByName(spark.createDataFrame([(8, "http://www.example.com/other", "x")], odd.schema))
+    build_scoring_season(fetched(spark).unionByName(odd), path, 2015)
+    assert spark.read.parquet(path).count() == 4
+    assert spark.read.parquet(path).where("Name is null").count() == 0
+    assert rows(spark.read.parquet(f"{path}/_quarantine/records").select("page", "raw")) == [(7, "Zed,SD,2015.0,5.0")]
+    assert rows(spark.read.parquet(f"{path}/_quarantine/pages").select("page_id", "reason")) == [(7, "no table"), (8, "unknown page")]
