@@ -13,7 +13,7 @@ from seasonline.session import staged
 
 FENCE_FACTOR = 1.5
 _SKETCHES_PER_GROUP = 16
-_FINER = 4
+_CUTS = 64
 
 
 def quantile_name(q: float) -> str:
@@ -39,7 +39,8 @@ def midpoint_quantiles(
     1. a mergeable sketch per group gives approximate pivots just below and above each ``q``;
     2. the pivots and equal-width slices between them number the value range; counting rows
        per slice combines before the shuffle and says which slices hold the wanted ranks; while one
-       of these holds over ``slice_rows`` rows, the rows of these slices are sliced again;
+       of these holds over ``slice_rows`` rows of different values, the rows of these slices are cut again at
+       pivots of a fresh sketch of the slice, however close their values are;
     3. only rows of those slices, combined to (value, count), are put in order.
 
     Pivots and slices are small tables, staged between the passes over ``df``; stage ``df``
@@ -58,16 +59,19 @@ def midpoint_quantiles(
     ).withColumn("n", F.sum("_in_slice").over(in_group))
     before = F.col("_upto") - F.col("_in_slice")
     hits = staged(_hit(counts.select(*by, "_slice", "n", "_in_slice", before.alias("_before"), _wanted_ranks(qs).alias("_wanted"))), "slices")
-    for _ in range(_FINER):
-        if (hits.agg(F.max("_in_slice")).first()[0] or 0) <= slice_rows:
+    # A slice of one value needs no order. All others shrink by about the number of pivots each time.
+    largest = hits.agg(F.max("_in_slice")).first()[0] or 0
+    while largest > slice_rows:
+        sliced, hits, before = *_sliced_again(sliced, hits, by, accuracy), largest
+        largest = hits.where("NOT _single").agg(F.max("_in_slice")).first()[0] or 0
+        if largest >= before:
             break
-        sliced, hits = _sliced_again(sliced, hits, by, slices)
 
     ordered = (
         sliced.join(hits.select(*by, "_slice"), [*by, "_slice"], "left_semi")
         .groupBy(*by, "_slice", "_v")
         .agg(F.count("*").alias("_copies"))
-        .join(hits.drop("_in_slice"), [*by, "_slice"])
+        .join(hits.select(*by, "_slice", "n", "_before", "_wanted"), [*by, "_slice"])
     )
     in_slice = Window.partitionBy(*by, "_slice").orderBy("_v")
     ordered = ordered.withColumn("_end", F.col("_before") + F.sum("_copies").over(in_slice))
@@ -92,26 +96,40 @@ def _hit(counts: DataFrame) -> DataFrame:
     return counts.withColumn("_wanted", hit).where(F.size("_wanted") > 0)
 
 
-def _sliced_again(sliced: DataFrame, hits: DataFrame, by: list[str], slices: int) -> tuple[DataFrame, DataFrame]:
-    """The rows of the hit slices in equal-width slices of each, and which of these are hit."""
+def _sliced_again(sliced: DataFrame, hits: DataFrame, by: list[str], accuracy: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of the hit slices, each slice cut at values of a sketch of its own, and which of the cuts are hit.
+
+    A cut is what lies between two neighbouring pivots, or one pivot's value alone, so that a value met very often is
+    a cut of its own.
+    """
     keys = [*by, "_slice"]
     inside = staged(sliced.join(hits.select(*keys), keys, "left_semi"), "inside")
-    edges = staged(inside.groupBy(*keys).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high")), "edges")
-    width = F.col("_high") - F.col("_low")
-    inner = F.when(
-        (width > 0) & (width < float("inf")),
-        F.least(F.floor((F.col("_v") - F.col("_low")) / width * slices), F.lit(slices - 1)),
-    ).otherwise(F.lit(0))
-    finer = inside.join(edges, keys).select(*by, "_v", F.col("_slice").alias("_outer"), inner.cast("long").alias("_inner"))
-    counts = finer.groupBy(*by, "_outer", "_inner").agg(F.count("*").alias("_in_slice"))
+    probes = [(i + 0.5) / _CUTS for i in range(_CUTS)]
+    sketch = (
+        inside.withColumn("_part", F.spark_partition_id() % _SKETCHES_PER_GROUP)
+        .groupBy(*keys, "_part")
+        .agg(F.percentile_approx("_v", probes, max(accuracy, 10 * _CUTS)).alias("_q"))
+        .groupBy(*keys)
+        .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("_q")))).alias("_all"))
+    )
+    # Of all sketches' answers every so many-th, so that there are about as many as one sketch gives.
+    pivots = staged(sketch.select(*keys, F.expr(f"filter(_all, (x, i) -> i % cast(ceil(size(_all) / {_CUTS}) as int) = 0)").alias("_p")), "pivots")
+    met = inside.join(pivots, keys)
+    below = sum((F.when(F.get("_p", F.lit(i)) < F.col("_v"), 2).otherwise(0) for i in range(_CUTS)), F.lit(0))
+    equal = sum((F.when(F.get("_p", F.lit(i)) == F.col("_v"), 1).otherwise(0) for i in range(_CUTS)), F.lit(0))
+    finer = met.select(*by, "_v", F.col("_slice").alias("_outer"), (below + equal).cast("long").alias("_inner"))
+    counts = finer.groupBy(*by, "_outer", "_inner").agg(F.count("*").alias("_in_slice"), (F.min("_v") == F.max("_v")).alias("_single"))
     whole = hits.select(*by, F.col("_slice").alias("_outer"), "n", F.col("_before").alias("_start"), "_wanted")
-    # At most `slices` rows for each hit slice.
+    # At most twice as many rows as pivots for each hit slice.
     earlier = Window.partitionBy(*by, "_outer").orderBy("_inner").rowsBetween(Window.unboundedPreceding, -1)
-    number = (F.col("_outer") * F.lit(slices) + F.col("_inner")).alias("_slice")
     counted = counts.withColumn("_before", F.coalesce(F.sum("_in_slice").over(earlier), F.lit(0)))
     counted = counted.join(whole, [*by, "_outer"]).withColumn("_before", F.col("_before") + F.col("_start"))
-    hit = _hit(counted.select(*by, number, "n", "_in_slice", "_before", "_wanted"))
-    return finer.select(*by, "_v", number), staged(hit, "slices")
+    hit = _hit(counted.select(*by, "_outer", "_inner", "n", "_in_slice", "_single", "_before", "_wanted"))
+    # No more hit cuts in a group than wanted ranks; they get numbers of their own, and only their rows go on.
+    in_group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    hit = staged(hit.withColumn("_slice", F.row_number().over(in_group.orderBy("_outer", "_inner")).cast("long")), "slices")
+    rows = finer.join(hit.select(*by, "_outer", "_inner", "_slice"), [*by, "_outer", "_inner"]).select(*by, "_v", "_slice")
+    return rows, hit.drop("_outer", "_inner")
 
 
 def _pivots(rows: DataFrame, qs: Sequence[float], by: list[str], accuracy: int) -> DataFrame:

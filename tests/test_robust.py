@@ -7,7 +7,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from seasonline.operators.robust import iqr_fence, keep_within, midpoint_quantiles, quantile_name, std_fence
+from seasonline.operators.robust import _sliced_again, iqr_fence, keep_within, midpoint_quantiles, quantile_name, std_fence
+from seasonline.session import staged
 
 
 def midpoint(values, q):
@@ -73,6 +74,32 @@ def test_any_values(spark, values, slices):
     check(spark, {"g": finite}, (0.25, 0.75), accuracy=10, slices=slices)
 
 
+def test_values_that_no_equal_widths_tell_apart(spark):
+    """A million values within 1e-12 beside one far away, and a value that a third of a group holds."""
+    n = 1_000_000
+    close = spark.range(n).select(F.lit("close").alias("g"), (F.col("id") * 1e-18).alias("v"))
+    far = spark.createDataFrame([("close", 1e9), ("tied", -1e300)], "g string, v double")
+    tied = spark.range(90_000).select(F.lit("tied").alias("g"), F.when(F.col("id") % 3 == 0, 0.5).otherwise(0.5 + F.col("id") * 1e-15).alias("v"))
+    got = {r["g"]: tuple(r)[1:] for r in midpoint_quantiles(close.union(far).union(tied), "v", (0.25, 0.75), ["g"], slice_rows=5_000).collect()}
+    values = {
+        "close": [i * 1e-18 for i in range(n)] + [1e9],
+        "tied": sorted([-1e300, *(0.5 if i % 3 == 0 else 0.5 + i * 1e-15 for i in range(90_000))]),
+    }
+    assert got == {g: (len(vs), midpoint(vs, 0.25), midpoint(vs, 0.75)) for g, vs in values.items()}
+
+
+def test_no_cut_holds_more_rows_than_asked_for(spark):
+    """However far the outlier, cuts shrink until they fit; a slice of one value is left as it is."""
+    df = staged(spark.range(200_000).select((F.col("id") * 1e-18).alias("_v")).union(spark.createDataFrame([(1e9,)], "_v double")))
+    sliced = df.withColumn("_slice", F.lit(0).cast("long"))
+    ranks = F.array(F.struct(F.lit(0).alias("q"), F.lit(50_000).cast("long").alias("rank")))
+    whole = spark.range(1).select(F.lit(0).cast("long").alias("_slice"), F.lit(200_001).cast("long").alias("n"), F.lit(200_001).cast("long").alias("_in_slice"), F.lit(0).cast("long").alias("_before"), ranks.alias("_wanted"))
+    rows, hits = _sliced_again(sliced, staged(whole), [], 1000)
+    hit = hits.first()
+    assert hits.count() == 1 and hit["_in_slice"] <= 200_001 / 32 and hit["_before"] <= 50_000 < hit["_before"] + hit["_in_slice"]
+    assert rows.count() == hit["_in_slice"]
+
+
 def test_without_groups_and_with_missing_values(spark):
     df = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (4.0,), (2.0,), (8.0,)], "v double")
     assert tuple(midpoint_quantiles(df, "v").first()) == (4, 1.5, 6.0)
