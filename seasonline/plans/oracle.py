@@ -140,6 +140,54 @@ scores AS (
   FROM h LEFT JOIN sums ON h.pos = sums.pos AND h.run = sums.run WHERE part = 'coming')"""
 )
 
+# Season files: five features and three hidden units; the system of three is solved by determinants.
+_FILE_STATS = "name, pos, gp, qty AS rec, round(round(proj, 2) / qty, 2) AS rec_yds, CAST(lines AS DOUBLE) AS rec_tds, round(proj, 2) AS p"
+_FILE_TRAIN = f"""WITH {_LINE},
+adj AS (
+  SELECT yr, {_FILE_STATS}, 12.0::DOUBLE / gp * round(act, 4) AS a, abs(12.0::DOUBLE / gp * round(act, 4) - round(proj, 2)) AS e
+  FROM line WHERE gp > 3 AND yr BETWEEN 1996 AND 2000),
+{_midpoints("adj", "e", {"q25": 0.25, "q75": 0.75})},
+train AS (SELECT adj.* FROM adj, quart WHERE e <= 1.5 * (q75 - q25))"""
+
+
+def _file_scores() -> str:
+    inputs = ["gp", "rec", "rec_yds", "rec_tds", "p"]
+    units = (1, 2, 3)
+    moments = ", ".join(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s" for c in inputs)
+    scaled = ", ".join(f"(x.{c} - {c}_m) / CASE WHEN {c}_s = 0 THEN 1 ELSE {c}_s END AS {c}" for c in inputs)
+
+    def unit(u: int) -> str:
+        terms = " + ".join(f"{c} * sin(1.3 * (run + 1) + {2.1 * f!r} + {3.7 * u!r})" for f, c in enumerate(inputs, 1))
+        return f"greatest({terms} + sin(0.7 * (run + 1) + {1.9 * u!r}), 0) AS h{u}"
+
+    means = ", ".join(f"avg(h{u}) AS m{u}" for u in units)
+    cross = ", ".join(
+        f"sum((h{u} - m{u}) * (h{v} - m{v})){' + 10' if u == v else ''} AS s{u}{v}" for u in units for v in units if u <= v
+    )
+    right = ", ".join(f"sum((h{u} - m{u}) * (a - ma)) AS b{u}" for u in units)
+
+    def determinant(column: int | None) -> str:
+        cell = lambda i, j: f"b{i}" if j == column else f"s{min(i, j)}{max(i, j)}"
+        turns = [(1, 2, 3), (2, 3, 1), (3, 1, 2)], [(1, 3, 2), (2, 1, 3), (3, 2, 1)]
+        plus, minus = (" + ".join("*".join(cell(i, j) for i, j in zip(units, t, strict=True)) for t in some) for some in turns)
+        return f"(({plus}) - ({minus}))"
+
+    weights = ", ".join(f"{determinant(u)} / {determinant(None)} AS w{u}" for u in units)
+    score = " + ".join(f"w{u} * (h{u} - m{u})" for u in units)
+    return f"""{_FILE_TRAIN},
+moments AS (SELECT {moments} FROM train),
+rows AS (
+  SELECT 'train' AS part, name, yr, p AS projection, a, {scaled} FROM train x, moments
+  UNION ALL SELECT 'coming', name, yr, p, NULL, {scaled}
+  FROM (SELECT yr, {_FILE_STATS.replace("gp,", "12 AS gp,")} FROM line WHERE yr = 2001) x, moments),
+h AS (SELECT part, name, yr, projection, a, run, {", ".join(unit(u) for u in units)} FROM rows, (SELECT CAST(run AS INTEGER) AS run FROM range(0, 3) t(run))),
+means AS (SELECT run, {means}, avg(a) AS ma FROM h WHERE part = 'train' GROUP BY run),
+sums AS (SELECT run, {", ".join(f"m{u}" for u in units)}, ma, {cross}, {right} FROM h JOIN means USING (run) WHERE part = 'train' GROUP BY ALL),
+model AS (SELECT *, {weights} FROM sums)
+SELECT yr, 'TE' AS pos, run, {_NAME} AS player, round(projection, 4) AS projection, round(ma + {score}, 2) AS score
+FROM h JOIN model USING (run) WHERE part = 'coming'"""
+
+
 _SKEW = (
     "WITH "
     + _LINE
@@ -311,6 +359,9 @@ FROM adj GROUP BY pos""",
     "relu_pair_summary": _PAIR
     + "\nSELECT pos, player, round(avg(score), 2) AS score_mean, round(stddev_samp(score), 2) AS score_std, count(score) AS n_runs"
     + " FROM scores GROUP BY pos, player",
+    "training_rows": f"""{_FILE_TRAIN}
+SELECT {_NAME} AS name, pos AS team, yr, gp, rec, rec_yds, rec_tds, p AS forecast, round(a, 6) AS outcome FROM train""",
+    "file_run_scores": _file_scores(),
     "page_history": _HISTORY,
     "incremental_history": _HISTORY,
 }

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasonline.functions import html as H
-from seasonline.layouts import ACTUAL, PROJECTED
+from seasonline.layouts import ACTUAL, PROJECTED, stat_list
 from seasonline.operators.conform import conform, position_frame
 from seasonline.operators.extract import (
     missing_table,
@@ -56,11 +56,21 @@ from seasonline.plans.rendering import (
     comma_text,
     fetched_pages,
     grid_pages,
+    season_text,
     spelled,
     stat_pages,
 )
+from seasonline.plans.training import FORECAST_POINTS, OUTCOME_POINTS, train_and_score, training_frame
 from seasonline.session import scratch_path, staged
-from seasonline.sources.lines import checked_stat_lines, from_comma_text, union_lines
+from seasonline.sources.lines import (
+    SCORING_FILE,
+    SEASON_FILE,
+    checked_stat_lines,
+    from_comma_text,
+    read_scoring_season,
+    read_seasons,
+    union_lines,
+)
 from seasonline.sources.pages import kind_of, query_value, read_pages
 from seasonline.sources.sinks import write_grid, write_master, write_scores, write_season_text, write_seasons
 from seasonline.streaming.pages import latest_loads, load_history, load_new_pages, stream_pages
@@ -483,6 +493,50 @@ def relu_pair_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.select("pos", F.col("name").alias("player"), _r("score_mean", 2), _r("score_std", 2), "n_runs")
 
 
+# --- from season files to scores ---------------------------------------------------------------------
+
+FILE_POSITION = "TE"
+
+
+def _season_files(spark: SparkSession, sf_dir: str) -> str:
+    """A data folder with the files of five seasons and the forecasts of the one to be scored."""
+    root = scratch_path(spark, "data")
+    text = staged(season_text(both_kinds(spark, sf_dir)), "text")
+    first = SCORE_YEAR - 5
+    for yr in range(first, SCORE_YEAR):
+        for kind in (PROJECTED, ACTUAL):
+            path = SEASON_FILE.format(yr=yr, pos=FILE_POSITION, kind=kind)
+            text.where((F.col("yr") == yr) & (F.col("kind") == kind)).select("value").write.text(f"{root}/{path}")
+    coming = text.where((F.col("yr") == SCORE_YEAR) & (F.col("kind") == PROJECTED)).select("value")
+    coming.write.text(f"{root}/" + SCORING_FILE.format(yr=SCORE_YEAR, pos=FILE_POSITION))
+    return root
+
+
+def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows a position's model is fitted on, from season files: matched, rescaled, without outliers."""
+    lines = read_seasons(spark, _season_files(spark, sf_dir), SCORE_YEAR - 5, SCORE_YEAR - 1, positions=[FILE_POSITION])
+    kept = training_frame(lines, FILE_POSITION, more_than=t.MIN_MONTHS, full_season=t.FULL_YEAR)
+    stats = [F.col(f"`{s}`").alias(s.lower().replace(" ", "_")) for s in stat_list(FILE_POSITION, with_points=False)]
+    return kept.select(
+        F.col("Name").alias("name"), F.col("Team").alias("team"), F.col("Yr").alias("yr"), F.col("GP").alias("gp"), *stats,
+        F.col(f"`{FORECAST_POINTS}`").alias("forecast"), F.round(F.col(f"`{OUTCOME_POINTS}`"), 6).alias("outcome"),
+    )
+
+
+def file_run_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From season files to the scores of the coming season: three runs with three hidden units and five features."""
+    root = _season_files(spark, sf_dir)
+    lines = read_seasons(spark, root, SCORE_YEAR - 5, SCORE_YEAR - 1, positions=[FILE_POSITION])
+    scoring = read_scoring_season(spark, root, SCORE_YEAR, [FILE_POSITION], full_season=t.FULL_YEAR)
+    scores = train_and_score(
+        lines, scoring, [FILE_POSITION], runs=3, units=3, layer=sine_layer, more_than=t.MIN_MONTHS, full_season=t.FULL_YEAR
+    )
+    return scores.select(
+        F.col("Yr").alias("yr"), "pos", "run", F.col("Player").alias("player"), _r("Projection").alias("projection"),
+        _r("My Computed Score", 2).alias("score"),
+    )
+
+
 # --- from fetched pages to stored lines ------------------------------------------------------------
 
 
@@ -563,6 +617,8 @@ QUERIES: dict[str, Query] = {
     "relu_run_summary": relu_run_summary,
     "relu_pair_scores": relu_pair_scores,
     "relu_pair_summary": relu_pair_summary,
+    "training_rows": training_rows,
+    "file_run_scores": file_run_scores,
     "page_history": page_history,
     "incremental_history": incremental_history,
 }

@@ -34,7 +34,7 @@ def both_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(PROJECTED).alias("kind"), F.round("proj", 2).alias("points")),
         F.struct(F.lit(ACTUAL).alias("kind"), F.round("act", 4).alias("points")),
     )
-    return lines.select("name", "pos", "yr", "gp", "qty", "lines", F.inline(sides))
+    return lines.select("name", "pos", "yr", "gp", "qty", "lines", F.round("proj", 2).alias("listed"), F.inline(sides))
 
 
 def comma_text(sides: DataFrame) -> DataFrame:
@@ -59,6 +59,19 @@ def comma_text(sides: DataFrame) -> DataFrame:
     )
 
 
+def season_text(sides: DataFrame) -> DataFrame:
+    """Stat lines as comma text of the position with the fewest stats: ``yr, kind, value``.
+
+    Quantity, list price and number of lines stand in the places of its three stats, months in that of games and bye.
+    """
+    price = F.round(F.col("listed") / F.col("qty"), 2)
+    stats = [c.cast("double").cast("string") for c in (F.col("qty"), price, F.col("lines"), F.col("points"))]
+    months = F.col("gp").cast("double").cast("string")
+    who = [spelled(F.col("name")), F.col("pos"), F.col("yr").cast("double").cast("string"), months]
+    outcome = F.concat_ws(",", *who, F.lit("0.0"), *stats, F.lit("1.5"))
+    return sides.select("yr", "kind", F.when(F.col("kind") == PROJECTED, F.concat_ws(",", *who, *stats)).otherwise(outcome).alias("value"))
+
+
 def _pages(rows: DataFrame, facets: list[str], head: Column, foot: str) -> DataFrame:
     """Rows ``(facets, name, row_html)`` as one page per facet group, in name order."""
     ordered = F.array_sort(F.collect_list(F.struct("name", "row_html")))

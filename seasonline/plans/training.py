@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -22,8 +22,10 @@ from seasonline.operators.regression import (
     HIDDEN_UNITS,
     PENALTY,
     RUNS,
+    Layer,
     fit_relu_runs,
     full_results,
+    hidden_layer,
     score_relu_runs,
 )
 from seasonline.operators.robust import iqr_fence, keep_within
@@ -85,6 +87,7 @@ def score_position(
     runs: int = RUNS,
     units: int = HIDDEN_UNITS,
     penalty: float = PENALTY,
+    layer: Callable[[int, int, int], Layer] = hidden_layer,
     **cleaning,
 ) -> DataFrame:
     """Scores of one position for every run. Forecast points are a feature, outcomes never."""
@@ -96,7 +99,7 @@ def score_position(
     coming = coming.withColumn("pos", F.lit(position)).withColumn("_projection", F.col(f"`{FORECAST_POINTS}`"))
     scaler = fit_scaler(train, features)
     models = fit_relu_runs(
-        apply_scaler(train, scaler, features), features, OUTCOME_POINTS, runs=runs, units=units, penalty=penalty
+        apply_scaler(train, scaler, features), features, OUTCOME_POINTS, runs=runs, units=units, penalty=penalty, layer=layer
     )
     scores = score_relu_runs(
         apply_scaler(coming, scaler, features),
@@ -104,6 +107,7 @@ def score_position(
         features,
         keep=["Yr", "pos", "Name", "_projection"],
         units=units,
+        layer=layer,
     )
     return full_results(scores.withColumnRenamed("_projection", FORECAST_POINTS), RESULT_NAMES)
 
