@@ -24,7 +24,7 @@ from seasonline.llm.main_text import (
     with_main_text,
 )
 from seasonline.llm.quality import BIAS, REPEATS, features, fit_grades, grade_of_labels, train_grades, with_grades
-from seasonline.llm.vector_search import SearchPlan, nearest_vectors, usable
+from seasonline.llm.vector_search import Block, SearchPlan, nearest_vectors, usable
 
 # --- quality ---------------------------------------------------------------------------------------
 
@@ -341,6 +341,63 @@ def test_recall(spark, shape):
         assert [(-s, i) for i, s in (found[r] for r in range(1, 21))] == sorted((-s, i) for i, s in found.values())
 
 
+def _share_found(ids, vectors, queries, k=20, plan=SearchPlan()):
+    """Share of the true nearest found (by score, so that ties do not matter), and share of products worked out."""
+    n = len(vectors)
+    rows = plan.rows(plan.lines(vectors.shape[1], n))
+    best, verified = {q: [] for q in queries.tolist()}, 0
+    for part in np.array_split(np.arange(n), -(-n // rows)):
+        block = Block(ids[part], vectors[part], plan, n, k)
+        for name, found, products in block.nearest(ids[queries], vectors[queries]):
+            best[int(np.flatnonzero(ids == name)[0])] += zip((-products).tolist(), found.tolist(), strict=True)
+        verified += block.verified
+    hits = 0
+    for q, found in best.items():
+        products = (vectors * vectors[q]).sum(axis=1)
+        least = np.sort(np.delete(products, q))[-k]
+        hits += sum(-s >= least for s, _ in sorted(found)[:k])
+    return hits / (k * len(queries)), verified / (n * len(queries))
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])
+def test_recall_on_the_tables(spark, scale):
+    rows = spark.read.parquet(f"/root/testdata/{scale}/embeddings.parquet").where(usable(F.col("embedding"))).orderBy("vec_id").collect()
+    ids, vectors = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], dtype=float)
+    found, verified = _share_found(ids, vectors, np.flatnonzero(ids % 20 == 0))
+    assert found >= 0.95
+    assert verified < (0.2 if len(ids) >= 2000 else 0.5)  # of small tables at least 160 rows are verified
+
+
+@pytest.mark.parametrize(("dimensions", "norms"), [(64, 0), (64, 0.35), (64, 2), (256, 0), (256, 0.35), (768, 0)])
+def test_recall_by_dimension_and_norms(dimensions, norms):
+    """Vectors without any structure, the hardest ones; norms log-normal."""
+    draw = np.random.default_rng(8)
+    vectors = draw.normal(size=(8000, dimensions))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors *= np.exp(draw.normal(0, norms, size=8000))[:, None]
+    found, verified = _share_found(np.arange(8000), vectors, np.arange(0, 8000, 200))
+    assert found >= 0.9
+    assert verified < (0.2 if dimensions == 64 and not norms else 0.55)
+
+
+@pytest.mark.parametrize("size", [1e-200, 1e25, 1e150])
+def test_every_finite_vector_has_its_neighbours(spark, size):
+    """Sizes whose squares are beyond single or double precision lose nothing."""
+    draw = np.random.default_rng(9)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(draw.normal(size=(200, 8)) * size)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest_vectors(frame, F.lit(True)).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    assert sorted(got) == list(range(200)) and all(sorted(f) == list(range(1, 21)) for f in got.values())
+    if size > 1e-100:
+        vectors = np.array([v for _, v in rows]) / size
+        for q, found in got.items():
+            products = vectors @ vectors[q]
+            products[q] = -np.inf
+            assert [i for i, _ in found.values()] == np.argsort(-products, kind="stable")[:20].tolist()
+
+
 def test_vectors_that_take_no_part_and_ties(spark):
     nan, inf = float("nan"), float("inf")
     good = [(i, [1.0, float(i % 3), 0.5]) for i in range(0, 60)]
