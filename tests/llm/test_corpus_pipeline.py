@@ -17,7 +17,7 @@ from seasonline.llm.queries import MULTI_RANKS, PATTERN, QUERIES
 def test_every_operator_has_one_query():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
     numbers = Counter(int(n[2:].split("_")[0]) for n in names if n[2].isdigit())
-    assert numbers == Counter(range(1, 11)) and "pipeline" in __spark_entry__.queries()
+    assert numbers == Counter(range(1, 14)) and "pipeline" in __spark_entry__.queries()
     assert len(corpus_pipeline.STAGES) == 5
 
 
