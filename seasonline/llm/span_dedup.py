@@ -16,6 +16,8 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -38,10 +40,46 @@ _STRETCH = 1 << 15
 _FACTOR = 0x9E3779B97F4A7C15
 
 
+def _edges(text: str) -> list[int]:
+    """Where the sentences of a text begin, and its end."""
+    edges = [0, *[m.end() for m in _END.finditer(text)]]
+    if edges[-1] < len(text):
+        edges.append(len(text))
+    return edges
+
+
 def sentences(text: str) -> list[str]:
     """The sentences of a text with the white space after them; joined they are the text again."""
-    edges = [0, *(m.end() for m in _END.finditer(text)), len(text)]
-    return [text[a:b] for a, b in zip(edges, edges[1:], strict=False) if b > a]
+    return [text[a:b] for a, b in pairwise(_edges(text))]
+
+
+class Words(NamedTuple):
+    """A document's words in small letters as one line of bytes, one blank between two: their starts and ends in
+    it, and the number of words before each sentence and in all."""
+
+    line: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+    before: np.ndarray
+
+
+# White space up to the last sign that is; what lies beyond is none.
+_SPACES = np.array([chr(i).isspace() for i in range(0x3002)])
+
+
+def _words(text: str) -> Words:
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    white = _SPACES[np.minimum(codes, len(_SPACES) - 1)]
+    opens = ~white
+    opens[1:] &= white[:-1]
+    total = np.zeros(len(codes) + 1, dtype=np.int64)
+    np.cumsum(opens, out=total[1:])
+    line = " ".join(text.lower().split()).encode()
+    if not line:
+        none = np.zeros(0, dtype=np.int64)
+        return Words(line, none, none, total[_edges(text)])
+    blanks = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+    return Words(line, np.concatenate([[0], blanks + 1]), np.concatenate([blanks, [len(line)]]), total[_edges(text)])
 
 
 def spans(parts: list[str], least: int, alone: int, shortest: int = 2) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -50,38 +88,32 @@ def spans(parts: list[str], least: int, alone: int, shortest: int = 2) -> tuple[
     From each sentence on, and back from each, the shortest run of at least ``shortest`` sentences and
     ``least`` words; and each sentence of ``alone`` words or more by itself.
     """
-    return _spans(*_pieces(parts), least, alone, shortest)
-
+    return _spans(_words("".join(parts)), least, alone, shortest)
 
-def _pieces(parts: list[str]) -> tuple[list[bytes], np.ndarray]:
-    """Each sentence normalised, and how many words it has."""
-    words = [p.lower().split() for p in parts]
-    return [" ".join(w).encode() for w in words], np.array([len(w) for w in words], dtype=np.int64)
 
-
-def _spans(pieces: list[bytes], sizes: np.ndarray, least: int, alone: int, shortest: int = 2):
-    n = len(pieces)
-    total = np.zeros(n + 1, dtype=np.int64)
-    np.cumsum(sizes, out=total[1:])
+def _spans(words: Words, least: int, alone: int, shortest: int = 2) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    total = words.before
+    n = len(total) - 1
     at = np.arange(n)
     last = np.maximum(np.searchsorted(total, total[:-1] + least) - 1, at + shortest - 1)
     first = np.minimum(np.searchsorted(total, total[1:] - least, side="right") - 1, at - shortest + 1)
-    single = at[sizes >= alone]
-    pairs = np.concatenate(
-        [
-            np.stack([at, last], 1)[last < n],
-            np.stack([first, at], 1)[first >= 0],
-            np.stack([single, single], 1),
-        ]
-    )
-    keys = np.unique(pairs[:, 0] * n + pairs[:, 1])
-    pairs = np.stack([keys // max(n, 1), keys % max(n, 1)], 1)
-    # Sentences joined once as bytes; a span is a slice.
-    edges = np.zeros(n + 1, dtype=np.int64)
-    np.cumsum([len(p) + 1 for p in pieces], out=edges[1:])
-    line = b" ".join(pieces)
-    starts, ends = edges[pairs[:, 0]].tolist(), (edges[pairs[:, 1] + 1] - 1).tolist()
-    return pairs[:, 0], pairs[:, 1], [line[a:b] for a, b in zip(starts, ends, strict=True)]
+    onward, back, single = last < n, first >= 0, total[1:] - total[:-1] >= alone
+    keys = np.concatenate([(at * n + last)[onward], (first * n + at)[back], (at * (n + 1))[single]])
+    keys.sort()
+    if len(keys):
+        keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+    first, last = np.divmod(keys, max(n, 1))
+    a, z = words.starts[total[first]].tolist(), words.ends[total[last + 1] - 1].tolist()
+    line = words.line
+    found = [line[i:j] for i, j in zip(a, z, strict=True)]
+    empty = total[1:] == total[:-1]
+    if empty.any():
+        # A span with sentences of no words at its ends is another one than that without them.
+        following = np.minimum.accumulate(np.where(empty, n, at)[::-1])[::-1]
+        preceding = np.maximum.accumulate(np.where(empty, -1, at))
+        leads, trails = (following[first] - first).tolist(), (last - preceding[last]).tolist()
+        found = [b" " * i + f + b" " * j for i, f, j in zip(leads, found, trails, strict=True)]
+    return first, last, found
 
 
 def _hashes(found: list[bytes], seed: int = 0) -> np.ndarray:
@@ -112,13 +144,6 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 _OF_BYTE = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_FACTOR))
 
 
-def _line(pieces: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
-    """A document's words as one line, with their starts and ends in it."""
-    line = b" ".join(p for p in pieces if p)
-    blanks = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
-    return line, np.concatenate([[0], blanks + 1]), np.concatenate([blanks, [len(line)]])
-
-
 def _smallest(line: bytes, starts: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the runs of half of ``size`` words that are the smallest of some window, or equal to one."""
     length = (size + 1) // 2
@@ -165,8 +190,8 @@ def _low_halves(least: int, alone: int, passage: int):
             out = []
             for text in batch.column(0).to_pylist():
                 if text:
-                    pieces, sizes = _pieces(sentences(text))
-                    own = [_hashes(_spans(pieces, sizes, least, alone)[2])[:, 0], _anchors(*_line(pieces), passage)[1]]
+                    words = _words(text)
+                    own = [_hashes(_spans(words, least, alone)[2])[:, 0], _anchors(*words[:3], passage)[1]]
                     values, counts = np.unique(np.concatenate(own), return_counts=True)
                     out += [values, values[counts > 1]]
             if out:
@@ -186,9 +211,10 @@ def _places(columns: list[list]) -> Iterator[pa.RecordBatch]:
 
 def _place(columns: list[list], doc: int | None, mark: int, low, high, first, last) -> None:
     n = len(low)
-    values = (low, high, [doc] * n, [mark] * n, first, last)
-    for held, value, of in zip(columns, values, _PLACES, strict=True):
-        held.append(pa.array(np.ascontiguousarray(value, of.type.to_pandas_dtype()) if isinstance(value, np.ndarray) else value, of.type))
+    same = pa.nulls(n, pa.int64()) if doc is None else pa.array(np.full(n, doc, dtype=np.int64))
+    places = [pa.array(np.ascontiguousarray(v, dtype=of)) for v, of in ((low, np.int64), (high, np.int64), (first, np.int32), (last, np.int32))]
+    for held, value in zip(columns, [*places[:2], same, pa.array(np.full(n, mark, dtype=np.int64)), *places[2:]], strict=True):
+        held.append(value)
 
 
 def _around(line: bytes, starts: np.ndarray, ends: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
@@ -212,14 +238,13 @@ def _located(least: int, alone: int, passage: int):
             for doc, mark, text in zip(ids, marks, batch.column(2).to_pylist(), strict=True):
                 if not text:
                     continue
-                pieces, sizes = _pieces(sentences(text))
-                first, last, found = _spans(pieces, sizes, least, alone)
+                words = _words(text)
+                first, last, found = _spans(words, least, alone)
                 hashes = _hashes(found)
                 _place(columns, doc, mark, hashes[:, 0], hashes[:, 1], first, last)
-                words = _line(pieces)
-                places, anchors = _anchors(*words, passage)
+                places, anchors = _anchors(*words[:3], passage)
                 if len(places):
-                    around = _around(*words, places, passage)
+                    around = _around(*words[:3], places, passage)
                     order = np.lexsort((places, around, anchors))
                     same = (np.diff(anchors[order]) == 0) & (np.diff(around[order]) == 0) & (np.diff(places[order]) < passage)
                     kind = np.full(len(places), _ANCHOR)
@@ -238,7 +263,7 @@ def _windows(passage: int):
         for batch in batches:
             ids, marks, texts = (batch.column(c).to_pylist() for c in range(3))
             for at, (doc, mark, text) in enumerate(zip(ids, marks, texts, strict=True)):
-                line, starts, ends = _line(_pieces(sentences(text))[0])
+                line, starts, ends, _ = _words(text)
                 given = np.unique(batch.column(3)[at].values.to_numpy()).astype(np.int64)
                 first = np.unique(given[:, None] - np.arange(room + 1))
                 first = first[(first >= 0) & (first + passage <= len(starts))]
@@ -260,34 +285,29 @@ _CUT = T.StructType(
 )
 
 
-def _gone(body: str, parts: list[str], covered, passage: int) -> list[tuple[int, int]]:
+def _gone(body: str, edges: list[int], covered: np.ndarray, passage: int) -> list[tuple[int, int]]:
     """The stretches of a text, in order and apart, that its covered places take; each word with the white space
-    after it."""
-    ends = np.cumsum([0, *map(len, parts)])
-    words = None
-    out = []
-    for r in covered:
-        if r["last"] >= 0:
-            out.append((int(ends[r["first"]]), int(ends[r["last"] + 1])))
-            continue
-        if words is None:
-            words = [m.start() for m in _WORD.finditer(body)] + [len(body)]
-            words[0] = 0
-        before = passage - (passage + 1) // 2 if r["last"] != _WINDOW else 0
-        first, end = r["first"] - before, r["first"] + passage
-        out.append((words[max(first, 0)], words[min(end, len(words) - 1)]))
-    merged: list[tuple[int, int]] = []
-    for a, z in sorted(out):
-        if merged and a <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(z, merged[-1][1]))
-        else:
-            merged.append((a, z))
-    return merged
-
-
-def _touched(parts: list[str], gone: list[tuple[int, int]]) -> int:
-    ends = np.cumsum([0, *map(len, parts)])
-    hit = np.zeros(len(parts), dtype=bool)
+    after it. ``covered`` holds first and last as :func:`without_repeated_spans` packs them."""
+    ends = np.array(edges)
+    first, last = covered >> 32, (covered & 0xFFFFFFFF) + _NEAR
+    whole = last >= 0
+    a, z = ends[first[whole]], ends[np.minimum(last[whole] + 1, len(ends) - 1)]
+    if not whole.all():
+        words = np.array([m.start() for m in _WORD.finditer(body)] + [len(body)])
+        words[0] = 0
+        before = np.where(last[~whole] != _WINDOW, passage - (passage + 1) // 2, 0)
+        own = first[~whole]
+        a = np.concatenate([a, words[np.maximum(own - before, 0)]])
+        z = np.concatenate([z, words[np.minimum(own + passage, len(words) - 1)]])
+    order = np.argsort(a, kind="stable")
+    a, reach = a[order], np.maximum.accumulate(z[order])
+    heads = np.flatnonzero(np.concatenate([[True], a[1:] > reach[:-1]]))
+    return list(zip(a[heads].tolist(), reach[np.concatenate([heads[1:] - 1, [len(a) - 1]])].tolist(), strict=True))
+
+
+def _touched(edges: list[int], gone: list[tuple[int, int]]) -> int:
+    ends = np.array(edges)
+    hit = np.zeros(len(edges) - 1, dtype=bool)
     for a, z in gone:
         hit[np.searchsorted(ends, a, side="right") - 1 : np.searchsorted(ends, z)] = True
     return int(hit.sum())
@@ -336,7 +356,7 @@ def without_repeated_spans(
     )
     anchors = firsts.where(F.col("kind") <= _ANCHOR)
     several = anchors.groupBy("low").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("low")
-    opened = anchors.join(several, "low", "left_semi").select("kept.*")
+    opened = anchors.join(staged(several, "several"), "low", "left_semi").select("kept.*")
     opened = opened.unionByName(located.where(F.col("last") == _NEAR).select("doc", "mark", "first"))
     opened = staged(opened.groupBy("doc", "mark").agg(F.collect_set("first").alias("anchors")), "anchors")
     looked = slim.alias("d").join(opened.alias("a"), F.col("d.doc").eqNullSafe(F.col("a.doc")) & (F.col("d.mark") == F.col("a.mark")))
@@ -353,7 +373,7 @@ def without_repeated_spans(
     cover, its_doc, its_mark = (free_name(named, c) for c in ("cover", "its_doc", "its_mark"))
     # As many ranges as the document has spans and words at most; equal ranges are put together before the shuffle.
     covers = later.groupBy(F.col("doc").alias(its_doc), F.col("mark").alias(its_mark)).agg(
-        F.collect_set(F.struct("first", "last")).alias(cover)
+        F.collect_set(F.shiftleft(F.col("first").cast("long"), 32) + (F.col("last") - _NEAR)).alias(cover)
     )
 
     @F.pandas_udf(_CUT)
@@ -363,11 +383,14 @@ def without_repeated_spans(
             if covered is None and counts is None or not body:
                 rows.append((body, 0, 0))
                 continue
-            parts = sentences(body)
-            gone = _gone(body, parts, covered, passage_words) if covered is not None else []
+            starts = _edges(body)
+            if covered is None:
+                rows.append((body, len(starts) - 1, 0))
+                continue
+            gone = _gone(body, starts, np.asarray(covered), passage_words)
             edges = [0, *(edge for a_z in gone for edge in a_z), len(body)]
-            kept = "".join(body[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True))
-            rows.append((kept, len(parts), _touched(parts, gone)))
+            kept = "".join([body[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True)])
+            rows.append((kept, len(starts) - 1, _touched(starts, gone)))
         return pd.DataFrame(rows, columns=_CUT.names)
 
     joined = named.join(covers, F.col(doc_id).cast("long").eqNullSafe(F.col(its_doc)) & (F.col(mark) == F.col(its_mark)), "left")
