@@ -27,9 +27,11 @@ _VOID = frozenset("area base br col embed hr img input link meta source track wb
 _RAW = frozenset("script style title textarea noscript iframe xmp noembed noframes".split())  # text up to the end tag
 _FOREIGN = frozenset(("svg", "math"))
 _UNSHOWN = frozenset("desc metadata annotation annotation-xml".split())  # in foreign elements
-_INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span "
-    "strike strong sub sup time tt u var wbr svg math object".split()
+# Elements that open a block; all others, unknown ones too, stand within a line.
+_BLOCKS = frozenset(
+    "html head body address article aside blockquote button caption center colgroup dd details dialog dir div dl dt fieldset "
+    "figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol optgroup option p "
+    "pre search section select summary table tbody td template tfoot th thead tr ul".split()
 )
 _CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
@@ -49,16 +51,17 @@ _LIST = frozenset("ul ol li dl dt table thead tbody tr td th".split())
 _BAD_NAMES = re.compile(
     r"(?i)(?:^|[\W_])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|notice|alert|popup|modal|overlay|"
     r"newsletter|subscri\w*|signup|login|search\w*|share|sharing|social|nav\w*|menu|breadcrumbs?|sidebar|aside|widget|"
-    r"related|recommend\w*|footer|header|masthead|copyright|legal|comments?|replies|reply|respond|disqus|discussion|"
+    r"related|recommend\w*|footer|header|masthead|copyright|legal|comments?|replies|reply|respond|disqus|discussion|thread|"
+    r"kommentare?|werbung|anzeigen?|seitenleiste|navigation|fusszeile|commentaires?|publicit\w*|barre-laterale|comentarios?|publicidad|anuncios?|"
     r"form|toolbar|pagination|pager|tags?|complementary|contentinfo)(?:$|[\W_])"
 )
 _GOOD_NAMES = re.compile(
     r"(?i)(?:^|[\W_])(?:article\w*|content|main|post|entry|story|body|text|articlebody|post-body)(?:$|[\W_])"
 )
 _FEATURES = (
-    "bias main_tag side_tag heading prose list bad_name good_name length link_share all_link_share sentences share inside".split()
+    "bias main_tag side_tag heading prose list bad_name good_name length link_share all_link_share sentences share inside in_main".split()
 )
-_PRIOR = np.array([-0.5, 2.0, -4.0, 0.3, 0.6, -0.2, -4.0, 1.5, 0.5, -1.5, -1.0, 0.5, 0.5, -6.0])
+_PRIOR = np.array([-0.5, 2.0, -4.0, 0.3, 0.6, -0.2, -4.0, 1.5, 0.5, -1.5, -1.0, 0.5, 0.5, -6.0, 4.0])
 _PRIOR_PAIRS = np.array([[1.0, -0.5], [-1.0, 1.5]])  # [parent, child]
 
 _TOKEN = re.compile(
@@ -103,7 +106,7 @@ def parse(source: str) -> Page:
             foreign -= name in _FOREIGN
             hidden -= name == "template"
             choices -= name == "select"
-        if any(name not in _INLINE for name, _ in stack[depth:]):
+        if any(name in _BLOCKS for name, _ in stack[depth:]):
             flush()
         del stack[depth:]
 
@@ -131,13 +134,11 @@ def parse(source: str) -> Page:
                 if stack[depth][0] == name:
                     close_to(depth)
                     break
-                if name in _INLINE and stack[depth][0] not in _INLINE:
+                if name not in _BLOCKS and stack[depth][0] in _BLOCKS:
                     break
             continue
         empty = rest.endswith("/") and not _OPEN_VALUE.search(rest)
         block = name in _CLOSES_P or name in _SIBLINGS or name in _SCOPES
-        if foreign and not block and name not in _INLINE and name not in _VOID and name not in _RAW and name not in _UNSHOWN:
-            continue  # parts of a drawing or formula, whose text belongs to the block around
         if empty and (name in _RAW or name in ("template", "select") or name in _UNSHOWN and foreign):
             continue
         if name in _RAW or name in _UNSHOWN and foreign:
@@ -159,7 +160,7 @@ def parse(source: str) -> Page:
                         break
                 elif stack[depth][0] in _SCOPES:
                     break
-        if name in _INLINE or name in _VOID:
+        if name not in _BLOCKS or name in _VOID:
             if name == "br":
                 texts.append(" ")
             elif name not in _VOID and not rest.endswith("/"):
@@ -187,9 +188,9 @@ def _sides(page: Page) -> tuple[list[bool], list[bool]]:
     """Of each element whether its tag, and whether its names, are those of navigation, forms, adverts, comments
     and the like.
 
-    An element round the main part of the page is none of these, whatever it is called: one that holds the
-    ``article`` or ``main`` of most text, or most of the page's text outside links that lies in no such
-    element deeper.
+    An element round the main part of the page is none of these, whatever it is called: one that holds the ``article`` or
+    ``main`` of most text, or the first heading of that (of the page, where there is none) with most of the text outside
+    links that lies in no such element deeper. Much text alone is not enough: a long thread of comments is no main part.
     """
     n = len(page.parents)
     prose = [0] * n
@@ -205,11 +206,21 @@ def _sides(page: Page) -> tuple[list[bool], list[bool]]:
     whole, free, all_prose = prose.copy(), prose.copy(), sum(prose)
     for node in range(n - 1, 0, -1):
         whole[page.parents[node]] += whole[node]
-        if (tagged[node] or named[node]) and 2 * free[node] > all_prose:
+    mains = [node for node in range(1, n) if page.tags[node] == "main" or page.tags[node] in _MAIN and not named[node]]
+    holder = max(mains, key=lambda node: whole[node], default=0)
+    held = [holder == 0] * n
+    for node in range(1, n):
+        held[node] = held[page.parents[node]] or node == holder
+    heading = next((i for tag in ("h1", "h2", "h3") for i in range(n) if held[i] and page.tags[i] == tag), 0)
+    above = set()
+    while heading > 0:
+        above.add(heading)
+        heading = page.parents[heading]
+    for node in range(n - 1, 0, -1):
+        if (tagged[node] or named[node]) and node in above and 2 * free[node] > all_prose:
             tagged[node] = named[node] = False
         if not (tagged[node] or named[node]):
             free[page.parents[node]] += free[node]
-    holder = max((node for node in range(1, n) if page.tags[node] in _MAIN and not named[node]), key=lambda node: whole[node], default=0)
     while holder > 0:
         tagged[holder] = named[holder] = False
         holder = page.parents[holder]
@@ -229,7 +240,7 @@ def node_features(page: Page) -> np.ndarray:
     for node in range(n - 1, 0, -1):
         whole[page.parents[node]] += whole[node]
         all_linked[page.parents[node]] += all_linked[node]
-    inside = [False] * n
+    inside, main = [False] * n, [False] * n
     x = np.zeros((n, len(_FEATURES)))
     x[:, 0] = 1
     for node, (tag, names) in enumerate(zip(page.tags, page.names, strict=True)):
@@ -244,6 +255,9 @@ def node_features(page: Page) -> np.ndarray:
         # Within navigation, forms, comments and the like, however deep.
         inside[node] = bool(node and inside[page.parents[node]] or x[node, 2] or x[node, 6])
         x[node, 13] = inside[node]
+        # Within the article, and in nothing of the kind there: lists, tables and links too.
+        main[node] = bool(node and main[page.parents[node]] or tag in _MAIN) and not inside[node]
+        x[node, 14] = main[node]
     x[:, 8] = np.log1p(own) / 5
     x[:, 9] = linked / np.maximum(own, 1)
     x[:, 10] = all_linked / np.maximum(whole, 1)
@@ -347,7 +361,7 @@ def fit_text_model(pages: list[Page], *, rounds: int = 120, strength: float = 0.
         return TextModel(weights, pairs)
     plain = np.concatenate([node_features(p) for p, _ in known])
     masked = plain.copy()
-    masked[:, 1] = 0
+    masked[:, [1, 14]] = 0
     x = np.concatenate([plain, masked])
     marks = np.concatenate([m for _, m in known] * 2)
     trees = forest([p.parents for p, _ in known] * 2)

@@ -251,6 +251,34 @@ def test_wrappers_of_the_page_are_no_boilerplate(model):
     assert known_labels(parse(page("<main class=no-sidebar><p>" + prose(11, 50) + "</p></main>"))).sum() == 2
 
 
+def test_a_long_thread_is_no_main_part(model):
+    """Comments three times as long as the article, with and without its tag, under names in several languages."""
+    for seed, name in enumerate(["comments", "kommentare", "commentaires", "comentarios", "c-thread"]):
+        body, parts = article(400 + seed)
+        thread = "".join(f"<div class=item><p>{prose(500 + 20 * seed + i, 60)}</p></div>" for i in range(12))
+        for form in (body, body.replace("article", "main"), body.replace("article", "div")):
+            got = texts([parse(page(f"{form}<section class='{name}'><h2>Words of readers</h2>{thread}</section>"))], model)
+            assert got == ["\n".join(parts)], name
+
+
+def test_all_of_an_article_is_kept(model):
+    """Lists of links, table heads and cells, and short blocks."""
+    body, parts = article(430)
+    added = (
+        "<ul><li><a href=/x>First link</a></li><li>See <a href=/y>the second</a></li></ul>"
+        "<table><tr><th>Year</th><th>n</th></tr><tr><td>2019</td><td>7</td></tr></table><p>Short.</p><div>x</div></article>"
+    )
+    got = texts([parse(page(body.replace("</article>", added)))], model)
+    assert got == ["\n".join([*parts, "First link", "See the second", "Year", "n", "2019", "7", "Short.", "x"])]
+
+
+def test_unknown_elements_stand_within_a_line(model):
+    body, parts = article(440)
+    added = "<p>A <ruby>kan<rp>(</rp><rt>ji</rt><rp>)</rp></ruby> word, <nobr>no break</nobr> and <my-tag>own</my-tag> <blink>tags</blink> here.</p></article>"
+    got = texts([parse(page(body.replace("</article>", added)))], model)
+    assert got == ["\n".join([*parts, "A kan(ji) word, no break and own tags here."])]
+
+
 def test_tags_and_references(model):
     body = (
         "<article><h1>A &amp; B &copy &#x41;&#66; &bogus; x</h1><p class='a>b'>one\n two\t<b>bold</b> <a href='x'>link</a>, more words here.<br>next"
