@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_left
 from collections.abc import Callable
 
 import numpy as np
@@ -45,13 +46,17 @@ class CountTree:
 
     def __init__(self, text: str, counts_of: Callable[[list[str]], list[int]]):
         self._counts_of = counts_of
-        self._leaves = cut(text)
-        n = len(self._leaves)
-        self._width = 1 << max(0, n - 1).bit_length()
-        self._chars = self._sums([len(p) for p in self._leaves])
-        self._tokens = self._sums(counts_of(self._leaves))
+        leaves = cut(text)
+        self._plant(leaves, counts_of(leaves))
         self.reencoded_chars = 0
 
+    def _plant(self, leaves: list[str], counts: list[int]) -> None:
+        """A new tree over these leaves and their counts; nothing is encoded."""
+        self._leaves = leaves
+        self._width = 1 << max(0, len(leaves) - 1).bit_length()
+        self._chars = self._sums([len(p) for p in leaves])
+        self._tokens = self._sums(counts)
+
     def _sums(self, values: list[int]) -> np.ndarray:
         tree = np.zeros(2 * self._width, dtype=np.int64)
         tree[self._width : self._width + len(values)] = values
@@ -83,21 +88,18 @@ class CountTree:
                 node += 1
         return node - self._width, first
 
-    def _neighbour(self, leaf: int, step: int) -> int | None:
-        """The next leaf with text in a direction."""
-        leaf += step
-        while 0 <= leaf < len(self._leaves):
-            if self._leaves[leaf]:
-                return leaf
-            leaf += step
-        return None
+    def _with_text(self, low: int, high: int) -> tuple[list[str], list[int]]:
+        """The leaves of a range that are not empty, and their counts."""
+        held = [i for i in range(low, high) if self._leaves[i]]
+        return [self._leaves[i] for i in held], self._tokens[[self._width + i for i in held]].tolist()
 
     def replace(self, start: int, length: int, new: str) -> None:
         """Put ``new`` in place of ``length`` characters from ``start``; places beyond the text are its end."""
         start = min(max(start, 0), self.n_chars)
         length = min(max(length, 0), self.n_chars - start)
         if not self._leaves:
-            self.__init__(new, self._counts_of)
+            leaves = cut(new)
+            self._plant(leaves, self._counts_of(leaves))
             self.reencoded_chars += len(new)
             return
         if not length and not new:
@@ -108,24 +110,45 @@ class CountTree:
         )
         tail = self._leaves[right][start + length - right_first :]
         region = self._leaves[left][: start - first] + new + tail
-        # Boundary context: a cut stands only between a visible character and white space that opens a piece.
-        while (before := self._neighbour(left, -1)) is not None and not _is_cut(self._leaves[before], region):
-            left, region = before, self._leaves[before] + region
-        while (after := self._neighbour(right, 1)) is not None and not _is_cut(region, self._leaves[after]):
-            right, region = after, region + self._leaves[after]
+        # Boundary context: a cut stands only between a visible character and white space that opens a piece. The next
+        # leaf with text is found by the sums, however many empty ones lie between.
+        end = right_first + len(self._leaves[right])
+        while first > 0:
+            before, before_first = self._leaf_at(first - 1)
+            if _is_cut(self._leaves[before], region):
+                break
+            left, first, region = before, before_first, self._leaves[before] + region
+        while end < self.n_chars:
+            after, _ = self._leaf_at(end)
+            if _is_cut(region, self._leaves[after]):
+                break
+            right, end, region = after, end + len(self._leaves[after]), region + self._leaves[after]
         self._put(left, right, region)
 
     def _put(self, left: int, right: int, region: str) -> None:
-        """Give leaves ``left`` to ``right`` the pieces of ``region``; what is too much stays in the last."""
+        """Give leaves ``left`` to ``right`` the pieces of ``region``.
+
+        Where these are too many, the leaves around are dealt anew among their places, if some are empty; otherwise the tree
+        is planted again with every ninth leaf empty. Nothing beside the region is encoded for that.
+        """
         pieces = cut(region)
-        counts = self._counts_of(pieces)
+        counts = list(self._counts_of(pieces))
         self.reencoded_chars += len(region)
+        if len(pieces) > right - left + 1:
+            low, high = max(0, left - _AROUND), min(len(self._leaves), right + 1 + _AROUND)
+            fits = self._with_text(low, left), self._with_text(right + 1, high)
+            if len(fits[0][0]) + len(pieces) + len(fits[1][0]) > high - low:
+                low, high = 0, len(self._leaves)
+                fits = self._with_text(low, left), self._with_text(right + 1, high)
+            pieces, counts = ([*before, *own, *after] for before, own, after in zip(fits[0], (pieces, counts), fits[1], strict=True))
+            if len(pieces) > high - low or high - low == len(self._leaves):
+                self._plant(*_spread(pieces, counts, len(pieces) + len(pieces) // 8 + 8))
+                return
+            pieces, counts = _spread(pieces, counts, high - low)
+            left, right = low, high - 1
         slots = right - left + 1
-        if len(pieces) > slots:
-            pieces[slots - 1 :] = ["".join(pieces[slots - 1 :])]
-            counts = [*counts[: slots - 1], sum(counts[slots - 1 :])]
         pieces += [""] * (slots - len(pieces))
-        counts = [*counts, *[0] * (slots - len(counts))]
+        counts += [0] * (slots - len(counts))
         self._leaves[left : right + 1] = pieces
         low, high = left + self._width, right + self._width
         self._chars[low : high + 1] = [len(p) for p in pieces]
@@ -136,6 +159,18 @@ class CountTree:
                 tree[low : high + 1] = tree[2 * low : 2 * high + 2 : 2] + tree[2 * low + 1 : 2 * high + 2 : 2]
 
 
+# Leaves on either side among which new ones may find a place.
+_AROUND = 64
+
+
+def _spread(leaves: list[str], counts: list[int], slots: int) -> tuple[list[str], list[int]]:
+    """Leaves dealt evenly over so many places, empty ones between."""
+    spread, sums = [""] * slots, [0] * slots
+    for i, (leaf, count) in enumerate(zip(leaves, counts, strict=True)):
+        spread[i * slots // len(leaves)], sums[i * slots // len(leaves)] = leaf, count
+    return spread, sums
+
+
 def _is_cut(left: str, right: str) -> bool:
     return bool(left) and bool(right) and not left[-1].isspace() and right[0] in " \n"
 
@@ -209,12 +244,17 @@ def scrub_edits(text: Column) -> Column:
     @F.pandas_udf(EDITS)
     def found(texts: pd.Series) -> pd.Series:
         def edits(body: str | None) -> list | None:
-            spans: list[tuple[int, int, str]] = []
+            starts: list[int] = []  # of the spans so far, which lie apart, in order
+            spans: dict[int, tuple[int, str]] = {}
             for rule, new in rules:
                 for m in rule.finditer(body or ""):
-                    if all(m.end() <= s or m.start() >= s + n for s, n, _ in spans):
-                        spans.append((m.start(), m.end() - m.start(), new))
-            return [{"start": s, "length": n, "replacement": r} for s, n, r in sorted(spans, reverse=True)] or None
+                    start, end = m.span()
+                    at = bisect_left(starts, end)
+                    if at and starts[at - 1] + spans[starts[at - 1]][0] > start:
+                        continue
+                    starts.insert(at, start)
+                    spans[start] = end - start, new
+            return [{"start": s, "length": spans[s][0], "replacement": spans[s][1]} for s in reversed(starts)] or None
 
         return pd.Series([edits(body) for body in texts], dtype=object)
 

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from seasonline.llm.alignment import Aligner, align_tokenizers, coalesce, overlaps, pair_counts
 from seasonline.llm.queries import PIECES, QUERIES, TOKENIZER
-from tests.llm.fixtures import documents
+from fixtures import documents
 
 MEASURES = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 

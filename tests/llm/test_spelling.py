@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from seasonline.llm.queries import slipped
 from seasonline.llm.spelling import lower_ascii, near_counts, near_pairs, spelling_variants, word_counts
-from tests.llm.fixtures import documents
+from fixtures import documents
 
 
 def one_edit_apart(a, b):

@@ -2,6 +2,7 @@
 
 import base64
 import random
+import time
 import zlib
 from hashlib import sha256
 
@@ -164,3 +165,51 @@ def test_token_files_of_nothing_and_of_wide_ids(spark, tmp_path):
     with_end = read_documents(spark, str(tmp_path / "wide")).agg(F.sum("n_tokens")).first()[0]
     tokenizer = Tokenizer.from_file(JSON)
     assert with_end == sum(len(tokenizer.encode(r["text"] or "", add_special_tokens=False).ids) for r in docs.collect())
+
+
+def _words_counted(pieces):
+    return [len(p) for p in pieces]
+
+
+def test_many_insertions_reencode_little():
+    """Three thousand appends of two characters, and as many insertions in the middle, against the plain text."""
+    for place in (lambda n: n, lambda n: n // 2, lambda n: 0):
+        tree, text = CountTree("a short text.", _words_counted), "a short text."
+        for i in range(3000):
+            new, at = (" a" if i % 3 else "b "), place(len(text))
+            tree.replace(at, 0, new)
+            text = text[:at] + new + text[at:]
+        assert tree.text == text and tree.n_tokens == tree.n_chars == len(text)
+        assert tree.reencoded_chars < 100_000
+
+
+def test_edits_at_random_against_the_plain_text():
+    draw = random.Random(12)
+    for _ in range(40):
+        text = "".join(draw.choice(["a", "b ", " c", "\n", ". ", "dd"]) for _ in range(draw.randint(0, 60)))
+        tree = CountTree(text, _words_counted)
+        for _ in range(120):
+            start, length = draw.randint(0, len(text) + 2), draw.choice([0, 0, 1, 3, 30, 10_000])
+            new = "".join(draw.choice(["x", " ", "\n", "yy", "zz zz"]) for _ in range(draw.choice([0, 1, 4, 40])))
+            tree.replace(start, length, new)
+            start = min(start, len(text))
+            text = text[:start] + new + text[start + length :]
+            assert tree.text == text and tree.n_tokens == tree.n_chars == len(text)
+
+
+def test_empty_leaves_are_skipped_by_the_sums():
+    """One deletion leaves a hundred thousand empty leaves; edits beside them stay quick."""
+    tree = CountTree("word " * 100_000 + "end", _words_counted)
+    tree.replace(10, 499_980, "")
+    started = time.perf_counter()
+    for _ in range(2000):
+        tree.replace(tree.n_chars // 2, 0, "x")
+        tree.replace(tree.n_chars // 2, 1, "")
+    assert time.perf_counter() - started < 5
+
+
+def test_very_many_matches_take_linear_time(spark):
+    text = " ".join(f"user{i}@mail.example.org" for i in range(100_000))
+    started = time.perf_counter()
+    row = spark.createDataFrame([(text,)], "text string").select(F.size(scrub_edits(F.col("text"))).alias("n")).first()
+    assert row["n"] == 100_000 and time.perf_counter() - started < 20
