@@ -5,6 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from seasonline.operators.regression import (
+    HIDDEN_UNITS,
+    PENALTY,
+    RUNS,
     _placed,
     fit_relu_runs,
     fit_ridge,
@@ -184,3 +187,30 @@ def test_summary_over_runs(spark):
     df = spark.createDataFrame([("a", 0, 1.0), ("a", 1, 3.0), ("b", 0, 5.0)], "p string, run int, prediction double")
     got = {r["p"]: tuple(r)[1:] for r in score_summary(df, ["p"]).collect()}
     assert got["a"] == (2.0, pytest.approx(2**0.5), 2) and got["b"] == (5.0, None, 1)
+
+
+def test_default_runs_over_the_whole_table(spark, sf_dir):
+    """All 26 runs of 100 units of every position, each solved directly with NumPy."""
+    from seasonline.plans import queries
+
+    train, coming = (df.toPandas() for df in queries._train_and_coming(spark, sf_dir))
+    features = list(queries.FEATURES)
+    want = {}
+    for pos, rows in coming.groupby("pos"):
+        known = train[train["pos"] == pos]
+        if not len(known):
+            want.update({(pos, name, run): None for name in rows["name"] for run in range(RUNS)})
+            continue
+        x, y = known[features].to_numpy(float), known["a"].to_numpy(float)
+        mean, std = x.mean(axis=0), x.std(axis=0)
+        std[std == 0] = 1.0
+        inputs = (rows[features].to_numpy(float) - mean) / std
+        for run in range(RUNS):
+            _, w = direct_relu((x - mean) / std, y, run, HIDDEN_UNITS, PENALTY)
+            weights, bias = hidden_layer(run, len(features), HIDDEN_UNITS)
+            scores = np.hstack([np.ones((len(inputs), 1)), np.maximum(inputs @ weights + bias, 0)]) @ w
+            want.update({(pos, name, run): s for name, s in zip(rows["name"], scores, strict=True)})
+    got = {(r["pos"], r["player"], r["run"]): r["score"] for r in queries.relu_run_scores(spark, sf_dir).collect()}
+    assert got.keys() == want.keys() and len(got) > 1000
+    assert all((got[k] is None) == (want[k] is None) for k in want)
+    assert all(got[k] == pytest.approx(want[k], abs=0.02, rel=1e-6) for k in want if want[k] is not None)
