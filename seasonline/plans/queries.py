@@ -72,8 +72,8 @@ from seasonline.sources.lines import (
     union_lines,
 )
 from seasonline.sources.pages import kind_of, query_value, read_pages
-from seasonline.sources.sinks import write_grid, write_master, write_scores, write_season_text, write_seasons
-from seasonline.streaming.pages import latest_loads, load_history, load_new_pages, stream_pages
+from seasonline.sources.sinks import read_or_empty, write_grid, write_master, write_scores, write_season_text, write_seasons
+from seasonline.streaming.pages import LOAD, latest_loads, load_history, load_new_pages, stream_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -344,10 +344,13 @@ def url_facets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same facets, loaded by a stream that reads each page file once."""
     root = scratch_path(spark, "loads")
-    pages = stream_pages(spark, sf_dir, "page_id bigint, url string", files="pages.parquet")
+    # A stream reads a folder or a pattern, but no single file; the pattern fits a table of either kind.
+    pages = stream_pages(spark, f"{sf_dir}/pages.parque[t]", "page_id bigint, url string")
     load_new_pages(pages, _facets, f"{root}/lines", f"{root}/progress", page_keys=["page_id"], loads=f"{root}/loads")
-    loads = spark.read.parquet(f"{root}/loads")
-    return latest_loads(spark.read.parquet(f"{root}/lines"), ["page_id"], loads).drop("load_id")
+    # Where no page has come in, nothing is written.
+    lines = _facets(spark.createDataFrame([], "page_id bigint, url string")).withColumn(LOAD, F.lit(0))
+    loads = read_or_empty(spark, f"{root}/loads", lines.select("page_id", LOAD).schema)
+    return latest_loads(read_or_empty(spark, f"{root}/lines", lines.schema), ["page_id"], loads).drop(LOAD)
 
 
 def page_cells(spark: SparkSession, sf_dir: str) -> DataFrame:

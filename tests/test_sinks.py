@@ -1,11 +1,13 @@
 import os
 
+import pytest
 from conftest import rows
 from pages import TE_ACTUAL, TE_ROWS, table
 from pyspark.sql import functions as F
 
 from seasonline.plans import history
 from seasonline.plans.history import build_history, build_scoring_season, history_quality, read_history, read_quarantine
+from seasonline.plans.queries import incremental_pages, url_facets
 from seasonline.sources.lines import from_comma_text, read_stat_lines
 from seasonline.sources.sinks import write_grid, write_master, write_scores, write_season_text, write_seasons
 from seasonline.streaming.pages import latest_loads, load_history, load_new_pages, stream_pages
@@ -289,3 +291,18 @@ def test_scoring_season_keeps_what_does_not_fit(spark, tmp_path):
     assert spark.read.parquet(path).where("Name is null").count() == 0
     assert rows(spark.read.parquet(f"{path}/_quarantine/records").select("page", "raw")) == [(7, "Zed,SD,2015.0,5.0")]
     assert rows(spark.read.parquet(f"{path}/_quarantine/pages").select("page_id", "reason")) == [(7, "no table"), (8, "unknown page")]
+
+
+@pytest.mark.parametrize("kind", ["file", "folder", "empty"])
+def test_page_facets_come_from_a_file_or_a_folder(spark, tmp_path, kind):
+    """A table may be one file or a folder of parts, and may hold no row."""
+    pages = [(i, f"http://h{i}.example/en/item/{i}?page={i}&ref=r", "<p>") for i in range(20 * (kind != "empty"))]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    if kind == "file":
+        df.coalesce(1).write.parquet(f"{tmp_path}/parts")
+        next((tmp_path / "parts").glob("*.parquet")).rename(tmp_path / "pages.parquet")
+    else:
+        df.repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
+    found = incremental_pages(spark, str(tmp_path))
+    assert rows(found) == rows(url_facets(spark, str(tmp_path))) and found.count() == len(pages)
+    assert found.dtypes == url_facets(spark, str(tmp_path)).dtypes
