@@ -29,19 +29,16 @@ from seasonline.session import staged
 class SearchPlan:
     """How a search is done.
 
-    Lines for each dimension, and share of a band that may pass the sorted lines: in tables of ``few_rows`` at most, and the
-    least of both in larger ones; lines with a sorted array; collisions wanted as a share of the lines; growth of the windows;
-    share of a band to verify, and how many times ``k`` rows at least; factor between the norms of a band; rows of a block, and
-    places on lines that it may hold (more dimensions, fewer rows).
+    Lines for each dimension, and share of a band that may pass the sorted lines; lines with a sorted array; collisions wanted
+    as a share of the lines; growth of the windows; share of a band to verify, and how many times ``k`` rows at least; factor
+    between the norms of a band; rows of a block, and places on lines that it may hold (more dimensions, fewer rows).
 
-    The more dimensions, the less the distances of even vectors differ, and the more lines it takes to tell them apart; the
-    more rows, the nearer are the nearest, and the fewer it takes.
+    The more dimensions, the less the distances of even vectors differ, and the more lines it takes to tell them apart. The
+    number of rows plays no part: a table of any size is searched in the same way.
     """
 
     lines_per_dimension: float = 4.0
-    least_per_dimension: float = 2.0
-    least_passing: float = 0.32
-    few_rows: int = 4096
+    share_passing: float = 0.8
     sorted_lines: int = 48
     collisions: float = 0.75
     growth: float = 1.03
@@ -52,18 +49,14 @@ class SearchPlan:
     block_places: int = 4_000_000
     seed: int = 7
 
-    def care(self, rows: int) -> float:
-        """1 for tables of few rows, falling with the square root of their number."""
-        return min(1.0, (self.few_rows / max(1, rows)) ** 0.5)
+    def lines(self, dimensions: int, rows: int | None = None) -> int:
+        """The same for any number of ``rows``; the lines after the sorted ones fill whole words of 64 bits."""
+        return self.sorted_lines + 64 * max(1, round((self.lines_per_dimension * dimensions - self.sorted_lines) / 64))
 
-    def lines(self, dimensions: int, rows: int) -> int:
-        """Of a table of so many rows; the lines after the sorted ones fill whole words of 64 bits."""
-        each = max(self.least_per_dimension, self.lines_per_dimension * self.care(rows))
-        return self.sorted_lines + 64 * max(1, round((each * dimensions - self.sorted_lines) / 64))
-
-    def passing(self, dimensions: int, rows: int) -> float:
-        """Few sorted lines say little about vectors of many dimensions, so more of these pass."""
-        return min(1.0, max(self.least_passing, self.care(rows)) * max(1.0, dimensions / 64) ** 0.5)
+    def passing(self, dimensions: int, rows: int | None = None) -> float:
+        """The same for any number of ``rows``. Few sorted lines say little about vectors of many dimensions, so more of
+        these pass."""
+        return min(1.0, self.share_passing * max(1.0, dimensions / 64) ** 0.5)
 
     def rows(self, lines: int) -> int:
         return max(256, min(self.block_rows, self.block_places // lines))
@@ -106,7 +99,10 @@ class Band:
         # Windows start about as wide as the narrowest that some of the band's own vectors need.
         centres = units[:: max(1, n // 16)][:16] @ self.lines[:-1]
         self.start = self._needed(places[:, :first], centres[:, :first], self.thresholds[0], self.passing)
-        self.further_start = self._needed(places[:, first:], centres[:, first:], self.thresholds[1], self.wanted) * _STEPS
+        self.widths = [self._needed(places[:, first:], centres[:, first:], self.thresholds[1], self.wanted) * _STEPS]
+        while self.widths[-1] <= 32_000:
+            self.widths.append(self.widths[-1] * plan.growth + 1)
+        self.at = 0
         places = places[:, :first].T
         self.order = np.argsort(places, axis=1, kind="stable")
         self.places = np.take_along_axis(places, self.order, axis=1)
@@ -155,22 +151,37 @@ class Band:
             counts += np.bincount(np.concatenate(added), minlength=n)
 
     def _colliding(self, centre: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Of these rows those that collide on enough of the further lines, at the first width that gives enough."""
-        apart, width = np.abs(self.further[rows] - centre), self.further_start
-        while True:
-            inside = np.packbits(apart <= min(32_000, int(width)), axis=1).view(np.uint64)
+        """Of these rows those that collide on enough of the further lines, at the first width that gives enough.
+
+        The wider, the more: so the width is looked for from where the last query found its own, up or down.
+        """
+        apart = np.abs(self.further[rows] - centre)
+
+        def within(at: int) -> tuple[np.ndarray, bool]:
+            inside = np.packbits(apart <= min(32_000, int(self.widths[at])), axis=1).view(np.uint64)
             found = np.bitwise_count(inside).sum(axis=1, dtype=np.int64) >= self.thresholds[1]
-            if np.count_nonzero(found) >= self.wanted or width > 32_000:
+            return found, np.count_nonzero(found) >= self.wanted or at == len(self.widths) - 1
+
+        found, enough = within(self.at)
+        while not enough:
+            self.at += 1
+            found, enough = within(self.at)
+            if enough:
                 return rows[found]
-            width = width * self.plan.growth + 1
+        while self.at:
+            fewer, enough = within(self.at - 1)
+            if not enough:
+                break
+            self.at, found = self.at - 1, fewer
+        return rows[found]
 
 
 class Block:
-    """A bounded number of vectors of a table of ``rows``, in bands by falling norm. ``verified`` counts the products
+    """A bounded number of vectors of a table, in bands by falling norm; the table's number of ``rows`` plays no part. ``verified`` counts the products
     worked out."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, plan: SearchPlan, rows: int, k: int):
-        lines, passing = plan.lines(vectors.shape[1], rows), plan.passing(vectors.shape[1], rows)
+        lines, passing = plan.lines(vectors.shape[1]), plan.passing(vectors.shape[1])
         by_id = np.argsort(ids, kind="stable")
         ids, vectors = ids[by_id], vectors[by_id]
         units, logs = _units(vectors)

@@ -444,3 +444,23 @@ def test_vectors_that_take_no_part_and_ties(spark):
     assert nearest_vectors(frame.limit(0), F.col("vec_id") % 20 == 0).columns == ["query_id", "rank", "vec_id", "score"]
     assert nearest_vectors(frame.where("vec_id = 140"), F.col("vec_id") % 20 == 0).count() == 0
     assert nearest_vectors(frame.where("vec_id = 40"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_the_number_of_rows_does_not_change_the_search():
+    """A block gives the same neighbours whether its table is small or large."""
+    plan, draw = SearchPlan(), np.random.default_rng(10)
+    assert plan.lines(64, 100) == plan.lines(64, 10**7) and plan.passing(64, 100) == plan.passing(64, 10**7)
+    vectors, ids = draw.normal(size=(1500, 64)), np.arange(1500)
+    found = [[(n, i.tolist()) for n, i, _ in Block(ids, vectors, plan, rows, 20).nearest(ids[::50], vectors[::50])] for rows in (1500, 10**6)]
+    assert found[0] == found[1]
+
+
+def test_windows_do_not_depend_on_the_query_before():
+    draw = np.random.default_rng(11)
+    vectors, ids = draw.normal(size=(1500, 64)), np.arange(1500)
+
+    def found(order):
+        return {n: i.tolist() for n, i, _ in Block(ids, vectors, SearchPlan(), 1500, 20).nearest(ids[order], vectors[order])}
+
+    order = np.arange(0, 1500, 30)
+    assert found(order) == found(order[::-1]) == {q: i for o in order for q, i in found(order[order == o]).items()}
