@@ -22,7 +22,8 @@ _COMMENT_OR_CODE = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</styl
 _REST = r"""[^>"']*+(?:"[^"]*"[^>"']*+|'[^']*'[^>"']*+)*+"""
 _BEFORE = r"""[^>"']*?(?:"[^"]*"[^>"']*?|'[^']*'[^>"']*?)*?"""
 _TAG = rf"(?s)</?[a-zA-Z]{_REST}>"
-_TOKEN = r"(?s)&#[xX][0-9a-fA-F]+;?|&#[0-9]+;?|&[a-zA-Z][a-zA-Z0-9]*;?|[^&]+|&"
+_REFERENCE = "&#[xX][0-9a-fA-F]+;?|&#[0-9]+;?|&[a-zA-Z][a-zA-Z0-9]*;?"
+_TOKEN = rf"(?s){_REFERENCE}|[^&]+|&"
 
 
 def visible(html: Column) -> Column:
@@ -40,7 +41,7 @@ def _with_class(value: str) -> str:
     """As :func:`_attribute` for one name in a list of classes."""
     v = re.escape(value)
     return (
-        rf"(?={_BEFORE}\sclass\s*=\s*(?:\"(?:[^\">]*\s)?{v}(?:\s[^\">]*)?\"|'(?:[^'>]*\s)?{v}(?:\s[^'>]*)?'|{v}(?=[\s>])))"
+        rf"(?={_BEFORE}\sclass\s*=\s*(?:\"(?:[^\">]*\s)??{v}(?:\s[^\">]*)?\"|'(?:[^'>]*\s)??{v}(?:\s[^'>]*)?'|{v}(?=[\s>])))"
     )
 
 
@@ -108,6 +109,11 @@ def first_element(html: Column, tag: str, attributes: Mapping[str, str] | None =
     return F.when(html.rlike(wanted), bind(F.split(html, rf"(?i)(?=</?{tag}\b)"), element))
 
 
+def up_to(tags: str) -> str:
+    """Pattern of the text up to the next start or end tag of the given names, or to the end of the page."""
+    return rf"[^<]*+(?:<(?!/?{tags}\b)[^<]*+)*+"
+
+
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once."""
     return F.element_at(F.transform(F.array(value), lambda v: use(v)), 1)
@@ -121,56 +127,78 @@ def cell_bodies(html: Column, tag: str = "td", attributes: Mapping[str, str] | N
     name = tag if "|" not in tag else f"(?:{tag})"
     start = start_tag_pattern(name, attributes)
     if tag in ("td", "th", "td|th"):
-        flat = start + r"(.*?)(?=</?(?:t[dhr]|table|tbody|thead|tfoot)\b|\z)"
-        found = F.regexp_extract_all(html, F.lit(flat), F.lit(1))
-        # Only where a wanted cell holds a table is the walk through the levels needed.
-        holds = start + r"[^<]*+(?:<(?!/?(?:t[dhr]|table|tbody|thead|tfoot)\b)[^<]*+)*+<table\b"
-        found = F.when(html.rlike(holds), _nested_bodies(html, start)).otherwise(found)
+        body = up_to("(?:t[dhr]|table|tbody|thead|tfoot)")
+        found = F.regexp_extract_all(html, F.lit(rf"{start}({body}(?:<table\b)?)"), F.lit(1))
+        # The match of a cell that holds a table ends in that table's tag, and no other does. Only then is the walk
+        # through the levels needed.
+        found = bind(
+            found,
+            lambda cells: F.when(
+                F.exists(cells, lambda c: F.lower(F.substring(c, -6, 6)) == "<table"), _nested_bodies(html, start)
+            ).otherwise(cells),
+        )
     else:
-        found = F.regexp_extract_all(html, F.lit(rf"{start}(.*?)(?=</?{tag}\b|\z)"), F.lit(1))
+        found = F.regexp_extract_all(html, F.lit(f"{start}({up_to(f'(?:{tag})')})"), F.lit(1))
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
 def _nested_bodies(html: Column, start: str) -> Column:
-    """Cell bodies where tables hold tables: a cell ends at the next tag of its own table's level."""
-
-    def level_before(levels: Column, piece: Column) -> Column:
-        """Appends how many tables are open before the next piece."""
-        now = F.element_at(levels, -1)
-        step = F.when(piece.rlike(r"(?i)^<table\b"), 1).when(piece.rlike(r"(?i)^</table\b"), -1).otherwise(0)
-        return F.concat(levels, F.array(F.greatest(now + step, F.lit(0))))
-
-    def ends(pieces: Column, levels: Column) -> Column:
-        """For each piece the next one of its level that opens no table; one past the page if none."""
-        last = F.size(pieces)
-        start_state = F.struct(
-            F.array_repeat(last + 1, F.array_max(levels) + 1).alias("next"), F.array().cast("array<int>").alias("ends")
-        )
+    """Cell bodies where tables hold tables: a cell ends at the next tag of its own table's level that opens no table.
 
-        def step(s: Column, at: Column) -> Column:
-            """From the last piece to the first, with the next piece of every level."""
-            level = F.element_at(levels, at)
-            opens = F.element_at(pieces, at).rlike(r"(?i)^<table\b")
-            return F.struct(
-                F.transform(s["next"], lambda known, i: F.when((i == level) & ~opens, at).otherwise(known)).alias("next"),
-                F.concat(F.array(F.get(s["next"], level)), s["ends"]).alias("ends"),
+    The page is cut before every tag of a table. Only start and end tags of tables change the level, so only over these
+    the levels are added up; the pieces are then sorted by level, where the one after a cell is the one that ends it.
+    """
+    opens, closes = r"(?i)^<table\b", r"(?i)^</table\b"
+
+    def level_before(levels: Column, stretch: Column) -> Column:
+        """Appends how many tables are open after the tag that a stretch begins with."""
+        step = F.when(stretch.rlike(opens), 1).when(stretch.rlike(closes), -1).otherwise(0)
+        return F.concat(levels, F.array(F.greatest(F.element_at(levels, -1) + step, F.lit(0))))
+
+    def pieces(stretches: Column, levels: Column) -> Column:
+        """Every piece with its level; the first of a stretch is the one that may open or close a table."""
+
+        def cut(stretch: Column, k: Column) -> Column:
+            return F.transform(
+                F.split(stretch, r"(?i)(?=</?(?:t[dhr]|tbody|thead|tfoot)\b)"),
+                lambda piece, j: F.struct(
+                    F.get(levels, k + F.when(j > 0, 1).otherwise(0)).alias("level"),
+                    ((j == 0) & piece.rlike(opens)).alias("opens"),
+                    piece.rlike("^" + start).alias("wanted"),
+                    piece.alias("text"),
+                ),
             )
 
-        return F.aggregate(F.reverse(F.sequence(F.lit(1), last)), start_state, step, lambda s: s["ends"])
+        return F.flatten(F.transform(stretches, cut))
 
-    def bodies(pieces: Column, ends: Column) -> Column:
-        cells = F.filter(F.sequence(F.lit(1), F.size(pieces)), lambda i: F.element_at(pieces, i).rlike("^" + start))
-        return F.transform(
-            cells,
-            lambda i: F.regexp_replace(F.array_join(F.slice(pieces, i, F.element_at(ends, i) - i), ""), "^" + start, ""),
+    def bodies(pieces: Column) -> Column:
+        texts = F.transform(pieces, lambda p: p["text"])
+        placed = F.transform(
+            pieces, lambda p, i: F.struct(p["level"].alias("level"), (i + 1).alias("at"), p["opens"].alias("opens"), p["wanted"].alias("wanted"))
+        )
+        ending = F.sort_array(F.filter(placed, lambda p: ~p["opens"]))
+        past = F.size(pieces) + 1
+        spans = F.zip_with(
+            ending,
+            F.slice(ending, F.lit(2), F.size(ending)),
+            lambda p, after: F.when(
+                p["wanted"],
+                F.struct(p["at"].alias("at"), F.when(after["level"] == p["level"], after["at"]).otherwise(past).alias("end")),
+            ),
+        )
+        cells = F.sort_array(F.filter(spans, lambda c: c.isNotNull()))
+        return bind(
+            texts,
+            lambda texts: F.transform(
+                cells, lambda c: F.regexp_replace(F.array_join(F.slice(texts, c["at"], c["end"] - c["at"]), ""), "^" + start, "")
+            ),
         )
 
-    cut = F.split(html, r"(?i)(?=</?(?:t[dhr]|table|tbody|thead|tfoot)\b)")
     return bind(
-        cut,
-        lambda pieces: bind(
-            F.aggregate(pieces, F.array(F.lit(0)), level_before),
-            lambda levels: bind(ends(pieces, levels), lambda found: bodies(pieces, found)),
+        F.split(html, r"(?i)(?=</?table\b)"),
+        lambda stretches: bind(
+            F.aggregate(stretches, F.array(F.lit(0)), level_before),
+            lambda levels: bind(pieces(stretches, levels), bodies),
         ),
     )
 
@@ -180,14 +208,13 @@ def cell_texts(bodies: Column) -> Column:
 
     Only spaces are trimmed: a no-break space or a line end stays.
     """
-    texts = F.transform(plain_texts(bodies), lambda t: F.trim(t))
-    return F.transform(texts, lambda t: F.replace(t, F.lit(","), F.lit("")))
+    return F.transform(plain_texts(bodies), lambda t: F.replace(F.trim(t), F.lit(","), F.lit("")))
 
 
 def plain_texts(bodies: Column) -> Column:
-    """The texts of cells as they stand: no tags, entities decoded."""
-    bare = F.transform(bodies, lambda b: F.regexp_replace(b, _TAG, ""))
-    return F.transform(bare, decode_entities)
+    """The texts of cells as they stand: no tags, entities decoded, each different reference once for all cells."""
+    bare = F.transform(bodies, lambda b: F.when(F.contains(b, F.lit("<")), F.regexp_replace(b, _TAG, "")).otherwise(b))
+    return bind(bare, _decoded)
 
 
 def decode_entities(text: Column) -> Column:
@@ -196,9 +223,22 @@ def decode_entities(text: Column) -> Column:
     A reference may lack its semicolon where HTML allows that: a number, and the older names, of which
     the longest that fits counts.
     """
-    parts = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
-    decoded = F.array_join(F.transform(parts, _decode_token), "")
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+    return F.get(_decoded(F.array(text)), F.lit(0))
+
+
+def _decoded(texts: Column) -> Column:
+    """:func:`decode_entities` of every text."""
+    marked = F.filter(texts, lambda t: F.contains(t, F.lit("&")))
+    references = F.array_distinct(F.flatten(F.transform(marked, lambda t: F.regexp_extract_all(t, F.lit(_REFERENCE), F.lit(0)))))
+    known = F.map_from_entries(F.transform(references, lambda r: F.struct(r, _decode_token(r))))
+
+    def replaced(known: Column) -> Column:
+        def parts(text: Column) -> Column:
+            return F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), lambda p: F.coalesce(F.try_element_at(known, p), p))
+
+        return F.transform(texts, lambda t: F.when(F.contains(t, F.lit("&")), F.array_join(parts(t), "")).otherwise(t))
+
+    return F.when(F.size(marked) > 0, bind(known, replaced)).otherwise(texts)
 
 
 def _decode_token(token: Column) -> Column:
