@@ -137,8 +137,8 @@ def records_from_tables(
     return rows.withColumn("record", F.transform(named, number_or_text))
 
 
-_ROW = r"(?is)<tr\b[^>]*>(.*?)(?=</?(?:tr|table|tbody|thead|tfoot)\b|\z)"
-_CELL = r"(?is)(<t[dh]\b.*?)(?=</?t[dh]\b|\z)"
+_ROW = rf"(?is)<tr\b[^>]*>({H.up_to('(?:tr|table|tbody|thead|tfoot)')})"
+_CELL = rf"(?is)(<t[dh]\b{H.up_to('t[dh]')})"
 _SPAN = r"(?is)^<t[dh]\b[^>]*\s{}\s*=\s*[\"']?([0-9]+)"
 
 
@@ -212,7 +212,10 @@ def table_rows(pages: DataFrame, keys: Sequence[str], *, html: str = "table_html
         ),
         lambda s: s["n"],
     )
-    laid = found.select(*keys, cells.alias("_cells")).select(*keys, head.alias("_head"), F.posexplode("_cells").alias("row_no", "cells"))
+    # The head is counted before the rows part: beside an explode it would be once for every row. The outer form, as
+    # for the plain one Spark adds a filter on the cells below the projection that parses them, and so parses them again.
+    laid = found.select(*keys, cells.alias("_cells")).select(*keys, "_cells", head.alias("_head"))
+    laid = laid.select(*keys, "_head", F.posexplode_outer("_cells").alias("row_no", "cells")).where(F.col("row_no").isNotNull())
     return laid.select(*keys, "row_no", (F.col("row_no") < F.col("_head")).alias("in_head"), "cells")
 
 

@@ -227,3 +227,12 @@ def test_a_long_page_of_cells_with_tables_takes_little_time(spark):
     found = df.select(H.cell_bodies(F.col("html"), "td", {"class": "x"}).alias("b")).first()["b"]
     assert time.monotonic() - began < 60
     assert len(found) == 20_000 and found[8:11] == ["1", "<table><tr><td title='>'>b</td></tr></table>", "1"]
+
+
+def test_rows_of_a_table_are_parsed_once(spark):
+    """No filter on what was parsed stands below the projection that parses it, and the head is counted once a page."""
+    df = spark.createDataFrame([(1, "<table><tr><td>a</td></tr></table>")], "page int, table_html string")
+    plan = table_rows(df, ["page"])._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.split("\n") if "Filter" in line]
+    assert filters and not any("regexp_extract_all" in line for line in filters)
+    assert "aggregate(_cells" not in plan.split("Generate")[0]
