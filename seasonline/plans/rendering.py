@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasonline.layouts import ACTUAL, PROJECTED, Layout
@@ -72,12 +72,21 @@ def season_text(sides: DataFrame) -> DataFrame:
     return sides.select("yr", "kind", F.when(F.col("kind") == PROJECTED, F.concat_ws(",", *who, *stats)).otherwise(outcome).alias("value"))
 
 
-def _pages(rows: DataFrame, facets: list[str], head: Column, foot: str) -> DataFrame:
-    """Rows ``(facets, name, row_html)`` as one page per facet group, in name order."""
+def _pages(rows: DataFrame, facets: list[str], head: Column, foot: str, short: Column | None = None) -> DataFrame:
+    """Rows ``(facets, name, row_html)`` as one page per facet group, in name order.
+
+    Of pages that are ``short`` the rows of the last name end with their second cell.
+    """
     ordered = F.array_sort(F.collect_list(F.struct("name", "row_html")))
-    body = F.array_join(F.transform(ordered, lambda r: r["row_html"]), "\n")
-    return rows.groupBy(*facets).agg(body.alias("_body")).select(
-        *facets, F.concat(head, F.col("_body"), F.lit(foot)).alias("html")
+
+    def shown(r: Column) -> Column:
+        last = F.element_at("_rows", -1)["name"]
+        # The text up to the second cell's end; the rest of the page then holds no further cell.
+        cut = F.regexp_replace(r["row_html"], r"(?s)(<a .*?</a></td>).*", "$1</tr>")
+        return r["row_html"] if short is None else F.when(short & r["name"].eqNullSafe(last), cut).otherwise(r["row_html"])
+
+    return rows.groupBy(*facets).agg(ordered.alias("_rows")).select(
+        *facets, F.concat(head, F.array_join(F.transform("_rows", shown), "\n"), F.lit(foot)).alias("html")
     )
 
 
@@ -90,8 +99,8 @@ def stat_pages(sides: DataFrame, *, last_is_short: Column | None = None) -> Data
 
     The data table stands inside another table, with no-break-space cells, links, entities with and
     without semicolon, on every fifth page a team's name in a table of its own with a ">" in an
-    attribute, thousands commas and, for outcomes, the rank before the name. Where ``last_is_short`` holds, the last record of a page lacks its
-    last cells.
+    attribute, thousands commas and, for outcomes, the rank before the name. Where ``last_is_short`` holds of a page's
+    facets, its last record lacks its last cells.
     """
     def td(kind: str, text: Column | str) -> Column:
         mark = {PROJECTED: 'class="smallbody"', ACTUAL: "align=right class='sort1'"}[kind]
@@ -114,18 +123,14 @@ def stat_pages(sides: DataFrame, *, last_is_short: Column | None = None) -> Data
         td(ACTUAL, "1.5"), td(ACTUAL, "&#160;"), td(ACTUAL, "&#xA0;"),
     )
     row = F.concat(F.lit("<tr>"), F.when(F.col("kind") == PROJECTED, forecast).otherwise(outcome), F.lit("</tr>"))
-    short = F.lit(False) if last_is_short is None else last_is_short
-    rows = _on_pages(sides).select("yr", F.lit(PART).alias("brand"), "kind", "page", "name", row.alias("row_html"), short.alias("short"))
-    if last_is_short is not None:
-        # The text up to the second cell's end; the rest of the page then holds no further cell.
-        whole = ~F.col("short") | (F.max("name").over(Window.partitionBy("yr", "kind", "page")) > F.col("name"))
-        rows = rows.withColumn("row_html", F.when(whole, F.col("row_html")).otherwise(F.regexp_replace("row_html", r"(?s)(<a .*?</a></td>).*", "$1</tr>")))
+    rows = _on_pages(sides).select("yr", F.lit(PART).alias("brand"), "kind", "page", "name", row.alias("row_html"))
     head = F.lit(
         "<html><!-- <table width=100% cellpadding=2> --><table border=0><tr><td class=sort1>top</td><td>"
         "<table cellpadding='2' cellspacing=1 WIDTH=\"100%\">"
         "<tr><td class=\"head\"><table><tr><td>Name &amp; more</td></tr></table></td></tr>\n"
     )
-    pages = _pages(rows, ["yr", "brand", "kind", "page"], head, "</table></td></tr></table><td class=smallbody>x</td></html>")
+    foot = "</table></td></tr></table><td class=smallbody>x</td></html>"
+    pages = _pages(rows, ["yr", "brand", "kind", "page"], head, foot, last_is_short)
     return pages.withColumnRenamed("brand", "pos")
 
 

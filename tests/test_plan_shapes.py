@@ -8,6 +8,7 @@ from seasonline.operators.robust import iqr_fence, keep_within
 from seasonline.operators.scaling import zscore
 from seasonline.plans import queries as q
 from seasonline.plans import tables as t
+from seasonline.plans.rendering import both_kinds, fetched_pages
 from seasonline.session import staged
 
 PYTHON = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonMapInArrow")
@@ -97,3 +98,8 @@ def test_partial_sums_come_before_the_shuffle(spark, sf_dir):
     assert "partial_bit_or" in plan and "partial_sum" in plan
     # Parts are joined after the line items were summed.
     assert plan.index("Join") < plan.index("partial_sum")
+
+
+def test_rows_of_fetched_pages_are_shuffled_once(spark, sf_dir):
+    """The last record of a page is found among the page's rows, not by another shuffle of them."""
+    assert "Window" not in plan_of(fetched_pages(both_kinds(spark, sf_dir), 1))
