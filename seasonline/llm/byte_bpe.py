@@ -47,7 +47,7 @@ def merged(ranks: dict[bytes, int], piece: bytes, below: int = _NEVER) -> list[b
 class _Compatible(dict):
     """Whether two tokens can stand side by side, remembered for the pairs met lately."""
 
-    def __init__(self, crossed, size: int = 400_000):
+    def __init__(self, crossed, size: int = 100_000):
         super().__init__()
         self._crossed, self._size = crossed, size
 
@@ -82,8 +82,9 @@ class ByteBpe:
         self._automaton = automaton
         self._sizes = {rank: len(token) for token, rank in ranks.items()}
         self._shorter = {rank: self._next_shorter(token) for token, rank in ranks.items()}
-        self._memo = PieceMemo(self._encode_pieces)
-        self._words = PieceMemo(lambda words: [self._encode_word(w) for w in words], size=60_000)
+        # Every worker of an executor holds these, beside what stages before have left in it.
+        self._memo = PieceMemo(self._encode_pieces, size=80_000)
+        self._words = PieceMemo(lambda words: [self._encode_word(w) for w in words], size=30_000)
 
     def encode(self, text: str) -> list[int]:
         """The token ids of a text."""

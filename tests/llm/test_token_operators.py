@@ -14,7 +14,7 @@ from fixtures import CLASHES, documents
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from seasonline.llm.byte_bpe import byte_bpe, merged, round_trip_digests, with_decoded, with_token_ids
+from seasonline.llm.byte_bpe import ByteBpe, byte_bpe, merged, round_trip_digests, with_decoded, with_token_ids
 from seasonline.llm.edit_counts import EDITS, CountTree, scrub_edits, with_token_counts
 from seasonline.llm.pieces import PieceMemo, cut
 from seasonline.llm.token_files import NO_ID, open_shard, read_documents, read_manifest, write_token_files
@@ -213,3 +213,12 @@ def test_very_many_matches_take_linear_time(spark):
     started = time.perf_counter()
     row = spark.createDataFrame([(text,)], "text string").select(F.size(scrub_edits(F.col("text"))).alias("n")).first()
     assert row["n"] == 100_000 and time.perf_counter() - started < 20
+
+
+def test_what_an_encoder_remembers_is_bounded():
+    """A quarter of a million different words leave few of them, and few pairs of tokens, behind."""
+    draw, bpe = random.Random(8), ByteBpe(byte_bpe(MULTI, P.PATTERN).ranks, P.PATTERN)
+    for _ in range(25):
+        bpe.encode(" ".join("".join(draw.choices("abcdefghij", k=8)) for _ in range(10_000)))
+    assert sum(len(d) for m in (bpe._memo, bpe._words) for d in (m._young, m._old)) <= 260_000
+    assert len(bpe._fits) <= 100_000
