@@ -29,7 +29,9 @@ from pyspark.sql import types as T
 from seasonline.llm.common import free_name
 from seasonline.session import staged
 
-_END = re.compile(r"[.!?]+[\"')\]]*\s+|\n\s*")
+# Signs and what may close a quotation before white space, or a line feed. It begins with one set of signs, for which a
+# text is searched much faster than for either of two patterns.
+_END = re.compile(r"[.!?\n](?:(?<=\n)\s*|(?<!\n)[.!?]*[\"')\]]*\s+)")
 _WORD = re.compile(r"\S+")
 
 # What a place is: ``last`` of a span of sentences is its last sentence, and one of these for the others. An
@@ -67,19 +69,28 @@ class Words(NamedTuple):
 _SPACES = np.array([chr(i).isspace() for i in range(0x3002)])
 
 
+_SPACE_BYTES = bytes(_SPACES[:256])
+
+
+def _white(text: str) -> np.ndarray:
+    """Which characters of a text are white space."""
+    try:
+        return np.frombuffer(text.encode("latin-1").translate(_SPACE_BYTES), dtype=bool)
+    except UnicodeEncodeError:
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        return _SPACES[np.minimum(codes, len(_SPACES) - 1)]
+
+
 def _words(text: str) -> Words:
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    white = _SPACES[np.minimum(codes, len(_SPACES) - 1)]
-    opens = ~white
-    opens[1:] &= white[:-1]
-    total = np.zeros(len(codes) + 1, dtype=np.int64)
-    np.cumsum(opens, out=total[1:])
+    opens = ~_white(text)
+    opens[1:] &= ~opens[:-1]
     line = " ".join(text.lower().split()).encode()
+    before = np.searchsorted(np.flatnonzero(opens), _edges(text))
     if not line:
         none = np.zeros(0, dtype=np.int64)
-        return Words(line, none, none, total[_edges(text)])
+        return Words(line, none, none, before)
     blanks = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
-    return Words(line, np.concatenate([[0], blanks + 1]), np.concatenate([blanks, [len(line)]]), total[_edges(text)])
+    return Words(line, np.concatenate([[0], blanks + 1]), np.concatenate([blanks, [len(line)]]), before)
 
 
 def spans(parts: list[str], least: int, alone: int, shortest: int = 2) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -160,7 +171,8 @@ def _smallest(line: bytes, starts: np.ndarray, ends: np.ndarray, size: int) -> t
     begun = np.minimum.accumulate(blocks, axis=1).reshape(-1)
     n = len(hashes) - width + 1
     least = np.minimum(rest[:n], begun[width - 1 : width - 1 + n])
-    values = np.unique(least[np.concatenate([[True], least[1:] != least[:-1]])])
+    values = least[np.concatenate([[True], least[1:] != least[:-1]])]
+    values.sort()
     where = np.flatnonzero(values[np.minimum(np.searchsorted(values, hashes), len(values) - 1)] == hashes)
     return where, hashes[where].view(np.int64)
 
@@ -192,8 +204,11 @@ def _low_halves(least: int, alone: int, passage: int):
                 if text:
                     words = _words(text)
                     own = [_hashes(_spans(words, least, alone)[2])[:, 0], _anchors(*words[:3], passage)[1]]
-                    values, counts = np.unique(np.concatenate(own), return_counts=True)
-                    out += [values, values[counts > 1]]
+                    found = np.concatenate(own)
+                    found.sort()
+                    first = np.ones(len(found), dtype=bool)
+                    first[1:] = found[1:] != found[:-1]
+                    out += [found[first], found[1:][first[:-1] & ~first[1:]]]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out))], names=["low"])
 
@@ -204,17 +219,30 @@ _PLACES = pa.schema([(c, pa.int64()) for c in ("low", "high", "doc", "mark")] +
 _PLACE_COLUMNS = "low long, high long, doc long, mark long, first int, last int"
 
 
-def _places(columns: list[list]) -> Iterator[pa.RecordBatch]:
-    if columns[0]:
-        yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in columns], schema=_PLACES)
+class _Places:
+    """Places of documents one after the other, as batches of about so many rows."""
+
+    def __init__(self, rows: int = 1 << 17):
+        self._held: list[tuple] = []
+        self._n, self._rows = 0, rows
+
+    def add(self, doc: int | None, mark: int, low: np.ndarray, high: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
+        self._held.append((doc, mark, low, high, first, last))
+        self._n += len(low)
 
+    def full(self) -> Iterator[pa.RecordBatch]:
+        if self._n >= self._rows:
+            yield from self.rest()
 
-def _place(columns: list[list], doc: int | None, mark: int, low, high, first, last) -> None:
-    n = len(low)
-    same = pa.nulls(n, pa.int64()) if doc is None else pa.array(np.full(n, doc, dtype=np.int64))
-    places = [pa.array(np.ascontiguousarray(v, dtype=of)) for v, of in ((low, np.int64), (high, np.int64), (first, np.int32), (last, np.int32))]
-    for held, value in zip(columns, [*places[:2], same, pa.array(np.full(n, mark, dtype=np.int64)), *places[2:]], strict=True):
-        held.append(value)
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self._n:
+            docs, marks, *values = zip(*self._held, strict=True)
+            own = np.repeat(np.arange(len(docs)), [len(low) for low in values[0]])
+            low, high, first, last = (np.concatenate(v) for v in values)
+            doc, mark = pa.array(docs, pa.int64()).take(pa.array(own)), np.array(marks, dtype=np.int64)[own]
+            numbers = [pa.array(v.astype(of, copy=False)) for v, of in ((low, np.int64), (high, np.int64), (mark, np.int64), (first, np.int32), (last, np.int32))]
+            yield pa.RecordBatch.from_arrays([*numbers[:2], doc, *numbers[2:]], schema=_PLACES)
+        self._held, self._n = [], 0
 
 
 def _around(line: bytes, starts: np.ndarray, ends: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
@@ -234,23 +262,27 @@ def _located(least: int, alone: int, passage: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            columns: list[list] = [[] for _ in _PLACES]
+            places = _Places()
             for doc, mark, text in zip(ids, marks, batch.column(2).to_pylist(), strict=True):
                 if not text:
                     continue
                 words = _words(text)
                 first, last, found = _spans(words, least, alone)
                 hashes = _hashes(found)
-                _place(columns, doc, mark, hashes[:, 0], hashes[:, 1], first, last)
-                places, anchors = _anchors(*words[:3], passage)
-                if len(places):
-                    around = _around(*words[:3], places, passage)
-                    order = np.lexsort((places, around, anchors))
-                    same = (np.diff(anchors[order]) == 0) & (np.diff(around[order]) == 0) & (np.diff(places[order]) < passage)
-                    kind = np.full(len(places), _ANCHOR)
-                    kind[order[1:][same]] = _NEAR
-                    _place(columns, doc, mark, anchors, around, places, kind)
-            yield from _places(columns)
+                places.add(doc, mark, hashes[:, 0], hashes[:, 1], first, last)
+                at, anchors = _anchors(*words[:3], passage)
+                if len(at):
+                    around = _around(*words[:3], at, passage)
+                    order = np.lexsort((at, around, anchors))
+                    in_order = anchors[order], around[order], at[order]
+                    near = in_order[2][1:] - in_order[2][:-1] < passage
+                    for hashed in in_order[:2]:
+                        near &= hashed[1:] == hashed[:-1]
+                    kind = np.full(len(at), _ANCHOR)
+                    kind[order[1:][near]] = _NEAR
+                    places.add(doc, mark, anchors, around, at, kind)
+                yield from places.full()
+            yield from places.rest()
 
     return run
 
@@ -262,16 +294,17 @@ def _windows(passage: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, marks, texts = (batch.column(c).to_pylist() for c in range(3))
+            places = _Places()
             for at, (doc, mark, text) in enumerate(zip(ids, marks, texts, strict=True)):
                 line, starts, ends, _ = _words(text)
                 given = np.unique(batch.column(3)[at].values.to_numpy()).astype(np.int64)
                 first = np.unique(given[:, None] - np.arange(room + 1))
                 first = first[(first >= 0) & (first + passage <= len(starts))]
-                columns: list[list] = [[] for _ in _PLACES]
                 edges = zip(starts[first].tolist(), ends[first + passage - 1].tolist(), strict=True)
                 hashes = _hashes([line[a:z] for a, z in edges], 1)
-                _place(columns, doc, mark, hashes[:, 0], hashes[:, 1], first, np.full(len(first), _WINDOW))
-                yield from _places(columns)
+                places.add(doc, mark, hashes[:, 0], hashes[:, 1], first, np.full(len(first), _WINDOW))
+                yield from places.full()
+            yield from places.rest()
 
     return run
 

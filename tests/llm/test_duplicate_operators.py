@@ -5,6 +5,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from fixtures import CLASHES, documents, prose
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from xxhash import xxh64_intdigest
 from seasonline.llm.benchmark_leaks import RADIUS, find_leaks, simhash_of, weighted_jaccard, without_leaks, words_of
 from seasonline.llm.components import component_roots
 from seasonline.llm.simhash_near import fingerprint_of, near_groups, near_links
-from seasonline.llm.span_dedup import sentences, spans, without_repeated_spans
+from seasonline.llm.span_dedup import _located, _windows, _words, sentences, spans, without_repeated_spans
 
 
 def plain_fingerprint(text, k):
@@ -351,3 +353,28 @@ def test_main_path_is_native(spark):
     docs, items = documents(spark), spark.createDataFrame([(1, prose(3, 60))], "item_id long, text string")
     plan = find_leaks(docs, items)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan) and RADIUS == 13
+
+
+def test_sentences_and_words_by_definition():
+    draw = random.Random(12)
+    ends = re.compile(r"[.!?]+[\"')\]]*\s+|\n\s*")
+    for i in range(20_000):
+        text = "".join(draw.choice("ab.!?\"')] \n\t\x1cé" + "Łл" * (i % 2)) for _ in range(draw.randint(1, 25)))
+        edges = [0, *[m.end() for m in ends.finditer(text)]]
+        edges += [len(text)] * (edges[-1] < len(text))
+        assert sentences(text) == [text[a:b] for a, b in zip(edges, edges[1:])]
+        assert _words(text).before.tolist() == [sum(m.start() < e for m in re.finditer(r"\S+", text)) for e in edges]
+
+
+def test_places_of_many_documents_share_a_batch():
+    """A batch a document made most of the work of windows in small documents."""
+    texts = [prose(i, 200) for i in range(30)] + [None]
+    ids, marks = pa.array([*range(29), None, 30], pa.int64()), pa.array(range(31), pa.int64())
+    located = list(_located(30, 50, 50)(iter([pa.RecordBatch.from_arrays([ids, marks, pa.array(texts)], names=["d", "m", "t"])])))
+    given = pa.array([[0, 3]] * 31, pa.list_(pa.int32()))
+    few = pa.RecordBatch.from_arrays([ids, marks, pa.array(texts), given], names=["d", "m", "t", "a"]).slice(0, 30)
+    windows = list(_windows(50)(iter([few])))
+    assert len(located) == len(windows) == 1
+    assert set(located[0]["doc"].to_pylist()) == set(windows[0]["doc"].to_pylist()) == {*range(29), None}
+    one = pa.Table.from_batches(list(_located(30, 50, 50)(iter([few.slice(7, 1).select([0, 1, 2])]))))
+    assert one.equals(pa.Table.from_batches(located).filter(pc.field("doc") == 7).combine_chunks())
