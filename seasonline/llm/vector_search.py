@@ -1,10 +1,10 @@
 """Nearest neighbours by collision counting over single projections.
 
 Rows are dealt into blocks, and a block's rows into bands of like norm. A band projects its vectors onto random lines and
-keeps one sorted array a line for the first lines. A query opens a window around its own projection on each of them; where too
-few vectors lie in enough of the windows at once, all windows widen by the same factor (virtual rehashing), until the
-wanted share of the band has reached the collision threshold. What has is counted in the same way on all further lines, where it
-is too little for sorted arrays to pay. The vectors that reach the threshold there, and no others, are compared exactly.
+sorts their places on each line; a row keeps in one byte a line how far up in that order it stands. A query opens a window
+around its own projection on every line at once; where too few vectors lie in enough of the windows, all windows widen
+by the same factor (virtual rehashing), until the wanted share of the band has reached the collision threshold. The
+vectors that reach it, and no others, are compared exactly.
 
 For the inner product, a band's vectors are scaled by its largest norm and given one more coordinate that
 makes them unit vectors: then the nearest in the plane's sense have the largest product. In a band that coordinate is
@@ -29,17 +29,15 @@ from seasonline.session import staged
 class SearchPlan:
     """How a search is done.
 
-    Lines for each dimension, and share of a band that may pass the sorted lines; lines with a sorted array; collisions wanted
-    as a share of the lines; growth of the windows; share of a band to verify, and how many times ``k`` rows at least; factor
-    between the norms of a band; rows of a block, and places on lines that it may hold (more dimensions, fewer rows).
+    Lines for each dimension; collisions wanted as a share of the lines; growth of the windows; share of a band to verify, and
+    how many times ``k`` rows at least; factor between the norms of a band; rows of a block, and places on lines that it may
+    hold (more dimensions, fewer rows).
 
     The more dimensions, the less the distances of even vectors differ, and the more lines it takes to tell them apart. The
     number of rows plays no part: a table of any size is searched in the same way.
     """
 
-    lines_per_dimension: float = 4.0
-    share_passing: float = 0.8
-    sorted_lines: int = 48
+    lines_per_dimension: float = 3.75
     collisions: float = 0.75
     growth: float = 1.03
     verify: float = 0.145
@@ -50,13 +48,12 @@ class SearchPlan:
     seed: int = 7
 
     def lines(self, dimensions: int, rows: int | None = None) -> int:
-        """The same for any number of ``rows``; the lines after the sorted ones fill whole words of 64 bits."""
-        return self.sorted_lines + 64 * max(1, round((self.lines_per_dimension * dimensions - self.sorted_lines) / 64))
+        """The same for any number of ``rows``."""
+        return max(96, round(self.lines_per_dimension * dimensions))
 
     def passing(self, dimensions: int, rows: int | None = None) -> float:
-        """The same for any number of ``rows``. Few sorted lines say little about vectors of many dimensions, so more of
-        these pass."""
-        return min(1.0, self.share_passing * max(1.0, dimensions / 64) ** 0.5)
+        """The share of a band that passes the lines and is verified, the same for any number of ``rows``."""
+        return self.verify
 
     def rows(self, lines: int) -> int:
         return max(256, min(self.block_rows, self.block_places // lines))
@@ -76,104 +73,98 @@ def _units(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return shrunk / norms, (np.log(most) + np.log(norms)).ravel()
 
 
-# Places on the further lines are whole numbers, this many to one.
-_STEPS = 1000
+# A line's sorted places are told apart by so many steps of like many rows, which fit a byte.
+_STEPS = 256
+# Lines counted at once: few enough for a byte.
+_COUNTED = 120
+# Width of the narrowest windows.
+_NARROWEST = 1e-6
 
 
 class Band:
-    """Vectors of like norm with their places on every line."""
+    """Vectors of like norm with their steps on every line."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, units: np.ndarray, logs: np.ndarray, plan: SearchPlan, lines: int, passing: float, k: int):
         self.ids, self.vectors, self.plan, self.top = ids, vectors, plan, float(logs.max())
-        n, first = len(ids), plan.sorted_lines
-        self.wanted = min(n, max(plan.least_verified * k + 1, int(plan.verify * n)))
+        n = len(ids)
+        self.most = float(np.abs(vectors).max())
+        self.wanted = min(n, max(plan.least_verified * k + 1, int(passing * n)))
         if self.wanted == n:
             return
-        self.passing = max(self.wanted, int(passing * n))
         scaled = units * np.exp(logs - self.top)[:, None]
         rest = np.sqrt(np.maximum(0.0, 1.0 - (scaled * scaled).sum(axis=1)))
         self.lines = np.random.default_rng(plan.seed).standard_normal((vectors.shape[1] + 1, lines))
         places = scaled @ self.lines[:-1] + rest[:, None] * self.lines[-1]
-        self.further = self._whole(places[:, first:])
-        self.thresholds = int(np.ceil(plan.collisions * first)), int(np.ceil(plan.collisions * (lines - first)))
-        # Windows start about as wide as the narrowest that some of the band's own vectors need.
-        centres = units[:: max(1, n // 16)][:16] @ self.lines[:-1]
-        self.start = self._needed(places[:, :first], centres[:, :first], self.thresholds[0], self.passing)
-        self.widths = [self._needed(places[:, first:], centres[:, first:], self.thresholds[1], self.wanted) * _STEPS]
-        while self.widths[-1] <= 32_000:
-            self.widths.append(self.widths[-1] * plan.growth + 1)
+        self.threshold = int(np.ceil(plan.collisions * lines))
         self.at = 0
-        places = places[:, :first].T
-        self.order = np.argsort(places, axis=1, kind="stable")
-        self.places = np.take_along_axis(places, self.order, axis=1)
-
-    @staticmethod
-    def _whole(places: np.ndarray) -> np.ndarray:
-        return np.clip(np.rint(places * _STEPS), -16_000, 16_000).astype(np.int16)
-
-    @staticmethod
-    def _needed(places: np.ndarray, centres: np.ndarray, threshold: int, wanted: int) -> float:
-        needed = []
-        for centre in centres:
-            reached = np.partition(np.abs(places - centre), threshold - 1, axis=1)[:, threshold - 1]
-            needed.append(np.partition(reached, wanted - 1)[wanted - 1])
-        return float(min(needed))
+        places = np.ascontiguousarray(places.T)
+        bounds = np.sort(places, axis=1)[:, np.arange(1, _STEPS) * n // _STEPS]
+        self.steps = np.stack([np.searchsorted(b, p, "right") for b, p in zip(bounds, places, strict=True)]).astype(np.uint8)
+        # The bounds of all lines as one sorted array: each line has a stretch of its own.
+        self.far = float(np.abs(places).max()) + 1.0
+        self.offsets = np.arange(lines) * (2 * self.far + 1)
+        self.bounds = (bounds + self.offsets[:, None]).ravel()
+        self.before = np.arange(lines) * (_STEPS - 1)
 
     def candidates(self, units: np.ndarray) -> Iterator[np.ndarray]:
         """For each query, given as a unit vector, the rows that collide with it on enough lines."""
-        plan, n = self.plan, len(self.ids)
-        if self.wanted == n:
-            yield from (np.arange(n) for _ in units)
+        if self.wanted == len(self.ids):
+            yield from (np.arange(len(self.ids)) for _ in units)
             return
-        centres = units @ self.lines[:-1]
-        further = self._whole(centres[:, plan.sorted_lines :])
-        centres = centres[:, : plan.sorted_lines]
-        lows = np.stack([np.searchsorted(p, c - self.start) for p, c in zip(self.places, centres.T, strict=True)], 1)
-        highs = np.stack([np.searchsorted(p, c + self.start) for p, c in zip(self.places, centres.T, strict=True)], 1)
-        for centre, low, high, rest in zip(centres, lows.tolist(), highs.tolist(), further, strict=True):
-            yield self._colliding(rest, self._passing(centre, low, high))
-
-    def _passing(self, centre: np.ndarray, low: list[int], high: list[int]) -> np.ndarray:
-        """The rows that collide on enough of the sorted lines, at the first width that gives enough of them."""
-        n, width = len(self.ids), self.start
-        counts = np.bincount(np.concatenate([o[a:z] for o, a, z in zip(self.order, low, high, strict=True)]), minlength=n)
-        while True:
-            found = np.flatnonzero(counts >= self.thresholds[0])
-            if len(found) >= self.passing or not any(low) and min(high) == n:
-                return found
-            width *= self.plan.growth
-            # Only what the wider windows add is counted.
-            added = []
-            for i, (p, o, c) in enumerate(zip(self.places, self.order, centre.tolist(), strict=True)):
-                a, z = p.searchsorted((c - width, c + width)).tolist()
-                added += [o[a : low[i]], o[high[i] : z]]
-                low[i], high[i] = a, z
-            counts += np.bincount(np.concatenate(added), minlength=n)
-
-    def _colliding(self, centre: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Of these rows those that collide on enough of the further lines, at the first width that gives enough.
-
-        The wider, the more: so the width is looked for from where the last query found its own, up or down.
+        for centre in units @ self.lines[:-1]:
+            yield np.flatnonzero(self._colliding(centre))
+
+    def _within(self, centre: np.ndarray, at: int) -> tuple[np.ndarray, bool]:
+        """Which rows collide on enough lines after so many widenings, and whether they are as many as wanted."""
+        width = _NARROWEST * self.plan.growth**at
+        ends = np.clip(np.stack([centre - width, centre + width]), -self.far, self.far) + self.offsets
+        low = np.searchsorted(self.bounds, ends[0], "left") - self.before
+        high = np.searchsorted(self.bounds, ends[1], "right") - self.before
+        low, span = low.astype(np.uint8)[:, None], (high - low).astype(np.uint8)[:, None]
+        counts = np.zeros(len(self.ids), dtype=np.uint16)
+        for a in range(0, len(low), _COUNTED):
+            # Steps below the window wrap round to above it.
+            inside = self.steps[a : a + _COUNTED] - low[a : a + _COUNTED] <= span[a : a + _COUNTED]
+            counts += np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
+        found = counts >= self.threshold
+        return found, np.count_nonzero(found) >= self.wanted
+
+    def _colliding(self, centre: np.ndarray) -> np.ndarray:
+        """Which rows collide on enough lines, at the first width that gives enough of them.
+
+        The wider, the more: so the width is looked for from where the last query found its own, up or down, by longer and
+        longer steps and then between the last two.
         """
-        apart = np.abs(self.further[rows] - centre)
-
-        def within(at: int) -> tuple[np.ndarray, bool]:
-            inside = np.packbits(apart <= min(32_000, int(self.widths[at])), axis=1).view(np.uint64)
-            found = np.bitwise_count(inside).sum(axis=1, dtype=np.int64) >= self.thresholds[1]
-            return found, np.count_nonzero(found) >= self.wanted or at == len(self.widths) - 1
-
-        found, enough = within(self.at)
-        while not enough:
-            self.at += 1
-            found, enough = within(self.at)
+        low, high, step = -1, None, 1
+        at = self.at
+        while high is None or high - low > 1:
+            found, enough = self._within(centre, at)
             if enough:
-                return rows[found]
-        while self.at:
-            fewer, enough = within(self.at - 1)
-            if not enough:
-                break
-            self.at, found = self.at - 1, fewer
-        return rows[found]
+                high, rows = at, found
+            else:
+                low = at
+            if high is None:
+                at, step = at + step, 2 * step
+            elif low < 0 < high:
+                at, step = max(0, high - step), 2 * step
+            else:
+                at = (low + high) // 2
+        self.at = high
+        return rows
+
+
+def _largest(vectors: np.ndarray, most: float, query: np.ndarray, k: int) -> np.ndarray:
+    """Which of the vectors, with no component beyond ``most``, can be among the ``k`` of largest product, however the products
+    are rounded."""
+    if len(vectors) <= k:
+        return np.arange(len(vectors))
+    with np.errstate(over="ignore", invalid="ignore"):
+        products = np.einsum("ij,j->i", vectors, query)
+        # Twice what two ways of summing can differ by.
+        slack = 4 * len(query) * (np.finfo(float).eps * most * np.abs(query).sum() + np.finfo(float).smallest_subnormal)
+        if not np.isfinite(products).all() or not np.isfinite(slack):
+            return np.arange(len(vectors))
+        return np.flatnonzero(products >= np.partition(products, -k)[-k] - slack)
 
 
 class Block:
@@ -205,9 +196,11 @@ class Block:
             for i, rows in zip(open_rows, band.candidates(units[open_rows]), strict=True):
                 rows = rows[band.ids[rows] != names[i]]
                 self.verified += len(rows)
+                vectors = band.vectors[rows]
+                large = _largest(vectors, band.most, queries[i], self.k)
                 with np.errstate(over="ignore", invalid="ignore"):
-                    products = (band.vectors[rows] * queries[i]).sum(axis=1)
-                ids, products = np.concatenate([best[i][0], band.ids[rows]]), np.concatenate([best[i][1], products])
+                    products = (vectors[large] * queries[i]).sum(axis=1)
+                ids, products = np.concatenate([best[i][0], band.ids[rows[large]]]), np.concatenate([best[i][1], products])
                 order = np.lexsort((ids, -products))[: self.k]
                 best[i] = ids[order], products[order]
         for name, (ids, products) in zip(names.tolist(), best, strict=True):

@@ -24,7 +24,7 @@ from seasonline.llm.main_text import (
     with_main_text,
 )
 from seasonline.llm.quality import BIAS, REPEATS, features, fit_grades, grade_of_labels, train_grades, with_grades
-from seasonline.llm.vector_search import Block, SearchPlan, nearest_vectors, usable
+from seasonline.llm.vector_search import Band, Block, SearchPlan, nearest_vectors, usable
 
 # --- quality ---------------------------------------------------------------------------------------
 
@@ -464,3 +464,43 @@ def test_windows_do_not_depend_on_the_query_before():
 
     order = np.arange(0, 1500, 30)
     assert found(order) == found(order[::-1]) == {q: i for o in order for q, i in found(order[order == o]).items()}
+
+
+@pytest.mark.parametrize("shape", ["even", "copies"])
+def test_windows_are_counted_on_bytes_and_few_times(shape, monkeypatch):
+    """A place takes one byte and a query few counts; what the windows hold on enough lines is found, and little else."""
+    draw = np.random.default_rng(12)
+    vectors = draw.normal(size=(3000, 64))
+    if shape == "copies":
+        vectors[1000:] = vectors[np.arange(2000) % 7]
+    block = Block(np.arange(3000), vectors, SearchPlan(norm_band=1e9), 3000, 20)
+    band, counted, within = block.bands[0], [], Band._within
+    assert band.steps.shape == (240, 3000) and band.steps.nbytes == 240 * 3000
+    monkeypatch.setattr(Band, "_within", lambda self, centre, at: counted.append(at) or within(self, centre, at))
+    list(block.nearest(np.arange(0, 3000, 30), vectors[::30]))
+    assert len(counted) < (4 if shape == "even" else 12) * 100
+    scaled = vectors / np.linalg.norm(vectors, axis=1).max()
+    last = np.sqrt(np.maximum(0, 1 - (scaled**2).sum(axis=1)))
+    places = np.c_[scaled, last] @ band.lines
+    for query in vectors[::300]:
+        centre = query / np.linalg.norm(query) @ band.lines[:-1]
+        at = 470
+        found, enough = within(band, centre, at)
+        width = 1e-6 * 1.03**at
+        hits = (np.abs(places - centre) <= width).sum(axis=1)
+        assert found[hits >= 180].all() and not found[hits < 170].any()
+        assert enough == (found.sum() >= int(0.145 * 3000))
+
+
+def test_products_are_preselected_without_loss():
+    draw = np.random.default_rng(13)
+    ids = np.arange(400)
+    for size in (1, 1e-200, 1e150, 1e300):
+        vectors = draw.integers(-2, 3, size=(400, 8)) * float(size)
+        vectors[:, 0] = size
+        for name, found, products in Block(ids, vectors, SearchPlan(verify=1.0, norm_band=1e9), 400, 20).nearest(ids[::20], vectors[::20]):
+            with np.errstate(over="ignore", invalid="ignore"):
+                want = (vectors * vectors[name]).sum(axis=1)
+            others = np.delete(ids, name)
+            order = others[np.lexsort((others, -want[others]))][:20]
+            assert found.tolist() == order.tolist() and np.array_equal(products, want[order], equal_nan=True)
