@@ -39,6 +39,10 @@ _WORD = re.compile(r"\S+")
 _WINDOW, _ANCHOR, _NEAR = -1, -2, -3
 # Words hashed at once, which bounds the arrays.
 _STRETCH = 1 << 15
+# And bytes.
+_BYTES = 1 << 18
+# Characters of documents that are worked on together; a longer one stands alone. They are no more words than a stretch.
+_GROUP = 1 << 15
 _FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -56,13 +60,15 @@ def sentences(text: str) -> list[str]:
 
 
 class Words(NamedTuple):
-    """A document's words in small letters as one line of bytes, one blank between two: their starts and ends in
-    it, and the number of words before each sentence and in all."""
+    """The words in small letters of a document, or of several one after the other, as one line of bytes, one blank between
+    two: their starts and ends in it, the number of words before each sentence and in all, and the first sentence of each
+    document and their number."""
 
     line: bytes
     starts: np.ndarray
     ends: np.ndarray
     before: np.ndarray
+    heads: np.ndarray
 
 
 # White space up to the last sign that is; what lies beyond is none.
@@ -72,25 +78,58 @@ _SPACES = np.array([chr(i).isspace() for i in range(0x3002)])
 _SPACE_BYTES = bytes(_SPACES[:256])
 
 
-def _white(text: str) -> np.ndarray:
-    """Which characters of a text are white space."""
+def _white(joined: str | bytes) -> np.ndarray:
+    """Which characters are white space; a text as bytes is Latin-1."""
+    if isinstance(joined, bytes):
+        return np.frombuffer(joined.translate(_SPACE_BYTES), dtype=bool)
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    return _SPACES[np.minimum(codes, len(_SPACES) - 1)]
+
+
+def _words(*texts: str) -> Words:
+    joined = "\n".join(texts)
+    edges, heads, base = [], [0], 0
+    for text in texts:
+        own = _edges(text)
+        # The last edge is the next document's first: between them there are no words.
+        edges += own[:-1] if not base else [e + base for e in own[:-1]]
+        heads.append(len(edges))
+        base += len(text) + 1
+    edges.append(len(joined))
     try:
-        return np.frombuffer(text.encode("latin-1").translate(_SPACE_BYTES), dtype=bool)
+        opens = ~_white(joined.encode("latin-1"))
     except UnicodeEncodeError:
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        return _SPACES[np.minimum(codes, len(_SPACES) - 1)]
-
-
-def _words(text: str) -> Words:
-    opens = ~_white(text)
+        opens = ~_white(joined)
     opens[1:] &= ~opens[:-1]
-    line = " ".join(text.lower().split()).encode()
-    before = np.searchsorted(np.flatnonzero(opens), _edges(text))
+    line = " ".join(joined.lower().split()).encode()
+    before = opens.nonzero()[0].searchsorted(edges)
     if not line:
         none = np.zeros(0, dtype=np.int64)
-        return Words(line, none, none, before)
-    blanks = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
-    return Words(line, np.concatenate([[0], blanks + 1]), np.concatenate([blanks, [len(line)]]), before)
+        return Words(line, none, none, before, np.array(heads))
+    blanks = (np.frombuffer(line, np.uint8) == 32).nonzero()[0]
+    return Words(line, np.concatenate([[0], blanks + 1]), np.concatenate([blanks, [len(line)]]), before, np.array(heads))
+
+
+def _groups(texts: list[str | None]) -> Iterator[tuple[np.ndarray, Words]]:
+    """Texts that are not empty, several short ones at once: their places in the list, and their words. Texts beyond Latin-1
+    go together, as it takes longer to find their white space."""
+    held: dict[bool, list[int]] = {False: [], True: []}
+    sizes = {False: 0, True: 0}
+    for i, text in enumerate(texts):
+        if not text:
+            continue
+        try:
+            beyond = not text.isascii() and not text.encode("latin-1")
+        except UnicodeEncodeError:
+            beyond = True
+        if held[beyond] and sizes[beyond] + len(text) > _GROUP:
+            yield np.array(held[beyond]), _words(*[texts[j] for j in held[beyond]])
+            held[beyond], sizes[beyond] = [], 0
+        held[beyond].append(i)
+        sizes[beyond] += len(text)
+    for own in held.values():
+        if own:
+            yield np.array(own), _words(*[texts[j] for j in own])
 
 
 def spans(parts: list[str], least: int, alone: int, shortest: int = 2) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -99,32 +138,53 @@ def spans(parts: list[str], least: int, alone: int, shortest: int = 2) -> tuple[
     From each sentence on, and back from each, the shortest run of at least ``shortest`` sentences and
     ``least`` words; and each sentence of ``alone`` words or more by itself.
     """
-    return _spans(_words("".join(parts)), least, alone, shortest)
+    words = _words("".join(parts))
+    found = _spans(words, least, alone, shortest)
+    return found.first, found.last, _texts(words, found)
+
+
+class Spans(NamedTuple):
+    """Spans of documents: first and last sentence, first and last word, and how many sentences of no words stand at
+    either end (none: no span has any). A span with such sentences is another one than that without them."""
+
+    first: np.ndarray
+    last: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    leads: np.ndarray | None
+    trails: np.ndarray | None
 
 
-def _spans(words: Words, least: int, alone: int, shortest: int = 2) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def _spans(words: Words, least: int, alone: int, shortest: int = 2) -> Spans:
     total = words.before
     n = len(total) - 1
     at = np.arange(n)
-    last = np.maximum(np.searchsorted(total, total[:-1] + least) - 1, at + shortest - 1)
-    first = np.minimum(np.searchsorted(total, total[1:] - least, side="right") - 1, at - shortest + 1)
-    onward, back, single = last < n, first >= 0, total[1:] - total[:-1] >= alone
+    last = np.maximum(total.searchsorted(total[:-1] + least) - 1, at + shortest - 1)
+    first = np.minimum(total.searchsorted(total[1:] - least, side="right") - 1, at - shortest + 1)
+    heads = words.heads
+    sizes = heads[1:] - heads[:-1]
+    onward, back, single = last < np.repeat(heads[1:], sizes), first >= np.repeat(heads[:-1], sizes), total[1:] - total[:-1] >= alone
     keys = np.concatenate([(at * n + last)[onward], (first * n + at)[back], (at * (n + 1))[single]])
     keys.sort()
     if len(keys):
         keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
     first, last = np.divmod(keys, max(n, 1))
-    a, z = words.starts[total[first]].tolist(), words.ends[total[last + 1] - 1].tolist()
-    line = words.line
-    found = [line[i:j] for i, j in zip(a, z, strict=True)]
+    begin, end = total[first], total[last + 1] - 1
     empty = total[1:] == total[:-1]
-    if empty.any():
-        # A span with sentences of no words at its ends is another one than that without them.
-        following = np.minimum.accumulate(np.where(empty, n, at)[::-1])[::-1]
-        preceding = np.maximum.accumulate(np.where(empty, -1, at))
-        leads, trails = (following[first] - first).tolist(), (last - preceding[last]).tolist()
-        found = [b" " * i + f + b" " * j for i, f, j in zip(leads, found, trails, strict=True)]
-    return first, last, found
+    if not empty.any():
+        return Spans(first, last, begin, end, None, None)
+    following = np.minimum.accumulate(np.where(empty, n, at)[::-1])[::-1]
+    preceding = np.maximum.accumulate(np.where(empty, -1, at))
+    return Spans(first, last, begin, end, following[first] - first, last - preceding[last])
+
+
+def _texts(words: Words, found: Spans) -> list[bytes]:
+    """The normalised text of each span."""
+    line = words.line
+    texts = [line[a:z] for a, z in zip(words.starts[found.begin].tolist(), words.ends[found.end].tolist(), strict=True)]
+    if found.leads is None:
+        return texts
+    return [b" " * i + t + b" " * j for i, t, j in zip(found.leads.tolist(), texts, found.trails.tolist(), strict=True)]
 
 
 def _hashes(found: list[bytes], seed: int = 0) -> np.ndarray:
@@ -134,7 +194,14 @@ def _hashes(found: list[bytes], seed: int = 0) -> np.ndarray:
     return np.frombuffer(b"".join([xxh3_128_digest(f, seed) for f in found]), dtype="<i8").reshape(-1, 2)
 
 
-@lru_cache(maxsize=2)
+def _short_hashes(found: list[bytes]) -> np.ndarray:
+    """64-bit hashes as signed integers."""
+    from xxhash import xxh3_64_digest
+
+    return np.frombuffer(b"".join([xxh3_64_digest(f) for f in found]), dtype=">i8").astype(np.int64)
+
+
+@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the factor and of its inverse, modulo 2**64."""
 
@@ -153,17 +220,58 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 _OF_BYTE = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_FACTOR))
-
-
-def _smallest(line: bytes, starts: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the runs of half of ``size`` words that are the smallest of some window, or equal to one."""
+_OF_SPAN = _mixed(np.arange(257, 260, dtype=np.uint64) * np.uint64(_FACTOR))
+
+
+class Sums(NamedTuple):
+    """For each word the sum of the line's bytes, weighed by powers of the factor, before it and to its end, and the power
+    that makes a difference of such sums the same wherever in a line it is taken."""
+
+    begun: np.ndarray
+    ended: np.ndarray
+    back: np.ndarray
+
+
+def _sums(words: Words) -> Sums:
+    line, starts, ends = words[:3]
+    up, down = _powers(_BYTES)
+    parts = []
+    before = np.zeros(1, dtype=np.uint64)
+    for at in range(0, len(line), _BYTES):
+        part = np.frombuffer(line, np.uint8, min(_BYTES, len(line) - at), at)
+        sums = np.empty(len(part) + 1, dtype=np.uint64)
+        sums[0] = 0
+        np.cumsum(_OF_BYTE[part] * up[: len(part)], out=sums[1:])
+        a, z = starts, ends
+        if len(line) > _BYTES:
+            a = starts[starts.searchsorted(at) : starts.searchsorted(at + _BYTES)] - at
+            z = ends[ends.searchsorted(at, "right") : ends.searchsorted(at + _BYTES, "right")] - at
+            sums = sums * np.uint64(pow(_FACTOR, at, 1 << 64)) + before
+            before = sums[-1:]
+        back = down[a]
+        if at:
+            back = back * np.uint64(pow(_FACTOR, -at, 1 << 64))
+        parts.append((sums[a], sums[z], back))
+    if len(parts) == 1:
+        return Sums(*parts[0])
+    return Sums(*[np.concatenate(p) for p in zip((before[:0],) * 3, *parts, strict=True)])
+
+
+def _span_lows(sums: Sums, found: Spans) -> np.ndarray:
+    """A hash of each span, worked out from the sums and not from its text."""
+    value = (sums.ended[found.end] - sums.begun[found.begin]) * sums.back[found.begin] + _OF_SPAN[0]
+    if found.leads is not None:
+        value += found.leads.astype(np.uint64) * _OF_SPAN[1] + found.trails.astype(np.uint64) * _OF_SPAN[2]
+    return _mixed(value).view(np.int64)
+
+
+def _smallest(sums: Sums, size: int, doc: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the runs of half of ``size`` words that are the smallest of some window, or equal to one; with the
+    document of each word, of windows within a document."""
     length = (size + 1) // 2
     width = size - length + 1
-    up, down = (p[: len(line)] for p in _powers(1 << max(18, len(line).bit_length())))
-    sums = np.zeros(len(line) + 1, dtype=np.uint64)
-    np.cumsum(_OF_BYTE[np.frombuffer(line, np.uint8)] * up, out=sums[1:])
-    a, z = starts[: len(starts) - length + 1], ends[length - 1 :]
-    hashes = _mixed((sums[z] - sums[a]) * down[a])
+    n = len(sums.begun) - length + 1
+    hashes = _mixed((sums.ended[length - 1 :] - sums.begun[:n]) * sums.back[:n])
     # Smallest of every ``width`` neighbours: the rest of one block with the beginning of the next.
     blocks = np.full((-(-len(hashes) // width), width), np.iinfo(np.uint64).max, dtype=np.uint64)
     blocks.reshape(-1)[: len(hashes)] = hashes
@@ -171,18 +279,37 @@ def _smallest(line: bytes, starts: np.ndarray, ends: np.ndarray, size: int) -> t
     begun = np.minimum.accumulate(blocks, axis=1).reshape(-1)
     n = len(hashes) - width + 1
     least = np.minimum(rest[:n], begun[width - 1 : width - 1 + n])
-    values = least[np.concatenate([[True], least[1:] != least[:-1]])]
+    first = np.ones(n, dtype=bool)
+    np.not_equal(least[1:], least[:-1], out=first[1:])
+    named = hashes
+    if doc is not None:
+        # Documents have values of their own.
+        own = doc.astype(np.uint64) * np.uint64(_FACTOR)
+        named = hashes + own[: len(hashes)]
+        least = least + own[:n]
+        np.not_equal(least[1:], least[:-1], out=first[1:])
+        first &= doc[:n] == doc[size - 1 :]
+    values = least[first]
+    if not len(values):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     values.sort()
-    where = np.flatnonzero(values[np.minimum(np.searchsorted(values, hashes), len(values) - 1)] == hashes)
+    is_one = values[np.minimum(values.searchsorted(named), len(values) - 1)] == named
+    if doc is not None:
+        is_one &= doc[: len(hashes)] == doc[length - 1 :]
+    where = is_one.nonzero()[0]
     return where, hashes[where].view(np.int64)
 
 
-def _anchors(line: bytes, starts: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """First words and hashes of a document's anchors: at least every place that is one of some window."""
+def _anchors(sums: Sums, size: int, doc: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """First words and hashes of the anchors of a document, or of short ones: at least every place that is one of some
+    window."""
+    if doc is not None and doc[0] == doc[-1]:
+        doc = None
+    if doc is not None:
+        return _smallest(sums, size, doc) if len(doc) >= size else (np.zeros(0, np.int64), np.zeros(0, np.int64))
     places, hashes = [], []
-    for at in range(0, len(starts) - size + 1, _STRETCH):
-        a, z = starts[at : at + _STRETCH + size - 1], ends[at : at + _STRETCH + size - 1]
-        where, found = _smallest(line[a[0] : z[-1]], a - a[0], z - a[0], size)
+    for at in range(0, len(sums.begun) - size + 1, _STRETCH):
+        where, found = _smallest(Sums(*[part[at : at + _STRETCH + size - 1] for part in sums]), size)
         places.append(where + at)
         hashes.append(found)
     if not places:
@@ -193,22 +320,28 @@ def _anchors(line: bytes, starts: np.ndarray, ends: np.ndarray, size: int) -> tu
     return places, np.concatenate(hashes)[first]
 
 
+def _doc_of_words(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The number of the first word of each document and of all words, and the document of each word."""
+    edges = words.before[words.heads]
+    return edges, np.repeat(np.arange(len(edges) - 1), edges[1:] - edges[:-1])
+
+
 def _low_halves(least: int, alone: int, passage: int):
-    """For each document the lower halves of the hashes of its spans and anchors; one that recurs in it comes
-    twice."""
+    """The lower halves of the hashes of the spans and anchors of documents; one that recurs in those worked on together
+    comes twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text in batch.column(0).to_pylist():
-                if text:
-                    words = _words(text)
-                    own = [_hashes(_spans(words, least, alone)[2])[:, 0], _anchors(*words[:3], passage)[1]]
-                    found = np.concatenate(own)
-                    found.sort()
-                    first = np.ones(len(found), dtype=bool)
-                    first[1:] = found[1:] != found[:-1]
-                    out += [found[first], found[1:][first[:-1] & ~first[1:]]]
+            for _, words in _groups(batch.column(0).to_pylist()):
+                if not words.line:
+                    continue
+                sums = _sums(words)
+                found = np.concatenate([_span_lows(sums, _spans(words, least, alone)), _anchors(sums, passage, _doc_of_words(words)[1])[1]])
+                found.sort()
+                first = np.ones(len(found), dtype=bool)
+                first[1:] = found[1:] != found[:-1]
+                out += [found[first], found[1:][first[:-1] & ~first[1:]]]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out))], names=["low"])
 
@@ -220,14 +353,14 @@ _PLACE_COLUMNS = "low long, high long, doc long, mark long, first int, last int"
 
 
 class _Places:
-    """Places of documents one after the other, as batches of about so many rows."""
+    """Places of documents, given by their row in a batch of ids and marks, as batches of about so many rows."""
 
-    def __init__(self, rows: int = 1 << 17):
-        self._held: list[tuple] = []
+    def __init__(self, batch: pa.RecordBatch, rows: int = 1 << 17):
+        self._batch, self._held = batch, []
         self._n, self._rows = 0, rows
 
-    def add(self, doc: int | None, mark: int, low: np.ndarray, high: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
-        self._held.append((doc, mark, low, high, first, last))
+    def add(self, own: np.ndarray, low: np.ndarray, high: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
+        self._held.append((own, low, high, first, last))
         self._n += len(low)
 
     def full(self) -> Iterator[pa.RecordBatch]:
@@ -236,24 +369,22 @@ class _Places:
 
     def rest(self) -> Iterator[pa.RecordBatch]:
         if self._n:
-            docs, marks, *values = zip(*self._held, strict=True)
-            own = np.repeat(np.arange(len(docs)), [len(low) for low in values[0]])
-            low, high, first, last = (np.concatenate(v) for v in values)
-            doc, mark = pa.array(docs, pa.int64()).take(pa.array(own)), np.array(marks, dtype=np.int64)[own]
-            numbers = [pa.array(v.astype(of, copy=False)) for v, of in ((low, np.int64), (high, np.int64), (mark, np.int64), (first, np.int32), (last, np.int32))]
-            yield pa.RecordBatch.from_arrays([*numbers[:2], doc, *numbers[2:]], schema=_PLACES)
+            own, low, high, first, last = (np.concatenate(v) for v in zip(*self._held, strict=True))
+            doc, mark = (self._batch.column(i).take(pa.array(own)) for i in range(2))
+            low, high, first, last = (pa.array(v.astype(of, copy=False)) for v, of in ((low, np.int64), (high, np.int64), (first, np.int32), (last, np.int32)))
+            yield pa.RecordBatch.from_arrays([low, high, doc, mark, first, last], schema=_PLACES)
         self._held, self._n = [], 0
 
 
-def _around(line: bytes, starts: np.ndarray, ends: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of all words that windows around anchors can have, and of the anchors' places among them."""
-    from xxhash import xxh3_64_intdigest
+def _around(words: Words, edges: np.ndarray, doc: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all words of their document that windows around anchors can have, and of the anchors' places among them."""
+    from xxhash import xxh3_64_digest
 
-    room = size - (size + 1) // 2
-    first = np.maximum(places - room, 0)
-    a, z = starts[first].tolist(), ends[np.minimum(places + size, len(starts)) - 1].tolist()
-    hashes = [xxh3_64_intdigest(line[i:j], n) for i, j, n in zip(a, z, (places - first).tolist(), strict=True)]
-    return np.array(hashes, dtype=np.uint64).view(np.int64)
+    line, room = words.line, size - (size + 1) // 2
+    first = np.maximum(places - room, edges[doc])
+    a, z = words.starts[first].tolist(), words.ends[np.minimum(places + size, edges[doc + 1]) - 1].tolist()
+    hashes = [xxh3_64_digest(line[i:j], n) for i, j, n in zip(a, z, (places - first).tolist(), strict=True)]
+    return np.frombuffer(b"".join(hashes), dtype=">i8").astype(np.int64)
 
 
 def _located(least: int, alone: int, passage: int):
@@ -261,26 +392,27 @@ def _located(least: int, alone: int, passage: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            places = _Places()
-            for doc, mark, text in zip(ids, marks, batch.column(2).to_pylist(), strict=True):
-                if not text:
+            places = _Places(batch)
+            for rows, words in _groups(batch.column(2).to_pylist()):
+                if not words.line:
                     continue
-                words = _words(text)
-                first, last, found = _spans(words, least, alone)
-                hashes = _hashes(found)
-                places.add(doc, mark, hashes[:, 0], hashes[:, 1], first, last)
-                at, anchors = _anchors(*words[:3], passage)
+                heads, sums, found = words.heads, _sums(words), _spans(words, least, alone)
+                own = heads.searchsorted(found.first, "right") - 1
+                first = found.first - heads[own]
+                places.add(rows[own], _span_lows(sums, found), _short_hashes(_texts(words, found)), first, found.last - heads[own])
+                edges, doc = _doc_of_words(words)
+                at, anchors = _anchors(sums, passage, doc)
                 if len(at):
-                    around = _around(*words[:3], at, passage)
+                    own = doc[at]
+                    around = _around(words, edges, own, at, passage)
                     order = np.lexsort((at, around, anchors))
-                    in_order = anchors[order], around[order], at[order]
-                    near = in_order[2][1:] - in_order[2][:-1] < passage
-                    for hashed in in_order[:2]:
-                        near &= hashed[1:] == hashed[:-1]
+                    in_order = anchors[order], around[order], own[order]
+                    near = at[order][1:] - at[order][:-1] < passage
+                    for same in in_order:
+                        near &= same[1:] == same[:-1]
                     kind = np.full(len(at), _ANCHOR)
                     kind[order[1:][near]] = _NEAR
-                    places.add(doc, mark, anchors, around, at, kind)
+                    places.add(rows[own], anchors, around, at - edges[own], kind)
                 yield from places.full()
             yield from places.rest()
 
@@ -293,16 +425,15 @@ def _windows(passage: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, marks, texts = (batch.column(c).to_pylist() for c in range(3))
-            places = _Places()
-            for at, (doc, mark, text) in enumerate(zip(ids, marks, texts, strict=True)):
-                line, starts, ends, _ = _words(text)
+            places = _Places(batch)
+            for at, text in enumerate(batch.column(2).to_pylist()):
+                line, starts, ends = _words(text)[:3]
                 given = np.unique(batch.column(3)[at].values.to_numpy()).astype(np.int64)
                 first = np.unique(given[:, None] - np.arange(room + 1))
                 first = first[(first >= 0) & (first + passage <= len(starts))]
                 edges = zip(starts[first].tolist(), ends[first + passage - 1].tolist(), strict=True)
                 hashes = _hashes([line[a:z] for a, z in edges], 1)
-                places.add(doc, mark, hashes[:, 0], hashes[:, 1], first, np.full(len(first), _WINDOW))
+                places.add(np.full(len(first), at), hashes[:, 0], hashes[:, 1], first, np.full(len(first), _WINDOW))
                 yield from places.full()
             yield from places.rest()
 

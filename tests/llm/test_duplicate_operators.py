@@ -12,10 +12,11 @@ from fixtures import CLASHES, documents, prose
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from seasonline.llm import span_dedup
 from seasonline.llm.benchmark_leaks import RADIUS, find_leaks, simhash_of, weighted_jaccard, without_leaks, words_of
 from seasonline.llm.components import component_roots
 from seasonline.llm.simhash_near import fingerprint_of, near_groups, near_links
-from seasonline.llm.span_dedup import _located, _windows, _words, sentences, spans, without_repeated_spans
+from seasonline.llm.span_dedup import _located, _low_halves, _windows, _words, sentences, spans, without_repeated_spans
 
 
 def plain_fingerprint(text, k):
@@ -378,3 +379,38 @@ def test_places_of_many_documents_share_a_batch():
     assert set(located[0]["doc"].to_pylist()) == set(windows[0]["doc"].to_pylist()) == {*range(29), None}
     one = pa.Table.from_batches(list(_located(30, 50, 50)(iter([few.slice(7, 1).select([0, 1, 2])]))))
     assert one.equals(pa.Table.from_batches(located).filter(pc.field("doc") == 7).combine_chunks())
+
+
+def test_documents_worked_on_together_are_as_alone(monkeypatch):
+    """Short texts share the work on words; their places and hashes are those of each text by itself."""
+    draw = random.Random(14)
+    signs = ["É", "\u3000", "ΑΣ", "\n", "\n\n", ". ", '! "', "  ", "\x85", "中。", "?\n"]
+    texts = ["".join(draw.choice([*signs, *(f"w{draw.randrange(40)} " for _ in range(30))]) for _ in range(draw.choice([1, 20, 200]))) for _ in range(120)]
+    texts += [None, "", " ", ".", "w1 " * 70, "".join(f"w{i} " for i in range(60))] + texts[:20] + ["long " * 40 + "".join(f"w{i % 700} " for i in range(9000))]
+    n, calls = len(texts), []
+
+    def located(rows):
+        batches = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array([i * 7]), pa.array([texts[i]], pa.string())], names=["d", "m", "t"]) for i in rows]
+        table = pa.Table.from_batches(_located(30, 50, 50)(iter(batches)))
+        return sorted(zip(*(c.to_pylist() for c in table.columns), strict=True))
+
+    alone = located(range(n))
+    whole = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array([i * 7 for i in range(n)]), pa.array(texts, pa.string())], names=["d", "m", "t"])
+    monkeypatch.setattr(span_dedup, "_words", lambda *t: calls.append(t) or _words(*t))
+    together = pa.Table.from_batches(_located(30, 50, 50)(iter([whole])))
+    assert len(calls) < 12
+    assert sorted(zip(*(c.to_pylist() for c in together.columns), strict=True)) == alone
+    # Equal hashes mean equal texts, also where sentences without words stand at the ends.
+    of_hash, of_text = {}, {}
+    for low, high, doc, _, first, last in alone:
+        if last >= 0:
+            ends = spans(sentences(texts[doc]), 30, 50)
+            text = next(t for f, z, t in zip(*ends, strict=True) if (f, z) == (first, last))
+            assert of_hash.setdefault((low, high), text) == text and of_text.setdefault(text, low) == low
+    # The first pass finds what the second meets twice.
+    lows = [v for b in _low_halves(30, 50, 50)(iter([whole.select(["t"])])) for v in b.column(0).to_pylist()]
+    counted = Counter(low for low, *_ in alone)
+    assert {v for v, c in Counter(lows).items() if c > 1} == {v for v, c in counted.items() if c > 1}
+    # And lines longer than what is summed at once change nothing.
+    monkeypatch.setattr(span_dedup, "_BYTES", 64)
+    assert located(range(n)) == alone
